@@ -219,8 +219,7 @@ def merge_upsert(c: Context) -> DataFrame:
     batch = union(
         ingest.stamp_load(late.withColumn("value", F.col("value") + n), f"load-{n}") for n in (2, 3)
     )
-    latest = ingest.latest_per_key(batch, ["event_id"], ["ts", ingest.LOAD_ID])
-    return ingest.upsert(target, latest, ["event_id"])
+    return ingest.upsert(target, batch, ["event_id"], ["ts", ingest.LOAD_ID])
 
 
 @query(

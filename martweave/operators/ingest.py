@@ -52,15 +52,20 @@ def latest_per_key(batch: DataFrame, keys: list[str], newest_first: list[str]) -
     return ranked.filter("_rank = 1").drop("_rank")
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """``target`` with the rows of ``batch`` put in; the new row wins.
+def upsert(
+    target: DataFrame, batch: DataFrame, keys: list[str], newest_first: list[str]
+) -> DataFrame:
+    """``target`` with the rows of ``batch`` put in, one per key; the new row wins.
 
-    ``batch`` holds one row per key. Doing it twice gives the same table. A small
-    batch is broadcast and the target does not move; otherwise both are shuffled
-    by key. A NULL key matches nothing.
+    Doing it twice gives the same table. Which target rows go is decided by the
+    keys of the batch alone, so that branch reads no other column of it; its
+    copies are dropped before they are shuffled. A small batch is broadcast and
+    the target stays where it is; otherwise both are hashed by key. A NULL key
+    matches nothing in the target.
     """
-    kept = target.join(batch.select(*keys), keys, "left_anti")
-    return kept.unionByName(batch)
+    arriving = batch.select(*keys).dropDuplicates(keys)
+    kept = target.join(arriving, keys, "left_anti")
+    return kept.unionByName(latest_per_key(batch, keys, newest_first))
 
 
 def load_audit(df: DataFrame, table: str) -> DataFrame:

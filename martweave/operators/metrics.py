@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martweave.functions.money import exact_part, rate
+from martweave.functions.money import from_parts, rate, summed_parts
 
 Parts = dict[str, Callable[[], Column]]
 
@@ -28,81 +28,63 @@ class Metric:
     formula: Callable[[Callable[[str], Column]], Column]
 
 
-def _double(part: str) -> Callable[[Callable[[str], Column]], Column]:
-    return lambda total: total(part).cast("double")
+def _money(name: str, of: Callable[[str], Column]) -> Column:
+    return from_parts(of(f"{name}_high"), of(f"{name}_low"))
 
 
+def _count() -> Column:
+    return F.count(F.lit(1))
+
+
+_ITEMS, _ORDERS = "fct_order_items", "fct_orders"
+
 METRICS = {
     (m.grain, m.name): m
     for m in (
         Metric(
-            "net_revenue",
-            "fct_order_items",
-            {"net": lambda: exact_part("net_revenue")},
-            _double("net"),
+            "net_revenue", _ITEMS, summed_parts("net", "net_revenue"), lambda of: _money("net", of)
         ),
         Metric(
             "gross_margin",
-            "fct_order_items",
-            {"margin": lambda: exact_part("gross_margin")},
-            _double("margin"),
-        ),
-        Metric(
-            "items",
-            "fct_order_items",
-            {"items": lambda: F.count(F.lit(1))},
-            lambda total: total("items"),
+            _ITEMS,
+            summed_parts("margin", "gross_margin"),
+            lambda of: _money("margin", of),
         ),
+        Metric("items", _ITEMS, {"items": _count}, lambda of: of("items")),
         Metric(
             "return_rate",
-            "fct_order_items",
-            {
-                "returned": lambda: F.count_if("is_returned"),
-                "items": lambda: F.count(F.lit(1)),
-            },
-            lambda total: rate(total("returned").cast("double"), total("items")),
+            _ITEMS,
+            {"returned": lambda: F.count_if("is_returned"), "items": _count},
+            lambda of: rate(of("returned").cast("double"), of("items")),
         ),
         Metric(
             "avg_delivery_days",
-            "fct_order_items",
+            _ITEMS,
             {
                 "days": lambda: F.sum("days_to_delivery"),
                 "delivered": lambda: F.count("days_to_delivery"),
             },
-            lambda total: rate(total("days").cast("double"), total("delivered")),
+            lambda of: rate(of("days").cast("double"), of("delivered")),
         ),
         Metric(
             "net_revenue",
-            "fct_orders",
-            {"net": lambda: exact_part("total_revenue_net")},
-            _double("net"),
+            _ORDERS,
+            summed_parts("net", "total_revenue_net"),
+            lambda of: _money("net", of),
         ),
         Metric(
             "gross_margin",
-            "fct_orders",
-            {"margin": lambda: exact_part("total_gross_margin")},
-            _double("margin"),
-        ),
-        Metric(
-            "items",
-            "fct_orders",
-            {"items": lambda: F.sum("items_count")},
-            lambda total: total("items"),
-        ),
-        Metric(
-            "orders",
-            "fct_orders",
-            {"orders": lambda: F.count(F.lit(1))},
-            lambda total: total("orders"),
+            _ORDERS,
+            summed_parts("margin", "total_gross_margin"),
+            lambda of: _money("margin", of),
         ),
+        Metric("items", _ORDERS, {"items": lambda: F.sum("items_count")}, lambda of: of("items")),
+        Metric("orders", _ORDERS, {"orders": _count}, lambda of: of("orders")),
         Metric(
             "avg_order_value",
-            "fct_orders",
-            {
-                "net": lambda: exact_part("total_revenue_net"),
-                "orders": lambda: F.count(F.lit(1)),
-            },
-            lambda total: rate(total("net").cast("double"), total("orders")),
+            _ORDERS,
+            {**summed_parts("net", "total_revenue_net"), "orders": _count},
+            lambda of: rate(_money("net", of), of("orders")),
         ),
     )
 }

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martweave.functions.calendar import moment
-from martweave.operators.ingest import LOAD_ID, latest_per_key, stamp_load, upsert
+from martweave.operators.ingest import LOAD_ID, stamp_load, upsert
 
 _COMMIT = "load_id string, month string, path string, last_value timestamp, rows bigint"
 _WHOLE = "all"
@@ -51,7 +51,7 @@ class Commit:
     load_id: str
     paths: dict[str, str]  # month -> directory; one entry per calendar month
     last_value: datetime | None
-    rows: int
+    rows: int  # that the load brought
 
 
 class LandedTable:
@@ -77,49 +77,44 @@ class LandedTable:
 
     # -- reading ---------------------------------------------------------
 
-    def _commits(self) -> DataFrame | None:
+    def _commits(self) -> DataFrame:
+        schema = f"{_COMMIT}, version bigint"
         try:
-            return self.spark.read.schema(f"{_COMMIT}, version bigint").parquet(f"{self.root}/commits")
+            return self.spark.read.schema(schema).parquet(f"{self.root}/commits")
         except AnalysisException as missing:
             if missing.getCondition() == "PATH_NOT_FOUND":
-                return None
+                return self.spark.createDataFrame([], schema)
             raise
 
-    def state(self) -> Commit:
-        """The version in force; version 0 of a table nothing was loaded into."""
+    def _in_force(self, load_id: str = "") -> tuple[Commit, bool]:
+        """The version in force, and whether a load is in already."""
         commits = self._commits()
-        last = commits.agg(F.max("version")).first()[0] if commits is not None else None
+        last, seen = commits.agg(
+            F.max("version"), F.max(F.col("load_id") == F.lit(load_id))
+        ).first()
         if last is None:
-            return Commit(0, "", {}, None, 0)
-        in_force = commits.filter(F.col("version") == last)
-        rows = in_force.withColumn("last_value", F.unix_micros("last_value")).collect()
-        return Commit(
-            last,
-            rows[0].load_id,
-            {r.month: r.path for r in rows if r.path is not None},
-            _instant(rows[0].last_value),
-            rows[0].rows,
+            return Commit(0, "", {}, None, 0), False
+        rows = (
+            commits.filter(F.col("version") == last)
+            .withColumn("last_value", F.unix_micros("last_value"))
+            .collect()  # one row per month
         )
+        paths = {r.month: r.path for r in rows if r.path is not None}
+        head = rows[0]
+        return Commit(last, head.load_id, paths, _instant(head.last_value), head.rows), bool(seen)
+
+    def state(self) -> Commit:
+        """The version in force; version 0 of a table nothing was loaded into."""
+        return self._in_force()[0]
 
     def loads(self) -> DataFrame:
         """One row per load: version, id, cursor after it and rows it brought."""
-        commits = self._commits()
-        if commits is None:
-            return self.spark.createDataFrame([], "version bigint, load_id string, last_value timestamp, rows bigint")
-        return commits.select("version", "load_id", "last_value", "rows").distinct()
-
-    def has_load(self, load_id: str) -> bool:
-        commits = self._commits()
-        return commits is not None and not commits.filter(F.col("load_id") == load_id).isEmpty()
+        return self._commits().select("version", "load_id", "last_value", "rows").distinct()
 
     def superseded(self) -> DataFrame:
-        """Directories of earlier versions that no longer hold current rows."""
-        current = set(self.state().paths.values())
-        commits = self._commits()
-        if commits is None:
-            return self.spark.createDataFrame([], "path string")
-        named = commits.filter(F.col("path").isNotNull()).select("path").distinct()
-        return named.filter(~F.col("path").isin(*current)) if current else named
+        """Directories of earlier versions that hold no current rows and may go."""
+        named = self._commits().filter(F.col("path").isNotNull()).select("path").distinct()
+        return named.filter(~F.col("path").isin(list(self.state().paths.values())))
 
     def _read(self, paths: list[str]) -> DataFrame:
         if not paths:
@@ -146,10 +141,12 @@ class LandedTable:
 
     def _checked(self, df: DataFrame) -> DataFrame:
         """The declared columns in order; anything else than just those is refused."""
-        declared = self._read([]).drop(LOAD_ID).dtypes
-        if sorted(df.drop(LOAD_ID).dtypes) != sorted(declared):
-            raise ValueError(f"{self.root}: columns {df.dtypes} are not the declared {declared}")
-        return df.select(*(name for name, _ in declared))
+        declared = self.spark.createDataFrame([], self.ddl)
+        if self.stamped:
+            declared, df = declared.drop(LOAD_ID), df.drop(LOAD_ID)
+        if sorted(df.dtypes) != sorted(declared.dtypes):
+            raise ValueError(f"{self.root}: columns {df.dtypes} are not the declared {declared.dtypes}")
+        return df.select(*declared.columns)
 
     def _month(self, df: DataFrame) -> DataFrame:
         if self.month_of is None:
@@ -158,8 +155,8 @@ class LandedTable:
             "month", F.coalesce(F.date_format(self.month_of, "yyyy-MM"), F.lit("undated"))
         )
 
-    def _write(self, df: DataFrame, version: int) -> dict[str, str]:
-        """Write one directory per month and return them.
+    def _write(self, df: DataFrame, version: int) -> tuple[dict[str, str], int]:
+        """Write one directory per month; return them and the rows written.
 
         The rebalance hint gathers a month's rows into files of the advisory size
         and splits a month that holds too many; sorting inside a file keeps its
@@ -175,71 +172,92 @@ class LandedTable:
             .partitionBy("month")
             .parquet(place)
         )
-        try:
-            written = self.spark.read.schema(f"{self.ddl}, month string").parquet(place)
-        except AnalysisException:
-            return {}
-        months = [r.month for r in written.select("month").distinct().collect()]
-        return {month: f"{place}/month={month}" for month in months}
-
-    def _commit(self, version: int, load_id: str, paths: dict[str, str], last_value, rows: int) -> None:
-        entries = [(load_id, m, p, last_value, rows) for m, p in sorted(paths.items())]
-        entries = entries or [(load_id, None, None, last_value, rows)]
+        written = self.spark.read.schema(f"{self.ddl}, month string").parquet(place)
+        counts = written.groupBy("month").count().collect()  # one row per month, from the footers
+        return {r.month: f"{place}/month={r.month}" for r in counts}, sum(r["count"] for r in counts)
+
+    def _commit(self, commit: Commit) -> Commit:
+        head = commit.load_id
+        entries = [
+            (head, month, path, commit.last_value, commit.rows)
+            for month, path in sorted(commit.paths.items())
+        ] or [(head, None, None, commit.last_value, commit.rows)]
         (
             self.spark.createDataFrame(entries, _COMMIT)
             .coalesce(1)  # a row per month: one file, so it appears in one step
             .write.mode("error")
-            .parquet(f"{self.root}/commits/version={version}")
+            .parquet(f"{self.root}/commits/version={commit.version}")
         )
+        return commit
 
     def replace(self, df: DataFrame, load_id: str) -> Commit:
         """Drop the old rows and keep these; a load that is in already is skipped."""
-        if self.has_load(load_id):
-            return self.state()
-        version = self.state().version + 1
+        before, seen = self._in_force(load_id)
+        if seen:
+            return before
         df = self._checked(df)
         df = stamp_load(df, load_id) if self.stamped else df
-        paths = self._write(df, version)
-        rows = self._read(list(paths.values())).count()  # from the parquet footers
-        self._commit(version, load_id, paths, None, rows)
-        return self.state()
+        paths, rows = self._write(df, before.version + 1)
+        return self._commit(Commit(before.version + 1, load_id, paths, None, rows))
 
     def merge(
         self, batch: DataFrame, load_id: str, cursor: str, month_is_fixed: bool = False
     ) -> Commit:
         """Put a batch in: one row per key, the new row wins. Skipped if in already.
 
-        Only months that change are rewritten: those of the batch, and those in
-        which an older row of one of its keys lies. Finding the latter reads the
-        key column of the other months; ``month_is_fixed`` spares that for a
-        source in which a key's ``month_of`` value never changes.
+        The batch is first stored as it came, so what is merged cannot change
+        under the job and a failed merge need not go back to the source. Only
+        months that change are rewritten: those of the batch, and those in which
+        an older row of one of its keys lies.
         """
-        if self.has_load(load_id):
-            return self.state()
-        before = self.state()
+        before, seen = self._in_force(load_id)
+        if seen:
+            return before
         place = f"{self.root}/batches/{load_id}"
         stamp_load(self._checked(batch), load_id).write.mode("overwrite").parquet(place)
         staged = self.spark.read.schema(self.ddl).parquet(place)
-        newest = F.unix_micros(F.max(cursor).cast("timestamp"))
-        rows, micros = staged.agg(F.count(F.lit(1)), newest).first()
-        last_value = max((v for v in (before.last_value, _instant(micros)) if v is not None), default=None)
-        version = before.version + 1
-        if rows == 0:
-            self._commit(version, load_id, before.paths, last_value, 0)
-            return self.state()
 
-        # The raw rows feed the three reads below, each pruned to what it needs.
-        touched = {r.month for r in self._month(staged).select("month").distinct().collect()}
-        others = [path for month, path in before.paths.items() if month not in touched]
-        if others and not month_is_fixed:
-            moved = self._month(self._read(others)).join(
-                staged.select(*self.keys), self.keys, "left_semi"
+        spans = (
+            self._month(staged)
+            .groupBy("month")
+            .agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.unix_micros(F.max(cursor).cast("timestamp")).alias("newest"),
+                F.min(self.keys[0]).alias("low"),
+                F.max(self.keys[0]).alias("high"),
             )
-            touched |= {r.month for r in moved.select("month").distinct().collect()}
+            .collect()  # one row per month
+        )
+        rows = sum(s.rows for s in spans)
+        seen_values = [before.last_value, *(_instant(s.newest) for s in spans)]
+        last_value = max((v for v in seen_values if v is not None), default=None)
+        version = before.version + 1
+        if not spans:
+            return self._commit(Commit(version, load_id, before.paths, last_value, 0))
 
-        latest = latest_per_key(staged, self.keys, [cursor])
+        touched = {s.month for s in spans}
+        if not month_is_fixed:
+            touched |= self._months_left(staged, spans, before, touched)
         old = self._read([path for month, path in before.paths.items() if month in touched])
-        written = self._write(upsert(old, latest, self.keys), version)
+        written, _ = self._write(upsert(old, staged, self.keys, [cursor]), version)
         kept = {month: path for month, path in before.paths.items() if month not in touched}
-        self._commit(version, load_id, {**kept, **written}, last_value, rows)
-        return self.state()
+        return self._commit(Commit(version, load_id, {**kept, **written}, last_value, rows))
+
+    def _months_left(self, staged: DataFrame, spans: list, before: Commit, touched: set) -> set:
+        """Months outside the batch that hold an older row of one of its keys.
+
+        Keys mostly grow with time, so the batch's key range, pushed into the scan
+        of the key column, skips nearly all row groups of the other months. A
+        source whose ``month_of`` value never changes can do without
+        (``month_is_fixed``).
+        """
+        others = [path for month, path in before.paths.items() if month not in touched]
+        lows = [s.low for s in spans if s.low is not None]
+        highs = [s.high for s in spans if s.high is not None]
+        if not others or not lows:
+            return set()
+        key = F.col(self.keys[0])
+        near = self._read(others).filter((key >= F.lit(min(lows))) & (key <= F.lit(max(highs))))
+        arriving = staged.select(*self.keys).dropDuplicates(self.keys)
+        moved = self._month(near).join(arriving, self.keys, "left_semi")
+        return {r.month for r in moved.select("month").distinct().collect()}

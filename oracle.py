@@ -137,8 +137,8 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "land_order_items": (
         (),
         """
-        SELECT CAST('0x' || substr(md5(l_orderkey || '-' || l_linenumber || '-' || l_partkey
-                    || '-' || l_suppkey), 1, 15) AS BIGINT) AS id,
+        SELECT ((l_orderkey * 8 + l_linenumber) % 4294967296) * 2147483648
+                   + (l_partkey * 100003 + l_suppkey) % 2147483647 AS id,
                l_orderkey AS order_id, o_custkey AS user_id, l_partkey AS product_id,
                l_suppkey AS inventory_item_id,
                CASE l_returnflag WHEN 'R' THEN 'Returned' WHEN 'A' THEN 'Cancelled'

@@ -32,6 +32,7 @@ UTC = timezone.utc
 HORIZON = date(1996, 1, 1)
 HORIZON_AT = datetime(1996, 1, 1, tzinfo=UTC)
 FIRST_LOAD = datetime(1995, 10, 1, tzinfo=UTC)
+ALL_HISTORY = datetime(1990, 1, 1, tzinfo=UTC)
 CALENDAR_END = date(2002, 7, 1)
 CLOCK = datetime(2001, 12, 1, 12, tzinfo=UTC)
 RUN = Run(o.RUN_ID, datetime(2002, 1, 1, tzinfo=UTC))
@@ -1015,14 +1016,52 @@ def star_quarter_status(c: Context) -> DataFrame:
 
 # --- the whole run --------------------------------------------------------
 
-_BUILT = {"land_orders": o.FIRST_LOAD, "land_order_items": o.FIRST_LOAD}
+def _severity(rows: list[str], severity: str) -> list[str]:
+    return [f"SELECT *, '{severity}' AS severity FROM ({r})" for r in rows]
 
 
-@query()
+_TESTS_SQL = _models_sql(
+    o.union(
+        _severity(
+            o.not_null_rows(quality.NOT_NULL)
+            + o.unique_rows(quality.UNIQUE.items())
+            + o.relationship_rows(
+                (r.child, r.column, r.parent, r.field) for r in quality.RELATIONSHIPS
+            ),
+            "error",
+        )
+        + _severity(
+            o.not_null_rows(quality.DEFERRED_NOT_NULL)
+            + o.unique_rows(quality.DEFERRED_UNIQUE)
+            + o.relationship_rows(
+                (r.child, r.column, r.parent, r.field) for r in quality.DEFERRED_RELATIONSHIPS
+            )
+            + [
+                o.row(
+                    f"{m} WHERE {col} NOT IN ({', '.join(repr(v) for v in values)})",
+                    m,
+                    col,
+                    "accepted_values",
+                    "COUNT(*)",
+                )
+                for (m, col), values in quality.ACCEPTED_VALUES.items()
+            ],
+            "warn",
+        )
+    )
+).replace(
+    # Landing keeps one row per key.
+    "FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey",
+    "FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey "
+    "QUALIFY row_number() OVER (PARTITION BY id ORDER BY created_at DESC) = 1",
+)
+
+
+@query(_TESTS_SQL)
 def build_run(c: Context) -> DataFrame:
-    """Ingest, build every model into stored marts, and run the declared tests."""
+    """Ingest all history, build every model into stored marts, run the declared tests."""
     folder = session.work_folder(c.spark, "build_run")
-    run_ingest(c.spark, c.tables.read, f"{folder}/raw", "load-1", FIRST_LOAD)
+    run_ingest(c.spark, c.tables.read, f"{folder}/raw", "load-1", ALL_HISTORY)
 
     def raw(table: str) -> DataFrame:
         return landed(c.spark, f"{folder}/raw", LANDINGS[table]).read()

@@ -2,9 +2,9 @@
 
 Layout under ``root``::
 
-    batches/<load_id>/            the rows of one load, as they came
-    data/v=<n>/month=<yyyy-MM>/   merged rows
-    commits/version=<n>/          one row per month directory in force
+    batches/<load_id>/                the rows of one load, as they came
+    data/v=<n>/partition_month=<yyyy-MM>/   merged rows
+    commits/version=<n>/              one row per month directory in force
 
 A version is in force once its commit file exists, and the cursor is a column of
 that file: rows and cursor change together or not at all. A load that dies leaves
@@ -30,6 +30,7 @@ from martweave.functions.calendar import moment
 from martweave.operators.ingest import LOAD_ID, stamp_load, upsert
 
 _COMMIT = "load_id string, month string, path string, last_value timestamp, rows bigint"
+_MONTH = "partition_month"  # no table may have a column of that name
 _WHOLE = "all"
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -150,9 +151,9 @@ class LandedTable:
 
     def _month(self, df: DataFrame) -> DataFrame:
         if self.month_of is None:
-            return df.withColumn("month", F.lit(_WHOLE))
+            return df.withColumn(_MONTH, F.lit(_WHOLE))
         return df.withColumn(
-            "month", F.coalesce(F.date_format(self.month_of, "yyyy-MM"), F.lit("undated"))
+            _MONTH, F.coalesce(F.date_format(self.month_of, "yyyy-MM"), F.lit("undated"))
         )
 
     def _write(self, df: DataFrame, version: int) -> tuple[dict[str, str], int]:
@@ -163,18 +164,18 @@ class LandedTable:
         row groups narrow in time.
         """
         place = f"{self.root}/data/v={version:08d}"
-        order = ["month", *([self.month_of] if self.month_of else []), *self.keys]
+        order = [_MONTH, *([self.month_of] if self.month_of else []), *self.keys]
         (
             self._month(df)
-            .hint("rebalance", "month")
+            .hint("rebalance", _MONTH)
             .sortWithinPartitions(*order)
             .write.mode("overwrite")
-            .partitionBy("month")
+            .partitionBy(_MONTH)
             .parquet(place)
         )
-        written = self.spark.read.schema(f"{self.ddl}, month string").parquet(place)
-        counts = written.groupBy("month").count().collect()  # one row per month, from the footers
-        return {r.month: f"{place}/month={r.month}" for r in counts}, sum(r["count"] for r in counts)
+        written = self.spark.read.schema(f"{self.ddl}, {_MONTH} string").parquet(place)
+        counts = dict(written.groupBy(_MONTH).count().collect())  # one row per month
+        return {month: f"{place}/{_MONTH}={month}" for month in counts}, sum(counts.values())
 
     def _commit(self, commit: Commit) -> Commit:
         head = commit.load_id
@@ -219,7 +220,7 @@ class LandedTable:
 
         spans = (
             self._month(staged)
-            .groupBy("month")
+            .groupBy(F.col(_MONTH).alias("month"))
             .agg(
                 F.count(F.lit(1)).alias("rows"),
                 F.unix_micros(F.max(cursor).cast("timestamp")).alias("newest"),
@@ -260,4 +261,4 @@ class LandedTable:
         near = self._read(others).filter((key >= F.lit(min(lows))) & (key <= F.lit(max(highs))))
         arriving = staged.select(*self.keys).dropDuplicates(self.keys)
         moved = self._month(near).join(arriving, self.keys, "left_semi")
-        return {r.month for r in moved.select("month").distinct().collect()}
+        return {month for (month,) in moved.select(_MONTH).distinct().collect()}

@@ -220,7 +220,9 @@ def merge_upsert(c: Context) -> DataFrame:
     batch = union(
         ingest.stamp_load(late.withColumn("value", F.col("value") + n), f"load-{n}") for n in (2, 3)
     )
-    return ingest.upsert(target, batch, ["event_id"], ["ts", ingest.LOAD_ID])
+    latest = ingest.latest_per_key(batch, ["event_id"], ["ts", ingest.LOAD_ID])
+    arriving = batch.select("event_id").dropDuplicates()
+    return ingest.upsert(target, latest, ["event_id"], arriving)
 
 
 @query(

@@ -52,20 +52,38 @@ def latest_per_key(batch: DataFrame, keys: list[str], newest_first: list[str]) -
     return ranked.filter("_rank = 1").drop("_rank")
 
 
+def copied_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys with more than one row; only the key columns are read and shuffled."""
+    counted = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.filter("_rows > 1").select(*keys)
+
+
+def one_per_key(
+    batch: DataFrame, copied: DataFrame, keys: list[str], newest_first: list[str]
+) -> DataFrame:
+    """As :func:`latest_per_key`, given the few keys that have copies at all.
+
+    ``copied`` is broadcast, so the caller has made sure it is small. Rows of all
+    other keys are not shuffled. Keys must not be NULL.
+    """
+    few = F.broadcast(copied.select(*keys))
+    single = batch.join(few, keys, "left_anti")
+    several = batch.join(few, keys, "left_semi")
+    return single.unionByName(latest_per_key(several, keys, newest_first))
+
+
 def upsert(
-    target: DataFrame, batch: DataFrame, keys: list[str], newest_first: list[str]
+    target: DataFrame, rows: DataFrame, keys: list[str], arriving: DataFrame | None = None
 ) -> DataFrame:
-    """``target`` with the rows of ``batch`` put in, one per key; the new row wins.
+    """``target`` with ``rows`` put in, which hold one row per key; the new row wins.
 
-    Doing it twice gives the same table. Which target rows go is decided by the
-    keys of the batch alone, so that branch reads no other column of it; its
-    copies are dropped before they are shuffled. A small batch is broadcast and
-    the target stays where it is; otherwise both are hashed by key. A NULL key
-    matches nothing in the target.
+    Doing it twice gives the same table. ``arriving`` may name the same keys more
+    cheaply than ``rows``, say straight from a scan; they decide which target rows
+    go. Few keys are broadcast and the target stays where it is; otherwise both
+    are hashed by key. A NULL key matches nothing in the target.
     """
-    arriving = batch.select(*keys).dropDuplicates(keys)
-    kept = target.join(arriving, keys, "left_anti")
-    return kept.unionByName(latest_per_key(batch, keys, newest_first))
+    going = (rows if arriving is None else arriving).select(*keys)
+    return target.join(going, keys, "left_anti").unionByName(rows)
 
 
 def load_audit(df: DataFrame, table: str) -> DataFrame:

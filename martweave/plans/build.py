@@ -106,6 +106,11 @@ class Built:
     models: dict[str, DataFrame] = field(default_factory=dict)
     tests: DataFrame | None = None
 
+    def register(self) -> None:
+        """Make every model a view of its own name, for ``spark.sql``."""
+        for name, df in self.models.items():
+            df.createOrReplaceTempView(name)
+
     def raise_on_failure(self) -> None:
         """At most one row per declared test is fetched."""
         failed = self.tests.filter("severity = 'error' and failures > 0").collect()

@@ -2,9 +2,9 @@
 
 Layout under ``root``::
 
-    batches/<load_id>/                the rows of one load, as they came
-    data/v=<n>/partition_month=<yyyy-MM>/   merged rows
-    commits/version=<n>/              one row per month directory in force
+    batches/<load_id>/                       the rows of one load, as they came
+    data/v=<n>/partition_month=<yyyy-MM>/    merged rows
+    commits/version=<n>/                     one row per month directory in force
 
 A version is in force once its commit file exists, and the cursor is a column of
 that file: rows and cursor change together or not at all. A load that dies leaves
@@ -21,17 +21,27 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martweave.functions.calendar import moment
-from martweave.operators.ingest import LOAD_ID, stamp_load, upsert
+from martweave.operators.ingest import (
+    LOAD_ID,
+    copied_keys,
+    latest_per_key,
+    one_per_key,
+    stamp_load,
+    upsert,
+)
 
 _COMMIT = "load_id string, month string, path string, last_value timestamp, rows bigint"
 _MONTH = "partition_month"  # no table may have a column of that name
 _WHOLE = "all"
+_FEW_KEYS = 1_000_000  # may be broadcast; some tens of megabytes
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -226,6 +236,7 @@ class LandedTable:
                 F.unix_micros(F.max(cursor).cast("timestamp")).alias("newest"),
                 F.min(self.keys[0]).alias("low"),
                 F.max(self.keys[0]).alias("high"),
+                F.count_if(reduce(or_, (F.col(k).isNull() for k in self.keys))).alias("keyless"),
             )
             .collect()  # one row per month
         )
@@ -233,6 +244,8 @@ class LandedTable:
         seen_values = [before.last_value, *(_instant(s.newest) for s in spans)]
         last_value = max((v for v in seen_values if v is not None), default=None)
         version = before.version + 1
+        if any(s.keyless for s in spans):
+            raise ValueError(f"{self.root}: load {load_id} has rows without a key")
         if not spans:
             return self._commit(Commit(version, load_id, before.paths, last_value, 0))
 
@@ -240,10 +253,33 @@ class LandedTable:
         if not month_is_fixed:
             touched |= self._months_left(staged, spans, before, touched)
         old = self._read([path for month, path in before.paths.items() if month in touched])
-        written, _ = self._write(upsert(old, staged, self.keys, [cursor]), version)
+        merged = upsert(
+            old,
+            self._single(staged, load_id, cursor),
+            self.keys,
+            arriving=staged.select(*self.keys).dropDuplicates(self.keys),
+        )
+        written, _ = self._write(merged, version)
         kept = {month: path for month, path in before.paths.items() if month not in touched}
         return self._commit(Commit(version, load_id, {**kept, **written}, last_value, rows))
 
+    def _single(self, staged: DataFrame, load_id: str, cursor: str) -> DataFrame:
+        """The batch with one row per key.
+
+        Most batches hold no key twice, and then nothing but the key column is
+        shuffled. A few copied keys are ranked apart from the rest; only where
+        they are many are all rows ranked.
+        """
+        place = f"{self.root}/batches/{load_id}-copied"
+        copied_keys(staged, self.keys).write.mode("overwrite").parquet(place)
+        copied = self.spark.read.schema(staged.select(*self.keys).schema).parquet(place)
+        keys = copied.count()
+        if keys == 0:
+            return staged
+        if keys <= _FEW_KEYS:
+            return one_per_key(staged, copied, self.keys, [cursor])
+        return latest_per_key(staged, self.keys, [cursor])
+
     def _months_left(self, staged: DataFrame, spans: list, before: Commit, touched: set) -> set:
         """Months outside the batch that hold an older row of one of its keys.
 

@@ -92,6 +92,16 @@ def sums(column):
     return [make() for make in entry.metrics.summed_parts("x", column).values()]
 
 
+def test_models_are_open_to_sql(spark, built):
+    _, _, result = built
+    result.register()
+    got = spark.sql(
+        """SELECT d.year_quarter, sum(f.items_count) AS n FROM fct_orders f
+           JOIN dim_dates d ON d.date_day = f.ordered_date GROUP BY 1"""
+    )
+    assert got.count() > 20
+
+
 def test_building_again_under_the_same_run_writes_nothing(spark, built):
     root, made, _ = built
     mart = plan.mart(spark, f"{root}/analytics_marts", "fct_orders")

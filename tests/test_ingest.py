@@ -59,17 +59,31 @@ def test_copies_are_dropped_before_the_shuffle(spark):
     assert "Partial" in physical[physical.index("Exchange") :]
 
 
-def test_upsert(spark):
+def split_pick(batch, keys, newest_first):
+    return ingest.one_per_key(batch, ingest.copied_keys(batch, keys), keys, newest_first)
+
+
+@pytest.mark.parametrize("pick", [ingest.latest_per_key, split_pick])
+def test_upsert(spark, pick):
     target = rows(spark, (1, "old", at(1)), (2, "old", at(2)), (None, "kept", at(3)))
     batch = rows(spark, (2, "new", at(2)), (2, "newer", at(3)), (3, "new", at(3)))
-    once = ingest.upsert(target, batch, ["id"], ["at"])
+    latest = pick(batch, ["id"], ["at"])
+    once = ingest.upsert(target, latest, ["id"])
     assert values(once, "id", "v") == [(1, "old"), (2, "newer"), (3, "new"), (None, "kept")]
-    twice = ingest.upsert(once, batch, ["id"], ["at"])
+    twice = ingest.upsert(once, latest, ["id"], arriving=batch)
     assert values(twice, "id", "v") == values(once, "id", "v")
 
 
+def test_ranking_copied_keys_apart_gives_the_same(spark):
+    batch = spark.range(3000).select(
+        F.expr("if(id % 3 = 0, 5, id % 1500)").alias("id"), (F.col("id") % 7).alias("v"), F.col("id").alias("at")
+    )
+    one = split_pick(batch, ["id"], ["at"])
+    assert values(one, "*") == values(ingest.latest_per_key(batch, ["id"], ["at"]), "*")
+
+
 def test_new_row_wins_even_if_older_or_null(spark):
-    got = ingest.upsert(rows(spark, (1, "old", at(9))), rows(spark, (1, None, at(1))), ["id"], ["at"])
+    got = ingest.upsert(rows(spark, (1, "old", at(9))), rows(spark, (1, None, at(1))), ["id"])
     assert values(got, "id", "v") == [(1, None)]
 
 
@@ -206,6 +220,21 @@ def test_undeclared_columns_are_refused(spark, tmp_path):
         t.merge(rows(spark, (1, "a", at(1))).withColumn("id", F.lit("1")), "one", "at")
 
 
+def test_rows_without_a_key_are_refused(spark, tmp_path):
+    t = table(spark, tmp_path)
+    with pytest.raises(ValueError, match="without a key"):
+        t.merge(rows(spark, (None, "a", at(1)), (1, "b", at(1))), "one", "at")
+    assert t.state().version == 0
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_copies_in_a_batch_land_once(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr("martweave.sources.landed._FEW_KEYS", few)
+    t = table(spark, tmp_path)
+    t.merge(rows(spark, (1, "a", at(1)), (1, "b", at(2)), (1, "c", at(1)), (2, "d", at(1))), "one", "at")
+    assert values(t.read(), "id", "v") == [(1, "b"), (2, "d")]
+
+
 def test_rows_without_a_date_are_kept(spark, tmp_path):
     t = table(spark, tmp_path)
     t.merge(rows(spark, (1, "a", None), (2, "b", at(1))), "one", "at")

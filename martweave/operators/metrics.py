@@ -95,7 +95,10 @@ class Lookup:
     """A dimension to join: fact column, dimension key, attributes to group by.
 
     ``calendar`` marks a date dimension, whose size is bounded by the days it
-    spans and not by the facts; only such a one is broadcast by hint.
+    spans and not by the facts; only such a one is broadcast by hint. Turn
+    ``sum_first`` off where the key and the other groups leave but a few fact rows
+    each: the rows are then joined as they are, in one shuffle less, and a very
+    frequent key is split at run time.
     """
 
     dimension: DataFrame
@@ -103,6 +106,7 @@ class Lookup:
     key: str
     attributes: tuple[str, ...]
     calendar: bool = False
+    sum_first: bool = True
 
     def rows(self) -> DataFrame:
         attributes = [c for c in self.attributes if c != self.key]
@@ -126,10 +130,13 @@ def measure(
     metrics = [METRICS[grain, name] for name in names]
     parts = {part: make for m in metrics for part, make in m.parts.items()}
     calendars = [x for x in lookups if x.calendar]
-    others = [x for x in lookups if not x.calendar]
+    others = [x for x in lookups if not x.calendar and x.sum_first]
+    direct = [x for x in lookups if not x.calendar and not x.sum_first]
 
     for x in calendars:
         fact = fact.join(F.broadcast(x.rows()), x.fact_key, "left")
+    for x in direct:
+        fact = fact.join(x.rows(), x.fact_key, "left")
     late = {a for x in others for a in x.attributes}
     early = [c for c in by if c not in late]
     grouping = list(dict.fromkeys([*(x.fact_key for x in others), *early]))

@@ -117,13 +117,20 @@ def test_measure_keeps_rows_without_a_dimension(facts_and_users):
     ]
 
 
-def test_measure_is_the_same_with_and_without_the_early_sum(spark, facts_and_users):
+def test_measure_is_the_same_with_and_without_the_early_sum(facts_and_users):
     items, users = facts_and_users
-    lookup = metrics.Lookup(users, "user_id", "user_id", ("country",))
-    early = metrics.measure(items, "fct_order_items", ["net_revenue"], ["country"], (lookup,))
-    joined = items.join(users, "user_id", "left")
-    plain = metrics.measure(joined, "fct_order_items", ["net_revenue"], ["country"])
-    assert values(early, "country", "net_revenue") == values(plain, "country", "net_revenue")
+    names = ["net_revenue", "items", "return_rate"]
+    early, late = (
+        metrics.measure(
+            items,
+            "fct_order_items",
+            names,
+            ["country", "ordered_date"],
+            (metrics.Lookup(users, "user_id", "user_id", ("country",), sum_first=first),),
+        )
+        for first in (True, False)
+    )
+    assert values(early, "*") == values(late, "*")
 
 
 def test_measure_of_everything(facts_and_users):

@@ -2,15 +2,17 @@
 
 Layout under ``root``::
 
-    batches/<load_id>/                       the rows of one load, as they came
-    data/v=<n>/partition_month=<yyyy-MM>/    merged rows
-    commits/version=<n>/                     one row per month directory in force
+    batches/<load_id>/                             the rows of one load, as they came
+    data/v=<n>/<part>/partition_month=<yyyy-MM>/   rows, ``part`` being new or kept
+    commits/version=<n>/                           one row per directory in force
 
 A version is in force once its commit file exists, and the cursor is a column of
 that file: rows and cursor change together or not at all. A load that dies leaves
-directories no commit names; running it again overwrites them. Months a load does
-not touch are carried over by name, not rewritten. One writer per table at a time:
-a second one fails when it finds its version taken.
+directories no commit names; running it again overwrites them. One writer per
+table at a time: a second one fails when it finds its version taken.
+
+A load adds directories of its own and rewrites only those that hold an older row
+of one of its keys, so it costs about what it brings and not what the table holds.
 
 Everything goes through the DataFrame reader and writer, so any file system Spark
 can reach will do. No Delta, Iceberg or Hudi is needed; where one is at hand, use
@@ -19,6 +21,8 @@ its MERGE instead.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
@@ -35,10 +39,9 @@ from martweave.operators.ingest import (
     latest_per_key,
     one_per_key,
     stamp_load,
-    upsert,
 )
 
-_COMMIT = "load_id string, month string, path string, last_value timestamp, rows bigint"
+_COMMIT = "load_id string, month string, place string, last_value timestamp, rows bigint"
 _MONTH = "partition_month"  # no table may have a column of that name
 _WHOLE = "all"
 _FEW_KEYS = 1_000_000  # may be broadcast; some tens of megabytes
@@ -60,7 +63,7 @@ def _month_name(value: date | datetime) -> str:
 class Commit:
     version: int
     load_id: str
-    paths: dict[str, str]  # month -> directory; one entry per calendar month
+    places: dict[str, str]  # directory under the root -> its month
     last_value: datetime | None
     rows: int  # that the load brought
 
@@ -108,11 +111,11 @@ class LandedTable:
         rows = (
             commits.filter(F.col("version") == last)
             .withColumn("last_value", F.unix_micros("last_value"))
-            .collect()  # one row per month
+            .collect()  # one row per directory
         )
-        paths = {r.month: r.path for r in rows if r.path is not None}
+        places = {r.place: r.month for r in rows if r.place is not None}
         head = rows[0]
-        return Commit(last, head.load_id, paths, _instant(head.last_value), head.rows), bool(seen)
+        return Commit(last, head.load_id, places, _instant(head.last_value), head.rows), bool(seen)
 
     def state(self) -> Commit:
         """The version in force; version 0 of a table nothing was loaded into."""
@@ -124,22 +127,23 @@ class LandedTable:
 
     def superseded(self) -> DataFrame:
         """Directories of earlier versions that hold no current rows and may go."""
-        named = self._commits().filter(F.col("path").isNotNull()).select("path").distinct()
-        return named.filter(~F.col("path").isin(list(self.state().paths.values())))
+        named = self._commits().filter(F.col("place").isNotNull()).select("place").distinct()
+        return named.filter(~F.col("place").isin(list(self.state().places)))
 
-    def _read(self, paths: list[str]) -> DataFrame:
+    def _read(self, places: Iterable[str]) -> DataFrame:
+        paths = [f"{self.root}/{place}" for place in sorted(places)]
         if not paths:
             return self.spark.createDataFrame([], self.ddl)
-        return self.spark.read.schema(self.ddl).parquet(*sorted(paths))
+        return self.spark.read.schema(self.ddl).parquet(*paths)
 
     def read(self, start: date | None = None, end: date | None = None) -> DataFrame:
         """Current rows; with bounds, only months that can hold ``[start, end)`` are listed."""
-        paths = self.state().paths
+        places = self.state().places
         if self.month_of is None or (start is None and end is None):
-            return self._read(list(paths.values()))
+            return self._read(places)
         low = _month_name(start) if start else ""
         high = _month_name(end) if end else "9999-99"
-        df = self._read([p for month, p in paths.items() if low <= month <= high])
+        df = self._read(place for place, month in places.items() if low <= month <= high)
         column = F.col(self.month_of)
         kind = df.schema[self.month_of].dataType
         if start:
@@ -166,36 +170,32 @@ class LandedTable:
             _MONTH, F.coalesce(F.date_format(self.month_of, "yyyy-MM"), F.lit("undated"))
         )
 
-    def _write(self, df: DataFrame, version: int) -> tuple[dict[str, str], int]:
+    def _write(self, df: DataFrame, place: str, spread: bool) -> tuple[dict[str, str], int]:
         """Write one directory per month; return them and the rows written.
 
-        The rebalance hint gathers a month's rows into files of the advisory size
-        and splits a month that holds too many; sorting inside a file keeps its
-        row groups narrow in time.
+        With ``spread`` a rebalance gathers a month's rows into files of the
+        advisory size and splits a month that holds too many. Sorting inside a
+        file keeps its row groups narrow in time.
         """
-        place = f"{self.root}/data/v={version:08d}"
         order = [_MONTH, *([self.month_of] if self.month_of else []), *self.keys]
-        (
-            self._month(df)
-            .hint("rebalance", _MONTH)
-            .sortWithinPartitions(*order)
-            .write.mode("overwrite")
-            .partitionBy(_MONTH)
-            .parquet(place)
-        )
-        written = self.spark.read.schema(f"{self.ddl}, {_MONTH} string").parquet(place)
+        df = self._month(df)
+        if spread:
+            df = df.hint("rebalance", _MONTH)
+        target = f"{self.root}/{place}"
+        df.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(_MONTH).parquet(target)
+        written = self.spark.read.schema(f"{self.ddl}, {_MONTH} string").parquet(target)
         counts = dict(written.groupBy(_MONTH).count().collect())  # one row per month
-        return {month: f"{place}/{_MONTH}={month}" for month in counts}, sum(counts.values())
+        return {f"{place}/{_MONTH}={month}": month for month in counts}, sum(counts.values())
 
     def _commit(self, commit: Commit) -> Commit:
         head = commit.load_id
         entries = [
-            (head, month, path, commit.last_value, commit.rows)
-            for month, path in sorted(commit.paths.items())
+            (head, month, place, commit.last_value, commit.rows)
+            for place, month in sorted(commit.places.items())
         ] or [(head, None, None, commit.last_value, commit.rows)]
         (
             self.spark.createDataFrame(entries, _COMMIT)
-            .coalesce(1)  # a row per month: one file, so it appears in one step
+            .coalesce(1)  # a row per directory: one file, so it appears in one step
             .write.mode("error")
             .parquet(f"{self.root}/commits/version={commit.version}")
         )
@@ -208,8 +208,9 @@ class LandedTable:
             return before
         df = self._checked(df)
         df = stamp_load(df, load_id) if self.stamped else df
-        paths, rows = self._write(df, before.version + 1)
-        return self._commit(Commit(before.version + 1, load_id, paths, None, rows))
+        version = before.version + 1
+        places, rows = self._write(df, self._place(version, "new"), spread=True)
+        return self._commit(Commit(version, load_id, places, None, rows))
 
     def merge(
         self, batch: DataFrame, load_id: str, cursor: str, month_is_fixed: bool = False
@@ -217,9 +218,9 @@ class LandedTable:
         """Put a batch in: one row per key, the new row wins. Skipped if in already.
 
         The batch is first stored as it came, so what is merged cannot change
-        under the job and a failed merge need not go back to the source. Only
-        months that change are rewritten: those of the batch, and those in which
-        an older row of one of its keys lies.
+        under the job and a failed merge need not go back to the source. Older
+        rows are looked for in the whole table, or only in the months of the batch
+        if the ``month_of`` value of a key never changes (``month_is_fixed``).
         """
         before, seen = self._in_force(load_id)
         if seen:
@@ -247,21 +248,69 @@ class LandedTable:
         if any(s.keyless for s in spans):
             raise ValueError(f"{self.root}: load {load_id} has rows without a key")
         if not spans:
-            return self._commit(Commit(version, load_id, before.paths, last_value, 0))
-
-        touched = {s.month for s in spans}
-        if not month_is_fixed:
-            touched |= self._months_left(staged, spans, before, touched)
-        old = self._read([path for month, path in before.paths.items() if month in touched])
-        merged = upsert(
-            old,
-            self._single(staged, load_id, cursor),
-            self.keys,
-            arriving=staged.select(*self.keys).dropDuplicates(self.keys),
+            return self._commit(Commit(version, load_id, before.places, last_value, 0))
+
+        months = {s.month for s in spans}
+        near = [p for p, month in before.places.items() if not month_is_fixed or month in months]
+        kept, dropped = self._without_replaced(near, staged, spans, load_id, version)
+        single = self._single(staged, load_id, cursor)
+        new, _ = self._write(single, self._place(version, "new"), spread=True)
+        left = {p: month for p, month in before.places.items() if p not in dropped}
+        return self._commit(Commit(version, load_id, {**left, **kept, **new}, last_value, rows))
+
+    def compact(self, most: int = 1) -> Commit:
+        """Gather months lying in more than ``most`` directories into one each."""
+        before = self.state()
+        crowded = {m for m, n in Counter(before.places.values()).items() if n > most}
+        if not crowded:
+            return before
+        version = before.version + 1
+        many = [p for p, month in before.places.items() if month in crowded]
+        new, _ = self._write(self._read(many), self._place(version, "new"), spread=True)
+        left = {p: month for p, month in before.places.items() if month not in crowded}
+        name = f"compact-{version}"
+        return self._commit(Commit(version, name, {**left, **new}, before.last_value, 0))
+
+    @staticmethod
+    def _place(version: int, part: str) -> str:
+        return f"data/v={version:08d}/{part}"
+
+    def _without_replaced(
+        self, near: list[str], staged: DataFrame, spans: list, load_id: str, version: int
+    ) -> tuple[dict[str, str], set[str]]:
+        """Directories written anew without rows the batch replaces, and those they stand for.
+
+        The search reads the key column alone, and keys mostly grow with time, so
+        the batch's key range, pushed into the scan, skips nearly all row groups of
+        earlier months. What it finds is usually little (the rows at the cursor and
+        a few changed ones) and is then broadcast, so that rewriting shuffles
+        nothing.
+        """
+        if not near:
+            return {}, set()
+        key = F.col(self.keys[0])
+        low, high = min(s.low for s in spans), max(s.high for s in spans)
+        place = F.regexp_extract("_metadata.file_path", r"(data/v=[^/]+/[^/]+/[^/]+)/[^/]+$", 1)
+        rows = self._read(near).filter((key >= F.lit(low)) & (key <= F.lit(high)))
+        arriving = staged.select(*self.keys).dropDuplicates(self.keys)
+        stored = f"{self.root}/batches/{load_id}-replaced"
+        (
+            rows.select(*self.keys, place.alias("_place"))
+            .join(arriving, self.keys, "left_semi")
+            .write.mode("overwrite")
+            .parquet(stored)
         )
-        written, _ = self._write(merged, version)
-        kept = {month: path for month, path in before.paths.items() if month not in touched}
-        return self._commit(Commit(version, load_id, {**kept, **written}, last_value, rows))
+        schema = staged.select(*self.keys, F.lit("").alias("_place")).schema
+        replaced = self.spark.read.schema(schema).parquet(stored)
+        counts = dict(replaced.groupBy("_place").count().collect())  # one row per directory
+        if not counts:
+            return {}, set()
+        going = replaced.select(*self.keys)
+        if sum(counts.values()) <= _FEW_KEYS:
+            going = F.broadcast(going)
+        rest = self._read(counts).join(going, self.keys, "left_anti")
+        kept, _ = self._write(rest, self._place(version, "kept"), spread=False)
+        return kept, set(counts)
 
     def _single(self, staged: DataFrame, load_id: str, cursor: str) -> DataFrame:
         """The batch with one row per key.
@@ -279,22 +328,3 @@ class LandedTable:
         if keys <= _FEW_KEYS:
             return one_per_key(staged, copied, self.keys, [cursor])
         return latest_per_key(staged, self.keys, [cursor])
-
-    def _months_left(self, staged: DataFrame, spans: list, before: Commit, touched: set) -> set:
-        """Months outside the batch that hold an older row of one of its keys.
-
-        Keys mostly grow with time, so the batch's key range, pushed into the scan
-        of the key column, skips nearly all row groups of the other months. A
-        source whose ``month_of`` value never changes can do without
-        (``month_is_fixed``).
-        """
-        others = [path for month, path in before.paths.items() if month not in touched]
-        lows = [s.low for s in spans if s.low is not None]
-        highs = [s.high for s in spans if s.high is not None]
-        if not others or not lows:
-            return set()
-        key = F.col(self.keys[0])
-        near = self._read(others).filter((key >= F.lit(min(lows))) & (key <= F.lit(max(highs))))
-        arriving = staged.select(*self.keys).dropDuplicates(self.keys)
-        moved = self._month(near).join(arriving, self.keys, "left_semi")
-        return {month for (month,) in moved.select(_MONTH).distinct().collect()}

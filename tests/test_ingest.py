@@ -135,15 +135,19 @@ def test_cursor_boundary_row_is_read_again_once(spark, tmp_path):
     assert values(t.read(), "id", "v") == [(1, "a"), (2, "changed"), (3, "c")]
 
 
-def test_only_touched_months_are_rewritten(spark, tmp_path):
+def test_a_load_rewrites_only_what_it_replaces(spark, tmp_path):
     t = table(spark, tmp_path)
-    t.merge(rows(spark, (1, "a", at(1, 1)), (2, "b", at(1, 2)), (3, "c", at(1, 3))), "one", "at")
-    before = t.state().paths
+    t.merge(rows(spark, (1, "a", at(1, 1)), (2, "b", at(1, 2)), (3, "c", at(1, 3)), (9, "k", at(2, 3))), "one", "at")
+    before = t.state().places
+    march = next(p for p, month in before.items() if month == "2024-03")
     t.merge(rows(spark, (3, "d", at(2, 3)), (4, "e", at(1, 4))), "two", "at")
-    after = t.state().paths
-    assert after["2024-01"] == before["2024-01"] and after["2024-02"] == before["2024-02"]
-    assert after["2024-03"] != before["2024-03"] and "2024-04" in after
-    assert values(t.superseded(), "path") == [(before["2024-03"],)]
+    after = t.state().places
+    assert set(before) - set(after) == {march}
+    assert values(t.superseded(), "place") == [(march,)]
+    assert values(t.read(), "id", "v") == [(1, "a"), (2, "b"), (3, "d"), (4, "e"), (9, "k")]
+    # New keys only: nothing that was there is touched, though the month is the same.
+    t.merge(rows(spark, (5, "f", at(3, 1))), "three", "at")
+    assert set(after) < set(t.state().places)
 
 
 def test_key_that_moves_to_another_month_stays_single(spark, tmp_path):
@@ -155,7 +159,42 @@ def test_key_that_moves_to_another_month_stays_single(spark, tmp_path):
         (2, "b", at(1, 2)),
         (5, "e", at(1, 3)),
     ]
-    assert sorted(t.state().paths) == ["2024-02", "2024-03"]  # January is empty now
+    assert set(t.state().places.values()) == {"2024-02", "2024-03"}  # January is empty now
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_many_loads_equal_one_table_of_latest_rows(spark, tmp_path, monkeypatch, few):
+    """Against brute force: each key's row of the last load that brought it."""
+    import random
+
+    monkeypatch.setattr("martweave.sources.landed._FEW_KEYS", few)
+    draw = random.Random(7)
+    t, expected = table(spark, tmp_path), {}
+    for n in range(5):
+        batch = {}
+        for _ in range(60):
+            key = draw.randrange(80)
+            batch[key] = (key, f"{n}-{draw.randrange(9)}", at(draw.randrange(1, 28), draw.randrange(1, 5)))
+        t.merge(rows(spark, *batch.values()), f"load-{n}", "at")
+        expected.update(batch)
+    assert values(t.read(), "id", "v", "at") == sorted(expected.values(), key=repr)
+    crowded = len(t.state().places)
+    t.compact()
+    assert len(t.state().places) == 4 < crowded
+    assert values(t.read(), "id", "v", "at") == sorted(expected.values(), key=repr)
+    assert t.compact().version == t.state().version  # nothing left to gather
+    assert t.state().last_value is not None
+
+
+def test_a_large_month_is_split_into_files(spark, tmp_path, conf):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB")
+    t = table(spark, tmp_path)
+    big = spark.range(0, 200_000, 1, 8).select(
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit(at(1)).alias("at")
+    )
+    t.merge(big, "one", "at")
+    assert len(t.read().inputFiles()) > 4
+    assert t.read().count() == 200_000
 
 
 def test_empty_batch_keeps_rows_and_cursor(spark, tmp_path):

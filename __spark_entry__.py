@@ -5,6 +5,7 @@ Timestamps are shown as text so that both sides print them alike.
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from datetime import date, datetime, timedelta, timezone
@@ -1077,6 +1078,17 @@ def build_run(c: Context) -> DataFrame:
     return build(inputs, folder, deferred_tests=True).tests
 
 
+# --- training data --------------------------------------------------------
+
+# The operators of ``llm`` are registered where the subpackage is installed.
+if importlib.util.find_spec("martweave.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline  # noqa: E402
+    from martweave.llm import queries as llm  # noqa: E402
+
+    _QUERIES |= llm.QUERIES | {"pipeline": lambda s, d: corpus_pipeline.run(llm.shipped(s), d)}
+    _SQL |= llm.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

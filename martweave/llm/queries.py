@@ -10,7 +10,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martweave.llm import byte_bpe, token_output
+from martweave.llm import byte_bpe, decontamination, token_counts, token_output
 from martweave.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,16 @@ def op8_token_output(spark: SparkSession, folder: str) -> DataFrame:
     files = work_folder(spark, "token_output")
     token_output.write(table(spark, folder, "documents"), files, public_tokenizers.path("byte_bpe_50k.json"))
     return token_output.digests(token_output.read(spark, files))
+
+
+@query
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return decontamination.digests(decontamination.decontaminate(documents, table(spark, folder, "benchmark")))
+
+
+@query
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    counted = token_counts.token_counts(documents, public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_pieces")

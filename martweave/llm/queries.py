@@ -10,7 +10,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martweave.llm import byte_bpe, decontamination, token_counts, token_output
+from martweave.llm import byte_bpe, decontamination, jaccard_join, token_counts, token_output
 from martweave.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,11 @@ def op8_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.digests(token_output.read(spark, files))
 
 
+@query
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")

@@ -9,8 +9,9 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martweave.llm import byte_bpe, decontamination, jaccard_join, token_counts, token_output
+from martweave.llm import byte_bpe, decontamination, jaccard_join, line_quality, token_counts, token_output
 from martweave.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +72,14 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     counted = token_counts.token_counts(documents, public_tokenizers.path("piece_bpe_32k.model"))
     return counted.select("doc_id", "n_pieces")
+
+
+@query
+def op10_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    labels = table(spark, folder, "labels").where(~held_out).select("doc_id", "quality")
+    scored = line_quality.classify(documents, line_quality.train(documents, labels))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    )

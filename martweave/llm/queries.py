@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.llm import byte_bpe, decontamination, jaccard_join, line_quality, token_counts, token_output
+from martweave.llm import byte_bpe, decontamination, html_text, jaccard_join, line_quality, token_counts, token_output
 from martweave.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,11 @@ def op8_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.digests(token_output.read(spark, files))
 
 
+@query
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, folder, "documents").select("doc_id", "text"))

@@ -70,6 +70,14 @@ EXAMPLES = [
     (SIDE, 0, 1, 3, 1.0, 3, 1.0, 3, 1.0, 0), (SIDE, 0, 0, 70, 0.0, 70, 0.0, 0, 0.0, 0),
     (FORM, 0, 0, 2, 0.0, 9, 0.0, 2, 0.0, 0), (FORM, 1, 0, 14, 0.0, 60, 0.0, 1, 0.0, 0),
     (SIDE, 1, 0, 3, 1.0, 3, 1.0, 3, 1.0, 0), (FORM, 1, 0, 4, 1.0, 30, 0.0, 1, 1.0, 0),
+    (SIDE, 0, 0, 1, 0.0, 2, 0.0, 1, 0.0, 0), (SIDE, 1, 0, 6, 0.0, 3, 0.0, 60, 0.0, 0),
+    (SIDE, 1, 0, 9, 0.0, 1, 0.0, 2, 0.0, 0), (SIDE, 0, 0, 40, 0.0, 2, 0.0, 70, 0.0, 0),
+    (SIDE, 0, 0, 8, 0.0, 60, 0.0, 80, 0.0, 0), (SIDE, 1, 0, 80, 0.1, 30, 0.0, 3, 0.0, 0),
+    (CHROME, 0, 0, 3, 0.0, 2, 0.0, 1, 0.0, 0), (CHROME, 1, 0, 15, 0.0, 1, 0.0, 70, 0.0, 0),
+    (CHROME, 0, 0, 7, 0.0, 0, 0.0, 60, 0.0, 0), (CHROME, 1, 0, 40, 0.0, 60, 0.0, 8, 0.0, 0),
+    (CHROME, 0, 0, 1, 0.0, 70, 0.0, 1, 0.0, 0), (CHROME, 1, 0, 6, 0.0, 8, 0.0, 9, 0.0, 0),
+    (FORM, 0, 0, 3, 0.0, 2, 0.0, 70, 0.0, 0), (FORM, 1, 0, 1, 0.0, 1, 0.0, 2, 0.0, 0),
+    (FORM, 0, 0, 30, 0.0, 5, 0.0, 9, 0.0, 0), (FORM, 1, 0, 9, 0.0, 60, 0.0, 60, 0.0, 0),
     (FORM, 0, 1, 40, 0.0, 3, 0.0, 0, 0.0, 0), (PLAIN, 0, 1, 10, 0.0, 1, 1.0, 9, 0.0, 0),
     (PLAIN, 0, 1, 45, 0.0, 1, 1.0, 30, 0.0, 0), (PLAIN, 0, 1, 120, 0.0, 60, 0.0, 60, 0.0, 0),
     (PLAIN, 0, 1, 1, 0.0, 5, 0.0, 5, 0.0, 0), (PLAIN, 0, 1, 8, 1.0, 8, 1.0, 8, 1.0, 0),

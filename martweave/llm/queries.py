@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.llm import byte_bpe, decontamination, html_text, jaccard_join, line_quality, token_counts, token_output
+from martweave.llm import byte_bpe, decontamination, html_text, jaccard_join, line_quality, mtree, token_counts, token_output
 from martweave.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,11 @@ def op8_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.digests(token_output.read(spark, files))
 
 
+@query
+def op4_mtree(spark: SparkSession, folder: str) -> DataFrame:
+    return mtree.top_k(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
@@ -88,3 +93,20 @@ def op10_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
     )
+
+
+SQL["op4_mtree"] = """
+    WITH p AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    s AS (
+        SELECT q.vec_id AS query_id, p.vec_id, list_inner_product(q.v::DOUBLE[], p.v::DOUBLE[])::BIGINT AS score
+        FROM p q JOIN p ON q.vec_id % 100 = 0 AND p.vec_id <> q.vec_id
+    )
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM s QUALIFY rank <= 10
+"""

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.llm import byte_bpe, decontamination, html_text, jaccard_join, line_quality, mtree, token_counts, token_output
+from martweave.llm import byte_bpe, decontamination, html_text, jaccard_join, line_quality, mtree, quotations, token_counts, token_output
 from martweave.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_quotations(spark: SparkSession, folder: str) -> DataFrame:
+    return quotations.conversations(table(spark, folder, "conversations"))
+
+
+SQL["op1_quotations"] = quotations.SQL
+
+
 @query
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.llm import byte_bpe, decontamination, html_text, jaccard_join, line_quality, mtree, quotations, token_counts, token_output
+from martweave.llm import byte_bpe, decontamination, html_text, jaccard_join, licenses, line_quality, mtree, quotations, token_counts, token_output
 from martweave.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,14 @@ def op1_quotations(spark: SparkSession, folder: str) -> DataFrame:
 SQL["op1_quotations"] = quotations.SQL
 
 
+@query
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents").select("doc_id", "text"), licenses.known_licenses(spark))
+
+
+SQL["op2_licenses"] = licenses.sql()
+
+
 @query
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")

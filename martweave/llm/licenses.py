@@ -25,7 +25,7 @@ from martweave.llm.license_texts import LICENSES
 
 # Spellings that count as equal, in small letters, with blanks for signs.
 SPELLINGS = [
-    (r"(^| )licenc(e|es|ed|ee|ees|ing)", r"\1licens\2"),
+    (r"(^| )(sub|)licenc(e|es|ed|ee|ees|ing)", r"\1\2licens\3"),
     (r"(^| )sub licens", r"\1sublicens"),
     (r"(^| )non (commercial|exclusive|infringement|infringing)", r"\1non\2"),
     (r"(^| )(author|organ|recogn|util|real|minim|initial|merchand)is(e|ed|es|er|ers|ing|ation|ations)", r"\1\2iz\3"),

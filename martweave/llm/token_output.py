@@ -9,6 +9,7 @@ The file format is a Parquet table, so that any store and a lost task are Spark'
 business; one row is one block of at most ``BLOCK`` ids (a longer document is a block):
 
     part, block   place in the order of the whole: parts are ranges of doc_id
+    start         number of ids before the block in its part
     doc_id        list of the block's documents, in order
     doc_ids       list: number of ids of each document, its end id included
     doc_symbols   list: number of symbols of each document
@@ -39,7 +40,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martweave.llm import _text
@@ -52,7 +53,7 @@ ROUNDS, RULES, LEAST = 6, 4096, 8
 SLICE = 4_000_000
 
 FORMAT = (
-    "part int, block int, doc_id array<long>, doc_ids array<int>, doc_symbols array<int>,"
+    "part int, block int, start long, doc_id array<long>, doc_ids array<int>, doc_symbols array<int>,"
     " rules binary, lengths binary, symbols binary, base int, n_ids long"
 )
 
@@ -214,10 +215,10 @@ def write(documents: DataFrame, folder: str, path: str, end_id: int = END) -> No
         make, part, number = encoder(path), TaskContext.get().partitionId(), 0
         names: list[list] = []
         waiting: list[np.ndarray] = []
-        held = 0
+        held = done = 0
 
         def block() -> pa.RecordBatch:
-            nonlocal number, held
+            nonlocal number, held, done
             count = np.array([len(x) for x in waiting], np.int64)
             ids = np.concatenate(waiting)
             ends = np.zeros(len(ids), bool)
@@ -225,12 +226,13 @@ def write(documents: DataFrame, folder: str, path: str, end_id: int = END) -> No
             rules, symbol, last = compress(ids, ends, make.size)
             per_doc = np.diff(np.concatenate([[-1], np.flatnonzero(last)]))
             binary = [x.astype("<i4").tobytes() for x in (rules, lengths(rules, make.size), symbol)]
-            row = [part, number, list(names), count.tolist(), per_doc.tolist(), *binary, make.size, len(ids)]
+            row = [part, number, done, list(names), count.tolist(), per_doc.tolist(), *binary, make.size, len(ids)]
             kinds = [
-                pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()),
+                pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()),
                 pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int64(),
             ]
             number += 1
+            done += len(ids)
             names.clear()
             waiting.clear()
             held = 0
@@ -259,22 +261,16 @@ def write(documents: DataFrame, folder: str, path: str, end_id: int = END) -> No
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (ids before it), n_tokens and ids (little-endian unsigned 32-bit) of every document.
 
-    Where a block starts is a running sum inside its part; of the parts, one number each
-    comes to the driver.
+    A block knows its place in its part; of the parts, one number each comes to the
+    driver and goes back, so the blocks themselves are not shuffled.
     """
     blocks = spark.read.parquet(folder)
     sums = blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()
-    starts, total = [], 0
+    ahead, total = [], 0
     for row in sums:
-        starts.append((row["part"], total))
+        ahead.append((row["part"], total))
         total += row["n"]
-    before = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    places = (
-        blocks.select("part", "block", "n_ids")
-        .withColumn("inside", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-        .join(spark.createDataFrame(starts, "part int, ahead long"), "part")
-        .select("part", "block", (F.col("inside") + F.col("ahead")).alias("start"))
-    )
+    parts = spark.createDataFrame(ahead, "part int, ahead long")  # a row for each task that wrote
     columns = ["start", "doc_id", "doc_ids", "rules", "symbols", "base"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,7 +292,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    made = blocks.join(places, ["part", "block"]).select(*columns)
+    made = blocks.join(F.broadcast(parts), "part").withColumn("start", F.col("start") + F.col("ahead")).select(*columns)
     return made.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 

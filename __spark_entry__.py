@@ -23,10 +23,9 @@ from martweave.functions.audit import Run  # noqa: E402
 from martweave.functions.privacy import pseudonymise, salt_column  # noqa: E402
 from martweave.operators import contracts, dimensions, facts, ingest, metrics, quality, staging  # noqa: E402
 from martweave.plans.build import Inputs, build, lazy_models  # noqa: E402
-from martweave.plans.ingest_run import landed, run_ingest  # noqa: E402
+from martweave.plans.ingest_run import has_failed, landed, run_ingest  # noqa: E402
 from martweave.sources.landed import LandedTable  # noqa: E402
-from martweave.sources.landing import LANDINGS  # noqa: E402
-from martweave.sources.tpch import OrderTables  # noqa: E402
+from martweave.sources.tpch import LANDED, OrderTables  # noqa: E402
 from martweave.streaming.ingest import file_stream, stream_into  # noqa: E402
 
 UTC = timezone.utc
@@ -247,13 +246,14 @@ def merge_upsert(c: Context) -> DataFrame:
 )
 def landed_upsert(c: Context) -> DataFrame:
     """The same through stored tables: the second load starts 90 days behind the cursor."""
-    landing = LANDINGS["orders"]
+    landing = LANDED["orders"]
     table = landed(c.spark, session.work_folder(c.spark, "landed_upsert"), landing)
     orders = c.tables.orders()
     table.merge(
         orders.filter(F.col("created_at") < F.lit("1999-01-01").cast("timestamp")),
         "load-1",
         landing.cursor,
+        landing.month_is_fixed,
     )
     changed = orders.withColumn("status", F.lit("Changed"))
     behind = timedelta(days=90)
@@ -261,6 +261,7 @@ def landed_upsert(c: Context) -> DataFrame:
         ingest.since(changed, table.state().last_value, landing.cursor, behind),
         "load-2",
         landing.cursor,
+        landing.month_is_fixed,
     )
     return table.read().select(
         "order_id", "user_id", "gender", "created_at", "num_of_item", "status", ingest.LOAD_ID
@@ -270,7 +271,7 @@ def landed_upsert(c: Context) -> DataFrame:
 @query(
     f"""
     SELECT event_id, {o.text('ts')} AS ts, user_id, event_type, value, props
-    FROM events WHERE ts >= TIMESTAMP '2024-01-10'
+    FROM events
     """
 )
 def ingest_stream(c: Context) -> DataFrame:
@@ -282,12 +283,12 @@ def ingest_stream(c: Context) -> DataFrame:
     )
     table = LandedTable(c.spark, f"{folder}/events", ddl, ["event_id"], month_of="ts")
     stream_into(
-        file_stream(c.spark, c.folder, ddl, pathGlobFilter="events.parquet"),
+        file_stream(c.spark, f"{c.folder}/events.parquet", ddl),
         table,
         f"{folder}/checkpoint",
         cursor="ts",
         name="events",
-        first=datetime(2024, 1, 10, tzinfo=UTC),
+        month_is_fixed=True,
     ).awaitTermination()
     return table.read().drop(ingest.LOAD_ID)
 
@@ -319,6 +320,7 @@ def ingest_run(c: Context) -> DataFrame:
         session.work_folder(c.spark, "ingest_run"),
         "load-1",
         FIRST_LOAD,
+        landings=LANDED,
     )
     return report.select("table", "status", "rows", "last_value")
 
@@ -1057,11 +1059,6 @@ _TESTS_SQL = _models_sql(
             "warn",
         )
     )
-).replace(
-    # Landing keeps one row per key.
-    "FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey",
-    "FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey "
-    "QUALIFY row_number() OVER (PARTITION BY id ORDER BY created_at DESC) = 1",
 )
 
 
@@ -1069,10 +1066,12 @@ _TESTS_SQL = _models_sql(
 def build_run(c: Context) -> DataFrame:
     """Ingest all history, build every model into stored marts, run the declared tests."""
     folder = session.work_folder(c.spark, "build_run")
-    run_ingest(c.spark, c.tables.read, f"{folder}/raw", "load-1", ALL_HISTORY)
+    report = run_ingest(c.spark, c.tables.read, f"{folder}/raw", "load-1", ALL_HISTORY, landings=LANDED)
+    if has_failed(report):
+        raise RuntimeError(f"ingest failed: {report.collect()}")
 
     def raw(table: str) -> DataFrame:
-        return landed(c.spark, f"{folder}/raw", LANDINGS[table]).read()
+        return landed(c.spark, f"{folder}/raw", LANDED[table]).read()
 
     inputs = Inputs(c.spark, raw, RUN, c.salt, HORIZON, CALENDAR_END)
     return build(inputs, folder, deferred_tests=True).tests

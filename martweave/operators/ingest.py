@@ -52,23 +52,16 @@ def latest_per_key(batch: DataFrame, keys: list[str], newest_first: list[str]) -
     return ranked.filter("_rank = 1").drop("_rank")
 
 
-def copied_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys with more than one row; only the key columns are read and shuffled."""
-    counted = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counted.filter("_rows > 1").select(*keys)
-
-
 def one_per_key(
     batch: DataFrame, copied: DataFrame, keys: list[str], newest_first: list[str]
 ) -> DataFrame:
-    """As :func:`latest_per_key`, given the few keys that have copies at all.
+    """As :func:`latest_per_key`, given the keys that have copies at all.
 
-    ``copied`` is broadcast, so the caller has made sure it is small. Rows of all
+    Where the planner finds ``copied`` small enough to broadcast, the rows of all
     other keys are not shuffled. Keys must not be NULL.
     """
-    few = F.broadcast(copied.select(*keys))
-    single = batch.join(few, keys, "left_anti")
-    several = batch.join(few, keys, "left_semi")
+    single = batch.join(copied.select(*keys), keys, "left_anti")
+    several = batch.join(copied.select(*keys), keys, "left_semi")
     return single.unionByName(latest_per_key(several, keys, newest_first))
 
 
@@ -86,12 +79,36 @@ def upsert(
     return target.join(going, keys, "left_anti").unionByName(rows)
 
 
+def load_order(load_id: Column | str) -> Column:
+    """Puts loads in order by their ids: numbers in an id count as numbers.
+
+    ``s-10`` comes after ``s-2``, and dates and times as they are. Each run of digits
+    is put after its length, both as text of fixed width.
+    """
+    text = F.col(load_id) if isinstance(load_id, str) else load_id
+    parts = F.regexp_extract_all(text, F.lit(r"(\d+|\D+)"), F.lit(1))
+    number = F.regexp_replace
+    padded = F.transform(
+        parts,
+        lambda x: F.when(
+            x.rlike(r"^\d"),
+            F.concat(F.lpad(F.length(number(x, "^0+", "")).cast("string"), 4, "0"), number(x, "^0+", "")),
+        ).otherwise(x),
+    )
+    return F.struct(F.array_join(padded, "\u0001").alias("order"), text.alias("load_id"))
+
+
 def load_audit(df: DataFrame, table: str) -> DataFrame:
-    """One row: rows of a landed table and its first and last load."""
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min(LOAD_ID).alias("first_load_id"),
-        F.max(LOAD_ID).alias("last_load_id"),
+    """One row: rows of a landed table and its first and last load.
+
+    Loads are counted first, so they are ordered one row per load.
+    """
+    loads = df.groupBy(LOAD_ID).agg(F.count(F.lit(1)).alias("rows"))
+    order = load_order(LOAD_ID)
+    return loads.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.min_by(LOAD_ID, order).alias("first_load_id"),
+        F.max_by(LOAD_ID, order).alias("last_load_id"),
     ).select(F.lit(table).alias("table"), "rows", "first_load_id", "last_load_id")
 
 
@@ -100,7 +117,7 @@ def load_volume(df: DataFrame, table: str) -> DataFrame:
 
     The window runs over one row per load, after the counting.
     """
-    before = F.lag("rows").over(Window.partitionBy("table").orderBy("load_id"))
+    before = F.lag("rows").over(Window.partitionBy("table").orderBy(load_order("load_id")))
     counted = df.groupBy(LOAD_ID).agg(F.count(F.lit(1)).alias("rows"))
     return counted.select(F.lit(table).alias("table"), F.col(LOAD_ID).alias("load_id"), "rows").withColumns(
         {"rows_before": before, "change": F.col("rows") - before}

@@ -12,6 +12,7 @@ from martweave.operators.ingest import since
 from martweave.sources.landed import Commit, LandedTable
 from martweave.sources.landing import BACKFILL_START, LANDINGS, Landing
 
+Reader = Callable[[str, str, datetime | None], DataFrame]
 REPORT = (
     "table string, load_id string, status string, rows bigint, last_value timestamp, error string"
 )
@@ -22,7 +23,7 @@ def landed(spark: SparkSession, root: str, landing: Landing) -> LandedTable:
         spark,
         f"{root.rstrip('/')}/{landing.table}",
         landing.ddl,
-        [landing.key],
+        list(landing.keys),
         month_of=landing.cursor,
     )
 
@@ -30,31 +31,34 @@ def landed(spark: SparkSession, root: str, landing: Landing) -> LandedTable:
 def load_one(
     table: LandedTable,
     landing: Landing,
-    rows: DataFrame,
+    read: Reader,
     load_id: str,
     first: datetime = BACKFILL_START,
     lookback: timedelta | None = None,
 ) -> Commit:
     """Replace a snapshot table, or merge what lies at or after the cursor."""
     if landing.cursor is None:
-        return table.replace(rows, load_id)
+        return table.replace(read(landing.source, landing.table, None), load_id)
     last_value = table.state().last_value
-    fresh = since(rows, last_value or first, landing.cursor, lookback if last_value else None)
-    return table.merge(fresh, load_id, landing.cursor)
+    start = first if last_value is None else last_value - (lookback or timedelta())
+    fresh = since(read(landing.source, landing.table, start), start, landing.cursor)
+    return table.merge(fresh, load_id, landing.cursor, landing.month_is_fixed)
 
 
 def run_ingest(
     spark: SparkSession,
-    read: Callable[[str, str], DataFrame],
+    read: Reader,
     root: str,
     load_id: str,
     first: datetime = BACKFILL_START,
     lookback: timedelta | None = None,
     workers: int = 8,
+    landings: dict[str, Landing] = LANDINGS,
 ) -> DataFrame:
     """Load every table and return one report row each.
 
-    ``read`` gives the rows of a (source, table). The loads are separate Spark
+    ``read`` gives the rows of a (source, table) from a cursor value on, so that the
+    source can push the bound into its scan. The loads are separate Spark
     jobs submitted side by side, so a small table does not wait for a large one
     and a failing one does not stop the rest: its row says ``failed``. The run
     may be repeated with the same ``load_id``; what is in already is skipped.
@@ -65,7 +69,7 @@ def run_ingest(
             commit = load_one(
                 landed(spark, root, landing),
                 landing,
-                read(landing.source, landing.table),
+                read,
                 load_id,
                 first,
                 lookback,
@@ -75,7 +79,7 @@ def run_ingest(
             return landing.table, load_id, "failed", None, None, str(failure).splitlines()[0]
 
     with ThreadPoolExecutor(workers) as pool:
-        report = list(pool.map(load, LANDINGS.values()))
+        report = list(pool.map(load, landings.values()))
     return spark.createDataFrame(report, REPORT)
 
 

@@ -2,17 +2,20 @@
 
 Layout under ``root``::
 
-    batches/<load_id>/                             the rows of one load, as they came
-    data/v=<n>/<part>/partition_month=<yyyy-MM>/   rows, ``part`` being new or kept
-    commits/version=<n>/                           one row per directory in force
+    batches/<load_id>/                             a load under way; goes after its commit
+    data/v=<n>/<part>/partition_month=<yyyy-MM>/   rows; ``part`` is new, kept or gathered
+    commits/version=<n>/load_id=<id>/              one row per directory in force
 
 A version is in force once its commit file exists, and the cursor is a column of
 that file: rows and cursor change together or not at all. A load that dies leaves
 directories no commit names; running it again overwrites them. One writer per
-table at a time: a second one fails when it finds its version taken.
+table at a time: a second one fails when it finds its version taken. Which versions
+and loads there are is in the names of the files; only the last one is read.
 
 A load adds directories of its own and rewrites only those that hold an older row
 of one of its keys, so it costs about what it brings and not what the table holds.
+A month that has come to lie in more than ``MOST_PLACES`` directories is gathered
+into one by the load that finds it so, which bounds what a commit lists.
 
 Everything goes through the DataFrame reader and writer, so any file system Spark
 can reach will do. No Delta, Iceberg or Hudi is needed; where one is at hand, use
@@ -21,30 +24,27 @@ its MERGE instead.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 from operator import or_
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from martweave.functions.calendar import moment
-from martweave.operators.ingest import (
-    LOAD_ID,
-    copied_keys,
-    latest_per_key,
-    one_per_key,
-    stamp_load,
-)
-
-_COMMIT = "load_id string, month string, place string, last_value timestamp, rows bigint"
+from martweave.operators.ingest import LOAD_ID, one_per_key, stamp_load
+from martweave.session import remove
+
+_COMMIT = "month string, place string, last_value timestamp, rows bigint"
 _MONTH = "partition_month"  # no table may have a column of that name
 _WHOLE = "all"
-_FEW_KEYS = 1_000_000  # may be broadcast; some tens of megabytes
+MOST_PLACES = 16
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -92,7 +92,7 @@ class LandedTable:
     # -- reading ---------------------------------------------------------
 
     def _commits(self) -> DataFrame:
-        schema = f"{_COMMIT}, version bigint"
+        schema = f"{_COMMIT}, version bigint, load_id string"
         try:
             return self.spark.read.schema(schema).parquet(f"{self.root}/commits")
         except AnalysisException as missing:
@@ -103,11 +103,12 @@ class LandedTable:
     def _in_force(self, load_id: str = "") -> tuple[Commit, bool]:
         """The version in force, and whether a load is in already."""
         commits = self._commits()
-        last, seen = commits.agg(
-            F.max("version"), F.max(F.col("load_id") == F.lit(load_id))
-        ).first()
-        if last is None:
+        names = (re.search(r"/version=(\d+)/load_id=([^/]*)/", file) for file in commits.inputFiles())
+        # Spark escapes the id in the name of the folder, and the name in a URI.
+        versions = {int(name[1]): unquote(unquote(name[2])) for name in names if name}
+        if not versions:
             return Commit(0, "", {}, None, 0), False
+        last = max(versions)
         rows = (
             commits.filter(F.col("version") == last)
             .withColumn("last_value", F.unix_micros("last_value"))
@@ -115,7 +116,8 @@ class LandedTable:
         )
         places = {r.place: r.month for r in rows if r.place is not None}
         head = rows[0]
-        return Commit(last, head.load_id, places, _instant(head.last_value), head.rows), bool(seen)
+        commit = Commit(last, versions[last], places, _instant(head.last_value), head.rows)
+        return commit, load_id in versions.values()
 
     def state(self) -> Commit:
         """The version in force; version 0 of a table nothing was loaded into."""
@@ -180,7 +182,7 @@ class LandedTable:
         order = [_MONTH, *([self.month_of] if self.month_of else []), *self.keys]
         df = self._month(df)
         if spread:
-            df = df.hint("rebalance", _MONTH)
+            df = df.hint("rebalance", _MONTH) if self.month_of else df.hint("rebalance")
         target = f"{self.root}/{place}"
         df.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(_MONTH).parquet(target)
         written = self.spark.read.schema(f"{self.ddl}, {_MONTH} string").parquet(target)
@@ -188,17 +190,21 @@ class LandedTable:
         return {f"{place}/{_MONTH}={month}": month for month in counts}, sum(counts.values())
 
     def _commit(self, commit: Commit) -> Commit:
-        head = commit.load_id
         entries = [
-            (head, month, place, commit.last_value, commit.rows)
+            (month, place, commit.last_value, commit.rows)
             for place, month in sorted(commit.places.items())
-        ] or [(head, None, None, commit.last_value, commit.rows)]
-        (
-            self.spark.createDataFrame(entries, _COMMIT)
-            .coalesce(1)  # a row per directory: one file, so it appears in one step
-            .write.mode("error")
-            .parquet(f"{self.root}/commits/version={commit.version}")
-        )
+        ] or [(None, None, commit.last_value, commit.rows)]
+        rows = self.spark.createDataFrame(entries, _COMMIT).withColumn("load_id", F.lit(commit.load_id))
+        one = rows.coalesce(1)  # a row per directory: one file, so it appears in one step
+        place = f"{self.root}/commits/version={commit.version}"
+        try:
+            one.write.mode("error").partitionBy("load_id").parquet(place)
+        except AnalysisException as there:
+            # The folder of a writer that died has no file, and the version is free.
+            taken = any(f"/version={commit.version}/" in file for file in self._commits().inputFiles())
+            if taken or there.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            one.write.mode("overwrite").partitionBy("load_id").parquet(place)
         return commit
 
     def replace(self, df: DataFrame, load_id: str) -> Commit:
@@ -218,9 +224,10 @@ class LandedTable:
         """Put a batch in: one row per key, the new row wins. Skipped if in already.
 
         The batch is first stored as it came, so what is merged cannot change
-        under the job and a failed merge need not go back to the source. Older
-        rows are looked for in the whole table, or only in the months of the batch
-        if the ``month_of`` value of a key never changes (``month_is_fixed``).
+        under the job and a failed merge need not go back to the source; both it and
+        its keys go once the load is in. Older rows are looked for in the whole
+        table, or only in the months of the batch if the ``month_of`` value of a key
+        never changes (``month_is_fixed``).
         """
         before, seen = self._in_force(load_id)
         if seen:
@@ -228,103 +235,85 @@ class LandedTable:
         place = f"{self.root}/batches/{load_id}"
         stamp_load(self._checked(batch), load_id).write.mode("overwrite").parquet(place)
         staged = self.spark.read.schema(self.ddl).parquet(place)
-
-        spans = (
-            self._month(staged)
-            .groupBy(F.col(_MONTH).alias("month"))
-            .agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.unix_micros(F.max(cursor).cast("timestamp")).alias("newest"),
-                F.min(self.keys[0]).alias("low"),
-                F.max(self.keys[0]).alias("high"),
-                F.count_if(reduce(or_, (F.col(k).isNull() for k in self.keys))).alias("keyless"),
-            )
-            .collect()  # one row per month
-        )
-        rows = sum(s.rows for s in spans)
-        seen_values = [before.last_value, *(_instant(s.newest) for s in spans)]
-        last_value = max((v for v in seen_values if v is not None), default=None)
-        version = before.version + 1
-        if any(s.keyless for s in spans):
+        keyed = self._keyed(staged, cursor, f"{place}-keys")
+
+        head = keyed.agg(
+            F.sum("_rows").alias("rows"),
+            F.count_if(F.col("_rows") > 1).alias("copied"),
+            F.unix_micros(F.max("_newest").cast("timestamp")).alias("newest"),
+            F.min(self.keys[0]).alias("low"),
+            F.max(self.keys[0]).alias("high"),
+            F.count_if(reduce(or_, (F.col(k).isNull() for k in self.keys))).alias("keyless"),
+        ).first()
+        if head.keyless:
             raise ValueError(f"{self.root}: load {load_id} has rows without a key")
-        if not spans:
-            return self._commit(Commit(version, load_id, before.places, last_value, 0))
-
-        months = {s.month for s in spans}
-        near = [p for p, month in before.places.items() if not month_is_fixed or month in months]
-        kept, dropped = self._without_replaced(near, staged, spans, load_id, version)
-        single = self._single(staged, load_id, cursor)
-        new, _ = self._write(single, self._place(version, "new"), spread=True)
-        left = {p: month for p, month in before.places.items() if p not in dropped}
-        return self._commit(Commit(version, load_id, {**left, **kept, **new}, last_value, rows))
-
-    def compact(self, most: int = 1) -> Commit:
-        """Gather months lying in more than ``most`` directories into one each."""
-        before = self.state()
-        crowded = {m for m, n in Counter(before.places.values()).items() if n > most}
+        seen_values = [before.last_value, _instant(head.newest)]
+        last_value = max((v for v in seen_values if v is not None), default=None)
+        version, places = before.version + 1, before.places
+        if head.rows:
+            near = list(places)
+            if month_is_fixed and self.month_of:
+                months = {r[0] for r in keyed.select(F.explode("_months")).distinct().collect()}
+                near = [p for p, month in places.items() if month in months]
+            kept, dropped = self._without_replaced(near, keyed, head, f"{place}-replaced", version)
+            single = staged
+            if head.copied:
+                single = one_per_key(staged, keyed.filter("_rows > 1"), self.keys, [cursor])
+            new, _ = self._write(single, self._place(version, "new"), spread=True)
+            left = {p: month for p, month in places.items() if p not in dropped}
+            places = self._gathered({**left, **kept, **new}, version)
+        done = self._commit(Commit(version, load_id, places, last_value, head.rows or 0))
+        for part in ("", "-keys", "-replaced"):
+            remove(self.spark, f"{place}{part}")
+        return done
+
+    def _keyed(self, staged: DataFrame, cursor: str, place: str) -> DataFrame:
+        """One stored row per key of a batch: its copies, newest cursor value and months."""
+        keyed = self._month(staged).groupBy(*self.keys).agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.max(cursor).alias("_newest"),
+            F.collect_set(_MONTH).alias("_months"),
+        )
+        keyed.write.mode("overwrite").parquet(place)
+        return self.spark.read.schema(keyed.schema).parquet(place)
+
+    def _gathered(self, places: dict[str, str], version: int) -> dict[str, str]:
+        """Months lying in too many directories, written into one each."""
+        crowded = {m for m, n in Counter(places.values()).items() if n > MOST_PLACES}
         if not crowded:
-            return before
-        version = before.version + 1
-        many = [p for p, month in before.places.items() if month in crowded]
-        new, _ = self._write(self._read(many), self._place(version, "new"), spread=True)
-        left = {p: month for p, month in before.places.items() if month not in crowded}
-        name = f"compact-{version}"
-        return self._commit(Commit(version, name, {**left, **new}, before.last_value, 0))
+            return places
+        many = [p for p, month in places.items() if month in crowded]
+        new, _ = self._write(self._read(many), self._place(version, "gathered"), spread=True)
+        return {p: month for p, month in places.items() if month not in crowded} | new
 
     @staticmethod
     def _place(version: int, part: str) -> str:
         return f"data/v={version:08d}/{part}"
 
     def _without_replaced(
-        self, near: list[str], staged: DataFrame, spans: list, load_id: str, version: int
+        self, near: list[str], keyed: DataFrame, head: Row, stored: str, version: int
     ) -> tuple[dict[str, str], set[str]]:
         """Directories written anew without rows the batch replaces, and those they stand for.
 
-        The search reads the key column alone, and keys mostly grow with time, so
+        The search reads the key columns alone, and keys mostly grow with time, so
         the batch's key range, pushed into the scan, skips nearly all row groups of
         earlier months. What it finds is usually little (the rows at the cursor and
-        a few changed ones) and is then broadcast, so that rewriting shuffles
-        nothing.
+        a few changed ones); it is stored, so the planner knows its size and
+        broadcasts it while it is small, and then rewriting shuffles nothing.
         """
         if not near:
             return {}, set()
         key = F.col(self.keys[0])
-        low, high = min(s.low for s in spans), max(s.high for s in spans)
         place = F.regexp_extract("_metadata.file_path", r"(data/v=[^/]+/[^/]+/[^/]+)/[^/]+$", 1)
-        rows = self._read(near).filter((key >= F.lit(low)) & (key <= F.lit(high)))
-        arriving = staged.select(*self.keys).dropDuplicates(self.keys)
-        stored = f"{self.root}/batches/{load_id}-replaced"
-        (
-            rows.select(*self.keys, place.alias("_place"))
-            .join(arriving, self.keys, "left_semi")
-            .write.mode("overwrite")
-            .parquet(stored)
+        rows = self._read(near).filter((key >= F.lit(head.low)) & (key <= F.lit(head.high)))
+        found = rows.select(*self.keys, place.alias("_place")).join(
+            keyed.select(*self.keys), self.keys, "left_semi"
         )
-        schema = staged.select(*self.keys, F.lit("").alias("_place")).schema
-        replaced = self.spark.read.schema(schema).parquet(stored)
-        counts = dict(replaced.groupBy("_place").count().collect())  # one row per directory
-        if not counts:
+        found.write.mode("overwrite").parquet(stored)
+        replaced = self.spark.read.schema(found.schema).parquet(stored)
+        touched = {r[0] for r in replaced.select("_place").distinct().collect()}  # directories
+        if not touched:
             return {}, set()
-        going = replaced.select(*self.keys)
-        if sum(counts.values()) <= _FEW_KEYS:
-            going = F.broadcast(going)
-        rest = self._read(counts).join(going, self.keys, "left_anti")
+        rest = self._read(touched).join(replaced.select(*self.keys), self.keys, "left_anti")
         kept, _ = self._write(rest, self._place(version, "kept"), spread=False)
-        return kept, set(counts)
-
-    def _single(self, staged: DataFrame, load_id: str, cursor: str) -> DataFrame:
-        """The batch with one row per key.
-
-        Most batches hold no key twice, and then nothing but the key column is
-        shuffled. A few copied keys are ranked apart from the rest; only where
-        they are many are all rows ranked.
-        """
-        place = f"{self.root}/batches/{load_id}-copied"
-        copied_keys(staged, self.keys).write.mode("overwrite").parquet(place)
-        copied = self.spark.read.schema(staged.select(*self.keys).schema).parquet(place)
-        keys = copied.count()
-        if keys == 0:
-            return staged
-        if keys <= _FEW_KEYS:
-            return one_per_key(staged, copied, self.keys, [cursor])
-        return latest_per_key(staged, self.keys, [cursor])
+        return kept, touched

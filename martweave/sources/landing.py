@@ -7,6 +7,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martweave.operators.ingest import since
+
 # Fixed value: where the first load of an event table starts. It lies a quarter
 # before the analysis horizon, for orders that close late.
 BACKFILL_START = datetime(2022, 10, 1, tzinfo=timezone.utc)
@@ -14,13 +16,18 @@ BACKFILL_START = datetime(2022, 10, 1, tzinfo=timezone.utc)
 
 @dataclass(frozen=True)
 class Landing:
-    """One landing table. Without a cursor it is replaced whole by each load."""
+    """One landing table. Without a cursor it is replaced whole by each load.
+
+    ``month_is_fixed``: a row keeps its cursor value for good, so an older version of
+    it lies in the month of the newer one.
+    """
 
     source: str
     table: str
     ddl: str
-    key: str
+    keys: tuple[str, ...]
     cursor: str | None = None
+    month_is_fixed: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -38,14 +45,14 @@ LANDINGS = {
             "gender string, state string, street_address string, postal_code string, "
             "city string, country string, latitude double, longitude double, "
             "traffic_source string, created_at timestamp",
-            key="id",
+            keys=("id",),
         ),
         Landing(
             "catalogue",
             "products",
             "id bigint, cost double, category string, name string, brand string, "
             "retail_price double, department string, sku string, distribution_center_id bigint",
-            key="id",
+            keys=("id",),
         ),
         Landing(
             "shop",
@@ -53,8 +60,9 @@ LANDINGS = {
             "order_id bigint, user_id bigint, status string, gender string, "
             "created_at timestamp, returned_at timestamp, shipped_at timestamp, "
             "delivered_at timestamp, num_of_item bigint",
-            key="order_id",
+            keys=("order_id",),
             cursor="created_at",
+            month_is_fixed=True,
         ),
         Landing(
             "shop",
@@ -63,8 +71,9 @@ LANDINGS = {
             "inventory_item_id bigint, status string, created_at timestamp, "
             "shipped_at timestamp, delivered_at timestamp, returned_at timestamp, "
             "sale_price double",
-            key="id",
+            keys=("id",),
             cursor="created_at",
+            month_is_fixed=True,
         ),
     )
 }
@@ -78,9 +87,10 @@ class Registry:
         self.places = dict(places)
         self.fmt = fmt
 
-    def read(self, source: str, table: str) -> DataFrame:
-        """The table under its declared schema, which is never inferred."""
+    def read(self, source: str, table: str, start: datetime | None = None) -> DataFrame:
+        """The table under its declared schema, which is never inferred, from a cursor value on."""
         landing = LANDINGS[table]
         if landing.source != source or (source, table) not in self.places:
             raise KeyError(f"no source {source}.{table}")
-        return self.spark.read.format(self.fmt).schema(landing.ddl).load(self.places[source, table])
+        rows = self.spark.read.format(self.fmt).schema(landing.ddl).load(self.places[source, table])
+        return rows if start is None or landing.cursor is None else since(rows, start, landing.cursor)

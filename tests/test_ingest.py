@@ -11,6 +11,7 @@ from martweave.operators import ingest
 from martweave.plans.ingest_run import has_failed, landed, run_ingest
 from martweave.sources.landed import LandedTable
 from martweave.sources.landing import BACKFILL_START, LANDINGS, Registry
+from martweave.sources.tpch import LANDED
 from martweave.streaming.ingest import file_stream, stream_into
 
 UTC = timezone.utc
@@ -60,7 +61,8 @@ def test_copies_are_dropped_before_the_shuffle(spark):
 
 
 def split_pick(batch, keys, newest_first):
-    return ingest.one_per_key(batch, ingest.copied_keys(batch, keys), keys, newest_first)
+    copied = batch.groupBy(*keys).count().filter("count > 1")
+    return ingest.one_per_key(batch, copied, keys, newest_first)
 
 
 @pytest.mark.parametrize("pick", [ingest.latest_per_key, split_pick])
@@ -162,12 +164,13 @@ def test_key_that_moves_to_another_month_stays_single(spark, tmp_path):
     assert set(t.state().places.values()) == {"2024-02", "2024-03"}  # January is empty now
 
 
-@pytest.mark.parametrize("few", [0, 1_000_000])
-def test_many_loads_equal_one_table_of_latest_rows(spark, tmp_path, monkeypatch, few):
+@pytest.mark.parametrize("small", ["-1", "10MB"])
+def test_many_loads_equal_one_table_of_latest_rows(spark, tmp_path, monkeypatch, conf, small):
     """Against brute force: each key's row of the last load that brought it."""
     import random
 
-    monkeypatch.setattr("martweave.sources.landed._FEW_KEYS", few)
+    conf(spark__sql__autoBroadcastJoinThreshold=small)
+    monkeypatch.setattr("martweave.sources.landed.MOST_PLACES", 2)
     draw = random.Random(7)
     t, expected = table(spark, tmp_path), {}
     for n in range(5):
@@ -178,11 +181,7 @@ def test_many_loads_equal_one_table_of_latest_rows(spark, tmp_path, monkeypatch,
         t.merge(rows(spark, *batch.values()), f"load-{n}", "at")
         expected.update(batch)
     assert values(t.read(), "id", "v", "at") == sorted(expected.values(), key=repr)
-    crowded = len(t.state().places)
-    t.compact()
-    assert len(t.state().places) == 4 < crowded
-    assert values(t.read(), "id", "v", "at") == sorted(expected.values(), key=repr)
-    assert t.compact().version == t.state().version  # nothing left to gather
+    assert len(t.state().places) <= 2 * 4  # crowded months were gathered on the way
     assert t.state().last_value is not None
 
 
@@ -223,6 +222,62 @@ def test_a_load_that_dies_leaves_the_table_as_it_was(spark, tmp_path, monkeypatc
     assert values(t.read(), "id", "v") == [(1, "b"), (2, "c")]
 
 
+@pytest.mark.parametrize("left", ["_temporary", None])
+def test_a_writer_that_died_inside_its_commit_does_not_block_the_table(spark, tmp_path, left):
+    t = table(spark, tmp_path)
+    t.merge(rows(spark, (1, "a", at(1))), "one", "at")
+    dead = tmp_path / "t" / "commits" / "version=2"
+    (dead / left if left else dead).mkdir(parents=True)
+    t.merge(rows(spark, (1, "b", at(1)), (2, "c", at(2))), "two", "at")
+    assert values(t.read(), "id", "v") == [(1, "b"), (2, "c")] and t.state().version == 2
+
+
+def test_nothing_of_a_load_stays_beside_its_rows(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.merge(rows(spark, (1, "a", at(1)), (1, "b", at(2))), "one", "at")
+    t.merge(rows(spark, (1, "c", at(3))), "two", "at")
+    assert list((tmp_path / "t" / "batches").iterdir()) == []
+
+
+def test_ids_of_loads_may_hold_any_sign(spark, tmp_path):
+    t = table(spark, tmp_path)
+    for load_id in ("2024-01-01 10:00", "a=b/c%d", "7"):
+        t.merge(rows(spark, (1, load_id, at(1))), load_id.replace("/", "_"), "at")
+    assert t.merge(rows(spark, (1, "again", at(1))), "a=b_c%d", "at").version == 3
+    assert values(t.read(), "v") == [("7",)] and t.state().load_id == "7"
+
+
+def test_only_the_last_commit_is_read(spark, tmp_path):
+    t = table(spark, tmp_path)
+    for n in range(4):
+        t.merge(rows(spark, (n, "a", at(1))), f"load-{n}", "at")
+    for n in (1, 2, 3):
+        for file in (tmp_path / "t" / "commits" / f"version={n}").rglob("*.parquet"):
+            file.write_bytes(b"unreadable")
+        for check in (tmp_path / "t" / "commits" / f"version={n}").rglob(".*.crc"):
+            check.unlink()
+    assert t.state().version == 4 and t.merge(rows(spark, (9, "a", at(1))), "load-1", "at").version == 4
+
+
+@pytest.mark.parametrize("fixed", [True, False])
+def test_months_searched_for_older_rows(spark, tmp_path, monkeypatch, fixed):
+    t = table(spark, tmp_path)
+    t.merge(rows(spark, *((m, "a", at(10, m)) for m in range(1, 7))), "one", "at")
+    searched = []
+    read = LandedTable._read
+    monkeypatch.setattr(LandedTable, "_read", lambda self, places: searched.append(sorted(places)) or read(self, places))
+    t.merge(rows(spark, (3, "b", at(11, 3)), (9, "c", at(1, 5))), "two", "at", month_is_fixed=fixed)
+    assert {p[-2:] for p in searched[0]} == ({"03", "05"} if fixed else {f"{m:02}" for m in range(1, 7)})
+    assert (3, "b") in values(t.read(), "id", "v")
+
+
+def test_several_columns_may_be_the_key(spark, tmp_path):
+    t = LandedTable(spark, str(tmp_path / "k"), DDL, ["id", "at"], month_of="at")
+    t.merge(rows(spark, (1, "a", at(1)), (1, "b", at(2)), (1, "c", at(2))), "one", "at")
+    t.merge(rows(spark, (1, "d", at(2)), (1, "e", at(3))), "two", "at")
+    assert values(t.read(), "v") == [("a",), ("d",), ("e",)]
+
+
 def test_a_version_is_taken_once(spark, tmp_path, monkeypatch):
     t = table(spark, tmp_path)
     stale = t._in_force()
@@ -266,9 +321,9 @@ def test_rows_without_a_key_are_refused(spark, tmp_path):
     assert t.state().version == 0
 
 
-@pytest.mark.parametrize("few", [0, 1_000_000])
-def test_copies_in_a_batch_land_once(spark, tmp_path, monkeypatch, few):
-    monkeypatch.setattr("martweave.sources.landed._FEW_KEYS", few)
+@pytest.mark.parametrize("small", ["-1", "10MB"])
+def test_copies_in_a_batch_land_once(spark, tmp_path, conf, small):
+    conf(spark__sql__autoBroadcastJoinThreshold=small)
     t = table(spark, tmp_path)
     t.merge(rows(spark, (1, "a", at(1)), (1, "b", at(2)), (1, "c", at(1)), (2, "d", at(1))), "one", "at")
     assert values(t.read(), "id", "v") == [(1, "b"), (2, "d")]
@@ -292,10 +347,10 @@ def test_run_ingest_twice_and_with_a_failure(spark, folder, tmp_path):
     first = run_ingest(spark, tables.read, root, "one", entry.FIRST_LOAD)
     assert not has_failed(first)
 
-    def broken(source, name):
+    def broken(source, name, start):
         if name == "products":
             raise RuntimeError("source is down")
-        return tables.read(source, name)
+        return tables.read(source, name, start)
 
     second = run_ingest(spark, broken, root, "two", entry.FIRST_LOAD)
     assert has_failed(second)
@@ -310,6 +365,40 @@ def test_run_ingest_twice_and_with_a_failure(spark, folder, tmp_path):
     assert landed(spark, root, LANDINGS["products"]).read().count() == tables.products().count()
 
 
+def test_every_line_lands(spark, folder, tmp_path):
+    import __spark_entry__ as entry
+
+    tables, root = entry.OrderTables(spark, folder), str(tmp_path / "raw")
+    run_ingest(spark, tables.read, root, "one", entry.ALL_HISTORY, landings=LANDED)
+    stored = landed(spark, root, LANDED["order_items"]).read()
+    assert stored.count() == tables.table("lineitem").count() == 6000
+    assert stored.select("id").distinct().count() == 5999  # two lines share an id and both stay
+
+
+def test_the_cursor_bound_reaches_the_scan_of_a_run(spark, folder, tmp_path):
+    import __spark_entry__ as entry
+
+    tables, read = entry.OrderTables(spark, folder), {}
+
+    def seen(source, name, start):
+        read[name] = tables.read(source, name, start)
+        return read[name]
+
+    run_ingest(spark, seen, str(tmp_path / "raw"), "one", entry.FIRST_LOAD, landings=LANDED)
+    assert "GreaterThanOrEqual(l_shipdate," in plan(read["order_items"])
+    assert "GreaterThanOrEqual(o_orderdate," in plan(read["orders"])
+
+
+def test_loads_are_ordered_by_their_numbers(spark):
+    ids = [f"s-{n}" for n in range(12)] + ["s-100"]
+    df = spark.createDataFrame([(i,) for k, i in enumerate(ids) for _ in range(k + 1)], "_load_id string")
+    got = {r.load_id: r.change for r in ingest.load_volume(df, "t").collect()}
+    assert got == {i: 1 if k else None for k, i in enumerate(ids)}
+    assert tuple(ingest.load_audit(df, "t").first()) == ("t", 91, "s-0", "s-100")
+    dates = spark.createDataFrame([("2024-02-01",), ("2023-12-31",), ("2024-01-09",)], "_load_id string")
+    assert ingest.load_audit(dates, "t").first().first_load_id == "2023-12-31"
+
+
 def test_backfill_starts_before_the_horizon():
     from martweave.operators.staging import HORIZON
 
@@ -329,6 +418,22 @@ def test_registry(spark, folder, tmp_path):
         registry.read("crm", "users")
 
 
+def test_a_stream_reads_a_file_and_a_folder_alike(spark, tmp_path):
+    batch = rows(spark, (1, "a", at(1)), (2, "b", at(2)), (3, "c", at(3)))
+    batch.repartition(3).write.parquet(str(tmp_path / "many.parquet"))
+    batch.coalesce(1).write.parquet(str(tmp_path / "one"))
+    next((tmp_path / "one").glob("part-*")).rename(tmp_path / "single.parquet")
+    for name in ("many.parquet", "single.parquet"):
+        t = table(spark, tmp_path, f"of-{name}")
+        stream = file_stream(spark, str(tmp_path / name), DDL, maxFilesPerTrigger="1")
+        stream_into(stream, t, str(tmp_path / f"ck-{name}"), "at", "s").awaitTermination()
+        assert values(t.read(), "id", "v") == [(1, "a"), (2, "b"), (3, "c")]
+    assert table(spark, tmp_path, "of-many.parquet").state().version > 1  # several bounded batches
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        file_stream(spark, str(tmp_path / "none"), DDL)
+
+
 def test_stream_is_replayed_without_doubles(spark, tmp_path):
     source, checkpoint = str(tmp_path / "in"), str(tmp_path / "ck")
     t = table(spark, tmp_path, "streamed")

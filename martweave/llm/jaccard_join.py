@@ -274,17 +274,16 @@ def jaccard_join(
     signed = spark.read.parquet(folder)
 
     usable = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
-    copies = usable.groupBy("digest").agg(F.min("doc_id").alias("copy_id"))
-    members = usable.select("doc_id", "digest", "n_shingles").join(copies, "digest")
-    texts = (
-        usable.join(copies, "digest")
-        .where("doc_id = copy_id")
-        .dropDuplicates(["copy_id"])
-        .select(F.col("copy_id").alias("member"), "n_shingles", "nodes")
+    # Copies have the same signature, so any of theirs will do, and no join is needed.
+    grouped = usable.groupBy("digest").agg(
+        F.min("doc_id").alias("member"), F.first("n_shingles").alias("n_shingles"), F.first("nodes").alias("nodes")
     )
     folder = work_folder(spark, "texts")
-    texts.write.parquet(folder)
+    grouped.write.parquet(folder)
     texts = spark.read.parquet(folder)
+    members = usable.select("doc_id", "digest", "n_shingles").join(
+        texts.select("digest", F.col("member").alias("copy_id")), "digest"
+    )
     folder = work_folder(spark, "links")
     links(documents, texts, trees, threshold, words, text).write.parquet(folder)
     found = spark.read.parquet(folder)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import importlib.util
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 from pathlib import Path
@@ -68,7 +68,7 @@ class Context:
     def products(self) -> DataFrame:
         return dimensions.dim_products(staging.stg_products(self.tables.products(), RUN), RUN)
 
-    def orders(self, *staged: str) -> DataFrame:
+    def orders(self) -> DataFrame:
         return staging.stg_orders(self.tables.orders(), RUN)
 
     def measured_items(self, *also: str) -> DataFrame:
@@ -79,14 +79,19 @@ class Context:
     def order_fact(self) -> DataFrame:
         return facts.fct_orders(self.measured_items(), self.orders(), RUN)
 
-    def calendar(self) -> DataFrame:
-        return dimensions.dim_dates(dimensions.date_spine(self.spark, HORIZON, CALENDAR_END))
+    def models(self, *wanted: str, joined: Collection[str] = ("user_id", "num_of_item")) -> dict[str, DataFrame]:
+        """Models as plans. A user of an item and an item count of an order take a join
+        each; those not in ``joined`` are left NULL, for tests that do not look at them."""
+        costly = {"order_items": "user_id", "orders": "num_of_item"}
 
-    def models(self, *wanted: str) -> dict[str, DataFrame]:
         def raw(table: str) -> DataFrame:
-            if table == "order_items":
-                return self.tables.order_items(since=HORIZON_AT)
-            return getattr(self.tables, table)()
+            since = {"since": HORIZON_AT} if table == "order_items" else {}
+            left_out = costly.get(table)
+            if left_out is None or left_out in joined:
+                return getattr(self.tables, table)(**since)
+            columns = LANDED[table].columns
+            rows = getattr(self.tables, table)([c for c in columns if c != left_out], **since)
+            return rows.withColumn(left_out, F.lit(None).cast("bigint")).select(*columns)
 
         inputs = Inputs(self.spark, raw, RUN, self.salt, HORIZON, CALENDAR_END)
         made = lazy_models(inputs, wanted)
@@ -94,10 +99,19 @@ class Context:
             made["dim_dates"] = self.data_calendar()
         return made
 
-    def data_calendar(self) -> DataFrame:
-        """The calendar over the days the items themselves span."""
-        dated = facts.with_dates(self.items("ordered_at", "delivered_at"))
-        return dimensions.dim_dates(dimensions.spine_over(dated, "ordered_date", "delivered_date"))
+    def data_calendar(self, *days: str) -> DataFrame:
+        """The calendar over the days the items themselves span, in the columns named or all."""
+        columns = {"ordered_date": "ordered_at", "delivered_date": "delivered_at"}
+        days = days or tuple(columns)
+        dated = self.items(*(columns[d] for d in days)).select(*(F.to_date(columns[d]).alias(d) for d in days))
+        return dimensions.dim_dates(dimensions.spine_over(dated, *days))
+
+    def order_calendar(self) -> DataFrame:
+        """The calendar from the horizon to the last day an order was placed."""
+        placed = self.tables.orders(["created_at"]).select(F.to_date("created_at").alias("day"))
+        start = self.spark.range(1).select(F.lit(HORIZON).alias("day"))
+        spine = dimensions.spine_over(placed.unionByName(start), "day").filter(F.col("date_day") >= F.lit(HORIZON))
+        return dimensions.dim_dates(spine)
 
 
 def query(sql: str | None = None):
@@ -679,13 +693,16 @@ def _models_sql(select: str) -> str:
 
 @query(_models_sql(o.union(o.not_null_rows(quality.NOT_NULL))))
 def dq_not_null(c: Context) -> DataFrame:
-    models = c.models(*quality.NOT_NULL)
-    return union(quality.not_null(models[m], m, cols) for m, cols in quality.NOT_NULL.items())
+    """One pass over each model; only the item fact's test looks at an item's user."""
+    return union(
+        quality.not_null(c.models(m, joined=("user_id",) if m == "fct_order_items" else ())[m], m, cols)
+        for m, cols in quality.NOT_NULL.items()
+    )
 
 
 @query(_models_sql(o.union(o.unique_rows(quality.UNIQUE.items()))))
 def dq_unique(c: Context) -> DataFrame:
-    models = c.models(*quality.UNIQUE)
+    models = c.models(*quality.UNIQUE, joined=())
     return union(quality.unique(models[m], m, col) for m, col in quality.UNIQUE.items())
 
 
@@ -698,8 +715,13 @@ _RELATIONSHIPS = (*quality.RELATIONSHIPS, *quality.DEFERRED_RELATIONSHIPS)
     )
 )
 def dq_relationships(c: Context) -> DataFrame:
-    models = c.models(*{m for r in _RELATIONSHIPS for m in (r.child, r.parent)})
-    return union(quality.relationship(models, r) for r in _RELATIONSHIPS)
+    """Each test is fed what it compares: an order's user needs no look at the items' users."""
+
+    def models(r: quality.Relationship) -> dict[str, DataFrame]:
+        joined = {r.column} if r.child == "fct_order_items" else ()
+        return c.models(r.child, r.parent, joined=joined)
+
+    return union(quality.relationship(models(r), r) for r in _RELATIONSHIPS)
 
 
 @query(
@@ -715,7 +737,7 @@ def dq_relationships(c: Context) -> DataFrame:
     )
 )
 def dq_accepted_values(c: Context) -> DataFrame:
-    models = c.models(*(m for m, _ in quality.ACCEPTED_VALUES))
+    models = c.models(*(m for m, _ in quality.ACCEPTED_VALUES), joined=())
     return union(
         quality.value_counts(models[m], m, col, values)
         for (m, col), values in quality.ACCEPTED_VALUES.items()
@@ -796,8 +818,12 @@ def orphans_by_day(c: Context) -> DataFrame:
     )
 )
 def contract_report(c: Context) -> DataFrame:
-    models = c.models(*contracts.CONTRACTS)
-    return union(contracts.contract_report(models[m], m) for m in contracts.CONTRACTS)
+    """One pass over each model; an item's user comes into no column of an order."""
+    joined = {"fct_orders": ()}
+    return union(
+        contracts.contract_report(c.models(m, joined=joined.get(m, ("user_id", "num_of_item")))[m], m)
+        for m in contracts.CONTRACTS
+    )
 
 
 @query(
@@ -814,7 +840,7 @@ def classified_projection(c: Context) -> DataFrame:
 
 
 def by_month(c: Context, key: str = "ordered_date") -> metrics.Lookup:
-    return metrics.Lookup(c.calendar(), key, "date_day", ("year_month",), calendar=True)
+    return metrics.Lookup(c.data_calendar(key), key, "date_day", ("year_month",), calendar=True)
 
 
 @query(
@@ -989,7 +1015,8 @@ def metric_coherence(c: Context) -> DataFrame:
     )
 )
 def star_month_country(c: Context) -> DataFrame:
-    country = metrics.Lookup(c.users(), "user_id", "user_id", ("country",))
+    # A user buys little in a month: summing by both first would move nearly as many rows.
+    country = metrics.Lookup(c.users(), "user_id", "user_id", ("country",), sum_first=False)
     return metrics.measure(
         c.measured_items("user_id"),
         "fct_order_items",
@@ -1013,7 +1040,7 @@ def star_month_country(c: Context) -> DataFrame:
 def star_quarter_status(c: Context) -> DataFrame:
     """Orders placed before the calendar starts are kept, under no quarter."""
     quarters = metrics.Lookup(
-        c.calendar(), "ordered_date", "date_day", ("year_quarter",), calendar=True
+        c.order_calendar(), "ordered_date", "date_day", ("year_quarter",), calendar=True
     )
     return metrics.measure(
         c.order_fact(),
@@ -1030,6 +1057,22 @@ def _severity(rows: list[str], severity: str) -> list[str]:
     return [f"SELECT *, '{severity}' AS severity FROM ({r})" for r in rows]
 
 
+_COHERENCE = [
+    f"""
+    SELECT 'fct_orders' AS model, '{name}' AS "column", 'coherence:fct_order_items' AS test,
+           COUNT(*) FILTER (a.v IS DISTINCT FROM b.v) AS failures
+    FROM (SELECT country, {of_items} AS v FROM fct_order_items f LEFT JOIN dim_users u ON u.user_id = f.user_id
+          WHERE order_id IN (SELECT order_id FROM fct_orders) GROUP BY country) a
+    FULL JOIN (SELECT country, {of_orders} AS v FROM fct_orders f LEFT JOIN dim_users u ON u.user_id = f.user_id
+               GROUP BY country) b ON a.country IS NOT DISTINCT FROM b.country
+    """
+    for name, of_items, of_orders in (
+        ("net_revenue", o.money("net_revenue"), o.money("total_revenue_net")),
+        ("gross_margin", o.money("gross_margin"), o.money("total_gross_margin")),
+        ("items", "COUNT(*)", "SUM(items_count)"),
+    )
+]
+
 _TESTS_SQL = _models_sql(
     o.union(
         _severity(
@@ -1037,7 +1080,8 @@ _TESTS_SQL = _models_sql(
             + o.unique_rows(quality.UNIQUE.items())
             + o.relationship_rows(
                 (r.child, r.column, r.parent, r.field) for r in quality.RELATIONSHIPS
-            ),
+            )
+            + _COHERENCE,
             "error",
         )
         + _severity(
@@ -1074,7 +1118,7 @@ def build_run(c: Context) -> DataFrame:
         return landed(c.spark, f"{folder}/raw", LANDED[table]).read()
 
     inputs = Inputs(c.spark, raw, RUN, c.salt, HORIZON, CALENDAR_END)
-    return build(inputs, folder, deferred_tests=True).tests
+    return build(inputs, folder, deferred_tests=True, gate=False).tests
 
 
 # --- training data --------------------------------------------------------

@@ -11,6 +11,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Classes of data, the least guarded first.
+DATA_CLASSES = ("public", "internal", "pii", "sensitive_pii")
+
 AUDIT = (("_loaded_at", "timestamp"), ("_run_id", "string"))
 
 # Model columns and types.
@@ -64,6 +67,13 @@ class Contract:
     audited: bool = True
     personal: frozenset[str] = frozenset()  # hashed at staging, still classed as personal
     internal: frozenset[str] = frozenset()
+    sensitive: frozenset[str] = frozenset()  # personal data that needs more care than the rest
+    classes: tuple[tuple[str, str], ...] = ()  # what an author says of a column goes before all else
+
+    def __post_init__(self) -> None:
+        unknown = {kind for _, kind in self.classes} - set(DATA_CLASSES)
+        if unknown:
+            raise ContractError(f"{self.model}: no data class {', '.join(sorted(unknown))}")
 
     @property
     def columns(self) -> tuple[tuple[str, str], ...]:
@@ -76,6 +86,11 @@ class Contract:
         return ", ".join(f"`{name}` {kind}" for name, kind in self.columns)
 
     def data_class(self, column: str) -> str:
+        declared = dict(self.classes).get(column)
+        if declared:
+            return declared
+        if column in self.sensitive:
+            return "sensitive_pii"
         if column in self.personal:
             return "pii"
         if column in self.internal or column.startswith("_"):
@@ -88,15 +103,16 @@ def _parse(text: str) -> tuple[tuple[str, str], ...]:
 
 
 _PERSONAL = frozenset({"first_name", "last_name", "email", "street_address"})
+_SENSITIVE = frozenset({"email", "street_address"})  # each alone leads to a person
 
 CONTRACTS = {
     c.model: c
     for c in (
-        Contract("stg_users", _parse(_USERS), personal=_PERSONAL),
+        Contract("stg_users", _parse(_USERS), personal=_PERSONAL, sensitive=_SENSITIVE),
         Contract("stg_products", _parse(_PRODUCTS), internal=frozenset({"cost"})),
         Contract("stg_orders", _parse(_ORDERS)),
         Contract("stg_order_items", _parse(_ORDER_ITEMS)),
-        Contract("dim_users", _parse(_USERS), personal=_PERSONAL),
+        Contract("dim_users", _parse(_USERS), personal=_PERSONAL, sensitive=_SENSITIVE),
         Contract("dim_products", _parse(_PRODUCTS), internal=frozenset({"cost"})),
         Contract("dim_dates", _parse(_DATES), audited=False),
         Contract(

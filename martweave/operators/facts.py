@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martweave.functions import business
 from martweave.functions.audit import Run
-from martweave.functions.money import exact_avg, exact_sum, rate
+from martweave.functions.money import UNITS, exact_avg, exact_sum, rate
 from martweave.operators.contracts import CONTRACTS
 
 
@@ -85,7 +85,7 @@ def fct_order_items(stg_order_items: DataFrame, dim_products: DataFrame, run: Ru
     return run.stamp(_contract_columns(items, "fct_order_items"))
 
 
-def order_totals(items: DataFrame, exact: bool = True) -> DataFrame:
+def order_totals(items: DataFrame, units: float | None = UNITS) -> DataFrame:
     """Item measures added up per order.
 
     Each task adds up its own rows first, so an order of any size reaches the
@@ -95,11 +95,11 @@ def order_totals(items: DataFrame, exact: bool = True) -> DataFrame:
     return items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("items_count"),
         F.count_if("is_returned").alias("returned_items_count"),
-        exact_sum("sale_price", exact).alias("total_revenue_gross"),
-        exact_sum("net_revenue", exact).alias("total_revenue_net"),
-        exact_sum("cost", exact).alias("total_cost"),
-        exact_sum("gross_margin", exact).alias("total_gross_margin"),
-        exact_avg("sale_price", exact).alias("average_item_price"),
+        exact_sum("sale_price", units).alias("total_revenue_gross"),
+        exact_sum("net_revenue", units).alias("total_revenue_net"),
+        exact_sum("cost", units).alias("total_cost"),
+        exact_sum("gross_margin", units).alias("total_gross_margin"),
+        exact_avg("sale_price", units).alias("average_item_price"),
     )
 
 
@@ -138,10 +138,10 @@ def with_order_attributes(totals: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def fct_orders(
-    fct_order_items: DataFrame, stg_orders: DataFrame, run: Run, exact: bool = True
+    fct_order_items: DataFrame, stg_orders: DataFrame, run: Run, units: float | None = UNITS
 ) -> DataFrame:
     orders = (
-        order_totals(fct_order_items, exact)
+        order_totals(fct_order_items, units)
         .transform(with_return_flags)
         .transform(with_order_margin_rate)
         .transform(with_order_attributes, stg_orders)

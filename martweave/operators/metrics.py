@@ -15,9 +15,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martweave.functions.money import from_parts, rate, summed_parts
+from martweave.functions.money import UNITS, from_parts, rate, summed_parts
 
-Parts = dict[str, Callable[[], Column]]
+Of = Callable[[str], Column]
+Parts = dict[str, Callable[..., Column]]
 
 
 @dataclass(frozen=True)
@@ -25,14 +26,14 @@ class Metric:
     name: str
     grain: str  # the fact it is computed on
     parts: Parts
-    formula: Callable[[Callable[[str], Column]], Column]
+    formula: Callable[[Of, float | None], Column]
 
 
-def _money(name: str, of: Callable[[str], Column]) -> Column:
-    return from_parts(of(f"{name}_high"), of(f"{name}_low"))
+def _money(name: str, of: Of, units: float | None) -> Column:
+    return from_parts(of(f"{name}_high"), of(f"{name}_low"), of(f"{name}_odd"), units)
 
 
-def _count() -> Column:
+def _count(units: float | None = None) -> Column:
     return F.count(F.lit(1))
 
 
@@ -42,49 +43,49 @@ METRICS = {
     (m.grain, m.name): m
     for m in (
         Metric(
-            "net_revenue", _ITEMS, summed_parts("net", "net_revenue"), lambda of: _money("net", of)
+            "net_revenue", _ITEMS, summed_parts("net", "net_revenue"), lambda of, units: _money("net", of, units)
         ),
         Metric(
             "gross_margin",
             _ITEMS,
             summed_parts("margin", "gross_margin"),
-            lambda of: _money("margin", of),
+            lambda of, units: _money("margin", of, units),
         ),
-        Metric("items", _ITEMS, {"items": _count}, lambda of: of("items")),
+        Metric("items", _ITEMS, {"items": _count}, lambda of, units: of("items")),
         Metric(
             "return_rate",
             _ITEMS,
-            {"returned": lambda: F.count_if("is_returned"), "items": _count},
-            lambda of: rate(of("returned").cast("double"), of("items")),
+            {"returned": lambda units: F.count_if("is_returned"), "items": _count},
+            lambda of, units: rate(of("returned").cast("double"), of("items")),
         ),
         Metric(
             "avg_delivery_days",
             _ITEMS,
             {
-                "days": lambda: F.sum("days_to_delivery"),
-                "delivered": lambda: F.count("days_to_delivery"),
+                "days": lambda units: F.sum("days_to_delivery"),
+                "delivered": lambda units: F.count("days_to_delivery"),
             },
-            lambda of: rate(of("days").cast("double"), of("delivered")),
+            lambda of, units: rate(of("days").cast("double"), of("delivered")),
         ),
         Metric(
             "net_revenue",
             _ORDERS,
             summed_parts("net", "total_revenue_net"),
-            lambda of: _money("net", of),
+            lambda of, units: _money("net", of, units),
         ),
         Metric(
             "gross_margin",
             _ORDERS,
             summed_parts("margin", "total_gross_margin"),
-            lambda of: _money("margin", of),
+            lambda of, units: _money("margin", of, units),
         ),
-        Metric("items", _ORDERS, {"items": lambda: F.sum("items_count")}, lambda of: of("items")),
-        Metric("orders", _ORDERS, {"orders": _count}, lambda of: of("orders")),
+        Metric("items", _ORDERS, {"items": lambda units: F.sum("items_count")}, lambda of, units: of("items")),
+        Metric("orders", _ORDERS, {"orders": _count}, lambda of, units: of("orders")),
         Metric(
             "avg_order_value",
             _ORDERS,
             {**summed_parts("net", "total_revenue_net"), "orders": _count},
-            lambda of: rate(_money("net", of), of("orders")),
+            lambda of, units: rate(_money("net", of, units), of("orders")),
         ),
     )
 }
@@ -119,13 +120,15 @@ def measure(
     names: list[str],
     by: list[str],
     lookups: tuple[Lookup, ...] = (),
+    units: float | None = UNITS,
 ) -> DataFrame:
     """Metrics of a fact grouped by fact columns and dimension attributes.
 
     The fact is first summed by the keys it is joined on, and only then joined: a
     user or product with very many rows meets its dimension as a few, and the
     joins and their shuffles carry sums in place of rows. Dimensions are joined
-    from the left, so a fact row without one keeps counting, under NULL.
+    from the left, so a fact row without one keeps counting, under NULL. Money is
+    counted in ``units`` (see ``functions/money.py``).
     """
     metrics = [METRICS[grain, name] for name in names]
     parts = {part: make for m in metrics for part, make in m.parts.items()}
@@ -141,13 +144,13 @@ def measure(
     early = [c for c in by if c not in late]
     grouping = list(dict.fromkeys([*(x.fact_key for x in others), *early]))
 
-    sums = fact.groupBy(*grouping).agg(*(make().alias(f"_{p}") for p, make in parts.items()))
+    sums = fact.groupBy(*grouping).agg(*(make(units).alias(f"_{p}") for p, make in parts.items()))
     if others:
         for x in others:
             sums = sums.join(x.rows(), x.fact_key, "left")
         sums = sums.groupBy(*by).agg(*(F.sum(f"_{p}").alias(f"_{p}") for p in parts))
     return sums.select(
-        *by, *(m.formula(lambda part: F.col(f"_{part}")).alias(m.name) for m in metrics)
+        *by, *(m.formula(lambda part: F.col(f"_{part}"), units).alias(m.name) for m in metrics)
     )
 
 

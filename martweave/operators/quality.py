@@ -46,7 +46,7 @@ RELATIONSHIPS = (
     Relationship("fct_orders", "user_id", "dim_users", "user_id"),
 )
 
-# Tests the models name but do not run yet; they only warn here.
+# Tests the models name but do not run yet; they only warn here.
 DEFERRED_NOT_NULL = {"stg_users": ("email",)}
 DEFERRED_UNIQUE = (("stg_products", "sku"), ("dim_products", "sku"), ("stg_users", "email"))
 DEFERRED_RELATIONSHIPS = (
@@ -68,24 +68,32 @@ def _result(df: DataFrame, test: str, model: str, column: str) -> DataFrame:
     )
 
 
-def not_null(df: DataFrame, model: str, columns: tuple[str, ...]) -> DataFrame:
-    """A row per column with its number of NULLs; one pass for all of them."""
-    counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in columns))
-    return counts.select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(model).alias("model"),
-                        F.lit(c).alias("column"),
-                        F.lit("not_null").alias("test"),
-                        F.col(c).alias("failures"),
-                    )
-                    for c in columns
-                )
-            )
+def column_tests(
+    df: DataFrame,
+    model: str,
+    not_null: tuple[str, ...] = (),
+    accepted: dict[str, tuple[str, ...]] | None = None,
+) -> DataFrame:
+    """A row per column and test with its violations; one pass for all of them."""
+    accepted = accepted or {}
+    tests = [("not_null", c, F.col(c).isNull()) for c in not_null]
+    # A NULL is no value and so no wrong one: ``isin`` of it is NULL and not counted.
+    tests += [("accepted_values", c, ~F.col(c).isin(*values)) for c, values in accepted.items()]
+    counts = df.agg(*(F.count_if(broken).alias(f"_{k}") for k, (_, _, broken) in enumerate(tests)))
+    rows = [
+        F.struct(
+            F.lit(model).alias("model"),
+            F.lit(column).alias("column"),
+            F.lit(test).alias("test"),
+            F.col(f"_{k}").alias("failures"),
         )
-    )
+        for k, (test, column, _) in enumerate(tests)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def not_null(df: DataFrame, model: str, columns: tuple[str, ...]) -> DataFrame:
+    return column_tests(df, model, columns)
 
 
 def repeated_keys(df: DataFrame, column: str) -> DataFrame:
@@ -147,30 +155,33 @@ def value_counts(df: DataFrame, model: str, column: str, accepted: tuple[str, ..
 
 
 def accepted_values(df: DataFrame, model: str, column: str, accepted: tuple[str, ...]) -> DataFrame:
-    found = value_counts(df, model, column, accepted).filter(~F.col("accepted"))
-    total = found.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("failures"))
-    return _result(total, "accepted_values", model, column)
-
+    return column_tests(df, model, accepted={column: accepted})
 
-def _with_severity(results: list[DataFrame], severity: str) -> list[DataFrame]:
-    return [r.withColumn("severity", F.lit(severity)) for r in results]
 
+def model_tests(name: str, models: dict[str, DataFrame], deferred: bool = False) -> DataFrame | None:
+    """Every test declared for one model: model, column, test, failures, severity.
 
-def all_tests(models: dict[str, DataFrame], deferred: bool = False) -> DataFrame:
-    """Every test on the models given: model, column, test, failures, severity."""
-    have = models.keys()
-    checks = [not_null(models[m], m, cs) for m, cs in NOT_NULL.items() if m in have]
-    checks += [unique(models[m], m, c) for m, c in UNIQUE.items() if m in have]
-    checks += [relationship(models, r) for r in RELATIONSHIPS if {r.child, r.parent} <= have]
-    results = _with_severity(checks, "error")
+    ``models`` holds the model and whatever its keys refer to. All tests of single
+    columns are one pass; each tested key is one grouped pass over that column.
+    """
+    df = models[name]
+
+    def of(kind: str, not_null_of: dict, unique_of, relationships, accepted) -> list[DataFrame]:
+        found = []
+        columns, values = not_null_of.get(name, ()), {c: v for (m, c), v in accepted.items() if m == name}
+        if columns or values:
+            found.append(column_tests(df, name, columns, values))
+        found += [unique(df, name, c) for m, c in unique_of if m == name]
+        found += [relationship(models, r) for r in relationships if r.child == name]
+        return [f.withColumn("severity", F.lit(kind)) for f in found]
+
+    results = of("error", NOT_NULL, UNIQUE.items(), RELATIONSHIPS, {})
     if deferred:
-        soft = [not_null(models[m], m, cs) for m, cs in DEFERRED_NOT_NULL.items() if m in have]
-        soft += [unique(models[m], m, c) for m, c in DEFERRED_UNIQUE if m in have]
-        soft += [relationship(models, r) for r in DEFERRED_RELATIONSHIPS if {r.child, r.parent} <= have]
-        soft += [
-            accepted_values(models[m], m, c, values)
-            for (m, c), values in ACCEPTED_VALUES.items()
-            if m in have
-        ]
-        results += _with_severity(soft, "warn")
-    return reduce(DataFrame.unionByName, results)
+        results += of("warn", DEFERRED_NOT_NULL, DEFERRED_UNIQUE, DEFERRED_RELATIONSHIPS, ACCEPTED_VALUES)
+    return reduce(DataFrame.unionByName, results) if results else None
+
+
+def parents(name: str, deferred: bool = False) -> set[str]:
+    """The models that the tests of a model compare it with."""
+    tests = (*RELATIONSHIPS, *DEFERRED_RELATIONSHIPS) if deferred else RELATIONSHIPS
+    return {r.parent for r in tests if r.child == name}

@@ -2,7 +2,7 @@
 
 The projection follows the contract: declared numbers are cast, declared personal
 columns are hashed, everything else passes through. Under ANSI a value that is
-not a number stops the run.
+not a number stops the run, and so does a fraction in a column of whole numbers.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, FractionalType
 
 from martweave.functions.audit import Run
 from martweave.functions.calendar import moment
@@ -31,6 +32,15 @@ RENAMED = {
 _NUMBERS = {"bigint", "double"}
 
 
+def _number(value: Column, stored: DataType, kind: str, name: str) -> Column:
+    """The value as a number; a fraction where a whole number is declared stops the run."""
+    number = value.cast(kind)
+    if kind != "bigint" or not isinstance(stored, FractionalType):
+        return number
+    text = F.concat(F.lit(f"{name} is declared {kind} and holds "), value.cast("string"))
+    return F.when(value.isNull() | (value == F.floor(value)), number).otherwise(F.raise_error(text))
+
+
 def _stage(
     raw: DataFrame,
     model: str,
@@ -47,7 +57,7 @@ def _stage(
         if name in contract.personal:
             value = pseudonymise(value, salt)
         elif kind in _NUMBERS:
-            value = value.cast(kind)
+            value = _number(value, raw.schema[RENAMED[model].get(name, name)].dataType, kind, name)
         selected.append(value.alias(name))
     return run.stamp(raw.select(*selected))
 

@@ -1,7 +1,9 @@
 """Build of all models in dependency order: views stay lazy, marts are written.
 
 Each mart is checked against its contract, written, and read back, so the facts
-are computed once and whatever builds on them scans columns of a stored table.
+are computed once and whatever builds on them scans columns of a stored table. The
+tests of a model run on what was written, before it is put in force and before
+anything is built on it; the last check is that both facts tell the same.
 """
 
 from __future__ import annotations
@@ -12,12 +14,15 @@ from dataclasses import dataclass, field
 from datetime import date
 from graphlib import TopologicalSorter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from martweave.functions.audit import Run
 from martweave.operators import dimensions, facts, staging
 from martweave.operators.contracts import CONTRACTS, classify, enforce
-from martweave.operators.quality import all_tests
+from martweave.functions.money import UNITS
+from martweave.operators import metrics
+from martweave.operators.quality import model_tests, parents
 from martweave.plans.namespaces import schema_name
 from martweave.sources.landed import LandedTable
 
@@ -32,6 +37,7 @@ class Inputs:
     salt: Column
     horizon: date = staging.HORIZON
     calendar_end: date | None = None
+    units: float | None = UNITS  # money is counted in; None adds doubles
 
 
 @dataclass(frozen=True)
@@ -88,21 +94,33 @@ MODELS = {
     "fct_orders": Model(
         "marts",
         ("fct_order_items", "stg_orders"),
-        lambda i, m: facts.fct_orders(m["fct_order_items"], m["stg_orders"], i.run),
+        lambda i, m: facts.fct_orders(m["fct_order_items"], m["stg_orders"], i.run, i.units),
         month_of="ordered_date",
         key="order_id",
     ),
 }
 
 
+_TEST_COLUMNS = ("model", "column", "test", "failures", "severity")
+TEST = "model string, column string, test string, failures bigint, severity string"
+
+
 class TestsFailed(RuntimeError):
     """Data tests of severity error found violations."""
 
     __test__ = False  # not a test class
 
 
+def _raise(results: list[Row]) -> None:
+    failed = [r for r in results if r.severity == "error" and r.failures]
+    if failed:
+        raise TestsFailed("; ".join(f"{r.test} {r.model}.{r.column}: {r.failures}" for r in failed))
+
+
 @dataclass
 class Built:
+    """The models, and the results of their tests: one row per declared test, counted once."""
+
     models: dict[str, DataFrame] = field(default_factory=dict)
     tests: DataFrame | None = None
 
@@ -112,12 +130,35 @@ class Built:
             df.createOrReplaceTempView(name)
 
     def raise_on_failure(self) -> None:
-        """At most one row per declared test is fetched."""
-        failed = self.tests.filter("severity = 'error' and failures > 0").collect()
-        if failed:
-            raise TestsFailed(
-                "; ".join(f"{r.test} {r.model}.{r.column}: {r.failures}" for r in failed)
-            )
+        _raise(self.tests.collect())
+
+
+def coherent_facts(models: dict[str, DataFrame], units: float | None = UNITS) -> DataFrame:
+    """Countries in which the two facts differ, for each metric that both have.
+
+    Items whose order is not there belong to one fact only and are left out; they
+    are what ``fk_orphans`` lists.
+    """
+    names, by = ["net_revenue", "gross_margin", "items"], ["country"]
+    lookup = (metrics.Lookup(models["dim_users"], "user_id", "user_id", ("country",)),)
+    orders = models["fct_orders"]
+    items = models["fct_order_items"].join(orders.select("order_id"), "order_id", "left_semi")
+    compared = metrics.coherence(
+        metrics.measure(items, "fct_order_items", names, by, lookup, units),
+        metrics.measure(orders, "fct_orders", names, by, lookup, units),
+        by,
+        names,
+        0.0 if units else 1e-6,
+    )
+    return compared.groupBy(F.col("metric").alias("column")).agg(
+        F.count_if(~F.col("coherent")).alias("failures")
+    ).select(
+        F.lit("fct_orders").alias("model"),
+        "column",
+        F.lit("coherence:fct_order_items").alias("test"),
+        "failures",
+        F.lit("error").alias("severity"),
+    )
 
 
 def lazy_models(inputs: Inputs, wanted: tuple[str, ...] = tuple(MODELS)) -> dict[str, DataFrame]:
@@ -154,16 +195,30 @@ def build(
     base: str = "analytics",
     workers: int = 4,
     deferred_tests: bool = False,
+    gate: bool = True,
 ) -> Built:
-    """Build every model under ``root`` and set up its tests.
+    """Build and test every model under ``root``.
 
-    Models that do not need each other are submitted side by side. A stored model
-    that is in already for this run id is not written again, so a build that died
-    half-way is finished by running it again under its run id.
+    Models that do not need each other are submitted side by side. A model whose
+    tests of severity error fail raises TestsFailed: it is not put in force, and
+    nothing is built on it. With ``gate`` off all is built and the results tell. A
+    stored model that is in already for this run id is not written again, so a build
+    that died half-way is finished by running it again under its run id.
     """
-    graph = TopologicalSorter({name: model.needs for name, model in MODELS.items()})
+    tested = {name: parents(name, deferred_tests) for name in MODELS}
+    graph = TopologicalSorter({name: {*model.needs, *tested[name]} for name, model in MODELS.items()})
     graph.prepare()
     built: dict[str, DataFrame] = {}
+    results: list[Row] = []
+
+    def passed(found: DataFrame | None) -> None:
+        rows = found.collect() if found is not None else []  # one per test
+        results.extend(rows)
+        if gate:
+            _raise(rows)
+
+    def check(name: str, df: DataFrame) -> None:
+        passed(model_tests(name, {p: built[p] for p in tested[name]} | {name: df}, deferred_tests))
 
     def make(name: str) -> tuple[str, DataFrame]:
         model = MODELS[name]
@@ -171,8 +226,13 @@ def build(
         if model.stored:
             place = f"{root.rstrip('/')}/{schema_name(environment, base, model.layer)}"
             table = mart(inputs.spark, place, name)
-            table.replace(df, inputs.run.run_id)
+            if table.has(inputs.run.run_id):
+                check(name, table.read())
+            else:
+                table.replace(df, inputs.run.run_id, lambda rows: check(name, rows))
             df = classify(table.read(), name)
+        else:
+            check(name, df)
         return name, df
 
     with ThreadPoolExecutor(workers) as pool:
@@ -184,4 +244,5 @@ def build(
                 name, df = future.result()
                 built[name] = df
                 graph.done(name)
-    return Built(built, all_tests(built, deferred_tests))
+    passed(coherent_facts(built, inputs.units))
+    return Built(built, inputs.spark.createDataFrame([tuple(r[c] for c in _TEST_COLUMNS) for r in results], TEST))

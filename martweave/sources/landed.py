@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
@@ -123,6 +123,10 @@ class LandedTable:
         """The version in force; version 0 of a table nothing was loaded into."""
         return self._in_force()[0]
 
+    def has(self, load_id: str) -> bool:
+        """Whether a load is in."""
+        return self._in_force(load_id)[1]
+
     def loads(self) -> DataFrame:
         """One row per load: version, id, cursor after it and rows it brought."""
         return self._commits().select("version", "load_id", "last_value", "rows").distinct()
@@ -207,8 +211,13 @@ class LandedTable:
             one.write.mode("overwrite").partitionBy("load_id").parquet(place)
         return commit
 
-    def replace(self, df: DataFrame, load_id: str) -> Commit:
-        """Drop the old rows and keep these; a load that is in already is skipped."""
+    def replace(
+        self, df: DataFrame, load_id: str, check: Callable[[DataFrame], None] | None = None
+    ) -> Commit:
+        """Drop the old rows and keep these; a load that is in already is skipped.
+
+        ``check`` sees the rows as written; if it raises, the old ones stay in force.
+        """
         before, seen = self._in_force(load_id)
         if seen:
             return before
@@ -216,6 +225,8 @@ class LandedTable:
         df = stamp_load(df, load_id) if self.stamped else df
         version = before.version + 1
         places, rows = self._write(df, self._place(version, "new"), spread=True)
+        if check is not None:
+            check(self._read(places))
         return self._commit(Commit(version, load_id, places, None, rows))
 
     def merge(

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime, timezone
 
 import pytest
 from conftest import values
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from martweave.functions.audit import Run
@@ -48,7 +50,7 @@ def built(spark, folder, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("marts"))
     run = Run("run-1", datetime(2024, 1, 1, tzinfo=timezone.utc))
     made = inputs(spark, entry.OrderTables(spark, folder), run)
-    return root, made, plan.build(made, root, deferred_tests=True)
+    return root, made, plan.build(made, root, deferred_tests=True, gate=False)
 
 
 def test_marts_hold_what_the_plans_say(spark, built):
@@ -71,7 +73,7 @@ def test_audit_columns_are_those_of_the_run(built):
 def test_all_declared_tests_run(built):
     _, _, result = built
     hard = result.tests.filter("severity = 'error'")
-    assert hard.count() == 30
+    assert hard.count() == 30 + 3  # the declared ones and the facts' coherence
     # The smallest tables hold one line twice; nothing else fails.
     failed = values(hard.filter("failures > 0"), "model", "test", "failures")
     assert failed == [("fct_order_items", "unique", 1), ("stg_order_items", "unique", 1)]
@@ -106,7 +108,7 @@ def test_building_again_under_the_same_run_writes_nothing(spark, built):
     root, made, _ = built
     mart = plan.mart(spark, f"{root}/analytics_marts", "fct_orders")
     before = mart.state()
-    plan.build(made, root)
+    plan.build(made, root, gate=False)
     assert mart.state() == before
 
 
@@ -126,3 +128,45 @@ def test_a_model_that_breaks_its_contract_is_not_written(spark, folder, tmp_path
     with pytest.raises(ContractError, match="missing column sku"):
         plan.build(inputs(spark, tables, Run("r")), str(tmp_path))
     assert plan.mart(spark, f"{tmp_path}/analytics_marts", "dim_products").state().version == 0
+
+
+def test_a_repeated_product_stops_the_build_before_anything_hangs_on_it(spark, folder, tmp_path):
+    tables = entry.OrderTables(spark, folder)
+    made = inputs(spark, tables, Run("r"))
+
+    def raw(name):
+        rows = made.raw(name)
+        return rows.unionByName(rows.limit(1)) if name == "products" else rows
+
+    with pytest.raises(plan.TestsFailed, match="unique stg_products.product_id: 1"):
+        plan.build(replace(made, raw=raw), str(tmp_path))
+    for name in ("dim_products", "fct_order_items", "fct_orders"):
+        assert plan.mart(spark, f"{tmp_path}/analytics_marts", name).state().version == 0
+
+
+def test_a_mart_that_fails_its_tests_leaves_the_old_one_in_force(spark, folder, tmp_path, monkeypatch):
+    made = inputs(spark, entry.OrderTables(spark, folder), Run("r"))
+    table = plan.mart(spark, str(tmp_path), "dim_products")
+    rows = plan.lazy_models(made, ("dim_products",))["dim_products"]
+    table.replace(rows, "one")
+
+    def refuse(_):
+        raise plan.TestsFailed("no")
+
+    with pytest.raises(plan.TestsFailed):
+        table.replace(rows.limit(1), "two", refuse)
+    assert table.state().version == 1 and table.read().count() == rows.count()
+
+
+def test_facts_that_differ_are_found(spark, built):
+    _, _, result = built
+    assert {r.failures for r in plan.coherent_facts(result.models).collect()} == {0}
+    changed = result.models["fct_orders"].withColumn("total_revenue_net", F.col("total_revenue_net") + (F.col("user_id") == 1).cast("int"))
+    failed = {r.column: r.failures for r in plan.coherent_facts({**result.models, "fct_orders": changed}).collect()}
+    assert failed["net_revenue"] <= 1 and failed["items"] == 0
+
+
+def test_units_of_money_reach_the_facts(spark, folder, tmp_path):
+    made = inputs(spark, entry.OrderTables(spark, folder), Run("r"))
+    whole = plan.lazy_models(replace(made, units=1.0), ("fct_orders",))["fct_orders"]
+    assert whole.filter("total_revenue_gross != floor(total_revenue_gross)").isEmpty()

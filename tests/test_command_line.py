@@ -36,6 +36,8 @@ def test_ingest_then_build(spark, folder, tmp_path, monkeypatch):
     with pytest.raises(SaltMissing):
         main(build)
     monkeypatch.setenv("PSEUDONYMISATION_SALT", "s")
+    with pytest.raises(FileNotFoundError, match="nothing was ever loaded"):
+        main([*build[:2], str(tmp_path / "mistyped"), *build[3:]])
     try:
         main(build)
     except TestsFailed as failed:

@@ -96,7 +96,7 @@ def test_exact_sum_does_not_depend_on_order(spark):
 def test_exact_sum_skips_nulls_and_is_null_of_none(spark):
     df = spark.createDataFrame([(1, 1.25), (1, None), (2, None)], "k int, a double")
     got = df.groupBy("k").agg(
-        money.exact_sum("a").alias("s"), money.exact_avg("a").alias("m"), money.exact_sum("a", exact=False).alias("f")
+        money.exact_sum("a").alias("s"), money.exact_avg("a").alias("m"), money.exact_sum("a", units=None).alias("f")
     )
     assert {tuple(r) for r in got.collect()} == {(1, 1.25, 1.25, 1.25), (2, None, None, None)}
 
@@ -132,3 +132,13 @@ def test_one_run_one_stamp(spark):
     again = Run("second", datetime(2024, 1, 1, tzinfo=timezone.utc)).stamp(stamped)
     assert again.select("_run_id").distinct().first()[0] == "second"
     assert again.columns == stamped.columns
+
+
+def test_units_and_odd_amounts(spark):
+    tiny = spark.range(1000).select(F.lit(0.00004).alias("a"))
+    assert tiny.agg(money.exact_sum("a")).first()[0] == 0.0
+    assert tiny.agg(money.exact_sum("a", units=1e6)).first()[0] == 0.04
+    assert abs(tiny.agg(money.exact_sum("a", units=None)).first()[0] - 0.04) < 1e-12
+    odd = spark.createDataFrame([(1, 1.5), (1, float("nan")), (2, 2.5), (2, float("inf")), (3, 1e300), (4, None)], "k int, a double")
+    got = dict(odd.groupBy("k").agg(money.exact_sum("a")).collect())
+    assert got[1] != got[1] and got[2] == float("inf") and got[3] == 1e300 and got[4] is None

@@ -183,3 +183,17 @@ def test_calendar_row(spark):
     assert [tuple(r) for r in rows] == [
         (date(2024, 1, 7), 2024, 1, 1, 7, 0, 7, "2024-01", "2024-Q1", True)
     ]
+
+
+def test_a_fraction_in_a_whole_number_stops_the_run(spark):
+    def staged(value):
+        raw = spark.createDataFrame([(1, value)], "id bigint, order_id double")
+        rest = [c for c in LANDINGS["order_items"].ddl.split(", ") if c.split()[0] not in raw.columns]
+        for c in rest:
+            name, kind = c.split()
+            raw = raw.withColumn(name, F.lit("2030-01-01").cast(kind) if name == "created_at" else F.lit(None).cast(kind))
+        return staging.stg_order_items(raw, RUN).first().order_id
+
+    assert staged(2.0) == 2 and staged(None) is None
+    with pytest.raises(Exception, match="declared bigint and holds 2.7"):
+        staged(2.7)

@@ -77,10 +77,19 @@ def test_classes_travel_with_the_schema(spark):
     classed = contracts.classify(users, "dim_users")
     assert "email" not in contracts.visible_to(classed, {"public"}).columns
     assert "_run_id" not in contracts.visible_to(classed, {"public"}).columns
-    assert "email" in contracts.visible_to(classed.filter("age > 1"), {"public", "pii"}).columns
+    personal = contracts.visible_to(classed.filter("age > 1"), {"public", "pii"}).columns
+    assert "first_name" in personal and "email" not in personal
+    assert "email" in contracts.visible_to(classed, {"sensitive_pii"}).columns
     assert contracts.visible_to(users, {"public"}).columns == []
 
 
+def test_an_author_may_class_a_column():
+    own = contracts.Contract("m", (("a", "int"), ("b", "int")), classes=(("a", "sensitive_pii"),))
+    assert (own.data_class("a"), own.data_class("b")) == ("sensitive_pii", "public")
+    with pytest.raises(contracts.ContractError, match="no data class secret"):
+        contracts.Contract("m", (("a", "int"),), classes=(("a", "secret"),))
+
+
 # --- metrics --------------------------------------------------------------
 
 

@@ -55,49 +55,55 @@ SIDE_NAMES = (
     "navigation breadcrumb breadcrumbs pagination pager toolbar header masthead topbar footer foot copyright "
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription "
     "signup login register form search share sharing social related recommended recommendations "
-    "trending popular skip legal disclaimer"
+    "trending popular skip legal disclaimer responses feedback toast paywall teaser teasers sponsors adverts "
+    "advertisements adbox adslot adsense topnav sidenav subnav sitenav commentlist"
 ).split()
 MAIN_NAMES = "article main content post entry story body".split()
 SIDE_ROLES = "navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split()
 
-# Labelled blocks: sort of element, inside an article, side name, words, link density, words and link density
-# of the block before and of the block after, and whether it is main text.
+# Fixed values. Labelled blocks: sort of element, inside an article, side name, words, link density, words and link density
+# of the block before and of the block after, outside the page's article, and whether it is main text.
 EXAMPLES = [
-    (CHROME, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0), (CHROME, 0, 0, 2, 1.0, 1, 1.0, 1, 1.0, 0),
-    (CHROME, 0, 0, 12, 0.0, 40, 0.0, 0, 0.0, 0), (CHROME, 0, 0, 30, 0.1, 3, 0.0, 0, 0.0, 0),
-    (CHROME, 0, 1, 4, 0.5, 0, 0.0, 9, 0.0, 0), (CHROME, 0, 0, 60, 0.0, 80, 0.0, 0, 0.0, 0),
-    (SIDE, 0, 0, 25, 0.0, 40, 0.0, 9, 0.0, 0), (SIDE, 1, 0, 30, 0.2, 50, 0.0, 50, 0.0, 0),
-    (SIDE, 0, 1, 3, 1.0, 3, 1.0, 3, 1.0, 0), (SIDE, 0, 0, 70, 0.0, 70, 0.0, 0, 0.0, 0),
-    (FORM, 0, 0, 2, 0.0, 9, 0.0, 2, 0.0, 0), (FORM, 1, 0, 14, 0.0, 60, 0.0, 1, 0.0, 0),
-    (SIDE, 1, 0, 3, 1.0, 3, 1.0, 3, 1.0, 0), (FORM, 1, 0, 4, 1.0, 30, 0.0, 1, 1.0, 0),
-    (SIDE, 0, 0, 1, 0.0, 2, 0.0, 1, 0.0, 0), (SIDE, 1, 0, 6, 0.0, 3, 0.0, 60, 0.0, 0),
-    (SIDE, 1, 0, 9, 0.0, 1, 0.0, 2, 0.0, 0), (SIDE, 0, 0, 40, 0.0, 2, 0.0, 70, 0.0, 0),
-    (SIDE, 0, 0, 8, 0.0, 60, 0.0, 80, 0.0, 0), (SIDE, 1, 0, 80, 0.1, 30, 0.0, 3, 0.0, 0),
-    (CHROME, 0, 0, 3, 0.0, 2, 0.0, 1, 0.0, 0), (CHROME, 1, 0, 15, 0.0, 1, 0.0, 70, 0.0, 0),
-    (CHROME, 0, 0, 7, 0.0, 0, 0.0, 60, 0.0, 0), (CHROME, 1, 0, 40, 0.0, 60, 0.0, 8, 0.0, 0),
-    (CHROME, 0, 0, 1, 0.0, 70, 0.0, 1, 0.0, 0), (CHROME, 1, 0, 6, 0.0, 8, 0.0, 9, 0.0, 0),
-    (FORM, 0, 0, 3, 0.0, 2, 0.0, 70, 0.0, 0), (FORM, 1, 0, 1, 0.0, 1, 0.0, 2, 0.0, 0),
-    (FORM, 0, 0, 30, 0.0, 5, 0.0, 9, 0.0, 0), (FORM, 1, 0, 9, 0.0, 60, 0.0, 60, 0.0, 0),
-    (FORM, 0, 1, 40, 0.0, 3, 0.0, 0, 0.0, 0), (PLAIN, 0, 1, 10, 0.0, 1, 1.0, 9, 0.0, 0),
-    (PLAIN, 0, 1, 45, 0.0, 1, 1.0, 30, 0.0, 0), (PLAIN, 0, 1, 120, 0.0, 60, 0.0, 60, 0.0, 0),
-    (PLAIN, 0, 1, 1, 0.0, 5, 0.0, 5, 0.0, 0), (PLAIN, 0, 1, 8, 1.0, 8, 1.0, 8, 1.0, 0),
-    (ARTICLE, 1, 1, 20, 0.0, 60, 0.0, 60, 0.0, 0), (ARTICLE, 1, 1, 3, 0.0, 60, 0.0, 10, 0.0, 0),
-    (ARTICLE, 1, 1, 50, 0.3, 60, 0.0, 10, 0.0, 0), (CHROME, 1, 0, 2, 1.0, 2, 1.0, 2, 1.0, 0),
-    (ARTICLE, 1, 0, 9, 0.0, 12, 0.0, 40, 0.0, 1), (ARTICLE, 1, 0, 1, 0.0, 30, 0.0, 20, 0.0, 1),
-    (ARTICLE, 1, 0, 60, 0.0, 1, 0.0, 60, 0.0, 1), (ARTICLE, 1, 0, 60, 0.4, 30, 0.0, 60, 0.0, 1),
-    (ARTICLE, 1, 0, 5, 1.0, 30, 0.0, 60, 0.0, 1), (ARTICLE, 1, 0, 300, 0.0, 1, 1.0, 12, 0.0, 1),
-    (ARTICLE, 1, 0, 2, 0.0, 0, 0.0, 0, 0.0, 1), (ARTICLE, 1, 0, 8, 0.0, 10, 0.0, 10, 0.0, 1),
-    (ARTICLE, 1, 0, 20, 0.0, 1, 1.0, 1, 1.0, 1), (ARTICLE, 1, 0, 3, 1.0, 3, 1.0, 3, 1.0, 1),
-    (PLAIN, 0, 0, 60, 0.0, 50, 0.0, 70, 0.0, 1), (PLAIN, 0, 0, 30, 0.1, 5, 0.0, 40, 0.0, 1),
-    (PLAIN, 0, 0, 25, 0.0, 60, 0.0, 0, 0.0, 1), (PLAIN, 0, 0, 18, 0.0, 30, 0.0, 1, 1.0, 1),
-    (PLAIN, 0, 0, 80, 0.2, 1, 1.0, 1, 1.0, 1), (PLAIN, 0, 0, 6, 0.0, 2, 0.0, 50, 0.0, 1),
-    (PLAIN, 0, 0, 4, 0.0, 60, 0.0, 60, 0.0, 1), (PLAIN, 0, 0, 12, 0.0, 0, 0.0, 0, 0.0, 1),
-    (PLAIN, 0, 0, 2, 0.0, 0, 0.0, 30, 0.0, 1), (PLAIN, 0, 0, 9, 0.0, 0, 0.0, 2, 0.0, 1),
-    (PLAIN, 0, 0, 1, 1.0, 1, 1.0, 1, 1.0, 0), (PLAIN, 0, 0, 3, 1.0, 0, 0.0, 2, 1.0, 0),
-    (PLAIN, 0, 0, 9, 0.9, 3, 0.0, 60, 0.0, 0), (PLAIN, 0, 0, 20, 0.8, 10, 0.7, 10, 0.7, 0),
-    (PLAIN, 0, 0, 40, 0.7, 10, 0.7, 10, 0.0, 0), (PLAIN, 0, 0, 2, 0.6, 1, 1.0, 1, 1.0, 0),
+    (CHROME, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0, 0), (CHROME, 0, 0, 2, 1.0, 1, 1.0, 1, 1.0, 0, 0),
+    (CHROME, 0, 0, 12, 0.0, 40, 0.0, 0, 0.0, 0, 0), (CHROME, 0, 0, 30, 0.1, 3, 0.0, 0, 0.0, 0, 0),
+    (CHROME, 0, 1, 4, 0.5, 0, 0.0, 9, 0.0, 0, 0), (CHROME, 0, 0, 60, 0.0, 80, 0.0, 0, 0.0, 0, 0),
+    (SIDE, 0, 0, 25, 0.0, 40, 0.0, 9, 0.0, 0, 0), (SIDE, 1, 0, 30, 0.2, 50, 0.0, 50, 0.0, 0, 0),
+    (SIDE, 0, 1, 3, 1.0, 3, 1.0, 3, 1.0, 0, 0), (SIDE, 0, 0, 70, 0.0, 70, 0.0, 0, 0.0, 0, 0),
+    (FORM, 0, 0, 2, 0.0, 9, 0.0, 2, 0.0, 0, 0), (FORM, 1, 0, 14, 0.0, 60, 0.0, 1, 0.0, 0, 0),
+    (SIDE, 1, 0, 3, 1.0, 3, 1.0, 3, 1.0, 0, 0), (FORM, 1, 0, 4, 1.0, 30, 0.0, 1, 1.0, 0, 0),
+    (SIDE, 0, 0, 1, 0.0, 2, 0.0, 1, 0.0, 0, 0), (SIDE, 1, 0, 6, 0.0, 3, 0.0, 60, 0.0, 0, 0),
+    (SIDE, 1, 0, 9, 0.0, 1, 0.0, 2, 0.0, 0, 0), (SIDE, 0, 0, 40, 0.0, 2, 0.0, 70, 0.0, 0, 0),
+    (SIDE, 0, 0, 8, 0.0, 60, 0.0, 80, 0.0, 0, 0), (SIDE, 1, 0, 80, 0.1, 30, 0.0, 3, 0.0, 0, 0),
+    (CHROME, 0, 0, 3, 0.0, 2, 0.0, 1, 0.0, 0, 0), (CHROME, 1, 0, 15, 0.0, 1, 0.0, 70, 0.0, 0, 0),
+    (CHROME, 0, 0, 7, 0.0, 0, 0.0, 60, 0.0, 0, 0), (CHROME, 1, 0, 40, 0.0, 60, 0.0, 8, 0.0, 0, 0),
+    (CHROME, 0, 0, 1, 0.0, 70, 0.0, 1, 0.0, 0, 0), (CHROME, 1, 0, 6, 0.0, 8, 0.0, 9, 0.0, 0, 0),
+    (FORM, 0, 0, 3, 0.0, 2, 0.0, 70, 0.0, 0, 0), (FORM, 1, 0, 1, 0.0, 1, 0.0, 2, 0.0, 0, 0),
+    (FORM, 0, 0, 30, 0.0, 5, 0.0, 9, 0.0, 0, 0), (FORM, 1, 0, 9, 0.0, 60, 0.0, 60, 0.0, 0, 0),
+    (FORM, 0, 1, 40, 0.0, 3, 0.0, 0, 0.0, 0, 0), (PLAIN, 0, 1, 10, 0.0, 1, 1.0, 9, 0.0, 0, 0),
+    (PLAIN, 0, 1, 45, 0.0, 1, 1.0, 30, 0.0, 0, 0), (PLAIN, 0, 1, 120, 0.0, 60, 0.0, 60, 0.0, 0, 0),
+    (PLAIN, 0, 1, 1, 0.0, 5, 0.0, 5, 0.0, 0, 0), (PLAIN, 0, 1, 8, 1.0, 8, 1.0, 8, 1.0, 0, 0),
+    (ARTICLE, 1, 1, 20, 0.0, 60, 0.0, 60, 0.0, 0, 0), (ARTICLE, 1, 1, 3, 0.0, 60, 0.0, 10, 0.0, 0, 0),
+    (ARTICLE, 1, 1, 50, 0.3, 60, 0.0, 10, 0.0, 0, 0), (CHROME, 1, 0, 2, 1.0, 2, 1.0, 2, 1.0, 0, 0),
+    (ARTICLE, 1, 0, 9, 0.0, 12, 0.0, 40, 0.0, 0, 1), (ARTICLE, 1, 0, 1, 0.0, 30, 0.0, 20, 0.0, 0, 1),
+    (ARTICLE, 1, 0, 60, 0.0, 1, 0.0, 60, 0.0, 0, 1), (ARTICLE, 1, 0, 60, 0.4, 30, 0.0, 60, 0.0, 0, 1),
+    (ARTICLE, 1, 0, 5, 1.0, 30, 0.0, 60, 0.0, 0, 1), (ARTICLE, 1, 0, 300, 0.0, 1, 1.0, 12, 0.0, 0, 1),
+    (ARTICLE, 1, 0, 2, 0.0, 0, 0.0, 0, 0.0, 0, 1), (ARTICLE, 1, 0, 8, 0.0, 10, 0.0, 10, 0.0, 0, 1),
+    (ARTICLE, 1, 0, 20, 0.0, 1, 1.0, 1, 1.0, 0, 1), (ARTICLE, 1, 0, 3, 1.0, 3, 1.0, 3, 1.0, 0, 1),
+    (PLAIN, 0, 0, 60, 0.0, 50, 0.0, 70, 0.0, 0, 1), (PLAIN, 0, 0, 30, 0.1, 5, 0.0, 40, 0.0, 0, 1),
+    (PLAIN, 0, 0, 25, 0.0, 60, 0.0, 0, 0.0, 0, 1), (PLAIN, 0, 0, 18, 0.0, 30, 0.0, 1, 1.0, 0, 1),
+    (PLAIN, 0, 0, 80, 0.2, 1, 1.0, 1, 1.0, 0, 1), (PLAIN, 0, 0, 6, 0.0, 2, 0.0, 50, 0.0, 0, 1),
+    (PLAIN, 0, 0, 4, 0.0, 60, 0.0, 60, 0.0, 0, 1), (PLAIN, 0, 0, 12, 0.0, 0, 0.0, 0, 0.0, 0, 1),
+    (PLAIN, 0, 0, 2, 0.0, 0, 0.0, 30, 0.0, 0, 1), (PLAIN, 0, 0, 9, 0.0, 0, 0.0, 2, 0.0, 0, 1),
+    (PLAIN, 0, 0, 1, 1.0, 1, 1.0, 1, 1.0, 0, 0), (PLAIN, 0, 0, 3, 1.0, 0, 0.0, 2, 1.0, 0, 0),
+    (PLAIN, 0, 0, 9, 0.9, 3, 0.0, 60, 0.0, 0, 0), (PLAIN, 0, 0, 20, 0.8, 10, 0.7, 10, 0.7, 0, 0),
+    (PLAIN, 0, 0, 40, 0.7, 10, 0.7, 10, 0.0, 0, 0), (PLAIN, 0, 0, 2, 0.6, 1, 1.0, 1, 1.0, 0, 0),
+    (PLAIN, 0, 0, 12, 0.0, 1, 1.0, 40, 0.0, 1, 0), (PLAIN, 0, 0, 60, 0.0, 30, 0.0, 50, 0.0, 1, 0),
+    (PLAIN, 0, 0, 3, 0.0, 60, 0.0, 9, 0.0, 1, 0), (PLAIN, 0, 0, 25, 0.1, 5, 0.0, 60, 0.0, 1, 0),
+    (PLAIN, 0, 0, 8, 0.0, 10, 0.0, 10, 0.0, 1, 0), (PLAIN, 0, 0, 1, 0.0, 2, 0.0, 30, 0.0, 1, 0),
+    (PLAIN, 0, 0, 30, 0.0, 60, 0.0, 60, 0.0, 1, 0), (PLAIN, 0, 0, 90, 0.2, 0, 0.0, 2, 0.0, 1, 0),
+    (PLAIN, 0, 0, 15, 0.0, 0, 0.0, 12, 0.0, 1, 0), (PLAIN, 0, 0, 5, 0.0, 80, 0.0, 0, 0.0, 1, 0),
 ]
-TITLES = ("sort", "in_article", "side_name", "words", "links", "words_before", "links_before", "words_after", "links_after")
+TITLES = ("sort", "in_article", "side_name", "words", "links", "words_before", "links_before", "words_after", "links_after", "outside")
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)(?:((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)|([^>]*))>", re.S)
 _NAMES = re.compile(r"(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -277,13 +283,14 @@ def blocks(page: str) -> list[Block]:
 def chosen(found: list[Block]) -> list[bool]:
     """Which blocks are main text."""
     root, out = tree(), []
+    has_article = any(b.sort == ARTICLE and not b.side_name for b in found)
     for k, b in enumerate(found):
         before = found[k - 1] if k else None
         after = found[k + 1] if k + 1 < len(found) else None
         row = (
             b.sort == CHROME, b.sort == SIDE, b.sort == FORM, b.in_article, b.side_name, b.words, b.links,
             before.words if before else 0, before.links if before else 0.0,
-            after.words if after else 0, after.links if after else 0.0,
+            after.words if after else 0, after.links if after else 0.0, has_article and not b.in_article,
         )
         node = root
         while node.feature >= 0:

@@ -43,6 +43,8 @@ def test_html():
     assert html_text.main_text(plain)[0] == "Head Some text here."
     assert html_text.main_text("just text &amp; more")[0] == "just text & more"
     assert html_text.main_text(None)[0] == html_text.main_text("<p>")[0] == ""
+    outside = "<div>Breaking: read this.</div><main><p>The text.</p><aside><article><p>Card</p></article></aside></main><div>More</div>"
+    assert html_text.main_text(outside)[0] == "The text."
     html_text.main_text("<div>" * 20000 + "x" + "</p>" * 20000)
 
 

@@ -1124,7 +1124,9 @@ def build_run(c: Context) -> DataFrame:
 # --- training data --------------------------------------------------------
 
 # The operators of ``llm`` are registered where the subpackage is installed.
-if importlib.util.find_spec("martweave.llm") and importlib.util.find_spec("corpus_pipeline"):
+if all(map(importlib.util.find_spec, ("martweave.llm", "corpus_pipeline"))) and importlib.util.find_spec(
+    "martweave.llm.queries"
+):
     import corpus_pipeline  # noqa: E402
     from martweave.llm import queries as llm  # noqa: E402
 

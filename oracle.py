@@ -26,6 +26,7 @@ def hashed(column: str) -> str:
     return f"sha256({column} || '{SALT}')"
 
 
+# Columns of the models.
 USERS = (
     "user_id first_name last_name email street_address age gender state postal_code city "
     "country latitude longitude traffic_source registered_at"

@@ -75,28 +75,30 @@ class Encoder:
         self.known: dict[int, int] = {}
         self.ids, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def alone(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of pieces, each by itself.
+    def alone(self, pieces: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Each piece encoded by itself: an order of the pieces, and in it their numbers of ids and the ids.
 
         Only a piece of white space holds a line break; between two others a break is a
         piece and an id of its own, so that one text takes many pieces.
         """
-        out: list = [None] * len(pieces)
         lone = len(self.newline) == 1
         many = [i for i, p in enumerate(pieces) if lone and not p[-1].isspace()]
         single = [i for i, p in enumerate(pieces) if not lone or p[-1].isspace()]
         groups = [many[k : k + LINES] for k in range(0, len(many), LINES)]
         lines = ["\n".join(map(pieces.__getitem__, g)) for g in groups]
+        counts, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
         for g, made in zip(groups, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
-            ids = np.array(made.ids, np.int32)
-            parts = np.split(ids, np.flatnonzero(ids == self.newline[0]))
-            assert len(parts) == len(g)
-            for n, (i, part) in enumerate(zip(g, parts)):
-                out[i] = part[1:] if n else part
+            all_ids = np.array(made.ids, np.int32)
+            breaks = np.flatnonzero(all_ids == self.newline[0])
+            if len(breaks) != len(g) - 1:
+                raise ValueError("the vocabulary joins line breaks to words")
+            counts.append(np.diff(np.concatenate([[-1], breaks, [len(all_ids)]])) - 1)
+            ids.append(np.delete(all_ids, breaks))
         texts = [pieces[i] for i in single]
-        for i, made in zip(single, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            out[i] = np.array(made.ids, np.int32)
-        return out
+        for made in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids.append(np.array(made.ids, np.int32))
+            counts.append(np.array([len(ids[-1])]))
+        return many + single, np.concatenate(counts), np.concatenate(ids)
 
     def encoded(self, t: _text.Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows, and each row's bound in them."""
@@ -113,12 +115,11 @@ class Encoder:
         new = [i for i, k in enumerate(keys) if k not in known]
         if new:
             data, start, end = t.data.tobytes(), span.start[first].tolist(), span.end[first].tolist()
-            ids = self.alone([data[start[i] : end[i]].decode() for i in new])
-            for i in new:
-                known[keys[i]] = len(known)
-            at = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) + self.at[-1]
-            self.at = np.concatenate([self.at, at])
-            self.ids = np.concatenate([self.ids, *ids])
+            order, count, ids = self.alone([data[start[i] : end[i]].decode() for i in new])
+            for i in order:
+                known[keys[new[i]]] = len(known)
+            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(count)])
+            self.ids = np.concatenate([self.ids, ids])
         place = np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))[which]
         count = self.at[place + 1] - self.at[place]
         total = np.concatenate([[0], np.cumsum(count)])

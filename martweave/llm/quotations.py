@@ -45,6 +45,15 @@ def _normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is made once for each row.
+
+    The planner would put the expression wherever the column is used, in lambdas too; a
+    generator of one row is in its way.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def parsed(messages: DataFrame) -> DataFrame:
     """``messages`` with ``plain`` (text without quotes) and ``passages`` (level, lines)."""
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: ~x.rlike(ATTRIBUTION))
@@ -69,21 +78,15 @@ def parsed(messages: DataFrame) -> DataFrame:
         ),
     )
     plain = F.array_join(F.transform(F.filter("marked", lambda x: x["level"] == 0), lambda x: x["content"]), "\n")
-    return (
-        messages.withColumn("marked", marked)
-        .withColumn("starts", starts)
-        .withColumn("ends", ends)
-        .withColumn("passages", passages)
-        .withColumn("plain", F.when(F.col("text").isNotNull(), plain))
-        .drop("marked", "starts", "ends")
-    )
+    cut = _once(_once(_once(messages, "marked", marked), "starts", starts).withColumn("ends", ends), "passages", passages)
+    return cut.withColumn("plain", F.when(F.col("text").isNotNull(), plain)).drop("marked", "starts", "ends")
 
 
 def _units(passages: DataFrame) -> DataFrame:
     """Of each passage its whole (unit 0) and its longer lines: hashes of what is not blank."""
     whole = _normal(F.array_join("passage.lines", " "))
     parts = F.transform(
-        "passage.lines", lambda x: F.when(F.size(F.split(_normal(x), " ")) >= LINE_WORDS, _normal(x)).otherwise("")
+        F.transform("passage.lines", _normal), lambda x: F.when(F.size(F.split(x, " ")) >= LINE_WORDS, x).otherwise("")
     )
     units = passages.select("conv_id", "turn", "place", "passage.level", F.posexplode(F.concat(F.array(whole), parts)).alias("unit", "said"))
     return units.where("said != ''").withColumn("hash", F.unhex(F.md5("said"))).drop("said")
@@ -91,10 +94,13 @@ def _units(passages: DataFrame) -> DataFrame:
 
 def linked(passages: DataFrame) -> DataFrame:
     """conv_id, turn, place, level and from_conv, from_turn of each quoted passage that is found."""
-    units = _units(passages)
-    original = units.where("level = 0")
-    inside = original.groupBy("conv_id", "hash").agg(F.min("turn").alias("own_turn"))
-    anywhere = original.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
+    spark = passages.sparkSession
+    folder = work_folder(spark, "units")
+    _units(passages).write.parquet(folder)  # texts are cut once
+    units = spark.read.parquet(folder)
+    inside = units.where("level = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("own_turn"))
+    first = F.min(F.struct("conv_id", F.col("own_turn").alias("turn")))
+    anywhere = inside.groupBy("hash").agg(first.alias("first"))
     quotes = units.where("level > 0").distinct()
     found = (
         quotes.join(inside, ["conv_id", "hash"], "left")

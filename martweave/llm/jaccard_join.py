@@ -234,7 +234,11 @@ def links(documents: DataFrame, texts: DataFrame, trees: int, threshold: float,
         "tree", "node", "member", "n_shingles", "nodes", "own",
         F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
     )
-    needed = shared.join(kept, ["tree", "node"]).select("member").distinct()
+    # Written, so that nothing but the join itself handles the rows of a large node.
+    folder = work_folder(spark, "blocks")
+    dealt.write.parquet(folder)
+    dealt = spark.read.parquet(folder)
+    needed = dealt.select("member").distinct()
     wanted = documents.join(needed, documents["doc_id"] == needed["member"], "left_semi")
     rows = dealt.drop("n_shingles").join(_with_grams(wanted, words, text), "member")
     load = dealt.agg(F.count("*").alias("rows"), F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("weight")).first()

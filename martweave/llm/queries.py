@@ -68,7 +68,7 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_token_output(spark: SparkSession, folder: str) -> DataFrame:
     files = work_folder(spark, "token_output")
-    token_output.write(table(spark, folder, "documents"), files, public_tokenizers.path("byte_bpe_50k.json"))
+    token_output.write(table(spark, folder, "documents"), files, public_tokenizers.path("byte_bpe_50k.json"), special=True)
     return token_output.digests(token_output.read(spark, files))
 
 

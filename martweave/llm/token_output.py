@@ -26,6 +26,11 @@ pattern and encodes every piece alone, so each distinct piece is given to it onc
 kept (at most ``KEPT`` pieces a worker) instead of once for every time it occurs. Many
 new pieces go in one text, a line each.
 
+With ``special`` (the query's way) the file's added tokens are recognised wherever they
+are written in a text, as the library does by default: the text is cut at them, leftmost
+and longest first, each is its own id, and what lies between is a text for the pattern.
+Without it they are plain text (the library's ``encode_special_tokens``).
+
 Defined cases: a null or empty text is the end id alone; rows with the same id follow
 each other in the order of their texts; a null id comes first and stays null; further
 columns are left out; no documents give no rows.
@@ -33,7 +38,9 @@ columns are left out; no documents give no rows.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -68,6 +75,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
+        with open(path, encoding="utf-8") as file:
+            added = json.load(file)["added_tokens"]
+        self.special = {a["content"].encode(): a["id"] for a in added}
+        self.plain = not any(a[k] for a in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        longest = sorted(self.special, key=len, reverse=True)
+        self.pattern = re.compile(b"|".join(map(re.escape, longest))) if longest else None
         self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.forget()
 
@@ -100,6 +113,31 @@ class Encoder:
             counts.append(np.array([len(ids[-1])]))
         return many + single, np.concatenate(counts), np.concatenate(ids)
 
+    def whole(self, t: _text.Texts) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encoded``, with added tokens recognised in the texts."""
+        if not self.plain:
+            raise ValueError("an added token takes in its surroundings")
+        data = t.data.tobytes()
+        if self.pattern is None or not self.pattern.search(data):
+            return self.encoded(t)
+        # Cut at the tokens, each row by itself; between two cuts lies a token or a text of its own.
+        bounds = t.at.tolist()
+        found = [m for a, b in zip(bounds, bounds[1:]) for m in self.pattern.finditer(data, a, b)]
+        start, end = (np.array([f(m) for m in found], np.int64) for f in (re.Match.start, re.Match.end))
+        cuts = np.unique(np.concatenate([t.at, start, end]))
+        ids, bound = self.encoded(_text.Texts(0, len(cuts) - 1, t.data, cuts))
+        count = np.diff(bound)
+        token = np.searchsorted(cuts, start)
+        size = count.copy()
+        size[token] = 1
+        total = np.concatenate([[0], np.cumsum(size)])
+        out = np.zeros(total[-1], np.int32)
+        text = np.ones(len(count), bool)
+        text[token] = False
+        out[_text.ranges(total[:-1][text], count[text])] = ids[_text.ranges(bound[:-1][text], count[text])]
+        out[total[token]] = [self.special[m[0]] for m in found]
+        return out, total[np.searchsorted(cuts, t.at)]
+
     def encoded(self, t: _text.Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows, and each row's bound in them."""
         span = _text.pieces(t)
@@ -209,8 +247,8 @@ def stretch(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, base: int
     return expand(symbols[a:b], rules, base)[first - skipped : last - skipped]
 
 
-def write(documents: DataFrame, folder: str, path: str, end_id: int = END) -> None:
-    """Encode ``documents`` (doc_id, text) and write the blocks to ``folder``."""
+def write(documents: DataFrame, folder: str, path: str, end_id: int = END, special: bool = False) -> None:
+    """Encode ``documents`` (doc_id, text) and write the blocks to ``folder``; ``special``: added tokens are recognised."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, part, number = encoder(path), TaskContext.get().partitionId(), 0
@@ -243,7 +281,7 @@ def write(documents: DataFrame, folder: str, path: str, end_id: int = END) -> No
         for batch in batches:
             doc = batch.column(0).to_pylist()
             for t in _text.texts(batch.column(1), SLICE):
-                ids, bound = make.encoded(t)
+                ids, bound = make.whole(t) if special else make.encoded(t)
                 for i in range(t.first, t.last):
                     own = ids[bound[i - t.first] : bound[i - t.first + 1]]
                     if held and held + len(own) + 1 > BLOCK:

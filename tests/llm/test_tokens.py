@@ -16,6 +16,7 @@ import tiktoken
 from tokenizers import Tokenizer, models
 
 from martweave.llm import _text, byte_bpe, token_counts, token_output
+from martweave.llm.queries import QUERIES, shipped
 from martweave.session import work_folder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -87,6 +88,19 @@ def test_token_files(documents, spark, monkeypatch):
         start += len(want)
 
 
+def test_query_recognises_special_tokens_like_the_library(spark, tmp_path):
+    end = "<|endoftext|>"
+    texts = [*SPECIAL, f"a{end}b", f"a {end} b", f"{end}{end}'s x", f"{end} ", "<|endof", "text|>", f"<{end[:-1]}{end}", *mixed(40, 3)]
+    rows = list(enumerate(texts)) + [(100 + k, end.join(mixed(5, k))) for k in range(20)]
+    shipped(spark).createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op8_token_output"](spark, str(tmp_path)).orderBy("start").collect()
+    library, start = Tokenizer.from_file(JSON), 0
+    for row, (i, text) in zip(got, sorted(rows), strict=True):
+        want = library.encode(text or "", add_special_tokens=False).ids + [0]
+        assert tuple(row) == (i, start, len(want), zlib.crc32(np.array(want, "<u4").tobytes()))
+        start += len(want)
+
+
 def test_token_files_of_nothing_and_of_a_null_id(documents, spark):
     for k, (texts, ids) in enumerate((([], []), (["a", "b"], [None, 1]))):
         folder = work_folder(spark, f"token-{k}")

@@ -12,7 +12,10 @@ once; white space inside a block becomes one blank; kept blocks are joined by a
 
 Nothing is shuffled; a task holds one page at a time and time grows with its length.
 Defined cases: null or empty html has no text (empty, 0 characters); text outside any
-block element is a block; unclosed elements end with their parent, and the page; a
+block element is a block; unclosed elements end with their parent, and the page; an
+unclosed head ends at the first text or start tag that cannot stand in it; an svg or math
+element, or one inside these, that ends in ``/>`` holds nothing (elsewhere the slash means
+nothing, as in browsers); a
 repeated page is a row of its own; all columns of the input are kept, and ``text``,
 ``n_chars`` and ``blocks`` replace columns of those names, whatever their case.
 """
@@ -38,6 +41,8 @@ SILENT = {
 }
 RAW = {"script", "style", "textarea", "title", "iframe", "noscript", "noembed", "noframes", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+HEAD = {"base", "basefont", "bgsound", "head", "html", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+FOREIGN = {"svg", "math"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
     "ins", "kbd", "label", "mark", "nobr", "q", "rb", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike",
@@ -108,6 +113,7 @@ TITLES = ("sort", "in_article", "side_name", "words", "links", "words_before", "
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)(?:((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)|([^>]*))>", re.S)
 _NAMES = re.compile(r"(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _PARTS = re.compile(r"[a-z]+")
+_VALUE = re.compile(r"=\s*[^\s\"'>]*/\Z")  # a slash that ends a value without quotes
 
 
 class Block(NamedTuple):
@@ -212,7 +218,13 @@ def blocks(page: str) -> list[Block]:
             parts.clear()
             linked.clear()
 
+    def leave_head() -> None:
+        if stack[-1][0] == "head":
+            opened[stack.pop()[0]] -= 1
+
     def read(text: str) -> None:
+        if stack[-1][0] == "head" and not text.isspace() and text:
+            leave_head()
         if text and not stack[-1][4]:
             text = references.unescape(text) if "&" in text else text
             parts.append(text)
@@ -247,10 +259,15 @@ def blocks(page: str) -> list[Block]:
                     if last == name:
                         break
             continue
+        if name not in HEAD:
+            leave_head()
         if name in INLINE:
             in_link += name == "a"
             continue
         close()
+        told = found[3] or found[4] or ""
+        if told.endswith("/") and (name in FOREIGN or opened["svg"] or opened["math"]) and not _VALUE.search(told):
+            continue
         if name in VOID:
             continue
         if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and stack[-1][0] == name:
@@ -258,7 +275,6 @@ def blocks(page: str) -> list[Block]:
             in_link = 0
         own = SORTS.get(name)
         _, sort, article, side, silent = stack[-1]
-        told = found[3] or found[4] or ""
         hint, hidden = _hints(told) if len(told) > 3 and name not in ("html", "body") else (False, False)
         if own == CHROME and name == "header" and article:
             own = None  # an article's own header holds its title

@@ -48,6 +48,23 @@ def test_html():
     html_text.main_text("<div>" * 20000 + "x" + "</p>" * 20000)
 
 
+def test_html_without_end_of_head():
+    words = "<p>Some text that is long enough here.</p>"
+    for rest in (f"<body>{words}", words, f"<article>{words}</article>", "Some text that is long enough here.", "<b>Some</b> text that is long enough here."):
+        page = f"<html><head><meta charset=x><title>No</title><template><p>no</p></template><script>no()</script>\n{rest}"
+        assert html_text.main_text(page)[0] == "Some text that is long enough here."
+    assert html_text.main_text(f"<head><title>No</title> <style>p{{}}</style></head><body>{words}")[1] == ["Some text that is long enough here."]
+
+
+def test_html_self_closed_pictures():
+    for made in ('<svg width="9"/>', "<svg/>", "<math />", "<svg a=b c/>", "<svg><path d='M0'/><title/><script/><svg/>x</svg>", "<svg><g/></svg>"):
+        page = f"<article><p>First part of the text.</p>{made}<p>Second part of the text.</p></article>"
+        assert html_text.main_text(page)[0] == "First part of the text. Second part of the text."
+    # The slash belongs to a value, or stands in an element that it does not end.
+    for made in ("<svg width=9/>", "<canvas/>"):
+        assert html_text.main_text(f"<article><p>First part.</p>{made}not seen</article>")[0] == "First part."
+
+
 def test_html_tree_agrees_with_its_table():
     table = np.array(html_text.EXAMPLES, float)
     root, good = html_text.tree(), 0

@@ -75,3 +75,61 @@ LICENSES = [
     ("GPL-3.0", None, "This work is licensed under the GNU General Public License, version 3."),
     ("CC-BY-NC-4.0", None, "Licensed under CC BY-NC 4.0."),
 ]
+
+#: Digests of long texts: whole, and their terms without what follows, with and without the line that ends them.
+DIGESTS: dict[str, list[str]] = {
+    "Apache-2.0": [
+        "b43ec2ad17dac2e4744f3f3503ef2879cbf43594c9f36e549257f45fde994f5e",
+        "87da852f2fb0b4a4d8b9dea6264cb5fc07a9e06ee0fb3f119dccc45fa9efacc9",
+        "ac4a852fd4fa95cbf3122b6779e338b6952a3b1a3116d5ca889ef0f23f2acdc0",
+    ],
+    "Artistic-1.0-Perl": [
+        "d1ce9579b2c8d32b706b421d9c42208152298e00849e57ce7da8e906ed3802f2",
+    ],
+    "BSD-3-Clause": [
+        "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651",
+    ],
+    "CC0-1.0": [
+        "ee4f004efcecdf9d9069648b3868636b6aed9a7d8fa7a8319d5d5b4ac94ae44d",
+    ],
+    "GFDL-1.2": [
+        "1c057ea35084eb195331cec1a49fca335c176422a7726a9a23636906fd4e241f",
+    ],
+    "GFDL-1.3": [
+        "7e8edd3abe6258bb82bb853d91a0c24fcd9976894fd0592747354cffe1cb18e7",
+    ],
+    "GPL-1.0": [
+        "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224",
+        "89f75ffda938e788be38679f9f83e317c2a03398fccf03ee60505d44d1bf9f70",
+        "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc",
+    ],
+    "GPL-2.0": [
+        "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821",
+        "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808",
+        "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34",
+    ],
+    "GPL-3.0": [
+        "586c3618658ef60aad1bc2ebb196d5ca77bda2718389a7bf943a62adc134b9fd",
+        "f310206f3f5bdb0dc1db5acd3e265d6510a2ef6d887ca331f3f3a309d674204f",
+        "a0aac2df95f0cdfe23c0177fcdd25b34f751eda4cb9f4c24af8bc2d487ae7043",
+    ],
+    "LGPL-2.0": [
+        "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908",
+        "430627da7218a92ab4a6d75d5140cdb70ee750be7a53f913299b37e0d1b0eea2",
+        "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260",
+    ],
+    "LGPL-2.1": [
+        "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891",
+        "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df",
+        "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4",
+    ],
+    "LGPL-3.0": [
+        "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+    ],
+    "MPL-1.1": [
+        "401f55b80eee09109112b0557b3dc1aa9e4e7379f1183ff1207ab655ec6b1f8a",
+    ],
+    "MPL-2.0": [
+        "4a05bfd6c13b2d422d10ac14f7e6c672e2c3964895afc2bbc3878978501d6d85",
+    ],
+}

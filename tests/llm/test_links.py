@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import textwrap
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -84,6 +86,43 @@ def test_licenses(documents):
     assert licenses.scan(documents([]), licenses.known_licenses(df.sparkSession)).count() == 0
 
 
+def found_licenses(documents, texts):
+    df = documents(texts)
+    rows = licenses.scan(df, licenses.known_licenses(df.sparkSession)).orderBy("doc_id").collect()
+    return [r["license"] for r in rows]
+
+
+def test_licenses_at_every_width(documents):
+    cases = [(name, width, textwrap.fill(body, width, break_long_words=False)) for name, _, body in LICENSES for width in range(20, 200)]
+    cases += [(name, 0, " ".join(body.split())) for name, _, body in LICENSES]
+    got = found_licenses(documents, [c[2] for c in cases])
+    assert [c[:2] for c, g in zip(cases, got) if g != c[0]] == []
+
+
+def test_licenses_behind_copyright_statements(documents):
+    mit, bsd = (" ".join(LICENSES[k][2].split()) for k in (0, 6))
+    heads = ["Copyright (c) 2020 Jane Doe ", "(c) Jane Doe, all rights reserved. ", "Copyright Jane Doe and others. ", "© 2020 J. Doe. All rights reserved. "]
+    heads += [h + "\n" for h in (*heads, "Copyright 2010 Foo Project. See AUTHORS for details.", " * Copyright: 2001-2003 The Foo Authors", "(C) 1999 Foo", "Copyright [yyyy] [name]")]
+    texts = [h + body for h in heads for body in (mit, bsd)]
+    assert found_licenses(documents, texts) == ["MIT", "BSD-3-Clause"] * len(heads)
+
+
+@pytest.mark.parametrize("file, name", [("Apache-2.0", "Apache-2.0"), ("GPL-3", "GPL-3.0"), ("GPL-2", "GPL-2.0"), ("MPL-2.0", "MPL-2.0"), ("LGPL-2.1", "LGPL-2.1"), ("CC0-1.0", "CC0-1.0")])
+def test_full_licenses(documents, file, name):
+    path = Path("/usr/share/common-licenses") / file
+    if not path.exists():
+        pytest.skip("the full texts are not there")
+    text = path.read_text()
+    parts = text.split("\n\n")
+
+    def filled(width):  # lines of copyright statements stay lines
+        return "\n\n".join(p if "opyright (C)" in p or "opyright [" in p else textwrap.fill(p, width, break_long_words=False) for p in parts)
+
+    texts = [text, text.split("END OF TERMS AND CONDITIONS")[0], *map(filled, range(30, 140, 3))]
+    assert found_licenses(documents, texts) == [name] * len(texts)
+    assert found_licenses(documents, [text[: len(text) // 2]]) == [None]
+
+
 def test_licenses_known_rows_that_do_not_count(documents, spark):
     known = spark.createDataFrame([("B", "x y"), ("A", "X, y!"), (None, "z"), ("C", None), ("D", "")], "license_id string, text string")
     rows = licenses.scan(documents(["x-y", "z", "", "x y"]), known).orderBy("doc_id").collect()

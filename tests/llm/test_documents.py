@@ -311,3 +311,13 @@ def test_stages_keep_clashing_columns_and_null_rows(documents, spark, folder):
         assert out.columns == df.columns and {r["score"] for r in out.collect()} <= {"s"}
     assert corpus_pipeline.one_of_each(spark, df, folder).count() == 3
     assert corpus_pipeline.encoded(spark, df, folder).columns == ["doc_id", "score", "Items", "n_hit", "ids", "text", "n_tokens"]
+
+
+def test_one_of_each_goes_by_rows(documents, spark, folder):
+    a, b, c = ("the first text of five words", "some other text of six words", "a third one that is not alike")
+    rows = [(7, a), (7, a), (3, a), (None, a), (None, b), (None, b), (9, c), (9, a), (8, c), (11, None), (12, "")]
+    df = documents([t for _, t in rows], [i for i, _ in rows], _row=[str(k) for k in range(len(rows))])
+    out = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, df, folder)
+    assert out.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+    assert got == sorted([(3, a), (None, b), (8, c), (11, None), (12, "")], key=repr)

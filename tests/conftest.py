@@ -49,11 +49,3 @@ def conf(spark):
     yield put
     for key, value in before.items():
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
-def plan(df) -> str:
-    return df._jdf.queryExecution().toString()
-
-
-def values(df, *columns):
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)

@@ -4,7 +4,7 @@ from dataclasses import replace
 from datetime import date, datetime, timezone
 
 import pytest
-from conftest import values
+from support import values
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry

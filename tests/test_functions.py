@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime, timezone
 
 import pytest
-from conftest import plan
+from support import plan
 from pyspark.sql import functions as F
 
 from martweave.functions import business, calendar, money

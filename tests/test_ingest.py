@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from conftest import plan, values
+from support import plan, values
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
-from conftest import values
+from support import values
 from pyspark.errors import ArithmeticException, NumberFormatException
 from pyspark.sql import functions as F
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import plan, values
+from support import plan, values
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry

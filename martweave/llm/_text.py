@@ -54,18 +54,22 @@ def texts(column: pa.Array, limit: int = SLICE) -> Iterator[Texts]:
 
 
 @lru_cache(None)
-def _byte_classes() -> tuple[np.ndarray, np.ndarray]:
+def _byte_classes(digits: bool) -> tuple[np.ndarray, np.ndarray]:
     """Lower-cased bytes (A-Z only), and which bytes belong to words."""
     lower = np.arange(256, dtype=np.uint8)
     lower[65:91] += 32
     inside = np.zeros(256, bool)
-    inside[48:58] = inside[97:123] = inside[65:91] = inside[128:] = True
+    inside[48:58] = digits
+    inside[97:123] = inside[65:91] = inside[128:] = True
     return lower, inside
 
 
-def words(t: Texts) -> tuple[np.ndarray, Spans]:
-    """The bytes with A-Z lower-cased, and the words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` in them."""
-    lower, inside = _byte_classes()
+def words(t: Texts, digits: bool = True) -> tuple[np.ndarray, Spans]:
+    """The bytes with A-Z lower-cased, and the words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` in them.
+
+    Without ``digits`` the terms ``[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+``.
+    """
+    lower, inside = _byte_classes(digits)
     flag = inside[t.data]
     edge = np.zeros(len(flag) + 1, bool)
     edge[t.at] = True
@@ -89,17 +93,22 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 @lru_cache(None)
 def _byte_keys() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * _GOLDEN)
+    """A random number for each byte at each of 64 places."""
+    return mix(np.arange(1, (64 << 8) + 1, dtype=np.uint64) * _GOLDEN)
 
 
-def _powers(n: int, base: int = 0xD6E8FEB86659FD93) -> np.ndarray:
+def _powers(n: int, base: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span; the spans are in order and do not overlap."""
+    """A 64-bit hash of each span; the spans are in order and do not overlap.
+
+    A sum of what each byte means at its place, which no polynomial in one base is.
+    Equal hashes still are no proof of equal bytes.
+    """
     if len(start) == 0:
         return np.zeros(0, np.uint64)
     length = end - start
@@ -111,7 +120,9 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         data = data[np.cumsum(keep - closing, dtype=np.int8)[:-1].astype(bool)]
     first = np.cumsum(length) - length
     within = np.arange(len(data)) - np.repeat(first, length)
-    value = _byte_keys()[data] * _powers(int(length.max()))[within]
+    value = _byte_keys()[((within & 63) << 8) | data]
+    far = np.flatnonzero(within > 63)
+    value[far] = mix(value[far] ^ ((within[far] >> 6).astype(np.uint64) * _GOLDEN))
     return mix(np.add.reduceat(value, first) + length.astype(np.uint64) * _GOLDEN)
 
 

@@ -1,7 +1,7 @@
 """Operator 3: byte-level BPE encoding and decoding over padded numpy matrices.
 
-``encode`` cuts every whole text by the public pattern, takes each distinct piece of a
-slice once, sorts the pieces into buckets of like length, and merges all rows of a
+``encode`` cuts every whole text by the public pattern, takes each distinct piece once
+in a worker while there is room (``_kept``: equal bytes, not equal hashes), sorts the pieces into buckets of like length, and merges all rows of a
 bucket together: each round every row merges its leftmost pair of least rank, pairs are
 looked up in a hash table, and the matrix is compacted by the column that every row
 loses. ``decode`` turns ids back into bytes.
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from martweave.llm import _text
+from martweave.llm import _kept, _text
 
 LONG = 4096
 _NONE = np.int64(1) << 40
@@ -38,7 +38,7 @@ _PAD = (1 << 24) - 1
 
 
 class Ranks(NamedTuple):
-    """A rank file: ids of single bytes, hash tables of pairs and of whole tokens, and the tokens' bytes."""
+    """A rank file: ids of single bytes, hash tables of pairs and of whole tokens, the tokens' bytes, and pieces met before."""
 
     single: np.ndarray
     pair_key: np.ndarray
@@ -47,6 +47,7 @@ class Ranks(NamedTuple):
     whole_id: np.ndarray
     token_bytes: np.ndarray
     token_at: np.ndarray
+    kept: _kept.Kept
 
 
 def _slots(key: np.ndarray, bits: int) -> np.ndarray:
@@ -87,7 +88,7 @@ def ranks(path: str) -> Ranks:
     whole = _text.hashes(joined, at[:-1][lengths > 0], at[1:][lengths > 0])
     order = np.argsort(whole)
     table, value = _hash_table(np.array(keys, np.uint64), np.array(ids, np.int64))
-    return Ranks(single, table, value, whole[order], np.flatnonzero(lengths > 0)[order], joined, at)
+    return Ranks(single, table, value, whole[order], np.flatnonzero(lengths > 0)[order], joined, at, _kept.Kept())
 
 
 def _rank(r: Ranks, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -199,6 +200,15 @@ def merge(r: Ranks, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tup
     key = _text.hashes(data[_text.ranges(start, length)], np.cumsum(length) - length, np.cumsum(length))
     near = np.minimum(np.searchsorted(r.whole_hash, key), len(r.whole_hash) - 1)
     whole = r.whole_hash[near] == key
+    # A token is taken for a piece only if their bytes are equal.
+    maybe = np.flatnonzero(whole)
+    token = r.whole_id[near[maybe]]
+    size = r.token_at[token + 1] - r.token_at[token]
+    like = size == length[maybe]
+    whole[maybe[~like]] = False
+    maybe, token, size = maybe[like], token[like], size[like]
+    other = data[_text.ranges(start[maybe], size)] != r.token_bytes[_text.ranges(r.token_at[token], size)]
+    whole[maybe[np.searchsorted(np.cumsum(size), np.flatnonzero(other), "right")]] = False
     parts: list[tuple[np.ndarray, np.ndarray]] = [(np.flatnonzero(whole), r.whole_id[near[whole]])]
     rest = np.flatnonzero(~whole)
     bucket = np.ceil(np.log2(length[rest])).astype(int)
@@ -227,11 +237,14 @@ def encoded(r: Ranks, t: _text.Texts) -> tuple[np.ndarray, np.ndarray]:
     span = _text.pieces(t)
     if not len(span.start):
         return np.zeros(0, np.int64), np.zeros(len(t.at), np.int64)
-    _, first, which = np.unique(_text.hashes(t.data, span.start, span.end), return_index=True, return_inverse=True)
-    ids, bound = merge(r, t.data, span.start[first], span.end[first])
-    count = np.diff(bound)[which]
+
+    def make(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, bound = merge(r, t.data, span.start[new], span.end[new])
+        return ids, np.diff(bound)
+
+    ids, count = r.kept.get(t.data, span.start, span.end, make)
     total = np.concatenate([[0], np.cumsum(count)])
-    return ids[_text.ranges(bound[which], count)], total[span.row]
+    return ids, total[span.row]
 
 
 def decoded(r: Ranks, ids: np.ndarray) -> np.ndarray:

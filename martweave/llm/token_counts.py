@@ -1,7 +1,7 @@
 """Operator 9: numbers of unigram pieces, without the pieces.
 
-An Aho-Corasick automaton finds every vocabulary piece in the distinct words of a slice;
-a Viterbi pass then carries, for each position of a word, only the best score and its
+An Aho-Corasick automaton finds every vocabulary piece in the distinct words of a slice
+(those not met before; equal bytes are compared, not hashes alone); a Viterbi pass then carries, for each position of a word, only the best score and its
 number of pieces. All words of a slice advance together, one character a step.
 
 Tie rules of the unigram tokenizer: a later candidate must be better, not equal, and
@@ -30,12 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
-from martweave.llm import _text
+from martweave.llm import _kept, _text
 
 MARK = "▁"
 PENALTY = 10.0
 CHUNK = 100_000
-KEPT = 600_000
 
 
 class Unigram:
@@ -46,7 +45,7 @@ class Unigram:
             raise ValueError("a piece holds a mark after another character")
         self.byte_pieces = byte_pieces
         self.unknown = min(scores.values()) - PENALTY
-        self.known: dict[int, int] = {}
+        self.opening, self.inner = _kept.Kept(300_000), _kept.Kept(600_000)
         self.automaton = ahocorasick.Automaton()
         for piece, score in scores.items():
             if piece:
@@ -141,24 +140,20 @@ def count(model: Unigram, t: _text.Texts, prefix: bool = True) -> np.ndarray:
     if len(t.data) == 0:
         return np.zeros(len(t.at) - 1, np.int64)
     span = _words(t)
-    key = _text.hashes(t.data, span.start, span.end)
-    opening = np.zeros(len(key), bool)
+    opening = np.zeros(len(span.start), bool)
     opening[span.row[:-1][np.diff(span.row) > 0]] = prefix
-    key = np.where(opening, ~key, key)
-    _, first, which = np.unique(key, return_index=True, return_inverse=True)
-    keys = key[first].tolist()
-    if len(model.known) + len(keys) > KEPT:
-        model.known.clear()
-    new = np.array([i for i, k in enumerate(keys) if k not in model.known], np.int64)
-    data, at = t.data.tobytes(), first[new]
-    words = [
-        (MARK if o else "") + data[a:b].decode().replace(" ", MARK)
-        for a, b, o in zip(span.start[at].tolist(), span.end[at].tolist(), opening[at].tolist())
-    ]
-    for i, n in zip(new.tolist(), model.counts(words).tolist()):
-        model.known[keys[i]] = n
-    made = np.fromiter(map(model.known.__getitem__, keys), np.int64, len(keys))
-    total = np.concatenate([[0], np.cumsum(made[which])])
+    data = t.data.tobytes()
+    made = np.zeros(len(span.start), np.int64)
+    for some, mark, kept in ((np.flatnonzero(opening), MARK, model.opening), (np.flatnonzero(~opening), "", model.inner)):
+        start, end = span.start[some], span.end[some]
+
+        def make(new: np.ndarray, start=start, end=end, mark=mark) -> tuple[np.ndarray, np.ndarray]:
+            spans = zip(start[new].tolist(), end[new].tolist())
+            words = [mark + data[a:b].decode().replace(" ", MARK) for a, b in spans]
+            return model.counts(words), np.ones(len(words), np.int64)
+
+        made[some], _ = kept.get(t.data, start, end, make)
+    total = np.concatenate([[0], np.cumsum(made)])
     return np.diff(total[span.row])
 
 

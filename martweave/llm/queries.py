@@ -11,7 +11,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.llm import byte_bpe, decontamination, html_text, jaccard_join, licenses, line_quality, mtree, quotations, token_counts, token_output
+from martweave.llm import (
+    byte_bpe, decontamination, html_text, jaccard_join, lang_id, licenses, line_quality, mtree, quotations,
+    source_divergence, token_counts, token_output, vector_codes,
+)
 from martweave.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +114,30 @@ def op10_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_lang_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = lang_id.train(documents.where(~lang_id.held_out()))
+    found = lang_id.classify(documents.drop("lang"), model)
+    return found.select("doc_id", lang_id.held_out().alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.digests(table(spark, folder, "embeddings"))
+
+
+SQL["op12_vector_codes"] = vector_codes.sql()
+
+
+@query
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.audit(table(spark, folder, "documents"))
+
+
+SQL["op13_source_divergence"] = source_divergence.SQL
+
+
 SQL["op4_mtree"] = """
     WITH p AS (
         SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v

@@ -171,6 +171,77 @@ def test_conversion(spark):
     assert values(got, "users", "converted_users", "conversion_rate") == [(2, 1, 0.5)]
 
 
+def random_items(spark, n=4000, seed=3):
+    import random
+
+    draw = random.Random(seed)
+    data = [
+        (draw.choice([None, *range(60)]) if k % 3 else 7, draw.choice([None, None, *range(30)]), date(2024, draw.randint(1, 3), 5))
+        for k in range(n)
+    ]
+    items = spark.createDataFrame(data, "user_id int, days_to_delivery bigint, ordered_date date")
+    countries = spark.createDataFrame([(u, f"c{u % 4}") for u in range(50)], "user_id int, country string")
+    return data, items.withColumns({"net_revenue": F.lit(1.5), "is_returned": F.lit(False)}), countries
+
+
+@pytest.mark.parametrize("sum_first", [True, False])
+@pytest.mark.parametrize("by", [["country", "ordered_date"], ["country"], []])
+def test_percentiles_and_users_over_any_dimension(spark, sum_first, by):
+    import numpy as np
+
+    data, items, countries = random_items(spark)
+    lookup = metrics.Lookup(countries, "user_id", "user_id", ("country",), sum_first=sum_first)
+    names = ["items", "p50_delivery_days", "p90_delivery_days", "buyers", "avg_delivery_days"]
+    got = metrics.measure(items, "fct_order_items", names, by, (lookup,))
+    groups = {}
+    for user, days, day in data:
+        country = f"c{user % 4}" if user is not None and user < 50 else None
+        key = tuple({"country": country, "ordered_date": day}[c] for c in by)
+        groups.setdefault(key, []).append((user, days))
+    want = []
+    for key, rows in groups.items():
+        days = [d for _, d in rows if d is not None]
+        users = {u for u, _ in rows if u is not None}
+        want.append((*key, len(rows), *(float(np.quantile(days, q)) for q in (0.5, 0.9)), len(users), sum(days) / len(days)))
+    near = [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in want]
+    seen = [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in values(got, *by, *names)]
+    assert seen == sorted(near, key=repr)
+
+
+def test_conversion_over_a_dimension(spark):
+    events = spark.createDataFrame(
+        [(1, "view"), (1, "purchase"), (2, "view"), (2, "view"), (3, "purchase"), (None, "purchase"), (9, "view")],
+        "user_id int, event_type string",
+    )
+    users = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y")], "user_id int, country string")
+    names = ["events", "users", "converted_users", "conversion_rate"]
+    for first in (True, False):
+        lookup = metrics.Lookup(users, "user_id", "user_id", ("country",), sum_first=first)
+        got = metrics.measure(events, "events", names, ["country"], (lookup,))
+        assert values(got, "country", *names) == [("x", 4, 2, 1, 0.5), ("y", 1, 1, 1, 1.0), (None, 2, 1, 0, 0.0)]
+    nobody = metrics.measure(events.filter("user_id IS NULL"), "events", names, [])
+    assert values(nobody, *names) == [(1, 0, 0, None)]
+
+
+def test_sketches_are_near_and_merge(spark):
+    events = spark.range(60_000).select(
+        F.expr("IF(id % 3 = 0, 5, id % 20000)").alias("user_id"), F.expr("IF(id % 5 = 0, 'purchase', 'view')").alias("event_type"),
+        F.expr("CAST(id % 7 AS STRING)").alias("g"),
+    )
+    lookup = metrics.Lookup(spark.range(20_000).select(F.col("id").alias("user_id"), F.lit("all").alias("country")), "user_id", "user_id", ("country",))
+    names = ["users", "users_sketched", "conversion_rate", "conversion_rate_sketched"]
+    row = metrics.measure(events, "events", names, ["country"], (lookup,)).first()
+    assert abs(row.users_sketched / row.users - 1) < 0.08
+    assert abs(row.conversion_rate_sketched / row.conversion_rate - 1) < 0.16
+    _, items, countries = random_items(spark, 6000)
+    lookup = metrics.Lookup(countries, "user_id", "user_id", ("country",))
+    names = ["p50_delivery_days", "p50_delivery_days_sketched", "p99_delivery_days", "p99_delivery_days_sketched"]
+    for row in metrics.measure(items, "fct_order_items", names, ["country"], (lookup,)).collect():
+        assert abs(row[1] - row[2]) <= 1 and abs(row[3] - row[4]) <= 1
+    none = metrics.measure(items.filter("days_to_delivery IS NULL"), "fct_order_items", names, [])
+    assert values(none, *names) == [(None, None, None, None)]
+
+
 def test_coherence(spark):
     ddl = "g string, m double"
     left = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", None), (None, 4.0)], ddl)

@@ -22,7 +22,7 @@ from martweave import session  # noqa: E402
 from martweave.functions.audit import Run  # noqa: E402
 from martweave.functions.privacy import pseudonymise, salt_column  # noqa: E402
 from martweave.operators import contracts, dimensions, facts, ingest, metrics, quality, staging  # noqa: E402
-from martweave.plans.build import Inputs, build, lazy_models  # noqa: E402
+from martweave.plans.build import Inputs, TestsFailed, build, lazy_models, mart  # noqa: E402
 from martweave.plans.ingest_run import has_failed, landed, run_ingest  # noqa: E402
 from martweave.sources.landed import LandedTable  # noqa: E402
 from martweave.sources.tpch import LANDED, OrderTables  # noqa: E402
@@ -272,7 +272,7 @@ def landed_upsert(c: Context) -> DataFrame:
     changed = orders.withColumn("status", F.lit("Changed"))
     behind = timedelta(days=90)
     table.merge(
-        ingest.since(changed, table.state().last_value, landing.cursor, behind),
+        ingest.since(changed, table.last_value(), landing.cursor, behind),
         "load-2",
         landing.cursor,
         landing.month_is_fixed,
@@ -440,6 +440,39 @@ def load_volume(c: Context) -> DataFrame:
     )
 
 
+_ODD_MONTH = date(1995, 6, 1)
+
+
+@query(
+    o.sql(
+        """
+        , loads AS (
+            SELECT 'load-' || strftime(created_at, '%Y%m') AS load_id,
+                   SUM(CASE WHEN strftime(created_at, '%Y%m') = '199506' THEN 3 ELSE 1 END)::BIGINT AS rows
+            FROM land_order_items GROUP BY 1
+        ), seen AS (
+            SELECT *, coalesce(list(rows) OVER (ORDER BY load_id ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING), []) AS b
+            FROM loads
+        ), med AS (SELECT *, list_aggregate(b, 'median') AS usual_rows FROM seen),
+        dev AS (SELECT *, list_aggregate(list_transform(b, lambda x: abs(x - usual_rows)), 'median') AS deviation FROM med)
+        SELECT 'order_items' AS "table", load_id, rows, usual_rows, deviation,
+               CASE WHEN len(b) < 5 THEN 'new'
+                    WHEN abs(rows - usual_rows) > greatest(5 * 1.4826 * deviation, 0.5 * usual_rows) THEN 'abnormal'
+                    ELSE 'normal' END AS status
+        FROM dev
+        """,
+        "land_order_items",
+    )
+)
+def load_monitor(c: Context) -> DataFrame:
+    """Monthly loads, one of which came three times over, against the twelve before each."""
+    items = c.tables.order_items(["created_at"])
+    odd = items.filter(F.trunc("created_at", "month") == F.lit(_ODD_MONTH))
+    loads = monthly_loads(union([items, odd, odd])).groupBy(F.col(ingest.LOAD_ID).alias("load_id"))
+    rows = loads.agg(F.count(F.lit(1)).alias("rows"))
+    return ingest.load_monitor(rows, "order_items", ingest.VolumeRule(loads=12))
+
+
 @query(
     o.sql(
         "SELECT \"table\", "
@@ -950,6 +983,82 @@ def metric_conversion(c: Context) -> DataFrame:
     return metrics.conversion_rate(c.tables.events().withColumn("day", F.to_date("ts")), ["day"])
 
 
+@query(
+    o.sql(
+        f"""
+        SELECT country, COUNT(*) AS items, COUNT(DISTINCT f.user_id) AS buyers,
+               COUNT(days_to_delivery) AS delivered_items, {o.money('net_revenue')} AS net_revenue,
+               CAST(SUM(days_to_delivery) AS DOUBLE) / COUNT(days_to_delivery) AS avg_delivery_days,
+               quantile_cont(days_to_delivery, 0.5) AS p50_delivery_days,
+               quantile_cont(days_to_delivery, 0.9) AS p90_delivery_days
+        FROM fct_order_items f LEFT JOIN dim_users u ON u.user_id = f.user_id GROUP BY country
+        """,
+        "fct_order_items",
+        "dim_users",
+    )
+)
+def metric_delivery_by_country(c: Context) -> DataFrame:
+    """Sums, percentiles and different users side by side, over a dimension of the fact."""
+    items = facts.item_measures(
+        c.items("order_id", "product_id", "user_id", "status", "sale_price", "ordered_at", "delivered_at"), c.products()
+    )
+    country = metrics.Lookup(c.users(), "user_id", "user_id", ("country",))
+    names = ["items", "buyers", "delivered_items", "net_revenue", "avg_delivery_days"]
+    shares = ["p50_delivery_days", "p90_delivery_days"]
+    return metrics.measure(items, "fct_order_items", names + shares, ["country"], (country,))
+
+
+def _events_by_month(c: Context) -> DataFrame:
+    return c.tables.events().withColumn("year_month", F.date_format("ts", "yyyy-MM"))
+
+
+_USERS_BY = """
+    FROM events e LEFT JOIN dim_users u ON u.user_id = e.user_id GROUP BY ALL
+"""
+
+
+@query(
+    o.sql(
+        f"""
+        SELECT strftime(ts, '%Y-%m') AS year_month, country, COUNT(*) AS events,
+               COUNT(DISTINCT e.user_id) AS users,
+               COUNT(DISTINCT e.user_id) FILTER (WHERE event_type = 'purchase') AS converted_users,
+               CAST(COUNT(DISTINCT e.user_id) FILTER (WHERE event_type = 'purchase') AS DOUBLE)
+                   / nullif(COUNT(DISTINCT e.user_id), 0) AS conversion_rate
+        {_USERS_BY}
+        """,
+        "dim_users",
+    )
+)
+def metric_conversion_by_country(c: Context) -> DataFrame:
+    country = metrics.Lookup(c.users(), "user_id", "user_id", ("country",))
+    return metrics.measure(
+        _events_by_month(c),
+        "events",
+        ["events", "users", "converted_users", "conversion_rate"],
+        ["year_month", "country"],
+        (country,),
+    )
+
+
+@query(
+    o.sql(
+        f"""
+        SELECT country, COUNT(DISTINCT e.user_id) AS users, TRUE AS near
+        {_USERS_BY}
+        """,
+        "dim_users",
+    )
+)
+def metric_sketches(c: Context) -> DataFrame:
+    """Different users counted exactly and from sketches merged over users' rows: within five standard errors."""
+    country = metrics.Lookup(c.users(), "user_id", "user_id", ("country",))
+    found = metrics.measure(c.tables.events(), "events", ["users", "users_sketched"], ["country"], (country,))
+    error = 5 * 1.04 / 2 ** (metrics.SKETCH_LOG / 2)
+    near = F.abs(F.col("users_sketched") - F.col("users")) <= F.greatest(F.lit(1.0), error * F.col("users"))
+    return found.select("country", "users", near.alias("near"))
+
+
 def _grains(c: Context) -> tuple[DataFrame, DataFrame]:
     names, by = ["net_revenue", "gross_margin", "items"], ["country"]
     country = metrics.Lookup(c.users(), "user_id", "user_id", ("country",))
@@ -1051,6 +1160,34 @@ def star_quarter_status(c: Context) -> DataFrame:
     )
 
 
+@query(
+    o.sql(
+        f"""
+        SELECT strftime(ordered_date, '%Y-%m') AS year_month, status, {o.money('net_revenue')} AS net_revenue,
+               COUNT(*) AS items, quantile_cont(days_to_delivery, 0.9) AS p90_delivery_days
+        FROM fct_order_items WHERE year(ordered_date) = 1997 AND quarter(ordered_date) = 2 GROUP BY 1, 2
+        """,
+        "fct_order_items",
+    )
+)
+def star_stored_quarter(c: Context) -> DataFrame:
+    """Over a stored fact: the filtered calendar decides which months are read."""
+    models = c.models("fct_order_items", joined=())
+    table = mart(c.spark, session.work_folder(c.spark, "star"), "fct_order_items")
+    table.replace(contracts.enforce(models["fct_order_items"], "fct_order_items"), RUN.run_id)
+    quarter = c.data_calendar("ordered_date").filter("year = 1997 AND quarter = 2")
+    calendar = metrics.Lookup(
+        quarter, "ordered_date", "date_day", ("year_month",), calendar=True, only=True, month="year_month"
+    )
+    return metrics.measure(
+        table.by_month(),
+        "fct_order_items",
+        ["net_revenue", "items", "p90_delivery_days"],
+        ["year_month", "status"],
+        (calendar,),
+    )
+
+
 # --- the whole run --------------------------------------------------------
 
 def _severity(rows: list[str], severity: str) -> list[str]:
@@ -1121,6 +1258,39 @@ def build_run(c: Context) -> DataFrame:
     return build(inputs, folder, deferred_tests=True, gate=False).tests
 
 
+@query(
+    o.sql(
+        """
+        SELECT 'dim_products' AS model, FALSE AS stored, COUNT(*) AS failures FROM (
+            SELECT id FROM (SELECT id FROM land_products UNION ALL SELECT id FROM land_products WHERE id % 10 = 3)
+            GROUP BY id HAVING COUNT(*) > 1)
+        UNION ALL SELECT 'fct_order_items', FALSE, 0
+        UNION ALL SELECT 'fct_orders', FALSE, 0
+        """,
+        "land_products",
+    )
+)
+def build_gate(c: Context) -> DataFrame:
+    """A build over a catalogue that lists some products twice stops there: what was stored, and why."""
+    folder = session.work_folder(c.spark, "build_gate")
+
+    def raw(table: str) -> DataFrame:
+        rows = getattr(c.tables, table)(**({"since": HORIZON_AT} if table == "order_items" else {}))
+        return rows.unionByName(rows.filter("id % 10 = 3")) if table == "products" else rows
+
+    found: dict[str, int] = {}
+    try:
+        build(Inputs(c.spark, raw, RUN, c.salt, HORIZON, CALENDAR_END), folder)
+    except TestsFailed as failed:
+        found = {r.model: r.failures for r in failed.results if r.test == "unique" and r.failures}
+    place = f"{folder}/analytics_marts"
+    report = [
+        (name, not mart(c.spark, place, name).is_new(), found.get(name.replace("dim_", "stg_"), 0))
+        for name in ("dim_products", "fct_order_items", "fct_orders")
+    ]
+    return c.spark.createDataFrame(report, "model string, stored boolean, failures bigint")
+
+
 # --- training data --------------------------------------------------------
 
 # The operators of ``llm`` are registered where the subpackage is installed.

@@ -16,6 +16,7 @@ from datetime import date, datetime, timedelta, timezone
 
 from martweave.functions.audit import Run
 from martweave.functions.privacy import salt_column, salt_from_env
+from martweave.operators.ingest import VolumeRule
 from martweave.operators.staging import HORIZON
 from martweave.plans.build import Inputs, build
 from martweave.plans.ingest_run import has_failed, landed, run_ingest
@@ -45,6 +46,7 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     take.add_argument("--format", default="parquet")
     take.add_argument("--first", type=_utc, default=BACKFILL_START)
     take.add_argument("--lookback-days", type=int, default=0)
+    take.add_argument("--volume", choices=["off", "report", "fail"], default="report")
     make = commands.add_parser("build")
     make.add_argument("--raw", required=True)
     make.add_argument("--marts", required=True)
@@ -61,15 +63,16 @@ def main(arguments: list[str]) -> int:
     if options.command == "ingest":
         registry = Registry(spark, dict(options.source), options.format)
         lookback = timedelta(days=options.lookback_days) if options.lookback_days else None
+        volume = None if options.volume == "off" else VolumeRule(fail=options.volume == "fail")
         report = run_ingest(
-            spark, registry.read, options.raw, options.load_id, options.first, lookback
+            spark, registry.read, options.raw, options.load_id, options.first, lookback, volume=volume
         )
         report.show(truncate=False)
         return int(has_failed(report))
 
     def raw(table: str):
         stored = landed(spark, options.raw, LANDINGS[table])
-        if stored.state().version == 0:
+        if stored.is_new():
             raise FileNotFoundError(f"nothing was ever loaded into {stored.root}")
         return stored.read()
 

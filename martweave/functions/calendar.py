@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: The column that stored tables are laid out by.
+MONTH = "partition_month"
+
+
 def day_of_week(day: Column) -> Column:
     """0 is Sunday, 6 is Saturday; Spark's own count starts at 1."""
     return (F.dayofweek(day) - 1).cast("bigint")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -124,6 +125,55 @@ def load_volume(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class VolumeRule:
+    """What a usual load is: near the median of the loads before it.
+
+    A load is abnormal if it is further from the median of up to ``loads`` loads
+    before it than ``spread`` times their median deviation (scaled to a standard
+    deviation) and than ``share`` of the median, so that loads which never vary may
+    vary a little. With fewer than ``least`` loads before it a load is new. With
+    ``fail`` an abnormal load is not put in force.
+    """
+
+    loads: int = 20
+    least: int = 5
+    spread: float = 5.0
+    share: float = 0.5
+    fail: bool = False
+
+
+_NORMAL = 1.4826  # median deviation of a normal distribution, in standard deviations
+
+
+def _median(ordered: Column) -> Column:
+    n = F.size(ordered)
+    middle = F.get(ordered, F.floor((n - 1) / 2).cast("int")) + F.get(ordered, F.floor(n / 2).cast("int"))
+    return F.when(n > 0, middle / 2.0)
+
+
+def load_monitor(loads: DataFrame, table: str, rule: VolumeRule = VolumeRule()) -> DataFrame:
+    """Each load (load_id, rows) beside the median and deviation of those before it.
+
+    ``status`` is new, normal or abnormal. The window runs over one row per load.
+    """
+    earlier = (
+        Window.partitionBy("table").orderBy(load_order("load_id")).rowsBetween(-rule.loads, Window.currentRow - 1)
+    )
+    named = loads.select(F.lit(table).alias("table"), "load_id", F.col("rows").cast("bigint").alias("rows"))
+    seen = named.withColumn("_before", F.array_sort(F.collect_list("rows").over(earlier)))
+    seen = seen.withColumn("usual_rows", _median(F.col("_before")))
+    far = F.array_sort(F.transform("_before", lambda x: F.abs(x - F.col("usual_rows"))))
+    seen = seen.withColumn("deviation", _median(far))
+    limit = F.greatest(rule.spread * _NORMAL * F.col("deviation"), rule.share * F.col("usual_rows"))
+    status = (
+        F.when(F.size("_before") < rule.least, "new")
+        .when(F.abs(F.col("rows") - F.col("usual_rows")) > limit, "abnormal")
+        .otherwise("normal")
+    )
+    return seen.withColumn("status", status).drop("_before")
+
+
 def load_report(tables: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
     """One row per table: rows and cursor span; ``tables`` maps name to (rows, cursor)."""
     none = F.lit(None).cast("timestamp")
@@ -140,6 +190,15 @@ def load_report(tables: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+def staleness(age: Column, warn_after: timedelta, error_after: timedelta) -> Column:
+    """pass, warn or error for an age in seconds; an unknown one is an error."""
+    return (
+        F.when(age.isNull() | (age > int(error_after.total_seconds())), "error")
+        .when(age > int(warn_after.total_seconds()), "warn")
+        .otherwise("pass")
+    )
+
+
 def freshness(
     df: DataFrame,
     table: str,
@@ -153,11 +212,7 @@ def freshness(
     An empty table is an error: nothing ever arrived.
     """
     age = F.timestamp_diff("SECOND", F.col("newest"), moment(now))
-    status = (
-        F.when(age.isNull() | (age > int(error_after.total_seconds())), "error")
-        .when(age > int(warn_after.total_seconds()), "warn")
-        .otherwise("pass")
-    )
+    status = staleness(age, warn_after, error_after)
     return df.agg(F.max(loaded_at).cast("timestamp").alias("newest")).select(
         F.lit(table).alias("table"),
         "newest",

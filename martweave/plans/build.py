@@ -106,15 +106,19 @@ TEST = "model string, column string, test string, failures bigint, severity stri
 
 
 class TestsFailed(RuntimeError):
-    """Data tests of severity error found violations."""
+    """Data tests of severity error found violations: ``results``, one row per test."""
 
     __test__ = False  # not a test class
 
+    def __init__(self, results: list[Row]):
+        self.results = results
+        super().__init__("; ".join(f"{r.test} {r.model}.{r.column}: {r.failures}" for r in results))
+
 
 def _raise(results: list[Row]) -> None:
     failed = [r for r in results if r.severity == "error" and r.failures]
     if failed:
-        raise TestsFailed("; ".join(f"{r.test} {r.model}.{r.column}: {r.failures}" for r in failed))
+        raise TestsFailed(failed)
 
 
 @dataclass
@@ -229,7 +233,7 @@ def build(
             if table.has(inputs.run.run_id):
                 check(name, table.read())
             else:
-                table.replace(df, inputs.run.run_id, lambda rows: check(name, rows))
+                table.replace(df, inputs.run.run_id, lambda rows, _: check(name, rows))
             df = classify(table.read(), name)
         else:
             check(name, df)

@@ -55,7 +55,24 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def _store(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it lies; nothing happens if it is not there."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    target, store = _store(spark, path)
+    store.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, store = _store(spark, path)
+    return store.exists(target)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, hidden names left out; none if it is not there."""
+    target, store = _store(spark, path)
+    names = [f.getPath().getName() for f in store.listStatus(target)] if store.exists(target) else []
+    return sorted(n for n in names if n[0] not in "._")

@@ -1,50 +1,41 @@
-"""A parquet table that can be replaced or merged into and survives a crash.
+"""A parquet table laid out by month that can be replaced or merged into.
 
 Layout under ``root``::
 
-    batches/<load_id>/                             a load under way; goes after its commit
-    data/v=<n>/<part>/partition_month=<yyyy-MM>/   rows; ``part`` is new, kept or gathered
-    commits/version=<n>/load_id=<id>/              one row per directory in force
+    rows/partition_month=<yyyy-MM>/   the rows
+    loads/load-<id>/                  one row for each load that is in
+    staging/load-<id>/                a load under way; goes after it is in
 
-A version is in force once its commit file exists, and the cursor is a column of
-that file: rows and cursor change together or not at all. A load that dies leaves
-directories no commit names; running it again overwrites them. One writer per
-table at a time: a second one fails when it finds its version taken. Which versions
-and loads there are is in the names of the files; only the last one is read.
+A load is staged first: its rows as they came, and for a merge the months it
+touches with its rows put in. Only then are those months replaced, by Spark's
+dynamic partition overwrite. A load that dies before leaves the table as it was;
+one that dies while months are replaced is finished from its staged rows by the
+next load, whichever that is, so no row is lost; until then a reader may see some
+months as they were. One writer per table at a time. The cursor is the newest value
+in the rows themselves, so it cannot part from them.
 
-A load adds directories of its own and rewrites only those that hold an older row
-of one of its keys, so it costs about what it brings and not what the table holds.
-A month that has come to lie in more than ``MOST_PLACES`` directories is gathered
-into one by the load that finds it so, which bounds what a commit lists.
-
-Everything goes through the DataFrame reader and writer, so any file system Spark
-can reach will do. No Delta, Iceberg or Hudi is needed; where one is at hand, use
-its MERGE instead.
+Where a table format with ``MERGE INTO`` is at hand, use that instead.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 from operator import or_
-from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.functions.calendar import moment
-from martweave.operators.ingest import LOAD_ID, one_per_key, stamp_load
-from martweave.session import remove
+from martweave.functions.calendar import MONTH, moment
+from martweave.operators.ingest import LOAD_ID, one_per_key, stamp_load, upsert
+from martweave.session import children, exists, remove
 
-_COMMIT = "month string, place string, last_value timestamp, rows bigint"
-_MONTH = "partition_month"  # no table may have a column of that name
-_WHOLE = "all"
-MOST_PLACES = 16
+_UNDATED = "undated"
+_LOADS = "load_id string, rows bigint, last_value timestamp"
+_STAGED = f"{_LOADS}, part string, touched array<string>"
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -59,18 +50,20 @@ def _month_name(value: date | datetime) -> str:
     return f"{value:%Y-%m}"
 
 
+def _folder(load_id: str) -> str:
+    return "load-" + re.sub(r"[^A-Za-z0-9.-]", lambda m: f"~{ord(m[0]):x}~", load_id)
+
+
 @dataclass(frozen=True)
-class Commit:
-    version: int
+class Load:
     load_id: str
-    places: dict[str, str]  # directory under the root -> its month
-    last_value: datetime | None
     rows: int  # that the load brought
+    last_value: datetime | None
 
 
 class LandedTable:
     """``ddl`` are the landed columns; ``month_of`` is the date or timestamp column
-    rows are laid out by. Every row also carries the id of the load it came with,
+    rows are laid out by; no table may have a column named as the layout is. Every row also carries the id of the load it came with,
     unless ``stamped`` is off."""
 
     def __init__(
@@ -91,240 +84,170 @@ class LandedTable:
 
     # -- reading ---------------------------------------------------------
 
-    def _commits(self) -> DataFrame:
-        schema = f"{_COMMIT}, version bigint, load_id string"
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/commits")
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], schema)
-            raise
-
-    def _in_force(self, load_id: str = "") -> tuple[Commit, bool]:
-        """The version in force, and whether a load is in already."""
-        commits = self._commits()
-        names = (re.search(r"/version=(\d+)/load_id=([^/]*)/", file) for file in commits.inputFiles())
-        # Spark escapes the id in the name of the folder, and the name in a URI.
-        versions = {int(name[1]): unquote(unquote(name[2])) for name in names if name}
-        if not versions:
-            return Commit(0, "", {}, None, 0), False
-        last = max(versions)
-        rows = (
-            commits.filter(F.col("version") == last)
-            .withColumn("last_value", F.unix_micros("last_value"))
-            .collect()  # one row per directory
-        )
-        places = {r.place: r.month for r in rows if r.place is not None}
-        head = rows[0]
-        commit = Commit(last, versions[last], places, _instant(head.last_value), head.rows)
-        return commit, load_id in versions.values()
-
-    def state(self) -> Commit:
-        """The version in force; version 0 of a table nothing was loaded into."""
-        return self._in_force()[0]
+    def _parquet(self, schema: str, place: str) -> DataFrame:
+        if not exists(self.spark, f"{self.root}/{place.removesuffix('/*')}"):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{place}")
 
-    def has(self, load_id: str) -> bool:
-        """Whether a load is in."""
-        return self._in_force(load_id)[1]
+    def by_month(self) -> DataFrame:
+        """Current rows with ``partition_month``: a filter on it, or a join with a filtered
+        calendar, decides which months are read."""
+        return self._parquet(f"{self.ddl}, {MONTH} string", "rows")
+
+    def read(self, start: date | None = None, end: date | None = None) -> DataFrame:
+        """Current rows; with bounds, only months that can hold ``[start, end)`` are read."""
+        df = self.by_month()
+        if self.month_of is not None and (start or end):
+            column = F.col(self.month_of)
+            kind = df.schema[self.month_of].dataType
+            if start:
+                df = df.filter((F.col(MONTH) >= _month_name(start)) & (column >= moment(start).cast(kind)))
+            if end:
+                df = df.filter((F.col(MONTH) <= _month_name(end)) & (column < moment(end).cast(kind)))
+        return df.drop(MONTH)
 
     def loads(self) -> DataFrame:
-        """One row per load: version, id, cursor after it and rows it brought."""
-        return self._commits().select("version", "load_id", "last_value", "rows").distinct()
+        """One row per load: id, rows it brought and the newest cursor value among them."""
+        return self._parquet(_LOADS, "loads/*")
 
-    def superseded(self) -> DataFrame:
-        """Directories of earlier versions that hold no current rows and may go."""
-        named = self._commits().filter(F.col("place").isNotNull()).select("place").distinct()
-        return named.filter(~F.col("place").isin(list(self.state().places)))
+    def has(self, load_id: str) -> bool:
+        """Whether a load is in."""
+        return exists(self.spark, f"{self.root}/loads/{_folder(load_id)}/_SUCCESS")
 
-    def _read(self, places: Iterable[str]) -> DataFrame:
-        paths = [f"{self.root}/{place}" for place in sorted(places)]
-        if not paths:
-            return self.spark.createDataFrame([], self.ddl)
-        return self.spark.read.schema(self.ddl).parquet(*paths)
+    def is_new(self) -> bool:
+        """Whether nothing was ever loaded."""
+        return not children(self.spark, f"{self.root}/loads")
 
-    def read(self, start: date | None = None, end: date | None = None) -> DataFrame:
-        """Current rows; with bounds, only months that can hold ``[start, end)`` are listed."""
-        places = self.state().places
-        if self.month_of is None or (start is None and end is None):
-            return self._read(places)
-        low = _month_name(start) if start else ""
-        high = _month_name(end) if end else "9999-99"
-        df = self._read(place for place, month in places.items() if low <= month <= high)
-        column = F.col(self.month_of)
-        kind = df.schema[self.month_of].dataType
-        if start:
-            df = df.filter(column >= moment(start).cast(kind))
-        if end:
-            df = df.filter(column < moment(end).cast(kind))
-        return df
+    def last_value(self) -> datetime | None:
+        """The newest ``month_of`` value; only the newest month is read."""
+        months = [c.partition("=")[2] for c in children(self.spark, f"{self.root}/rows")]
+        dated = [m for m in months if m and m != _UNDATED]
+        if self.month_of is None or not dated:
+            return None
+        newest = self.by_month().filter(F.col(MONTH) == max(dated))
+        return _instant(newest.agg(F.unix_micros(F.max(self.month_of).cast("timestamp"))).first()[0])
 
     # -- writing ---------------------------------------------------------
 
-    def _checked(self, df: DataFrame) -> DataFrame:
+    def _checked(self, df: DataFrame, load_id: str) -> DataFrame:
         """The declared columns in order; anything else than just those is refused."""
         declared = self.spark.createDataFrame([], self.ddl)
         if self.stamped:
             declared, df = declared.drop(LOAD_ID), df.drop(LOAD_ID)
         if sorted(df.dtypes) != sorted(declared.dtypes):
             raise ValueError(f"{self.root}: columns {df.dtypes} are not the declared {declared.dtypes}")
-        return df.select(*declared.columns)
+        df = df.select(*declared.columns)
+        return stamp_load(df, load_id) if self.stamped else df
 
     def _month(self, df: DataFrame) -> DataFrame:
         if self.month_of is None:
-            return df.withColumn(_MONTH, F.lit(_WHOLE))
-        return df.withColumn(
-            _MONTH, F.coalesce(F.date_format(self.month_of, "yyyy-MM"), F.lit("undated"))
-        )
-
-    def _write(self, df: DataFrame, place: str, spread: bool) -> tuple[dict[str, str], int]:
-        """Write one directory per month; return them and the rows written.
-
-        With ``spread`` a rebalance gathers a month's rows into files of the
-        advisory size and splits a month that holds too many. Sorting inside a
-        file keeps its row groups narrow in time.
-        """
-        order = [_MONTH, *([self.month_of] if self.month_of else []), *self.keys]
-        df = self._month(df)
-        if spread:
-            df = df.hint("rebalance", _MONTH) if self.month_of else df.hint("rebalance")
-        target = f"{self.root}/{place}"
-        df.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(_MONTH).parquet(target)
-        written = self.spark.read.schema(f"{self.ddl}, {_MONTH} string").parquet(target)
-        counts = dict(written.groupBy(_MONTH).count().collect())  # one row per month
-        return {f"{place}/{_MONTH}={month}": month for month in counts}, sum(counts.values())
-
-    def _commit(self, commit: Commit) -> Commit:
-        entries = [
-            (month, place, commit.last_value, commit.rows)
-            for place, month in sorted(commit.places.items())
-        ] or [(None, None, commit.last_value, commit.rows)]
-        rows = self.spark.createDataFrame(entries, _COMMIT).withColumn("load_id", F.lit(commit.load_id))
-        one = rows.coalesce(1)  # a row per directory: one file, so it appears in one step
-        place = f"{self.root}/commits/version={commit.version}"
-        try:
-            one.write.mode("error").partitionBy("load_id").parquet(place)
-        except AnalysisException as there:
-            # The folder of a writer that died has no file, and the version is free.
-            taken = any(f"/version={commit.version}/" in file for file in self._commits().inputFiles())
-            if taken or there.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            one.write.mode("overwrite").partitionBy("load_id").parquet(place)
-        return commit
+            return df.withColumn(MONTH, F.lit("all"))
+        return df.withColumn(MONTH, F.coalesce(F.date_format(self.month_of, "yyyy-MM"), F.lit(_UNDATED)))
+
+    def _stage(self, df: DataFrame, load_id: str, cursor: str | None) -> tuple[DataFrame, dict]:
+        """The rows of a load, written; and what was seen while they were written."""
+        place = f"staging/{_folder(load_id)}/batch"
+        newest = F.unix_micros(F.max(cursor).cast("timestamp")) if cursor else F.lit(None).cast("bigint")
+        seen = Observation()
+        self._checked(df, load_id).observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            newest.alias("newest"),
+            F.min(self.keys[0]).alias("low"),
+            F.max(self.keys[0]).alias("high"),
+            F.count_if(reduce(or_, (F.col(k).isNull() for k in self.keys))).alias("keyless"),
+        ).write.mode("overwrite").parquet(f"{self.root}/{place}")
+        return self._parquet(self.ddl, place), seen.get
+
+    def _put_in_force(self, folder: str) -> None:
+        """Replace the months a staged load touches, enter the load and drop what was staged."""
+        staging = f"{self.root}/staging/{folder}"
+        load = self.spark.read.schema(_STAGED).parquet(f"{staging}/load")
+        head = load.select("part", "touched").first()
+        rows = self._month(self._parquet(self.ddl, f"staging/{folder}/{head.part}"))
+        # A rebalance gathers a month's rows into files of the advisory size and splits a
+        # large month; sorting inside a file keeps its row groups narrow in time.
+        spread = rows.hint("rebalance", MONTH) if self.month_of else rows.hint("rebalance")
+        order = [MONTH, *([self.month_of] if self.month_of else []), *self.keys]
+        writer = spread.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(MONTH)
+        whole = "static" if head.touched is None else "dynamic"
+        writer.option("partitionOverwriteMode", whole).parquet(f"{self.root}/rows")
+        if head.touched:
+            left = {r[0] for r in rows.select(MONTH).distinct().collect()}  # one row per month
+            for month in set(head.touched) - left:
+                remove(self.spark, f"{self.root}/rows/{MONTH}={month}")
+        entered = load.drop("part", "touched").coalesce(1)
+        entered.write.mode("overwrite").parquet(f"{self.root}/loads/{folder}")
+        remove(self.spark, staging)
+
+    def _finish(self) -> None:
+        """Put in force what an earlier writer staged whole and died over; drop the rest."""
+        for folder in children(self.spark, f"{self.root}/staging"):
+            if exists(self.spark, f"{self.root}/staging/{folder}/load/_SUCCESS"):
+                self._put_in_force(folder)
+
+    def _enter(self, load: Load, part: str, touched: list[str] | None) -> Load:
+        folder = _folder(load.load_id)
+        row = self.spark.createDataFrame([(load.load_id, load.rows, load.last_value, part, touched)], _STAGED)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/staging/{folder}/load")
+        self._put_in_force(folder)
+        return load
+
+    def _entered(self, load_id: str) -> Load:
+        row = self._parquet(_LOADS, f"loads/{_folder(load_id)}").select("rows", F.unix_micros("last_value")).first()
+        return Load(load_id, row[0], _instant(row[1]))
 
     def replace(
-        self, df: DataFrame, load_id: str, check: Callable[[DataFrame], None] | None = None
-    ) -> Commit:
+        self, df: DataFrame, load_id: str, check: Callable[[DataFrame, int], None] | None = None
+    ) -> Load:
         """Drop the old rows and keep these; a load that is in already is skipped.
 
-        ``check`` sees the rows as written; if it raises, the old ones stay in force.
+        ``check`` sees the rows as staged and their number; if it raises, the old ones stay.
         """
-        before, seen = self._in_force(load_id)
-        if seen:
-            return before
-        df = self._checked(df)
-        df = stamp_load(df, load_id) if self.stamped else df
-        version = before.version + 1
-        places, rows = self._write(df, self._place(version, "new"), spread=True)
+        self._finish()
+        if self.has(load_id):
+            return self._entered(load_id)
+        staged, seen = self._stage(df, load_id, None)
         if check is not None:
-            check(self._read(places))
-        return self._commit(Commit(version, load_id, places, None, rows))
+            check(staged, seen["rows"])
+        return self._enter(Load(load_id, seen["rows"], None), "batch", None)
 
     def merge(
-        self, batch: DataFrame, load_id: str, cursor: str, month_is_fixed: bool = False
-    ) -> Commit:
+        self,
+        batch: DataFrame,
+        load_id: str,
+        cursor: str,
+        month_is_fixed: bool = False,
+        check: Callable[[DataFrame, int], None] | None = None,
+    ) -> Load:
         """Put a batch in: one row per key, the new row wins. Skipped if in already.
 
-        The batch is first stored as it came, so what is merged cannot change
-        under the job and a failed merge need not go back to the source; both it and
-        its keys go once the load is in. Older rows are looked for in the whole
-        table, or only in the months of the batch if the ``month_of`` value of a key
-        never changes (``month_is_fixed``).
+        Older rows are looked for in the key columns of the whole table, within the
+        key range of the batch, or only in the months of the batch if the ``month_of``
+        value of a key never changes (``month_is_fixed``). ``check`` is as for ``replace``.
         """
-        before, seen = self._in_force(load_id)
-        if seen:
-            return before
-        place = f"{self.root}/batches/{load_id}"
-        stamp_load(self._checked(batch), load_id).write.mode("overwrite").parquet(place)
-        staged = self.spark.read.schema(self.ddl).parquet(place)
-        keyed = self._keyed(staged, cursor, f"{place}-keys")
-
-        head = keyed.agg(
-            F.sum("_rows").alias("rows"),
-            F.count_if(F.col("_rows") > 1).alias("copied"),
-            F.unix_micros(F.max("_newest").cast("timestamp")).alias("newest"),
-            F.min(self.keys[0]).alias("low"),
-            F.max(self.keys[0]).alias("high"),
-            F.count_if(reduce(or_, (F.col(k).isNull() for k in self.keys))).alias("keyless"),
-        ).first()
-        if head.keyless:
+        self._finish()
+        if self.has(load_id):
+            return self._entered(load_id)
+        staged, seen = self._stage(batch, load_id, cursor)
+        if seen["keyless"]:
             raise ValueError(f"{self.root}: load {load_id} has rows without a key")
-        seen_values = [before.last_value, _instant(head.newest)]
-        last_value = max((v for v in seen_values if v is not None), default=None)
-        version, places = before.version + 1, before.places
-        if head.rows:
-            near = list(places)
-            if month_is_fixed and self.month_of:
-                months = {r[0] for r in keyed.select(F.explode("_months")).distinct().collect()}
-                near = [p for p, month in places.items() if month in months]
-            kept, dropped = self._without_replaced(near, keyed, head, f"{place}-replaced", version)
-            single = staged
-            if head.copied:
-                single = one_per_key(staged, keyed.filter("_rows > 1"), self.keys, [cursor])
-            new, _ = self._write(single, self._place(version, "new"), spread=True)
-            left = {p: month for p, month in places.items() if p not in dropped}
-            places = self._gathered({**left, **kept, **new}, version)
-        done = self._commit(Commit(version, load_id, places, last_value, head.rows or 0))
-        for part in ("", "-keys", "-replaced"):
-            remove(self.spark, f"{place}{part}")
-        return done
-
-    def _keyed(self, staged: DataFrame, cursor: str, place: str) -> DataFrame:
-        """One stored row per key of a batch: its copies, newest cursor value and months."""
-        keyed = self._month(staged).groupBy(*self.keys).agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.max(cursor).alias("_newest"),
-            F.collect_set(_MONTH).alias("_months"),
-        )
-        keyed.write.mode("overwrite").parquet(place)
-        return self.spark.read.schema(keyed.schema).parquet(place)
-
-    def _gathered(self, places: dict[str, str], version: int) -> dict[str, str]:
-        """Months lying in too many directories, written into one each."""
-        crowded = {m for m, n in Counter(places.values()).items() if n > MOST_PLACES}
-        if not crowded:
-            return places
-        many = [p for p, month in places.items() if month in crowded]
-        new, _ = self._write(self._read(many), self._place(version, "gathered"), spread=True)
-        return {p: month for p, month in places.items() if month not in crowded} | new
-
-    @staticmethod
-    def _place(version: int, part: str) -> str:
-        return f"data/v={version:08d}/{part}"
-
-    def _without_replaced(
-        self, near: list[str], keyed: DataFrame, head: Row, stored: str, version: int
-    ) -> tuple[dict[str, str], set[str]]:
-        """Directories written anew without rows the batch replaces, and those they stand for.
-
-        The search reads the key columns alone, and keys mostly grow with time, so
-        the batch's key range, pushed into the scan, skips nearly all row groups of
-        earlier months. What it finds is usually little (the rows at the cursor and
-        a few changed ones); it is stored, so the planner knows its size and
-        broadcasts it while it is small, and then rewriting shuffles nothing.
-        """
-        if not near:
-            return {}, set()
-        key = F.col(self.keys[0])
-        place = F.regexp_extract("_metadata.file_path", r"(data/v=[^/]+/[^/]+/[^/]+)/[^/]+$", 1)
-        rows = self._read(near).filter((key >= F.lit(head.low)) & (key <= F.lit(head.high)))
-        found = rows.select(*self.keys, place.alias("_place")).join(
-            keyed.select(*self.keys), self.keys, "left_semi"
-        )
-        found.write.mode("overwrite").parquet(stored)
-        replaced = self.spark.read.schema(found.schema).parquet(stored)
-        touched = {r[0] for r in replaced.select("_place").distinct().collect()}  # directories
-        if not touched:
-            return {}, set()
-        rest = self._read(touched).join(replaced.select(*self.keys), self.keys, "left_anti")
-        kept, _ = self._write(rest, self._place(version, "kept"), spread=False)
-        return kept, touched
+        if check is not None:
+            check(staged, seen["rows"])
+        load = Load(load_id, seen["rows"], _instant(seen["newest"]))
+        months = [r[0] for r in self._month(staged).select(MONTH).distinct().collect()]  # one row per month
+        present = self.by_month()
+        if not month_is_fixed:
+            key = F.col(self.keys[0])
+            near = present.filter((key >= F.lit(seen["low"])) & (key <= F.lit(seen["high"])))
+            found = near.join(staged.select(*self.keys), self.keys, "left_semi").select(MONTH).distinct()
+            months = sorted({*months, *(r[0] for r in found.collect())})
+        stored = {c.partition("=")[2] for c in children(self.spark, f"{self.root}/rows")}
+        copied = staged.groupBy(*self.keys).count().filter("count > 1")
+        if stored.isdisjoint(months) and copied.isEmpty():
+            return self._enter(load, "batch", months)
+        single = one_per_key(staged, copied, self.keys, [cursor])
+        touched = present.filter(F.col(MONTH).isin(months)).drop(MONTH)
+        merged = upsert(touched, single, self.keys, arriving=staged)
+        merged.write.mode("overwrite").parquet(f"{self.root}/staging/{_folder(load_id)}/merged")
+        return self._enter(load, "merged", months)

@@ -4,12 +4,14 @@ from dataclasses import replace
 from datetime import date, datetime, timezone
 
 import pytest
+from support import plan as plan_of
 from support import values
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from martweave.functions.audit import Run
 from martweave.functions.privacy import salt_column
+from martweave.operators import metrics
 from martweave.operators.contracts import CONTRACTS, ContractError
 from martweave.plans import build as plan
 from martweave.plans.namespaces import schema_name
@@ -107,16 +109,16 @@ def test_models_are_open_to_sql(spark, built):
 def test_building_again_under_the_same_run_writes_nothing(spark, built):
     root, made, _ = built
     mart = plan.mart(spark, f"{root}/analytics_marts", "fct_orders")
-    before = mart.state()
+    files = sorted(mart.read().inputFiles())
     plan.build(made, root, gate=False)
-    assert mart.state() == before
+    assert sorted(mart.read().inputFiles()) == files and mart.loads().count() == 1
 
 
 def test_marts_are_read_by_month(spark, built):
     root, _, _ = built
     mart = plan.mart(spark, f"{root}/analytics_marts", "fct_order_items")
     march = mart.read(date(1997, 3, 1), date(1997, 4, 1))
-    assert {f.split("partition_month=")[1][:7] for f in march.inputFiles()} <= {"1997-03", "1997-04"}
+    assert "PartitionFilters: [isnotnull(partition_month" in plan_of(march)
     assert march.count() == mart.read().filter("date_trunc('month', ordered_date) = '1997-03-01'").count()
 
 
@@ -127,7 +129,7 @@ def test_a_model_that_breaks_its_contract_is_not_written(spark, folder, tmp_path
     monkeypatch.setitem(plan.MODELS, "dim_products", broken)
     with pytest.raises(ContractError, match="missing column sku"):
         plan.build(inputs(spark, tables, Run("r")), str(tmp_path))
-    assert plan.mart(spark, f"{tmp_path}/analytics_marts", "dim_products").state().version == 0
+    assert plan.mart(spark, f"{tmp_path}/analytics_marts", "dim_products").is_new()
 
 
 def test_a_repeated_product_stops_the_build_before_anything_hangs_on_it(spark, folder, tmp_path):
@@ -141,7 +143,7 @@ def test_a_repeated_product_stops_the_build_before_anything_hangs_on_it(spark, f
     with pytest.raises(plan.TestsFailed, match="unique stg_products.product_id: 1"):
         plan.build(replace(made, raw=raw), str(tmp_path))
     for name in ("dim_products", "fct_order_items", "fct_orders"):
-        assert plan.mart(spark, f"{tmp_path}/analytics_marts", name).state().version == 0
+        assert plan.mart(spark, f"{tmp_path}/analytics_marts", name).is_new()
 
 
 def test_a_mart_that_fails_its_tests_leaves_the_old_one_in_force(spark, folder, tmp_path, monkeypatch):
@@ -150,12 +152,12 @@ def test_a_mart_that_fails_its_tests_leaves_the_old_one_in_force(spark, folder,
     rows = plan.lazy_models(made, ("dim_products",))["dim_products"]
     table.replace(rows, "one")
 
-    def refuse(_):
-        raise plan.TestsFailed("no")
+    def refuse(*_):
+        raise plan.TestsFailed([])
 
     with pytest.raises(plan.TestsFailed):
         table.replace(rows.limit(1), "two", refuse)
-    assert table.state().version == 1 and table.read().count() == rows.count()
+    assert table.loads().count() == 1 and table.read().count() == rows.count()
 
 
 def test_facts_that_differ_are_found(spark, built):
@@ -170,3 +172,18 @@ def test_units_of_money_reach_the_facts(spark, folder, tmp_path):
     made = inputs(spark, entry.OrderTables(spark, folder), Run("r"))
     whole = plan.lazy_models(replace(made, units=1.0), ("fct_orders",))["fct_orders"]
     assert whole.filter("total_revenue_gross != floor(total_revenue_gross)").isEmpty()
+
+
+def test_a_filtered_calendar_prunes_the_months_of_a_stored_fact(spark, built):
+    root, _, result = built
+    stored = plan.mart(spark, f"{root}/analytics_marts", "fct_order_items")
+    calendar = result.models["dim_dates"].filter("year = 1997 AND quarter = 2")
+    lookup = metrics.Lookup(calendar, "ordered_date", "date_day", ("year_month",), calendar=True, only=True, month="year_month")
+    names = ["net_revenue", "items", "p90_delivery_days"]
+    got = metrics.measure(stored.by_month(), "fct_order_items", names, ["year_month"], (lookup,))
+    assert "dynamicpruning" in plan_of(got)
+    direct = stored.read().filter("ordered_date >= '1997-04-01' AND ordered_date < '1997-07-01'")
+    want = metrics.measure(
+        direct.withColumn("year_month", F.date_format("ordered_date", "yyyy-MM")), "fct_order_items", names, ["year_month"]
+    )
+    assert values(got, "*") == values(want, "*") and got.count() == 3

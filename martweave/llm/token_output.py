@@ -23,16 +23,18 @@ With ``lengths`` any stretch of a document is decoded without expanding the rest
 
 Encoding goes through the tokenizers library. It splits a text by the public byte-level
 pattern and encodes every piece alone, so each distinct piece is given to it once and
-kept (at most ``KEPT`` pieces a worker) instead of once for every time it occurs. Many
-new pieces go in one text, a line each.
-
-With ``special`` (the query's way) the file's added tokens are recognised wherever they
-are written in a text, as the library does by default: the text is cut at them, leftmost
-and longest first, each is its own id, and what lies between is a text for the pattern.
-Without it they are plain text (the library's ``encode_special_tokens``).
-
-Defined cases: a null or empty text is the end id alone; rows with the same id follow
-each other in the order of their texts; a null id comes first and stays null; further
+kept (at most ``KEPT`` pieces and ``ROOM`` bytes a worker) instead of once for every time it occurs; bytes
+are compared before a kept piece stands for another. Many new pieces go in one text, a
+line each. The file's added tokens are recognised wherever they are written in a text,
+as the library does by default: the text is cut at them, leftmost and longest first,
+each is its own id, and what lies between is a text for the pattern.
+
+The grammar of a block ends when no pair occurs ``LEAST`` times. A rule takes 12 bytes
+and each place it replaces saves 4, so rarer pairs hardly pay.
+
+Defined cases: a null or empty text is its end id alone; documents of one id follow each
+other in the order of their texts' first ``PREFIX`` characters, then of a hash, so that an
+id with very many rows is spread over tasks; a null id comes first and stays null; further
 columns are left out; no documents give no rows.
 """
 
@@ -50,13 +52,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.llm import _text
+from martweave.llm import _kept, _text
 
 BLOCK = 1 << 20
-KEPT = 800_000
+KEPT, ROOM = 2_000_000, 160 << 20
 LINES = 2000
 END = 0
-ROUNDS, RULES, LEAST = 6, 4096, 8
+LEAST = 8
+PREFIX = 40
+BINS = 18
 SLICE = 4_000_000
 
 FORMAT = (
@@ -82,11 +86,7 @@ class Encoder:
         longest = sorted(self.special, key=len, reverse=True)
         self.pattern = re.compile(b"|".join(map(re.escape, longest))) if longest else None
         self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.ids, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.kept = _kept.Kept(KEPT, ROOM)
 
     def alone(self, pieces: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
         """Each piece encoded by itself: an order of the pieces, and in it their numbers of ids and the ids.
@@ -95,8 +95,9 @@ class Encoder:
         piece and an id of its own, so that one text takes many pieces.
         """
         lone = len(self.newline) == 1
-        many = [i for i, p in enumerate(pieces) if lone and not p[-1].isspace()]
-        single = [i for i, p in enumerate(pieces) if not lone or p[-1].isspace()]
+        blank = [not lone or p[-1].isspace() for p in pieces]
+        many = [i for i, b in enumerate(blank) if not b]
+        single = [i for i, b in enumerate(blank) if b]
         groups = [many[k : k + LINES] for k in range(0, len(many), LINES)]
         lines = ["\n".join(map(pieces.__getitem__, g)) for g in groups]
         counts, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
@@ -143,25 +144,18 @@ class Encoder:
         span = _text.pieces(t)
         if not len(span.start):
             return np.zeros(0, np.int32), np.zeros(len(t.at), np.int64)
-        key, first, which = np.unique(
-            _text.hashes(t.data, span.start, span.end), return_index=True, return_inverse=True
-        )
-        keys = key.tolist()
-        if len(self.known) + len(keys) > KEPT and len(self.known):
-            self.forget()
-        known = self.known
-        new = [i for i, k in enumerate(keys) if k not in known]
-        if new:
-            data, start, end = t.data.tobytes(), span.start[first].tolist(), span.end[first].tolist()
-            order, count, ids = self.alone([data[start[i] : end[i]].decode() for i in new])
-            for i in order:
-                known[keys[new[i]]] = len(known)
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(count)])
-            self.ids = np.concatenate([self.ids, ids])
-        place = np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))[which]
-        count = self.at[place + 1] - self.at[place]
+        data = t.data.tobytes()
+
+        def make(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            spans = zip(span.start[new].tolist(), span.end[new].tolist())
+            order, count, ids = self.alone([data[a:b].decode() for a, b in spans])
+            back = np.argsort(np.array(order))
+            begin = (np.cumsum(count) - count)[back]
+            return ids[_text.ranges(begin, count[back])], count[back]
+
+        ids, count = self.kept.get(t.data, span.start, span.end, make)
         total = np.concatenate([[0], np.cumsum(count)])
-        return self.ids[_text.ranges(self.at[place], count)], total[span.row]
+        return ids, total[span.row]
 
 
 @lru_cache(1)
@@ -169,70 +163,94 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _bins(pair: np.ndarray) -> np.ndarray:
+    return ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BINS)).astype(np.int64)
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules (pairs), symbols, and whether a symbol is the last of its document.
 
-    Each round takes the ``RULES`` most frequent pairs that occur ``LEAST`` times or
-    more; of overlapping places the left one is replaced.
+    Each round replaces every pair that occurs ``least`` times or more; of overlapping
+    places the left one is replaced. It ends when no pair inside a document occurs
+    ``least`` times. Two symbols of earlier rounds never become neighbours, so after the
+    first round only pairs with a new symbol are looked at.
     """
     symbol, last = ids.astype(np.int64), ends.copy()
     rules: list[np.ndarray] = []
-    for _ in range(rounds):
-        if len(symbol) < 2:
-            break
-        pair = (symbol[:-1] << 32) | symbol[1:]
-        inside = np.sort(pair[~last[:-1]])
-        if not len(inside):
-            break
-        start = np.flatnonzero(np.concatenate([[True], inside[1:] != inside[:-1]]))
-        count = np.diff(np.append(start, len(inside)))
-        often = np.flatnonzero(count >= LEAST)
-        if not len(often):
+    at = np.flatnonzero(~last[:-1])
+    while len(at):
+        pair = (symbol[at] << 32) | symbol[at + 1]
+        # Counts of hashed pairs rule out most places before pairs are sorted.
+        spread = _bins(pair)
+        maybe = (np.bincount(spread, minlength=1 << BINS) >= least)[spread]
+        at, pair = at[maybe], pair[maybe]
+        ordered = np.sort(pair)
+        start = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(at) else at
+        chosen = ordered[start[np.diff(np.append(start, len(ordered))) >= least]]
+        if not len(chosen):
             break
-        top = often[np.argsort(-count[often], kind="stable")[:RULES]]
-        chosen = np.sort(inside[start[top]])
-        # Most places are ruled out by a table of hashed pairs before the search.
-        spread = (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)
-        maybe = np.zeros(1 << 18, bool)
-        maybe[(chosen.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)] = True
-        at = np.flatnonzero(maybe[spread] & ~last[:-1])
-        rule = np.minimum(np.searchsorted(chosen, pair[at]), len(chosen) - 1)
-        hit = chosen[rule] == pair[at]
+        # A table of hashed pairs finds nearly all; pairs that share a place are searched.
+        place = np.full(1 << BINS, -1, np.int32)
+        place[_bins(chosen)] = np.arange(len(chosen))
+        rule = place[spread[maybe]]
+        rest = np.flatnonzero((rule >= 0) & (chosen[rule] != pair))
+        rule[rest] = np.minimum(np.searchsorted(chosen, pair[rest]), len(chosen) - 1)
+        hit = (rule >= 0) & (chosen[rule] == pair)
         at, rule = at[hit], rule[hit]
         runs = np.concatenate([[True], np.diff(at) > 1])
         first = at[np.flatnonzero(runs)][np.cumsum(runs) - 1]
         left = (at - first) % 2 == 0
         at, rule = at[left], rule[left]
-        symbol[at] = base + rule
+        # Rules that no place is left for are not stored.
+        used = np.flatnonzero(np.bincount(rule, minlength=len(chosen)))
+        number = np.zeros(len(chosen), np.int64)
+        number[used] = base + np.arange(len(used))
+        symbol[at] = number[rule]
         last[at] = last[at + 1]
         keep = np.ones(len(symbol), bool)
         keep[at + 1] = False
         symbol, last = symbol[keep], last[keep]
-        rules.append(np.stack([chosen >> 32, chosen & 0xFFFFFFFF], 1))
-        base += len(chosen)
+        rules.append(np.stack([chosen[used] >> 32, chosen[used] & 0xFFFFFFFF], 1))
+        new = symbol >= base
+        base += len(used)
+        at = np.flatnonzero((new[:-1] | new[1:]) & ~last[:-1])
     return np.concatenate(rules) if rules else np.zeros((0, 2), np.int64), symbol, last
 
 
-def lengths(rules: np.ndarray, base: int) -> np.ndarray:
-    """Number of ids that each rule expands to; a rule refers to earlier ones only."""
-    out = np.ones(base + len(rules), np.int64)
-    for i, (a, b) in enumerate(rules.tolist(), base):
-        out[i] = out[a] + out[b]
-    return out[base:]
-
-
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that the symbols stand for."""
-    out = symbols.astype(np.int64)
+def _unfold(symbols: np.ndarray, rules: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """What each symbol stands for, one after the other, and the place of the symbol that each id comes from."""
+    out, owner = symbols.astype(np.int64), np.arange(len(symbols))
     while len(out) and (large := out >= base).any():
         size = np.where(large, 2, 1)
         at = np.cumsum(size) - size
         wider = np.empty(int(size.sum()), np.int64)
-        wider[at[~large]] = out[~large]
+        wider[at] = out
         pair = rules[out[large] - base]
         wider[at[large]] = pair[:, 0]
         wider[at[large] + 1] = pair[:, 1]
-        out = wider
+        out, owner = wider, np.repeat(owner, size)
+    return out, owner
+
+
+def lengths(rules: np.ndarray, base: int) -> np.ndarray:
+    """Number of ids that each rule expands to."""
+    _, owner = _unfold(base + np.arange(len(rules)), rules, base)
+    return np.bincount(owner, minlength=len(rules))
+
+
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
+    """The ids that the symbols stand for: each rule is unfolded once and copied to its places."""
+    symbols = symbols.astype(np.int64)
+    large = np.flatnonzero(symbols >= base)
+    used, rule = np.unique(symbols[large], return_inverse=True)
+    ids, owner = _unfold(used, rules, base)
+    many = np.bincount(owner, minlength=len(used))
+    size = np.ones(len(symbols), np.int64)
+    size[large] = many[rule]
+    out = np.repeat(symbols, size)
+    at = (np.cumsum(size) - size)[large]
+    begin = (np.cumsum(many) - many)[rule]
+    out[_text.ranges(at, many[rule])] = ids[_text.ranges(begin, many[rule])]
     return out
 
 
@@ -247,8 +265,8 @@ def stretch(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, base: int
     return expand(symbols[a:b], rules, base)[first - skipped : last - skipped]
 
 
-def write(documents: DataFrame, folder: str, path: str, end_id: int = END, special: bool = False) -> None:
-    """Encode ``documents`` (doc_id, text) and write the blocks to ``folder``; ``special``: added tokens are recognised."""
+def write(documents: DataFrame, folder: str, path: str, end_id: int = END, least: int = LEAST) -> None:
+    """Encode ``documents`` (doc_id, text) and write the blocks to ``folder``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, part, number = encoder(path), TaskContext.get().partitionId(), 0
@@ -262,7 +280,7 @@ def write(documents: DataFrame, folder: str, path: str, end_id: int = END, speci
             ids = np.concatenate(waiting)
             ends = np.zeros(len(ids), bool)
             ends[np.cumsum(count) - 1] = True
-            rules, symbol, last = compress(ids, ends, make.size)
+            rules, symbol, last = compress(ids, ends, make.size, least)
             per_doc = np.diff(np.concatenate([[-1], np.flatnonzero(last)]))
             binary = [x.astype("<i4").tobytes() for x in (rules, lengths(rules, make.size), symbol)]
             row = [part, number, done, list(names), count.tolist(), per_doc.tolist(), *binary, make.size, len(ids)]
@@ -281,7 +299,7 @@ def write(documents: DataFrame, folder: str, path: str, end_id: int = END, speci
         for batch in batches:
             doc = batch.column(0).to_pylist()
             for t in _text.texts(batch.column(1), SLICE):
-                ids, bound = make.whole(t) if special else make.encoded(t)
+                ids, bound = make.whole(t)
                 for i in range(t.first, t.last):
                     own = ids[bound[i - t.first] : bound[i - t.first + 1]]
                     if held and held + len(own) + 1 > BLOCK:
@@ -293,7 +311,15 @@ def write(documents: DataFrame, folder: str, path: str, end_id: int = END, speci
             yield block()
 
     kept = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ordered = kept.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Equal rows may stand in any order, so a number of the row spreads even those.
+    spread = kept.select(
+        "*",
+        F.substring("text", 1, PREFIX).alias("_prefix"),
+        F.xxhash64("text").alias("_hash"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    by = ["doc_id", "_prefix", "_hash"]
+    ordered = spread.repartitionByRange(*by, "_row").sortWithinPartitions(*by).select("doc_id", "text")
     ordered.mapInArrow(run, FORMAT).write.parquet(folder)
 
 

@@ -15,7 +15,7 @@ import sentencepiece
 import tiktoken
 from tokenizers import Tokenizer, models
 
-from martweave.llm import _text, byte_bpe, token_counts, token_output
+from martweave.llm import _kept, _text, byte_bpe, token_counts, token_output
 from martweave.llm.queries import QUERIES, shipped
 from martweave.session import work_folder
 
@@ -31,6 +31,14 @@ def tik():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def alike():
+    """Two texts with equal hashes under any polynomial in one odd base modulo 2^64."""
+    one = "a"
+    for _ in range(10):
+        one += one.translate({97: "b", 98: "a"})
+    return [one, one.translate({97: "b", 98: "a"})]
+
+
 def mixed(n, seed=5):
     rng = random.Random(seed)
     signs = "the and of er in 's é ß 日 \n\t 12 !? "
@@ -38,7 +46,7 @@ def mixed(n, seed=5):
 
 
 def test_encode_and_decode(documents, tik):
-    texts = SPECIAL + mixed(60) + ["same", "same"]
+    texts = SPECIAL + mixed(60) + alike() + ["same", "same"]
     df = documents(texts, IDS=["kept"] * len(texts), Decoded=["old"] * len(texts))
     encoded = byte_bpe.encode(df, RANKS)
     assert encoded.columns == ["doc_id", "text", "Decoded", "ids"]
@@ -49,6 +57,25 @@ def test_encode_and_decode(documents, tik):
         assert bytes(got[i]["decoded"]) == (text or "").encode()
 
 
+@pytest.mark.parametrize("room", [1 << 20, 20_000, 0])
+def test_spans_of_equal_hashes_are_told_apart(monkeypatch, room):
+    monkeypatch.setattr(_text, "hashes", lambda data, start, end: np.full(len(start), 5, np.uint64))
+    kept, rng = _kept.Kept(3000, room), random.Random(1)
+    for _ in range(4):
+        words = ["".join(rng.choice("abé") for _ in range(rng.randint(1, 11))) for _ in range(900)]
+        data, span = _text.words(next(_text.texts(pa.array([" ".join(words)]))))
+
+        def make(new, data=data, span=span):
+            own = [data[span.start[i] : span.end[i]] for i in new]
+            return np.concatenate(own).astype(np.int32), np.array([len(x) for x in own])
+
+        values, count = kept.get(data, span.start, span.end, make)
+        assert bytes(values.astype(np.uint8)) == "".join(words).encode()
+        assert count.tolist() == [len(w.encode()) for w in words]
+        first, which = _kept.distinct(data, span.start, span.end)
+        assert len(first) == len(set(words)) and [words[first[k]] for k in which] == words
+
+
 def test_digests(documents, tik):
     row = byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(documents(["Hello world", None]), RANKS), RANKS)).orderBy("doc_id").collect()
     ids = tik.encode_ordinary("Hello world")
@@ -72,7 +99,7 @@ def test_null_ids_and_no_rows(documents, spark):
 
 
 def test_token_files(documents, spark, monkeypatch):
-    texts = SPECIAL + mixed(80, 9)
+    texts = SPECIAL + mixed(80, 9) + alike()
     ids = list(range(len(texts)))
     random.Random(1).shuffle(ids)
     ids[3] = ids[4] = 7
@@ -80,7 +107,6 @@ def test_token_files(documents, spark, monkeypatch):
     token_output.write(documents(texts, ids, extra=["x"] * len(texts)), folder, JSON)
     got = token_output.digests(token_output.read(spark, folder)).orderBy("start").collect()
     library = Tokenizer.from_file(JSON)
-    library.encode_special_tokens = True
     start = 0
     for row, (i, text) in zip(got, sorted(zip(ids, texts), key=lambda x: (x[0], x[1] or "")), strict=True):
         want = library.encode(text or "", add_special_tokens=False).ids + [0]
@@ -115,6 +141,12 @@ def test_grammar():
     ends[[10, 11, 700, len(ids) - 1]] = True
     rules, symbols, last = token_output.compress(ids, ends, 50257)
     assert len(rules) and len(symbols) < len(ids) / 2
+    pairs = [(a, b) for a, b, end in zip(symbols.tolist(), symbols[1:].tolist(), last.tolist()) if not end]
+    places, before = {}, {}
+    for i, pair in enumerate(pairs):
+        if before.get(pair, -2) != i - 1:
+            places[pair], before[pair] = places.get(pair, 0) + 1, i
+    assert max(places.values()) < token_output.LEAST
     assert (token_output.expand(symbols, rules, 50257) == ids).all()
     sizes = token_output.lengths(rules, 50257)
     of = np.where(symbols < 50257, 1, sizes[np.maximum(symbols - 50257, 0)])
@@ -135,7 +167,7 @@ def test_counts_equal_the_unigram_library(byte_pieces):
     some = [("<unk>", 0.0)] + [(f"<0x{i:02X}>", 0.0) for i in range(256)] * byte_pieces
     library = Tokenizer(models.Unigram(some + list(plain.items()), unk_id=0, byte_fallback=byte_pieces))
     own = token_counts.Unigram(plain, byte_pieces)
-    texts = [t or "" for t in SPECIAL if not t or len(t) < 5000] + mixed(120, 4)
+    texts = [t or "" for t in SPECIAL if not t or len(t) < 5000] + mixed(120, 4) + alike()
     got = np.concatenate([token_counts.count(own, t) for t in _text.texts(pa.array(texts), 500)])
     want = [len(library.encode("▁" + t.replace(" ", "▁"), add_special_tokens=False).ids) if t else 0 for t in texts]
     assert got.tolist() == want

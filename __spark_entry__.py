@@ -175,6 +175,17 @@ def ingest_orders_incremental(c: Context) -> DataFrame:
     return ingest.since(c.tables.orders(since=FIRST_LOAD), FIRST_LOAD)
 
 
+@query(
+    o.sql(
+        f"SELECT {o.landing_columns('orders')} FROM land_orders WHERE created_at >= {o.FIRST_LOAD}",
+        "land_orders",
+    )
+)
+def ingest_orders_by_marker(c: Context) -> DataFrame:
+    """The bound as a parameter of fixed SQL text."""
+    return ingest.since_by_marker(c.tables.orders(), FIRST_LOAD)
+
+
 @query(
     o.sql(
         f"SELECT {o.landing_columns('order_items')} FROM land_order_items "
@@ -748,13 +759,28 @@ _RELATIONSHIPS = (*quality.RELATIONSHIPS, *quality.DEFERRED_RELATIONSHIPS)
     )
 )
 def dq_relationships(c: Context) -> DataFrame:
-    """Each test is fed what it compares: an order's user needs no look at the items' users."""
+    """All tests together; an order's user needs no look at the items' users."""
+    items = c.models("fct_order_items", "dim_products", joined=("user_id",))
+    orders = c.models("fct_orders", "stg_orders", "stg_users", "dim_users", joined=())
+    return quality.relationships(orders | items, _RELATIONSHIPS)
 
-    def models(r: quality.Relationship) -> dict[str, DataFrame]:
-        joined = {r.column} if r.child == "fct_order_items" else ()
-        return c.models(r.child, r.parent, joined=joined)
 
-    return union(quality.relationship(models(r), r) for r in _RELATIONSHIPS)
+@query(
+    o.sql(
+        """
+        SELECT 'order_items' AS model, 'id' AS "column", 'unique_in_load' AS test, COUNT(*) AS failures FROM (
+            SELECT id FROM (
+                SELECT id FROM land_order_items UNION ALL SELECT id FROM land_order_items WHERE id % 97 = 5)
+            WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1 AND bool_or(id % 97 = 5))
+        """,
+        "land_order_items",
+    )
+)
+def dq_unique_in_load(c: Context) -> DataFrame:
+    """A load that brings some ids again, against all loads before it."""
+    items = c.tables.order_items(["id", "created_at"])
+    again = items.filter("id % 97 = 5").withColumn(ingest.LOAD_ID, F.lit("load-again"))
+    return quality.unique_in_load(monthly_loads(items).unionByName(again), "order_items", "id", "load-again")
 
 
 @query(
@@ -869,6 +895,26 @@ def classified_projection(c: Context) -> DataFrame:
     return contracts.visible_to(contracts.classify(c.users(), "dim_users"), {"public"})
 
 
+@query(
+    o.sql(
+        """
+        SELECT country, COUNT(*) AS users, MIN(age) AS youngest FROM dim_users GROUP BY country
+        """,
+        "dim_users",
+    )
+)
+def classified_derived(c: Context) -> DataFrame:
+    """Of columns derived from classed ones only those that come from public columns alone."""
+    users = contracts.classify(c.users(), "dim_users")
+    derived = users.withColumn("contact", F.concat_ws(" ", "email", "city")).groupBy("country").agg(
+        F.count(F.lit(1)).alias("users"),
+        F.min("age").alias("youngest"),
+        F.max("contact").alias("a_contact"),
+        F.collect_set("last_name").alias("names"),
+    )
+    return contracts.visible_to(contracts.inherit(derived), {"public"})
+
+
 # --- metrics --------------------------------------------------------------
 
 

@@ -34,10 +34,16 @@ def default_end(years: int = 2) -> Column:
     return F.add_months(F.current_date(), 12 * years)
 
 
+def moment_text(value: date | datetime) -> str:
+    """The moment in UTC as text that casts to a timestamp."""
+    if not isinstance(value, datetime):
+        return value.isoformat()
+    if value.tzinfo is not None:
+        value = value.astimezone(timezone.utc)
+    return value.strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
 def moment(value: date | datetime) -> Column:
     """A timestamp literal read as UTC, whatever zone the driver machine is in."""
-    if isinstance(value, datetime):
-        if value.tzinfo is not None:
-            value = value.astimezone(timezone.utc)
-        return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
-    return F.lit(value).cast("timestamp")
+    literal = moment_text(value) if isinstance(value, datetime) else value
+    return F.lit(literal).cast("timestamp")

@@ -206,3 +206,73 @@ def visible_to(df: DataFrame, classes: set[str]) -> DataFrame:
     return df.select(
         *(f.name for f in df.schema.fields if f.metadata.get("data_class") in classes)
     )
+
+
+def _classes_of(plan, known: dict[int, str | None]) -> dict[int, str | None]:
+    """The class of each attribute that a plan puts out, by the attribute's id.
+
+    A column has the strictest class of all columns it is made from. What a node puts
+    out by other means than a named expression (a generator, a Python function) is
+    taken to be made from all it reads.
+    """
+
+    def items(found) -> list:
+        return [found.apply(i) for i in range(found.size())]
+
+    def ids(found) -> list[int]:
+        return [a.exprId().id() for a in items(found.toSeq())]
+
+    def strictest(classes: list[str | None]) -> str | None:
+        if None in classes:
+            return None  # of a column without a class nothing is known
+        return max(classes, key=DATA_CLASSES.index, default=DATA_CLASSES[0])
+
+    def declared(attribute) -> str | None:
+        metadata = attribute.metadata()
+        return metadata.getString("data_class") if metadata.contains("data_class") else None
+
+    def gather(expression) -> None:
+        """Classes of the aliases of an expression, inner ones first."""
+        for child in items(expression.children()):
+            gather(child)
+        if expression.getClass().getSimpleName() == "Alias":
+            own = declared(expression)
+            known[expression.exprId().id()] = own or strictest([known.get(i) for i in ids(expression.child().references())])
+
+    children = items(plan.children())
+    for child in children:
+        _classes_of(child, known)
+    for expression in items(plan.expressions()):
+        gather(expression)
+    output = items(plan.output())
+    if plan.getClass().getSimpleName() == "Union":
+        for place, attribute in enumerate(output):
+            rows = [items(child.output())[place].exprId().id() for child in children]
+            known[attribute.exprId().id()] = strictest([known.get(i) for i in rows])
+        return known
+    read = [a.exprId().id() for child in children for a in items(child.output())]
+    for attribute in output:
+        number = attribute.exprId().id()
+        if number not in known:
+            known[number] = strictest([known.get(i) for i in read]) if children else declared(attribute)
+    return known
+
+
+def inherit(df: DataFrame) -> DataFrame:
+    """``df`` with a data class for every column, also those derived from classed ones.
+
+    A derived column takes the strictest class of the columns it comes from, through
+    joins, unions, groups, windows and generators; a class declared on the way stands,
+    a column without inputs is public, and one with an unclassed input has no class.
+    Only the analysed plan is walked; no data is read.
+    """
+    plan = df._jdf.queryExecution().analyzed()
+    known = _classes_of(plan, {})
+    output = plan.output()
+    classes = [known.get(output.apply(i).exprId().id()) for i in range(output.size())]
+    return df.select(
+        *(
+            F.col(f"`{name}`").alias(name, metadata={"data_class": kind}) if kind else F.col(f"`{name}`")
+            for name, kind in zip(df.columns, classes)
+        )
+    )

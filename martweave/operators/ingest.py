@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martweave.functions.calendar import moment
+from martweave.functions.calendar import moment, moment_text
 
 LOAD_ID = "_load_id"
 
@@ -27,6 +27,20 @@ def since(
     return df.filter(F.col(cursor) >= moment(start).cast(df.schema[cursor].dataType))
 
 
+def since_by_marker(df: DataFrame, cutoff: datetime, cursor: str = "created_at") -> DataFrame:
+    """:func:`since` as SQL text that never changes: the bound is a parameter, not part of the text.
+
+    A cutoff from outside can so not become SQL, and reaches the scan as a typed literal.
+    """
+    kind = df.schema[cursor].dataType.simpleString()
+    return df.sparkSession.sql(
+        "SELECT * FROM {rows} WHERE {cursor} >= CAST(CAST(:start AS TIMESTAMP) AS " + kind + ")",
+        args={"start": moment_text(cutoff)},
+        rows=df,
+        cursor=F.col(cursor),
+    )
+
+
 def high_watermark(df: DataFrame, cursor: str = "created_at") -> DataFrame:
     """One row: the highest cursor value, NULL where nothing was loaded."""
     return df.agg(F.max(cursor).alias("last_value"))

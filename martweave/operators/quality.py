@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 # The declared data tests.
 NOT_NULL = {
@@ -115,6 +117,28 @@ def unique(df: DataFrame, model: str, column: str) -> DataFrame:
     return _result(found, "unique", model, column)
 
 
+def repeated_in_load(
+    table: DataFrame, column: str, load_id: str, load_column: str = "_load_id"
+) -> DataFrame:
+    """Key values by which a load breaks the uniqueness of a table that was unique before.
+
+    The load's keys are held against each other and against those of all other loads.
+    Rows of the table that cannot be among them are ruled out by a Bloom filter over the
+    load's keys, which Spark puts into the scan of a large table, or by the broadcast of
+    a small load; only what is left is compared exactly. Nothing groups the whole table.
+    """
+    known = table.filter(F.col(column).isNotNull())
+    own = known.filter(F.col(load_column) == load_id).select(column)
+    others = known.filter(~F.col(load_column).eqNullSafe(load_id)).select(column)
+    inside = repeated_keys(own, column).select(column)
+    return inside.union(others.join(own, column, "left_semi")).distinct()
+
+
+def unique_in_load(table: DataFrame, model: str, column: str, load_id: str) -> DataFrame:
+    found = repeated_in_load(table, column, load_id).agg(F.count(F.lit(1)).alias("failures"))
+    return _result(found, "unique_in_load", model, column)
+
+
 def orphans(child: DataFrame, column: str, parent: DataFrame, field: str, *also: str) -> DataFrame:
     """Foreign keys without a parent row, with the number of child rows of each.
 
@@ -132,6 +156,52 @@ def relationship(models: dict[str, DataFrame], r: Relationship) -> DataFrame:
     return _result(total, f"relationships:{r.parent}.{r.field}", r.child, r.column)
 
 
+def relationships(models: dict[str, DataFrame], tests: Sequence[Relationship]) -> DataFrame:
+    """As :func:`relationship` for several tests at once.
+
+    The keys of all child columns are counted together, a child being read once for all
+    its columns, and meet the keys of all parents in one join: two shuffles, however
+    many tests there are. Keys are compared as integers if all are, else as text.
+    """
+    named = [(r.child, r.column) for r in tests] + [(r.parent, r.field) for r in tests]
+    whole = all(models[m].schema[c].dataType in (ByteType(), ShortType(), IntegerType(), LongType()) for m, c in named)
+
+    def key(column: str) -> Column:
+        return F.col(column).cast("bigint" if whole else "string").alias("_key")
+
+    def stacked(child: str) -> DataFrame:
+        rows = [
+            F.struct(F.lit(k).alias("_test"), F.lit(f"{r.parent}.{r.field}").alias("_parent"), key(r.column))
+            for k, r in enumerate(tests)
+            if r.child == child
+        ]
+        return models[child].select(F.inline(F.array(*rows))).filter(F.col("_key").isNotNull())
+
+    children = reduce(DataFrame.unionByName, map(stacked, dict.fromkeys(r.child for r in tests)))
+    counted = children.groupBy("_parent", "_key").agg(
+        *(F.count_if(F.col("_test") == k).alias(f"_{k}") for k in range(len(tests)))
+    )
+    keys = reduce(
+        DataFrame.unionByName,
+        (
+            models[parent].select(F.lit(f"{parent}.{field}").alias("_parent"), key(field))
+            for parent, field in dict.fromkeys((r.parent, r.field) for r in tests)
+        ),
+    )
+    missing = counted.join(keys, ["_parent", "_key"], "left_anti")
+    sums = missing.agg(*(F.coalesce(F.sum(f"_{k}"), F.lit(0)).cast("bigint").alias(f"_{k}") for k in range(len(tests))))
+    rows = [
+        F.struct(
+            F.lit(r.child).alias("model"),
+            F.lit(r.column).alias("column"),
+            F.lit(f"relationships:{r.parent}.{r.field}").alias("test"),
+            F.col(f"_{k}").alias("failures"),
+        )
+        for k, r in enumerate(tests)
+    ]
+    return sums.select(F.inline(F.array(*rows)))
+
+
 def orphans_by_day(
     child: DataFrame, column: str, parent: DataFrame, field: str, day: str
 ) -> DataFrame:

@@ -14,6 +14,7 @@ from martweave.functions.privacy import salt_column
 from martweave.operators import metrics
 from martweave.operators.contracts import CONTRACTS, ContractError
 from martweave.plans import build as plan
+from martweave.plans.catalog import catalogue
 from martweave.plans.namespaces import schema_name
 
 
@@ -187,3 +188,17 @@ def test_a_filtered_calendar_prunes_the_months_of_a_stored_fact(spark, built):
         direct.withColumn("year_month", F.date_format("ordered_date", "yyyy-MM")), "fct_order_items", names, ["year_month"]
     )
     assert values(got, "*") == values(want, "*") and got.count() == 3
+
+
+def test_models_lie_in_the_catalog_by_environment(spark, built):
+    root, _, result = built
+    for _ in range(2):
+        names = catalogue(spark, root)
+    assert "analytics_marts.fct_orders" in names and len(names) == 5
+    months = spark.sql("SELECT count(*) AS n FROM analytics_marts.fct_order_items WHERE partition_month = '1997-03'")
+    assert "PartitionFilters: [isnotnull(partition_month" in plan_of(months)
+    assert months.first().n == result.models["fct_order_items"].filter("date_format(ordered_date, 'yyyy-MM') = '1997-03'").count() > 0
+    open_columns = spark.sql("SELECT * FROM analytics_marts.dim_users_public").columns
+    assert "country" in open_columns and "email" not in open_columns and "partition_month" not in open_columns
+    spark.sql("DROP DATABASE analytics_marts CASCADE")
+    assert plan.mart(spark, f"{root}/analytics_marts", "fct_orders").read().count() > 0  # only the names went

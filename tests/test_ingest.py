@@ -47,6 +47,15 @@ def test_cutoff_is_inclusive_and_pushed(spark, tmp_path):
     assert back.count() == 3
 
 
+def test_the_bound_may_be_a_parameter_of_fixed_text(spark, tmp_path):
+    path = str(tmp_path / "p")
+    rows(spark, (1, "a", at(1)), (2, "b", at(2)), (3, "c", at(3))).write.parquet(path)
+    stored = spark.read.schema(DDL).parquet(path)
+    got = ingest.since_by_marker(stored, datetime(2024, 1, 2, tzinfo=UTC), "at")
+    assert values(got, "id") == [(2,), (3,)] and got.columns == stored.columns
+    assert "GreaterThanOrEqual(at,2024-01-02" in plan(got)
+
+
 def test_watermark(spark):
     assert ingest.high_watermark(rows(spark, (1, "a", at(1)), (2, "b", at(9))), "at").first()[0] == at(9)
     assert ingest.high_watermark(rows(spark), "at").first()[0] is None

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from support import values
+from support import plan, values
 from pyspark.sql import functions as F
 
 from martweave.operators import contracts, metrics, quality
@@ -33,6 +33,50 @@ def test_relationship_ignores_null(spark):
     assert (got.model, got.test, got.failures) == ("c", "relationships:p.id", 2)
 
 
+def test_relationships_together_are_those_alone(spark):
+    import random
+
+    draw = random.Random(2)
+    child = spark.createDataFrame(
+        [(draw.choice([None, *range(30)]), draw.choice(["a", "b", "z", None])) for _ in range(300)], "k int, s string"
+    )
+    other = spark.createDataFrame([(k % 9,) for k in range(40)], "k bigint")
+    models = {
+        "c": child, "o": other, "p": spark.createDataFrame([(k,) for k in range(0, 30, 2)] + [(None,)], "id bigint"),
+        "q": spark.createDataFrame([("a",), ("b",)], "s string"), "empty": spark.createDataFrame([], "id int"),
+    }
+    tests = [
+        quality.Relationship("c", "k", "p", "id"), quality.Relationship("c", "s", "q", "s"), quality.Relationship("o", "k", "p", "id"),
+        quality.Relationship("c", "k", "empty", "id"), quality.Relationship("o", "k", "o", "k"),
+    ]
+    alone = [quality.relationship(models, r).first() for r in tests]
+    assert values(quality.relationships(models, tests), "*") == sorted(map(tuple, alone), key=repr)
+    text = plan(quality.relationships({**models, "c": child.repartition(3)}, tests))
+    assert text[text.index("== Physical Plan ==") :].count("REPARTITION_BY_NUM") == 1  # the child is read once
+
+
+def test_uniqueness_of_a_load(spark, conf):
+    rows = [(1, "one"), (2, "one"), (None, "one"), (3, None), (2, "two"), (3, "two"), (4, "two"), (4, "two"), (None, "two"), (5, "two")]
+    table = spark.createDataFrame(rows, "id int, _load_id string")
+    for small in ("10MB", "-1"):
+        conf(spark__sql__autoBroadcastJoinThreshold=small)
+        assert values(quality.repeated_in_load(table, "id", "two"), "id") == [(2,), (3,), (4,)]
+        assert quality.unique_in_load(table, "t", "id", "two").first().failures == 3
+    assert quality.unique_in_load(table, "t", "id", "none").first().failures == 0
+    assert quality.unique_in_load(table.limit(0), "t", "id", "two").first().failures == 0
+
+
+def test_a_bloom_filter_of_the_load_reaches_the_scan_of_a_large_table(spark, tmp_path, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0",
+    )
+    path = str(tmp_path / "t")
+    spark.range(50_000).select("id", F.expr("IF(id >= 49000, 'new', 'old')").alias("_load_id")).write.parquet(path)
+    found = quality.repeated_in_load(spark.read.parquet(path), "id", "new")
+    assert "might_contain" in plan(found) and found.count() == 0
+
+
 def test_orphans_by_day(spark):
     d1, d2 = date(2024, 1, 1), date(2024, 1, 2)
     child = spark.createDataFrame([(9, d1), (9, d1), (8, d1), (8, d2), (1, d2)], "k int, d date")
@@ -250,3 +294,34 @@ def test_coherence(spark):
     assert {r.g: r.coherent for r in got.collect()} == {"a": True, "b": False, "c": True, None: True, "d": False}
     loose = metrics.coherence(left, right, ["g"], ["m"], tolerance=0.5)
     assert loose.filter("g = 'b'").first().coherent is True
+
+
+def test_derived_columns_inherit_the_strictest_class(spark):
+    ddl = "user_id bigint, first_name string, email string, country string, age bigint"
+    plain = spark.createDataFrame([(1, "a", "e", "x", 3)], ddl)
+    users = contracts.classify(plain, "dim_users")
+    costs = contracts.classify(spark.createDataFrame([(1, 2.0, "b")], "product_id bigint, cost double, brand string"), "dim_products")
+
+    def kinds(df):
+        return {f.name: f.metadata.get("data_class") for f in contracts.inherit(df).schema.fields}
+
+    assert kinds(users) == {"user_id": "public", "first_name": "pii", "email": "sensitive_pii", "country": "public", "age": "public"}
+    made = users.select(
+        F.concat("country", "first_name").alias("a"), F.upper(F.concat("first_name", "email")).alias("b"),
+        (F.col("age") + 1).alias("c"), F.lit(1).alias("d"), F.explode(F.split("email", "@")).alias("e"),
+        F.col("email").alias("f", metadata={"data_class": "internal"}),
+    )
+    assert kinds(made) == {"a": "pii", "b": "sensitive_pii", "c": "public", "d": "public", "e": "sensitive_pii", "f": "internal"}
+    from pyspark.sql import Window
+
+    ranked = users.withColumn("r", F.rank().over(Window.partitionBy("country").orderBy("first_name")))
+    assert kinds(ranked)["r"] == "pii"
+    joined = users.join(costs, users["user_id"] == costs["product_id"])
+    grouped = joined.groupBy("country").agg(F.sum("cost").alias("cost"), F.count(F.lit(1)).alias("n"), F.max("email").alias("m"))
+    assert kinds(grouped) == {"country": "public", "cost": "internal", "n": "public", "m": "sensitive_pii"}
+    both = users.select(F.col("country").alias("v")).union(users.select("first_name"))
+    assert kinds(both) == {"v": "pii"}
+    assert kinds(users.crossJoin(plain.select(F.col("age").alias("unknown"))).select((F.col("unknown") + 1).alias("u"), "age")) == {"u": None, "age": "public"}
+    assert kinds(users.mapInPandas(lambda rows: rows, ddl))["country"] == "sensitive_pii"
+    shown = contracts.visible_to(contracts.inherit(made), {"public"})
+    assert shown.columns == ["c", "d"]

@@ -12,7 +12,7 @@ shuffled and a digest that a third of the documents share may be split.
 A copyright statement starts a line: the sign, or the word followed by a sign, a year or
 a holder, up to the line's end or the start of a known text on the same line. The word
 inside a sentence ("copyright notice", "copyright holders") is text wherever a line is
-wrapped. ``SQL`` still deletes every line that starts with the word, so it differs there.
+wrapped. The SQL says the same line by line, as its patterns cannot look ahead.
 
 Result: the columns of the documents other than ``text``, and ``digest`` and ``license``
 (null if unknown), which replace columns of those names, whatever their case. Defined
@@ -63,8 +63,6 @@ COPYRIGHT = (
     r"|copyrights?(?!\p{L})[^\p{L}\p{N}\n]*(?:\(c\)|©|(?!(?:" + _IN_TEXT + r")\b)[\p{L}\p{N}]))"
     r"[^\n]*?(?=\n|\z|(?<![\p{L}\p{N}])(?:" + _starts() + r")\b)"
 )
-#: What the SQL takes for a copyright line.
-SQL_COPYRIGHT = r"(^|\n)[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 SIGNS = r"[^\p{L}\p{N}]+"
 
 
@@ -110,9 +108,26 @@ def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
     return kept.join(digests, kept["digest"] == digests["_known"], "left").drop("_known")
 
 
+def _sql_line() -> str:
+    """The same as ``COPYRIGHT`` for one line ``x``: what is left of it."""
+    sign = r"[^\p{L}\p{N}]*"
+    word = rf"^{sign}copyrights?"
+    statement = " OR ".join(
+        (
+            rf"regexp_matches(x, '^{sign}(all rights reserved|©)')",
+            rf"(regexp_matches(x, '^{sign}\(c\)') AND NOT regexp_matches(x, '^{sign}\(c\){sign}({_LISTED})\b'))",
+            rf"regexp_matches(x, '{word}{sign}(\(c\)|©)')",
+            rf"(regexp_matches(x, '{word}([^\p{{L}}\p{{N}}]+[\p{{L}}\p{{N}}]|\p{{N}})') AND NOT regexp_matches(x, '{word}{sign}({_IN_TEXT})\b'))",
+        )
+    )
+    head = rf"^{sign}(?:all rights reserved|©|\(c\)|copyrights?{sign}(?:\(c\)|©|[\p{{L}}\p{{N}}]))"
+    behind = rf"{head}(?:[^\n]*?[^\p{{L}}\p{{N}}])??((?:{_starts()})\b[^\n]*)$"
+    return f"CASE WHEN {statement} THEN regexp_extract(x, '{behind}', 1) ELSE x END"
+
+
 def _sql_canonical(text: str) -> str:
-    out = f"regexp_replace(lower(coalesce({text}, '')), '{SQL_COPYRIGHT}', chr(10), 'g')"
-    out = f"trim(regexp_replace({out}, '{SIGNS}', ' ', 'g'))"
+    lines = f"list_transform(string_split(lower(coalesce({text}, '')), chr(10)), lambda x: {_sql_line()})"
+    out = f"trim(regexp_replace(array_to_string({lines}, chr(10)), '{SIGNS}', ' ', 'g'))"
     for pattern, spelling in SPELLINGS:
         out = f"regexp_replace({out}, '{pattern}', '{spelling}', 'g')"
     return f"sha256({out})"
@@ -124,10 +139,13 @@ def sql() -> str:
         for name, title, body in LICENSES
         for text in ([body] if title is None else [body, f"{title}\n\n{body}"])
     )
+    digests = ", ".join(f"('{name}', '{known}')" for name, every in DIGESTS.items() for known in every)
     return f"""
         WITH known AS (
-            SELECT {_sql_canonical('text')} AS digest, min(license_id) AS license
-            FROM (VALUES {values}) v(license_id, text) GROUP BY 1
+            SELECT digest, min(license_id) AS license FROM (
+                SELECT {_sql_canonical('text')} AS digest, license_id FROM (VALUES {values}) v(license_id, text)
+                UNION ALL SELECT digest, license_id FROM (VALUES {digests}) w(license_id, digest)
+            ) GROUP BY digest
         )
         SELECT doc_id, d.digest, license
         FROM (SELECT doc_id, {_sql_canonical('text')} AS digest FROM documents) d LEFT JOIN known USING (digest)

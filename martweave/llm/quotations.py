@@ -1,8 +1,9 @@
 """Operator 1: link quoted passages to their messages and order conversations by reply.
 
-A line's quote level is the number of ``>`` it starts with. Lines that only say who wrote
-what ("On Monday X wrote:") are dropped; the rest of a message falls into passages, runs
-of lines of one level. Passages are normalised (small letters, signs and white space to
+A line's quote level is the number of ``>`` it starts with. A line that says who wrote
+what ("On Monday X wrote:") is dropped if the next line that is not blank, ``BLANKS`` blank
+ones later at most, is quoted more deeply; anywhere else it is text like any other. The
+rest of a message falls into passages, runs of lines of one level. Passages are normalised (small letters, signs and white space to
 one blank) and hashed. What stands at level 0 is original text, as a passage and, if it
 has ``LINE_WORDS`` words or more, as a line, so that a quote of a part is found too.
 
@@ -11,7 +12,8 @@ else anywhere before it (by conv_id, then turn). Its whole is tried first, then
 in order. A message answers what its last linked passage of level 1 comes from; answers
 lead to the root of a thread. As a parent always comes before its answer by (conv_id,
 turn), the rows of a thread in that order are its conversation in order of reply, without
-quotes.
+quotes; ``place`` counts them. It comes from a sort over the cluster, so a thread of any
+size is spread over tasks.
 
 All of it is DataFrame functions. The texts are cut inside their rows; originals are
 reduced to one row for each hash (in each conversation) before any join, partly in each
@@ -20,16 +22,16 @@ doubling: each step joins answers to what they answer, so the longest chain of n
 takes log2(n) steps; every step is a written table in the shared folder.
 
 Result: conv_id, turn, role, text (without quotes), n_passages (quoted), n_linked,
-parent_conv, parent_turn, thread_conv, thread_turn, depth. Defined cases: a null text is
+parent_conv, parent_turn, thread_conv, thread_turn, depth, place (from 1). Defined cases: a null text is
 kept null and quotes nothing; a blank passage links to nothing; a row without conv_id or
 turn answers nothing, is quoted by nobody and is its own thread; rows with the same
-conv_id and turn are one message with all their passages, and stay rows of their own;
+conv_id and turn are one message with all their passages and one place, and stay rows of their own;
 further columns are left out; no rows give no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martweave.session import work_folder
@@ -37,8 +39,13 @@ from martweave.session import work_folder
 LINE_WORDS = 3
 MARKS = r"^((?:[ \t]*>)+)"
 CONTENT = r"^(?:[ \t]*>)+ ?"
+BLANKS = 50
 # Fixed value: who-wrote-what lines in four languages.
-ATTRIBUTION = r"^[> \t]*(?:On|Am|Le|El)\b.*(?:wrote|schrieb|écrit|escribió)[^:\n]*:[ \t\r]*$"
+ATTRIBUTION = r"[ \t]*(?:On|Am|Le|El)[ \t][^\n]{0,300}(?:wrote|schrieb|écrit|escribió)[^:\n]{0,100}:[ \t\r]*"
+#: Such a line before a deeper quote, where the marks of a line stand together.
+INTRODUCTION = (
+    rf"(?md)^(>*){ATTRIBUTION}\n(?=(?:>*[ \t\r]*\n){{0,{BLANKS}}}\1>(?!>*[ \t\r]*(?:\n|\z)))"
+)
 
 
 def _normal(text: Column) -> Column:
@@ -56,12 +63,14 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 def parsed(messages: DataFrame) -> DataFrame:
     """``messages`` with ``plain`` (text without quotes) and ``passages`` (level, lines)."""
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: ~x.rlike(ATTRIBUTION))
+    together = F.transform(
+        F.split(F.coalesce("text", F.lit("")), "\n"),
+        lambda x: F.concat(F.regexp_replace(F.regexp_extract(x, MARKS, 1), "[^>]", ""), F.regexp_replace(x, CONTENT, "")),
+    )
     marked = F.transform(
-        lines,
+        F.split(F.regexp_replace(F.array_join(together, "\n"), INTRODUCTION, ""), "\n"),
         lambda x: F.struct(
-            F.length(F.regexp_replace(F.regexp_extract(x, MARKS, 1), "[^>]", "")).alias("level"),
-            F.regexp_replace(x, CONTENT, "").alias("content"),
+            F.length(F.regexp_extract(x, "^>*", 0)).alias("level"), F.regexp_replace(x, "^>+", "").alias("content")
         ),
     )
     n = F.size("marked")
@@ -144,6 +153,28 @@ def roots(answers: DataFrame) -> DataFrame:
         )
 
 
+def placed(answers: DataFrame) -> DataFrame:
+    """conv_id, turn, thread_conv, thread_turn, depth and place of all messages of threads with answers."""
+    spark = answers.sparkSession
+    threads = roots(answers).select("conv_id", "turn", "thread_conv", "thread_turn", "depth")
+    first = threads.select("thread_conv", "thread_turn").distinct()
+    opening = first.select(F.col("thread_conv").alias("conv_id"), F.col("thread_turn").alias("turn"), "*", F.lit(0).cast("long").alias("depth"))
+    order = ["thread_conv", "thread_turn", "conv_id", "turn"]
+    ordered = threads.union(opening).repartitionByRange(*order).sortWithinPartitions(*order)
+    folder = work_folder(spark, "places")
+    ordered.withColumn("at", F.monotonically_increasing_id()).write.parquet(folder)
+    stored = spark.read.parquet(folder).withColumns(
+        {"part": F.shiftright("at", 33), "within": F.col("at").bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    parts = stored.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ahead = parts.select("part", before.alias("ahead"))  # a row for each task that wrote
+    ranked = stored.join(F.broadcast(ahead), "part").withColumn("rank", F.col("ahead") + F.col("within"))
+    starts = ranked.groupBy("thread_conv", "thread_turn").agg(F.min("rank").alias("first"))
+    found = ranked.join(starts, ["thread_conv", "thread_turn"])
+    return found.select("conv_id", "turn", "thread_conv", "thread_turn", "depth", (F.col("rank") - F.col("first") + 1).alias("place"))
+
+
 def conversations(messages: DataFrame) -> DataFrame:
     """The messages without quotes, with their links and threads."""
     kept = messages.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", F.col("text").cast("string"))
@@ -163,7 +194,7 @@ def conversations(messages: DataFrame) -> DataFrame:
     )
     return (
         cut.join(links, ["conv_id", "turn"], "left")
-        .join(roots(answers), ["conv_id", "turn"], "left")
+        .join(placed(answers), ["conv_id", "turn"], "left")
         .select(
             "conv_id",
             "turn",
@@ -176,6 +207,7 @@ def conversations(messages: DataFrame) -> DataFrame:
             F.coalesce("thread_conv", "conv_id").alias("thread_conv"),
             F.coalesce("thread_turn", "turn").alias("thread_turn"),
             F.coalesce("depth", F.lit(0)).cast("long").alias("depth"),
+            F.coalesce("place", F.lit(1)).cast("long").alias("place"),
         )
     )
 
@@ -186,14 +218,22 @@ _LINE = _NORMAL.format("x")
 SQL = f"""
     WITH RECURSIVE m AS (
         SELECT row_number() OVER () AS id, conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, role, text,
-               list_transform(
-                   list_filter(string_split(coalesce(text, ''), chr(10)),
-                               lambda x: NOT regexp_matches(x, '{ATTRIBUTION}')),
+               list_transform(string_split(coalesce(text, ''), chr(10)),
                    lambda x: {{'level': length(regexp_replace(regexp_extract(x, '{MARKS}', 1), '[^>]', '', 'g')),
                                'content': regexp_replace(x, '{CONTENT}', '')}}) AS marked
         FROM conversations
     ),
-    l AS (SELECT id, conv_id, turn, unnest(marked) AS line, generate_subscripts(marked, 1) AS n FROM m),
+    every AS (SELECT id, conv_id, turn, unnest(marked) AS line, generate_subscripts(marked, 1) AS n FROM m),
+    said AS (
+        SELECT id, n, line.level AS level, regexp_full_match(line.content, '{ATTRIBUTION}') AS says,
+               lead(line.level) OVER w AS next_level, lead(n) OVER w AS next_n
+        FROM every WHERE NOT regexp_full_match(line.content, '[ \t\r]*')
+        WINDOW w AS (PARTITION BY id ORDER BY n)
+    ),
+    l AS (
+        SELECT * FROM every e WHERE NOT EXISTS (
+            SELECT 1 FROM said s WHERE s.id = e.id AND s.n = e.n AND says AND next_level > level AND next_n - s.n - 1 <= {BLANKS})
+    ),
     cut AS (
         SELECT *, CASE WHEN lag(line.level) OVER w IS DISTINCT FROM line.level THEN 1 ELSE 0 END AS new
         FROM l WINDOW w AS (PARTITION BY id ORDER BY n)
@@ -244,11 +284,13 @@ SQL = f"""
         FROM up GROUP BY ALL
     )
     SELECT m.conv_id, m.turn, m.role,
-           CASE WHEN text IS NOT NULL THEN array_to_string(
-               list_transform(list_filter(marked, lambda x: x.level = 0), lambda x: x.content), chr(10)) END AS text,
+           CASE WHEN text IS NOT NULL THEN coalesce(
+               (SELECT string_agg(line.content, chr(10) ORDER BY n) FROM l WHERE l.id = m.id AND line.level = 0), '') END AS text,
            (SELECT count(*) FROM p WHERE p.id = m.id AND p.level > 0) AS n_passages,
            coalesce(n_linked, 0) AS n_linked, parent[1] AS parent_conv, parent[2] AS parent_turn,
            coalesce(thread_conv, m.conv_id) AS thread_conv, coalesce(thread_turn, m.turn) AS thread_turn,
-           coalesce(depth, 0)::BIGINT AS depth
+           coalesce(depth, 0)::BIGINT AS depth,
+           CASE WHEN m.conv_id IS NULL OR m.turn IS NULL THEN 1 ELSE dense_rank() OVER (
+               PARTITION BY coalesce(thread_conv, m.conv_id), coalesce(thread_turn, m.turn) ORDER BY m.conv_id, m.turn) END AS place
     FROM m LEFT JOIN links USING (conv_id, turn) LEFT JOIN r USING (conv_id, turn)
 """

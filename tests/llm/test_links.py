@@ -29,6 +29,9 @@ CONVERSATIONS = [
     (3, None, "user", "Check the oil level first."),
     (3, 1, None, "ok"),
     (3, 2, "user", "> ok\nok"),
+    (4, 0, "user", "On reflection, as Smith wrote:\nall engines are loud engines.\nOn Monday A wrote:\n\n\n> Done, still loud.\nOn Tuesday B wrote:"),
+    (4, 1, "user", "> On reflection, as Smith wrote:\n> all engines are loud engines.\n> On Sunday C wrote:\n>\n> > nothing like that\nyes"),
+    (4, 2, "user", "Le jour X a écrit:\n>\nno quote behind this\nOn and on wrote:\n" + "\n" * 60 + "> yes"),
 ]
 
 
@@ -57,6 +60,13 @@ def test_quotations(spark):
     assert by[2, 0, "Quoted from elsewhere."]["thread_conv"] == 1
     assert by[1, 1, "Check the oil level first."]["thread_turn"] == 0
     assert by[None, 5, "lost"]["n_linked"] == 0 and (2, 2, None) in by
+    smith, quoted, far = (next(r for r in rows if (r["conv_id"], r["turn"]) == (4, k)) for k in (0, 1, 2))
+    assert smith["text"].split("\n")[:2] == ["On reflection, as Smith wrote:", "all engines are loud engines."]
+    assert smith["text"].endswith("On Tuesday B wrote:") and "Monday" not in smith["text"]
+    assert (quoted["parent_conv"], quoted["parent_turn"], quoted["text"]) == (4, 0, "yes")
+    assert "écrit" in far["text"] and "On and on wrote:" in far["text"]  # no quote, or one too far behind
+    assert [second["place"], by[1, 1, "Check the oil level first."]["place"], by[1, 0, CONVERSATIONS[0][3]]["place"]] == [3, 2, 1]
+    assert by[None, 5, "lost"]["place"] == 1
     assert len(rows) == len(CONVERSATIONS)
 
 
@@ -67,6 +77,7 @@ def test_long_chains_hot_quotes_and_no_rows(spark):
     rows = same_as_sql(spark, quotations.conversations(df), quotations.SQL, conversations=df.toArrow())
     assert {r["depth"] for r in rows if r["conv_id"] == 1} == set(range(40))
     assert {(r["thread_conv"], r["thread_turn"]) for r in rows} == {(1, 0)}
+    assert sorted({r["place"] for r in rows}) == list(range(1, 101))  # 40 messages and 60 answers to one of them
     assert quotations.conversations(talk(spark, [])).count() == 0
 
 
@@ -99,6 +110,21 @@ def test_licenses_at_every_width(documents):
     assert [c[:2] for c, g in zip(cases, got) if g != c[0]] == []
 
 
+def test_licenses_as_sql_says_them(documents):
+    """Copyright statements at several widths, before, behind and inside the texts, with and without line breaks."""
+    heads = ["Copyright (c) 2020 Jane Doe ", "(c) Jane Doe, all rights reserved. ", "copyrights © x\n", "Copyright2020 J\n", "Copyrighted 2020\n"]
+    heads += ["Copyright notice of it\n", "(c) you must\n", "(C) under\n", " * All rights reserved by A.\n", "-- © ", "Copyright permission is hereby granted\n", ""]
+    bodies = [LICENSES[k][2] for k in (0, 3, 6)] + ["Copyright\n2020", "Copyright the work", "the copyright (c) inside"]
+    texts = [h + textwrap.fill(b, w, break_long_words=False) for h in heads for b in bodies for w in (40, 67, 200)]
+    texts += [b + "\n" + h for h in heads for b in bodies]
+    path = Path("/usr/share/common-licenses/Apache-2.0")
+    texts += [path.read_text()] * path.exists()
+    df = documents(texts)
+    found = licenses.scan(df, licenses.known_licenses(df.sparkSession))
+    rows = same_as_sql(df.sparkSession, found, licenses.sql(), documents=df.toArrow())
+    assert sum(r["license"] is not None for r in rows) > 50
+
+
 def test_licenses_behind_copyright_statements(documents):
     mit, bsd = (" ".join(LICENSES[k][2].split()) for k in (0, 6))
     heads = ["Copyright (c) 2020 Jane Doe ", "(c) Jane Doe, all rights reserved. ", "Copyright Jane Doe and others. ", "© 2020 J. Doe. All rights reserved. "]

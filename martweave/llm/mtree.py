@@ -12,15 +12,18 @@ triangle inequality gives |d(q, p) - d(x, p)| <= d(q, x) for everything stored w
 distance to p, and since the inner product is (|q|^2 + |x|^2 - d(q, x)^2) / 2, an upper
 bound of the score without touching x. Only pages and vectors whose bound reaches the
 k-th score so far are computed; a tree is left when no page can reach it. Scores are
-integers and exact; bounds get a small slack for rounding.
+integers and exact, whatever the size of the components; bounds get a small slack for
+rounding. How much the bounds spare depends on the vectors: much where they lie in
+clusters, next to nothing where they point everywhere alike (README has figures).
 
 The query set against all vectors, in blocks, makes queries times trees small tasks;
 each returns k rows a query, of which tasks keep k before the last shuffle. A task holds
 one tree and one block.
 
-Components are floor(``SCALE`` * x). Defined cases: a vector that is null, or holds a null,
-a non-finite component or one whose floor needs over 31 bits takes no part; so does a row
-whose id is null; vectors of different lengths do not meet; equal scores go to the
+Components are floor(``SCALE`` * x), kept as doubles, which hold such a floor exactly.
+Defined cases: a vector that is null, or holds a null or a non-finite component (or, of
+double vectors, one of 1e150 or more), takes no part; so does a row whose id is null; a
+pair whose score is beyond a long is left out, as there is no such number to return; vectors of different lengths do not meet; equal scores go to the
 smaller id, and a repeated id counts once for each row, but never for its own query; a
 query row that repeats is asked once; fewer than k others are all returned; further
 columns are left out.
@@ -125,8 +128,22 @@ def grow(ids: np.ndarray, vectors: np.ndarray) -> Tree:
     return Tree(ids[place], vectors[place], np.sqrt(norms[place]), table, apart)
 
 
-def best(tree: Tree, own: int, query: np.ndarray, top: int, exact: bool) -> list[tuple[int, int]]:
-    """(score, -id) of the query's best others in the tree, best first."""
+def _arithmetic(left: np.ndarray, right: np.ndarray) -> type:
+    """What inner products of rows of two matrices of whole doubles need to be exact."""
+    largest = [float(np.abs(x).max(initial=0)) for x in (left, right)]
+    most = largest[0] * largest[1] * max(left.shape[1], 1)
+    if most < 2**53:
+        return float
+    return int if most < 2**62 and max(largest) < 2**62 else object
+
+
+def _whole(values: np.ndarray) -> np.ndarray:
+    """Whole doubles as Python integers."""
+    return np.array([int(v) for v in values.ravel().tolist()], object).reshape(values.shape)
+
+
+def best(tree: Tree, own: int, query: np.ndarray, top: int, kind: type) -> list[tuple[int, int]]:
+    """(score, -id) of the query's best others in the tree, best first; ``kind`` is the arithmetic."""
     square = float(query @ query)
     norm = np.sqrt(square)
     pages, vectors = tree.pages, tree.vectors
@@ -140,7 +157,7 @@ def best(tree: Tree, own: int, query: np.ndarray, top: int, exact: bool) -> list
     def worth(limit: np.ndarray, least: np.ndarray) -> np.ndarray:
         if len(found) < top:
             return np.ones(len(limit), bool)
-        score, number = found[0]
+        score, number = float(found[0][0]), found[0][1]
         return (limit > score + 1) | ((limit >= score) & ((limit >= score + 0.5) | (least <= -number)))
 
     def opened(page: int) -> float:
@@ -156,12 +173,16 @@ def best(tree: Tree, own: int, query: np.ndarray, top: int, exact: bool) -> list
         if pages[page, LEAF]:
             limits = bound(np.abs(far - tree.apart[first:last]), tree.norms[first:last])
             some = first + np.flatnonzero(worth(limits, tree.ids[first:last]) & (tree.ids[first:last] != own))
-            if exact and 2 * len(some) > last - first:  # no copy of the page
+            if kind is float and 2 * len(some) > last - first:  # no copy of the page
                 scores = (vectors[first:last] @ query)[some - first].astype(np.int64)
-            elif exact:
+            elif kind is float:
                 scores = (vectors[some] @ query).astype(np.int64)
-            else:
+            elif kind is int:
                 scores = vectors[some].astype(np.int64) @ query.astype(np.int64)
+            else:
+                sums = _whole(vectors[some]) @ _whole(query)
+                fits = np.array([-(2**63) <= s < 2**63 for s in sums.tolist()], bool)
+                some, scores = some[fits], sums[fits].astype(np.int64)
             numbers = tree.ids[some]
             if len(found) == top:
                 good = scores >= found[0][0]
@@ -190,13 +211,24 @@ def best(tree: Tree, own: int, query: np.ndarray, top: int, exact: bool) -> list
 
 def points(df: DataFrame, scale: int = SCALE, name: str = "embedding") -> DataFrame:
     """vec_id and the scaled components of the vectors that take part."""
-    whole = F.transform(F.col(name).cast("array<double>"), lambda x: F.floor(x * scale))
-    real = F.forall(
+    # From 2^52 on a double is whole, and a long may be too small for it.
+    whole = F.transform(
         F.col(name).cast("array<double>"),
-        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float(2**31 - 1) / scale)),
+        lambda x: F.when(F.abs(x) < 2.0**52 / scale, F.floor(x * scale).cast("double")).otherwise(x * scale),
     )
+    real = F.forall(F.col(name).cast("array<double>"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e150))
     usable = df.where(F.col("vec_id").isNotNull() & F.col(name).isNotNull()).where(real)
-    return usable.select(F.col("vec_id").cast("long"), whole.cast("array<int>").alias("vector"))
+    return usable.select(F.col("vec_id").cast("long"), whole.alias("vector"))
+
+
+def _packed(matrix: np.ndarray) -> bytes:
+    """Whole doubles in four bytes each if that is enough, else in eight."""
+    return matrix.astype("<i4" if np.abs(matrix).max(initial=0) < 2**31 else "<f8").tobytes()
+
+
+def _unpacked(data: bytes, rows: int, dim: int) -> np.ndarray:
+    kind = "<i4" if len(data) == 4 * rows * dim else "<f8"
+    return np.frombuffer(data, kind).reshape(rows, dim).astype(np.float64)
 
 
 def _held(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -230,13 +262,13 @@ def build(vectors: DataFrame, size: int = TREE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for dim, ids, matrix in _held(batches, size):
             tree = grow(ids, matrix)
-            binary = (tree.ids.astype("<i8"), tree.vectors.astype("<i4"), tree.pages, tree.apart)
+            binary = (tree.ids.astype("<i8").tobytes(), _packed(tree.vectors), tree.pages.tobytes(), tree.apart.tobytes())
             yield pa.RecordBatch.from_pydict(
                 {
                     "dim": pa.array([dim], pa.int32()),
                     "n": pa.array([len(ids)], pa.int32()),
                     **{
-                        k: pa.array([x.tobytes()], pa.binary())
+                        k: pa.array([x], pa.binary())
                         for k, x in zip(("ids", "vectors", "pages", "apart"), binary)
                     },
                 }
@@ -257,7 +289,7 @@ def search(trees: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
                 {
                     "dim": pa.array([dim], pa.int32()),
                     "asked": pa.array([ids.astype("<i8").tobytes()], pa.binary()),
-                    "asked_vectors": pa.array([matrix.astype("<i4").tobytes()], pa.binary()),
+                    "asked_vectors": pa.array([_packed(matrix)], pa.binary()),
                 }
             )
 
@@ -266,16 +298,15 @@ def search(trees: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
             for row in range(batch.num_rows):
                 dim, ids, vectors, pages, apart, asked, asked_vectors = (c[row].as_py() for c in batch.columns)
                 ids = np.frombuffer(ids, "<i8")
-                vectors = np.frombuffer(vectors, "<i4").reshape(len(ids), dim).astype(np.float64)
+                vectors = _unpacked(vectors, len(ids), dim)
                 tree = Tree(ids, vectors, np.sqrt((vectors**2).sum(1)), np.frombuffer(pages).reshape(-1, 8), np.frombuffer(apart))
                 asked = np.frombuffer(asked, "<i8")
-                matrix = np.frombuffer(asked_vectors, "<i4").reshape(len(asked), dim).astype(np.float64)
-                largest = max(np.abs(vectors).max(initial=0), np.abs(matrix).max(initial=0))
-                exact = bool(largest**2 * max(dim, 1) < 2**53)
+                matrix = _unpacked(asked_vectors, len(asked), dim)
+                kind = _arithmetic(vectors, matrix)
                 out = [
                     (own, -number, score)
                     for own, query in zip(asked.tolist(), matrix)
-                    for score, number in best(tree, own, query, top, exact)
+                    for score, number in best(tree, own, query, top, kind)
                 ]
                 yield pa.RecordBatch.from_pydict(
                     {

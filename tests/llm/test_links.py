@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
 import textwrap
+from fractions import Fraction
 from pathlib import Path
 
 import duckdb
@@ -172,16 +174,62 @@ def test_mtree_equals_brute_force(kind):
     ids = rng.permutation(n * 2)[:n]
     tree = mtree.grow(ids, vectors)
     for i in range(0, n, max(1, n // 25)):
-        got = [(-number, score) for score, number in mtree.best(tree, int(ids[i]), vectors[i], 10, True)]
+        got = [(-number, score) for score, number in mtree.best(tree, int(ids[i]), vectors[i], 10, float)]
         assert got == brute(ids.tolist(), vectors, int(ids[i]), vectors[i])
 
 
+class Counted(np.ndarray):
+    """Vectors that count how many of their rows are taken into an inner product or a distance."""
+
+    taken = 0
+
+    def __getitem__(self, key):
+        out = super().__getitem__(key)
+        if isinstance(out, Counted) and out.ndim == 2:
+            Counted.taken += len(out)
+        return out
+
+
+@pytest.mark.parametrize("spread, least", [(0.02, 0.8), (0.1, 0.5)])
+def test_bounds_spare_most_vectors_where_there_are_clusters(spread, least):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16))
+    vectors = centres[rng.integers(0, 40, 8192)] + spread * rng.normal(size=(8192, 16))
+    vectors = np.floor(1024 * vectors / np.linalg.norm(vectors, axis=1, keepdims=True))
+    tree = mtree.grow(np.arange(8192), vectors)
+    plain = tree.vectors
+    tree = tree._replace(vectors=plain.view(Counted))
+    Counted.taken = 0
+    for i in range(0, 8192, 256):
+        got = [score for score, _ in mtree.best(tree, int(tree.ids[i]), plain[i], 10, float)]
+        scores = [int(s) for k, s in enumerate(plain @ plain[i]) if k != i]
+        assert got == sorted(scores, reverse=True)[:10]
+    spared = 1 - Counted.taken / (32 * 8192)
+    print(f"spread {spread}: {spared:.2f} of the vectors spared")
+    assert spared > least
+
+
+def test_components_of_any_size_take_part(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "TREE", 16)
+    rng = random.Random(5)
+    rows = [(i, [rng.uniform(-1, 1) * 10 ** rng.choice([0, 0, 3, 6.5, 8, 12]) for _ in range(4)]) for i in range(120)]
+    rows += [(200, [3e6, -3e6, 2097152.0, 0.5]), (300, [1e30, 0.0, 0.0, 0.0]), (301, [0.0, 1.0, 2.0, 1e-4]), (302, [-1e30, 0.25, 0.0, 0.0])]
+    whole = {i: [math.floor(Fraction(x) * 1024) for x in v] for i, v in rows}
+    df = queries.shipped(spark).createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in sorted(mtree.top_k(df, F.col("vec_id") % 100 == 0).collect()):
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    for q in (0, 100, 200, 300):
+        scores = [(-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q]
+        assert got[q] == [(i, -s) for s, i in sorted(scores) if -(2**63) <= -s < 2**63][:10]
+
+
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(mtree, "TREE", 64)
     rng = random.Random(2)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(6)], "x") for i in range(300)]
     rows += [(i, rows[0][1], "x") for i in range(300, 420)]
-    odd = [(500, None, "x"), (501, [1.0, None] * 3, "x"), (502, [float("nan")] * 6, "x"), (503, [float("inf")] * 6, "x"), (504, [1e30] * 6, "x")]
+    odd = [(500, None, "x"), (501, [1.0, None] * 3, "x"), (502, [float("nan")] * 6, "x"), (503, [float("inf")] * 6, "x"), (505, [None] * 6, "x")]
     odd += [(600, [0.5, 0.5], "x"), (601, [0.25, 1.0], "x"), (None, [0.1] * 6, "x"), rows[100]]
     df = queries.shipped(spark).createDataFrame([*rows, *odd], "vec_id long, embedding array<float>, rank string")
     got = mtree.top_k(df, F.col("vec_id") % 100 == 0)

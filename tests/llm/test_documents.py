@@ -140,7 +140,48 @@ def test_jaccard_join(documents, monkeypatch, block):
     assert found == plain_join(ids, texts)
 
 
+def test_jaccard_join_reaches_its_recall(documents, spark, monkeypatch):
+    """Production parameters against all pairs, weak links among them; the forest ends early only where all are strong."""
+    depths = []
+    level = jaccard_join._Forest.level
+    monkeypatch.setattr(jaccard_join._Forest, "level", lambda self, tries, length, known: depths.append(length) or level(self, tries, length, known))
+    texts, rng = [t for seed in range(2, 9) for t in near_texts(seed)], random.Random(8)
+    base = [f"v{rng.randrange(9000)}" for _ in range(100)]
+    texts += [" ".join(base[:k] + [f"y{k}{j}" for j in range(2)] + base[k + 2 :]) for k in range(5, 90, 6)]  # linked at about 0.8
+    ids = list(range(len(texts)))
+    found = {r["doc_id"]: tuple(r)[1:] for r in jaccard_join.jaccard_join(documents(texts, ids)).collect()}
+    want = plain_join(ids, texts)
+    links = [sum(v[2] for v in x.values()) for x in (found, want)]
+    assert links[0] >= jaccard_join.RECALL * links[1] > 500 and all(found[i][2] <= want[i][2] for i in ids)
+    assert sum(found[i] == want[i] for i in ids) >= 0.99 * len(ids)
+    assert depths == [8, 7, 6, 5, 4]
+    depths.clear()
+    base = [f"w{k}" for k in range(900)]
+    strong = [" ".join([*base[:k], "new", *base[k + 1 :]]) for k in range(0, 900, 45)]
+    got = jaccard_join.jaccard_join(documents(strong)).collect()
+    assert {r["n_links"] for r in got} == {len(strong) - 1} and depths == [8]
+
+
+def test_neighbours_share_the_longest_prefixes(spark):
+    rng = np.random.default_rng(4)
+    paths = rng.integers(0, 2, (300, 6)).astype(">u4")
+    rows = [(k, 5, paths[k].tobytes()) for k in range(300)]
+    texts = queries.shipped(spark).createDataFrame(rows, "member long, n_shingles long, signature binary").repartition(7)
+    got = {(r["tree"], r["member"]): r["reach"] for r in jaccard_join.tries(texts, 2, 3, 1).collect()}
+    edge = 0
+    for tree in range(2):
+        own = paths[:, 3 * tree : 3 * tree + 3]
+        for k in range(300):
+            common = np.cumprod(np.delete(own, k, 0) == own[k], 1).sum(1).max()
+            assert got.get((tree, k), 0) in (common, 3)
+            edge += got.get((tree, k), 0) != common
+    assert edge <= 2 * 16
+
+
 def test_jaccard_join_of_odd_rows(documents):
+    texts = ["a b c d e f g h i j k l", "z z z z z z z", "a b c d e f g h i j k l m", "q r s t u v w", "z z z z z z z"]
+    got = jaccard_join.jaccard_join(documents(texts, [4, 4, 5, 5, 4]))
+    assert sorted(tuple(r) for r in got.collect()) == [(4, 4, 4, 0, 1), (4, 4, 4, 0, 1), (4, 4, 4, 1, 8), (5, 4, 5, 1, 9), (5, 5, 5, 0, 3)]
     got = jaccard_join.jaccard_join(documents(["a b c d e f"] * 3 + ["q"], [4, 4, None, None]))
     assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(
         [(4, 4, 4, 0, 2), (4, 4, 4, 0, 2), (None, None, None, 0, 2), (None, None, None, 0, 1)], key=repr

@@ -2,21 +2,26 @@
 
 A page is cut into a flat list of text blocks, as block elements begin and end. Each
 block has its words, its link density (share of its words inside links), those of the
-blocks before and after it, and how it lies: the sort of element it stands in and
-whether a class or id on the way there names side matter. A decision tree, grown here
-from the small labelled table ``EXAMPLES``, says which blocks are main text.
-
-Script, style and other elements without readable text, comments and markup are never
-part of a block. Inline markup does not part words. Character references are decoded
-once; white space inside a block becomes one blank; kept blocks are joined by a blank.
+blocks before and after it, and how it lies: the sort of element it stands in, whether a
+class or id on the way there names side matter, and whether it lies outside the page's
+main element, or outside its articles if those hold most of the words that are in no
+menu, form or side matter. A decision tree, grown here from a small table of labelled
+blocks, each in every place (``EXAMPLES``), says which blocks are main text. Where the
+elements do not tell, words and links of the block and of its neighbours decide: a label
+among links is a menu's, a link between paragraphs the text's.
+
+Script, style and other elements without readable text, hidden ones (inline ones too),
+comments and markup are never part of a block. Inline markup does not part words.
+Character references are decoded once; white space inside a block becomes one blank;
+kept blocks are joined by a blank.
 
 Nothing is shuffled; a task holds one page at a time and time grows with its length.
 Defined cases: null or empty html has no text (empty, 0 characters); text outside any
 block element is a block; unclosed elements end with their parent, and the page; an
 unclosed head ends at the first text or start tag that cannot stand in it; an svg or math
 element, or one inside these, that ends in ``/>`` holds nothing (elsewhere the slash means
-nothing, as in browsers); a
-repeated page is a row of its own; all columns of the input are kept, and ``text``,
+nothing, as in browsers); a hidden inline element that is not closed ends with its block;
+a repeated page is a row of its own; all columns of the input are kept, and ``text``,
 ``n_chars`` and ``blocks`` replace columns of those names, whatever their case.
 """
 
@@ -64,50 +69,43 @@ SIDE_NAMES = (
     "advertisements adbox adslot adsense topnav sidenav subnav sitenav commentlist"
 ).split()
 MAIN_NAMES = "article main content post entry story body".split()
+FRAMES = "wrap wrapper container layout grid row columns page".split()
 SIDE_ROLES = "navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split()
 
-# Fixed values. Labelled blocks: sort of element, inside an article, side name, words, link density, words and link density
-# of the block before and of the block after, outside the page's article, and whether it is main text.
-EXAMPLES = [
-    (CHROME, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0, 0), (CHROME, 0, 0, 2, 1.0, 1, 1.0, 1, 1.0, 0, 0),
-    (CHROME, 0, 0, 12, 0.0, 40, 0.0, 0, 0.0, 0, 0), (CHROME, 0, 0, 30, 0.1, 3, 0.0, 0, 0.0, 0, 0),
-    (CHROME, 0, 1, 4, 0.5, 0, 0.0, 9, 0.0, 0, 0), (CHROME, 0, 0, 60, 0.0, 80, 0.0, 0, 0.0, 0, 0),
-    (SIDE, 0, 0, 25, 0.0, 40, 0.0, 9, 0.0, 0, 0), (SIDE, 1, 0, 30, 0.2, 50, 0.0, 50, 0.0, 0, 0),
-    (SIDE, 0, 1, 3, 1.0, 3, 1.0, 3, 1.0, 0, 0), (SIDE, 0, 0, 70, 0.0, 70, 0.0, 0, 0.0, 0, 0),
-    (FORM, 0, 0, 2, 0.0, 9, 0.0, 2, 0.0, 0, 0), (FORM, 1, 0, 14, 0.0, 60, 0.0, 1, 0.0, 0, 0),
-    (SIDE, 1, 0, 3, 1.0, 3, 1.0, 3, 1.0, 0, 0), (FORM, 1, 0, 4, 1.0, 30, 0.0, 1, 1.0, 0, 0),
-    (SIDE, 0, 0, 1, 0.0, 2, 0.0, 1, 0.0, 0, 0), (SIDE, 1, 0, 6, 0.0, 3, 0.0, 60, 0.0, 0, 0),
-    (SIDE, 1, 0, 9, 0.0, 1, 0.0, 2, 0.0, 0, 0), (SIDE, 0, 0, 40, 0.0, 2, 0.0, 70, 0.0, 0, 0),
-    (SIDE, 0, 0, 8, 0.0, 60, 0.0, 80, 0.0, 0, 0), (SIDE, 1, 0, 80, 0.1, 30, 0.0, 3, 0.0, 0, 0),
-    (CHROME, 0, 0, 3, 0.0, 2, 0.0, 1, 0.0, 0, 0), (CHROME, 1, 0, 15, 0.0, 1, 0.0, 70, 0.0, 0, 0),
-    (CHROME, 0, 0, 7, 0.0, 0, 0.0, 60, 0.0, 0, 0), (CHROME, 1, 0, 40, 0.0, 60, 0.0, 8, 0.0, 0, 0),
-    (CHROME, 0, 0, 1, 0.0, 70, 0.0, 1, 0.0, 0, 0), (CHROME, 1, 0, 6, 0.0, 8, 0.0, 9, 0.0, 0, 0),
-    (FORM, 0, 0, 3, 0.0, 2, 0.0, 70, 0.0, 0, 0), (FORM, 1, 0, 1, 0.0, 1, 0.0, 2, 0.0, 0, 0),
-    (FORM, 0, 0, 30, 0.0, 5, 0.0, 9, 0.0, 0, 0), (FORM, 1, 0, 9, 0.0, 60, 0.0, 60, 0.0, 0, 0),
-    (FORM, 0, 1, 40, 0.0, 3, 0.0, 0, 0.0, 0, 0), (PLAIN, 0, 1, 10, 0.0, 1, 1.0, 9, 0.0, 0, 0),
-    (PLAIN, 0, 1, 45, 0.0, 1, 1.0, 30, 0.0, 0, 0), (PLAIN, 0, 1, 120, 0.0, 60, 0.0, 60, 0.0, 0, 0),
-    (PLAIN, 0, 1, 1, 0.0, 5, 0.0, 5, 0.0, 0, 0), (PLAIN, 0, 1, 8, 1.0, 8, 1.0, 8, 1.0, 0, 0),
-    (ARTICLE, 1, 1, 20, 0.0, 60, 0.0, 60, 0.0, 0, 0), (ARTICLE, 1, 1, 3, 0.0, 60, 0.0, 10, 0.0, 0, 0),
-    (ARTICLE, 1, 1, 50, 0.3, 60, 0.0, 10, 0.0, 0, 0), (CHROME, 1, 0, 2, 1.0, 2, 1.0, 2, 1.0, 0, 0),
-    (ARTICLE, 1, 0, 9, 0.0, 12, 0.0, 40, 0.0, 0, 1), (ARTICLE, 1, 0, 1, 0.0, 30, 0.0, 20, 0.0, 0, 1),
-    (ARTICLE, 1, 0, 60, 0.0, 1, 0.0, 60, 0.0, 0, 1), (ARTICLE, 1, 0, 60, 0.4, 30, 0.0, 60, 0.0, 0, 1),
-    (ARTICLE, 1, 0, 5, 1.0, 30, 0.0, 60, 0.0, 0, 1), (ARTICLE, 1, 0, 300, 0.0, 1, 1.0, 12, 0.0, 0, 1),
-    (ARTICLE, 1, 0, 2, 0.0, 0, 0.0, 0, 0.0, 0, 1), (ARTICLE, 1, 0, 8, 0.0, 10, 0.0, 10, 0.0, 0, 1),
-    (ARTICLE, 1, 0, 20, 0.0, 1, 1.0, 1, 1.0, 0, 1), (ARTICLE, 1, 0, 3, 1.0, 3, 1.0, 3, 1.0, 0, 1),
-    (PLAIN, 0, 0, 60, 0.0, 50, 0.0, 70, 0.0, 0, 1), (PLAIN, 0, 0, 30, 0.1, 5, 0.0, 40, 0.0, 0, 1),
-    (PLAIN, 0, 0, 25, 0.0, 60, 0.0, 0, 0.0, 0, 1), (PLAIN, 0, 0, 18, 0.0, 30, 0.0, 1, 1.0, 0, 1),
-    (PLAIN, 0, 0, 80, 0.2, 1, 1.0, 1, 1.0, 0, 1), (PLAIN, 0, 0, 6, 0.0, 2, 0.0, 50, 0.0, 0, 1),
-    (PLAIN, 0, 0, 4, 0.0, 60, 0.0, 60, 0.0, 0, 1), (PLAIN, 0, 0, 12, 0.0, 0, 0.0, 0, 0.0, 0, 1),
-    (PLAIN, 0, 0, 2, 0.0, 0, 0.0, 30, 0.0, 0, 1), (PLAIN, 0, 0, 9, 0.0, 0, 0.0, 2, 0.0, 0, 1),
-    (PLAIN, 0, 0, 1, 1.0, 1, 1.0, 1, 1.0, 0, 0), (PLAIN, 0, 0, 3, 1.0, 0, 0.0, 2, 1.0, 0, 0),
-    (PLAIN, 0, 0, 9, 0.9, 3, 0.0, 60, 0.0, 0, 0), (PLAIN, 0, 0, 20, 0.8, 10, 0.7, 10, 0.7, 0, 0),
-    (PLAIN, 0, 0, 40, 0.7, 10, 0.7, 10, 0.0, 0, 0), (PLAIN, 0, 0, 2, 0.6, 1, 1.0, 1, 1.0, 0, 0),
-    (PLAIN, 0, 0, 12, 0.0, 1, 1.0, 40, 0.0, 1, 0), (PLAIN, 0, 0, 60, 0.0, 30, 0.0, 50, 0.0, 1, 0),
-    (PLAIN, 0, 0, 3, 0.0, 60, 0.0, 9, 0.0, 1, 0), (PLAIN, 0, 0, 25, 0.1, 5, 0.0, 60, 0.0, 1, 0),
-    (PLAIN, 0, 0, 8, 0.0, 10, 0.0, 10, 0.0, 1, 0), (PLAIN, 0, 0, 1, 0.0, 2, 0.0, 30, 0.0, 1, 0),
-    (PLAIN, 0, 0, 30, 0.0, 60, 0.0, 60, 0.0, 1, 0), (PLAIN, 0, 0, 90, 0.2, 0, 0.0, 2, 0.0, 1, 0),
-    (PLAIN, 0, 0, 15, 0.0, 0, 0.0, 12, 0.0, 1, 0), (PLAIN, 0, 0, 5, 0.0, 80, 0.0, 0, 0.0, 1, 0),
+# Fixed values. Labelled blocks that no element tells of: words, link density, words and link density of the block before
+# and of the block after, and whether it is main text.
+BLOCKS = [
+    # Paragraphs, headings and short lines of a text.
+    (60, 0.0, 50, 0.0, 70, 0.0, 1), (30, 0.1, 5, 0.0, 40, 0.0, 1), (25, 0.0, 60, 0.0, 0, 0.0, 1), (18, 0.0, 30, 0.0, 1, 1.0, 1),
+    (80, 0.2, 1, 1.0, 1, 1.0, 1), (6, 0.0, 2, 0.0, 50, 0.0, 1), (4, 0.0, 60, 0.0, 60, 0.0, 1), (12, 0.0, 0, 0.0, 0, 0.0, 1),
+    (2, 0.0, 0, 0.0, 30, 0.0, 1), (9, 0.0, 0, 0.0, 2, 0.0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 1), (3, 0.0, 1, 0.0, 1, 0.0, 1),
+    (5, 0.0, 3, 0.0, 4, 0.0, 1), (1, 0.0, 1, 1.0, 3, 0.0, 1), (3, 0.0, 2, 1.0, 40, 0.0, 1), (6, 0.0, 1, 1.0, 12, 0.0, 1),
+    (30, 0.0, 2, 1.0, 2, 1.0, 1), (14, 0.0, 3, 1.0, 4, 1.0, 1), (4, 0.0, 60, 0.0, 2, 1.0, 1), (3, 0.0, 5, 0.0, 1, 1.0, 1),
+    (50, 0.4, 30, 0.0, 60, 0.0, 1), (6, 0.5, 40, 0.0, 40, 0.0, 1), (25, 0.0, 1, 1.0, 0, 0.0, 1), (2, 0.0, 2, 1.0, 2, 0.0, 1),
+    # A link between paragraphs.
+    (3, 1.0, 30, 0.0, 25, 0.0, 1), (5, 1.0, 60, 0.0, 40, 0.1, 1), (8, 0.9, 20, 0.0, 70, 0.0, 1), (2, 1.0, 15, 0.0, 18, 0.0, 1),
+    (6, 1.0, 45, 0.2, 12, 0.0, 1), (4, 1.0, 80, 0.0, 60, 0.0, 1),
+    # Menus: links after links, and labels among them.
+    (1, 1.0, 1, 1.0, 1, 1.0, 0), (3, 1.0, 0, 0.0, 2, 1.0, 0), (9, 0.9, 3, 0.0, 60, 0.0, 0), (20, 0.8, 10, 0.7, 10, 0.7, 0),
+    (40, 0.7, 10, 0.7, 10, 0.0, 0), (2, 0.6, 1, 1.0, 1, 1.0, 0), (3, 1.0, 2, 1.0, 40, 0.0, 0), (2, 1.0, 50, 0.0, 2, 1.0, 0),
+    (1, 1.0, 1, 0.0, 1, 1.0, 0), (10, 1.0, 10, 1.0, 10, 1.0, 0), (2, 1.0, 0, 0.0, 0, 0.0, 0), (2, 1.0, 3, 1.0, 0, 0.0, 0),
+    (2, 0.0, 2, 1.0, 2, 1.0, 0), (1, 0.0, 1, 1.0, 3, 1.0, 0), (4, 0.0, 3, 1.0, 2, 1.0, 0), (6, 0.2, 4, 1.0, 2, 1.0, 0),
+    (3, 0.0, 2, 1.0, 5, 1.0, 0),
+]
+# Fixed values. How a block may lie: sort of element, inside an article, side name, outside the page's articles, and whether
+# it is main text whatever its words (None: as its words and neighbours say).
+PLACES = [
+    (PLAIN, 0, 0, 0, None), (ARTICLE, 1, 0, 0, 1), (ARTICLE, 1, 1, 0, 0), (PLAIN, 0, 0, 1, 0), (PLAIN, 0, 1, 0, 0), (PLAIN, 0, 1, 1, 0),
+    (CHROME, 0, 0, 0, 0), (CHROME, 1, 0, 0, 0), (CHROME, 0, 1, 0, 0), (CHROME, 0, 0, 1, 0),
+    (SIDE, 0, 0, 0, 0), (SIDE, 1, 0, 0, 0), (SIDE, 0, 1, 0, 0), (SIDE, 0, 0, 1, 0),
+    (FORM, 0, 0, 0, 0), (FORM, 1, 0, 0, 0), (FORM, 0, 1, 0, 0), (FORM, 0, 0, 1, 0),
 ]
+#: Every block in every place.
+EXAMPLES = [
+    (sort, article, side, *block[:6], outside, block[6] if main is None else main)
+    for sort, article, side, outside, main in PLACES
+    for block in BLOCKS
+]
 TITLES = ("sort", "in_article", "side_name", "words", "links", "words_before", "links_before", "words_after", "links_after", "outside")
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)(?:((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)|([^>]*))>", re.S)
@@ -119,7 +117,7 @@ _VALUE = re.compile(r"=\s*[^\s\"'>]*/\Z")  # a slash that ends a value without q
 class Block(NamedTuple):
     text: str
     sort: int
-    in_article: int
+    in_article: int  # 2: in the page's main element
     side_name: int
     words: int
     links: float
@@ -135,7 +133,7 @@ class Node(NamedTuple):
     high: Node | None = None
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8) -> Node:
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 12) -> Node:
     """A tree of least Gini impurity; of equal cuts the first feature and the least value."""
     label = bool(labels.mean() >= 0.5)
     if depth == 0 or labels.min() == labels.max():
@@ -171,8 +169,9 @@ def _features(rows: np.ndarray) -> np.ndarray:
 def _hints(attributes: str) -> tuple[bool, bool]:
     """Whether a class, id or role names side matter, and whether the element is hidden.
 
-    A name of several parts (post-comments) goes by its last part if it has parts of
-    either kind, and one that says what the page has (has-sidebar) does not count.
+    One part that names side matter is enough in a name of several (promo-story,
+    post-comments), unless the name is that of a frame (content-sidebar-wrap) or says what
+    the page has (has-sidebar).
     """
     side = main = hidden = False
     for name, a, b, c in _NAMES.findall(attributes):
@@ -189,12 +188,12 @@ def _hints(attributes: str) -> tuple[bool, bool]:
                 if not parts or parts[0] in ("has", "with", "no"):
                     continue
                 of_main, of_side = not _MAIN.isdisjoint(parts), not _SIDE.isdisjoint(parts)
-                side |= of_side and (not of_main or parts[-1] in _SIDE)
+                side |= of_side and not (of_main and not _FRAMES.isdisjoint(parts))
                 main |= of_main and not of_side
     return side and not main, hidden
 
 
-_SIDE, _MAIN, _ROLES = frozenset(SIDE_NAMES), frozenset(MAIN_NAMES), frozenset(SIDE_ROLES)
+_SIDE, _MAIN, _ROLES, _FRAMES = map(frozenset, (SIDE_NAMES, MAIN_NAMES, SIDE_ROLES, FRAMES))
 
 
 def blocks(page: str) -> list[Block]:
@@ -249,6 +248,12 @@ def blocks(page: str) -> list[Block]:
                 if name == "a":
                     in_link = max(in_link - 1, 0)
                     linked.append(" ")
+                if opened[name]:  # of inline elements only hidden ones and those in them are kept open
+                    while stack[-1][0] in INLINE:
+                        last = stack.pop()[0]
+                        opened[last] -= 1
+                        if last == name:
+                            break
                 continue
             close()
             if opened[name]:
@@ -261,11 +266,14 @@ def blocks(page: str) -> list[Block]:
             continue
         if name not in HEAD:
             leave_head()
+        told = found[3] or found[4] or ""
         if name in INLINE:
             in_link += name == "a"
+            if name not in VOID and (stack[-1][0] in INLINE or len(told) > 3 and _hints(told)[1]):
+                stack.append((name, *stack[-1][1:4], True))
+                opened[name] += 1
             continue
         close()
-        told = found[3] or found[4] or ""
         if told.endswith("/") and (name in FOREIGN or opened["svg"] or opened["math"]) and not _VALUE.search(told):
             continue
         if name in VOID:
@@ -282,7 +290,7 @@ def blocks(page: str) -> list[Block]:
             (
                 name,
                 own if own is not None and (own != ARTICLE or sort == PLAIN) else sort,
-                int(article or own == ARTICLE),
+                2 if name == "main" or article == 2 else int(article or own == ARTICLE),
                 int(side or hint),
                 silent or hidden or name in SILENT,
             )
@@ -299,12 +307,15 @@ def blocks(page: str) -> list[Block]:
 def chosen(found: list[Block]) -> list[bool]:
     """Which blocks are main text."""
     root, out = tree(), []
-    has_article = any(b.sort == ARTICLE and not b.side_name for b in found)
+    plain = [b for b in found if b.sort in (PLAIN, ARTICLE) and not b.side_name]
+    inside = sum(b.words for b in plain if b.sort == ARTICLE)
+    has_main = any(b.in_article == 2 and b.sort == ARTICLE for b in plain)
+    has_article = has_main or inside > 0 and 2 * inside >= sum(b.words for b in plain)
     for k, b in enumerate(found):
         before = found[k - 1] if k else None
         after = found[k + 1] if k + 1 < len(found) else None
         row = (
-            b.sort == CHROME, b.sort == SIDE, b.sort == FORM, b.in_article, b.side_name, b.words, b.links,
+            b.sort == CHROME, b.sort == SIDE, b.sort == FORM, min(b.in_article, 1), b.side_name, b.words, b.links,
             before.words if before else 0, before.links if before else 0.0,
             after.words if after else 0, after.links if after else 0.0, has_article and not b.in_article,
         )

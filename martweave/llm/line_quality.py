@@ -3,18 +3,26 @@
 Every line of a text has a few figures of its own (signs, capitals, bars, exclamation
 marks, words repeated at once or in the line, length, digits, whether it repeats an earlier line) and those of
 the lines before and after it. A linear chain of labels good and bad over the lines is
-fitted to labelled documents, each of whose lines takes the document's label. The
-forward-backward pass gives each line's probability to be good; their mean, weighted by
-the lines' lengths, is the document's, and a logistic curve fitted to the same documents
-turns it into the score.
+fitted to labelled documents. The forward-backward pass gives each line's probability to
+be good; their mean, weighted by the lines' lengths, is the document's, and a logistic
+curve fitted to the same documents turns it into the score.
+
+Only documents are labelled, so the lines' labels are latent. At first a line is what its
+own figures say, which a plain logistic curve learns from all lines with their documents'
+labels; then, ``ROUNDS`` times, what the fitted chain says. Either is held to a mean of
+``MOST`` good in a bad document at the most and of 1 - ``MOST`` in a good one at the least
+(an offset for each document on its lines' log odds), and the chain is fitted to that. As
+labelled documents are mostly of one kind throughout, up to ``MIXED`` of either kind get a
+run of lines of one of the other kind, and tell the chain what a change of labels is like.
 
 The model is fitted on at most ``SAMPLE`` labelled documents of either label, those with
-the least hash of their id, and of at most ``LONGEST`` lines; only their figures come to
-the driver. Scoring takes whole texts of all documents and shuffles nothing.
+the least hash of their id, of at most ``LONGEST`` lines each and ``LINES`` in all of a
+label; only their figures (124 bytes a line) come to the driver, whatever repeats in the
+tables. Scoring takes whole texts of all documents and shuffles nothing.
 
 Defined cases: an empty or null text is one empty line and gets a score like any other;
 labels that are null, of unknown documents, or held out are not used; a document that is
-labelled twice counts twice; with labels of one kind only (or none) every score is that
+labelled twice, or whose id repeats, counts as often within the sample; with labels of one kind only (or none) every score is that
 label (or one half); rows are kept one to one; all columns of the input are kept, and
 ``score`` and ``lines`` replace columns of those names, whatever their case.
 """
@@ -26,15 +34,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from martweave.llm import _text
 
-SAMPLE, LONGEST = 1500, 5000
+SAMPLE, LONGEST, LINES = 1500, 5000, 200_000
+ROUNDS, MOST, MIXED = 2, 0.3, 400
 OWN = 10  # figures of a line itself
-STEPS, RATE, RIDGE = 250, 0.2, 1e-4
+STEPS, MORE, RATE, RIDGE = 200, 60, 0.2, 1e-4
 
 
 class Lines(NamedTuple):
@@ -175,26 +184,112 @@ def _means(good: np.ndarray, x: Lines) -> np.ndarray:
     return np.add.reduceat(good * x.weight, x.row[:-1]) / np.add.reduceat(x.weight, x.row[:-1])
 
 
+def _mixed(x: Lines, label: np.ndarray, most: int = MIXED) -> tuple[Lines, np.ndarray]:
+    """Documents with a run of lines of one of the other kind in them, and the places of their lines in ``x``."""
+    rng = np.random.default_rng(1)
+    good, bad = (rng.permutation(np.flatnonzero(label == k))[:most].tolist() for k in (1, 0))
+    figures, weight, places, count = [], [], [], []
+    for a, b in [*zip(good, bad), *zip(bad, good)]:
+        first, last = x.row[a], x.row[a + 1]
+        if last - first > 24:  # some lines around the run are enough
+            first = int(rng.integers(first, last - 24))
+            last = first + 24
+        start = int(rng.integers(x.row[b], x.row[b + 1]))
+        run = np.arange(start, min(start + int(rng.integers(1, 6)), x.row[b + 1]))
+        at = int(rng.integers(first, last + 1))
+        order = np.concatenate([np.arange(first, at), run, np.arange(at, last)])
+        own = x.figures[order, 1 : 1 + OWN]
+        before, after = np.zeros_like(own), np.zeros_like(own)
+        before[1:], after[:-1] = own[:-1], own[1:]
+        figures.append(np.concatenate([np.ones((len(own), 1)), own, before, after], 1))
+        weight.append(x.weight[order])
+        places.append(order)
+        count.append(len(order))
+    row = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+    return Lines(np.concatenate(figures), np.concatenate(weight), row), np.concatenate(places)
+
+
+def _odds(good: np.ndarray) -> np.ndarray:
+    return np.log(np.clip(good, 1e-9, 1 - 1e-9) / np.clip(1 - good, 1e-9, 1))
+
+
+def _chance(odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+
+
+def _held(good: np.ndarray, x: Lines, label: np.ndarray) -> np.ndarray:
+    """For each line the offset of its document, at which the lines' mean keeps to the document's label."""
+    odds, many = _odds(good), np.diff(x.row)
+    low, high = np.full(len(label), -30.0), np.full(len(label), 30.0)
+    want = np.where(label == 1, 1 - MOST, MOST)
+    for _ in range(40):
+        middle = (low + high) / 2
+        under = _means(_chance(odds + np.repeat(middle, many)), x) < want
+        low, high = np.where(under, middle, low), np.where(under, high, middle)
+    now = _means(good, x)
+    return np.repeat(np.where((label == 1) == (now < want), (low + high) / 2, 0.0), many)
+
+
+def _pairs(good: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Expected numbers of neighbouring labels, of lines whose labels do not depend on each other."""
+    inner = np.ones(len(good), bool)
+    inner[row[:-1]] = False
+    at = np.flatnonzero(inner)
+    both = np.stack([1 - good, good], 1)
+    return both[at - 1].T @ both[at]
+
+
+class _Ascent:
+    """Steps along a gradient, each weight at a pace of its own."""
+
+    def __init__(self, size: int):
+        self.state, self.step = [np.zeros(size), np.zeros(size)], 0
+
+    def move(self, gradient: np.ndarray) -> np.ndarray:
+        self.step += 1
+        self.state = [0.9 * self.state[0] + 0.1 * gradient, 0.99 * self.state[1] + 0.01 * gradient**2]
+        first, second = (s / (1 - rate**self.step) for s, rate in zip(self.state, (0.9, 0.99)))
+        return RATE * first / (np.sqrt(second) + 1e-9)
+
+
+def _alone(x: Lines, line: np.ndarray) -> np.ndarray:
+    """Probability of each line to be good by its own figures."""
+    own = x.figures[:, : 1 + OWN]
+    weights, ascent = np.zeros(1 + OWN), _Ascent(1 + OWN)
+    for _ in range(STEPS):
+        weights = weights + ascent.move(own.T @ (line - _chance(own @ weights)) / len(line) - RIDGE * weights)
+    return _chance(own @ weights)
+
+
 def fit(x: Lines, label: np.ndarray) -> Model:
-    """Maximum likelihood of the lines' labels, either label's documents weighing alike as a whole."""
+    """Maximum likelihood of the lines' labels, as far as they are known at each turn."""
     if len(label) == 0 or label.min() == label.max():
         constant = 0.5 if len(label) == 0 else float(label[0])
         return Model(np.zeros(1 + 3 * OWN), np.zeros((2, 2)), 0.0, 0.0, constant)
-    count = np.diff(x.row)
-    line = np.repeat(label, count)
-    seen = np.zeros((2, 2))
-    for k in (0, 1):
-        seen[k, k] = (count - 1)[label == k].sum()
-    total = len(line)
+    mixed, places = _mixed(x, label)
+    every = Lines(
+        np.concatenate([x.figures, mixed.figures]),
+        np.concatenate([x.weight, mixed.weight]),
+        np.concatenate([x.row, x.row[-1] + mixed.row[1:]]),
+    )
+    total = len(every.weight)
     weights, change = np.zeros(x.figures.shape[1]), np.zeros((2, 2))
-    state = [np.zeros(len(weights) + 4), np.zeros(len(weights) + 4)]
-    for step in range(1, STEPS + 1):
-        m = marginals(x.figures @ weights, x.row, change)
-        gradient = np.concatenate([x.figures.T @ (line - m.good), (seen - m.pairs).ravel()]) / total
-        gradient -= RIDGE * np.concatenate([weights, change.ravel()])
-        state = [0.9 * state[0] + 0.1 * gradient, 0.99 * state[1] + 0.01 * gradient**2]
-        move = RATE * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.99**step)) + 1e-9)
-        weights, change = weights + move[:-4], change + move[-4:].reshape(2, 2)
+    for turn in range(ROUNDS + 1):
+        if turn == 0:
+            alone = _alone(x, np.repeat(label, np.diff(x.row)).astype(float))
+            good = _chance(_odds(alone) + _held(alone, x, label))
+            seen = _pairs(good, x.row)
+        else:
+            now = marginals(x.figures @ weights, x.row, change).good
+            good, seen = marginals(x.figures @ weights + _held(now, x, label), x.row, change)
+        line = np.concatenate([good, good[places]])
+        seen = seen + _pairs(good[places], mixed.row)
+        ascent = _Ascent(len(weights) + 4)
+        for _ in range(MORE if turn else STEPS):
+            m = marginals(every.figures @ weights, every.row, change)
+            gradient = np.concatenate([every.figures.T @ (line - m.good), (seen - m.pairs).ravel()]) / total
+            move = ascent.move(gradient - RIDGE * np.concatenate([weights, change.ravel()]))
+            weights, change = weights + move[:-4], change + move[-4:].reshape(2, 2)
     mean = _means(marginals(x.figures @ weights, x.row, change).good, x)
     share = np.where(label == 1, 0.5 / (label == 1).mean(), 0.5 / (label == 0).mean())
     theta = np.zeros(2)
@@ -216,7 +311,7 @@ def score(model: Model, t: _text.Texts) -> tuple[np.ndarray, np.ndarray, np.ndar
     return 1 / (1 + np.exp(-(model.slope * (_means(good, x) - 0.5) + model.level))), good, x.row
 
 
-def train(documents: DataFrame, labels: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model:
+def train(documents: DataFrame, labels: DataFrame, text: str = "text", sample: int = SAMPLE, most: int = LINES) -> Model:
     """Fit to ``labels`` (doc_id, quality 0 or 1); pass only those that may be learnt from."""
     usable = labels.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_label"))
     spread = F.xxhash64("_id")
@@ -242,7 +337,12 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", sample: i
     found = documents.join(chosen, documents["doc_id"] == chosen["_id"]).select(
         "_label", F.col(text).cast("string"), F.col("doc_id").cast("long")
     )
-    rows = found.mapInArrow(run, "label int, figures binary, weight binary, place long").collect()
+    made = found.mapInArrow(run, "label int, figures binary, weight binary, place long")
+    # An id may repeat in the documents: the bounds hold for what is collected.
+    least = Window.partitionBy("label").orderBy(F.xxhash64("place"), "place", F.length("figures"), "figures")
+    ranked = made.withColumn("n", F.row_number().over(least)).where(F.col("n") <= sample)
+    lines_before = F.sum(F.length("weight") / 8).over(least.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = ranked.withColumn("lines", lines_before).where(F.col("lines") <= most).drop("n", "lines").collect()
     rows.sort(key=lambda r: (r["place"], bytes(r["figures"])))
     figures = [np.frombuffer(r["figures"], "<f4").reshape(-1, 1 + 3 * OWN) for r in rows]
     row = np.concatenate([[0], np.cumsum([len(f) for f in figures])]).astype(np.int64)

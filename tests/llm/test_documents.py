@@ -65,6 +65,65 @@ def test_html_self_closed_pictures():
         assert html_text.main_text(f"<article><p>First part.</p>{made}not seen</article>")[0] == "First part."
 
 
+LONG = " ".join(["Some words of a long paragraph that goes on."] * 6)
+
+
+def test_html_a_small_article_does_not_hide_the_text():
+    teaser = '<article class="card"><p>Read this next</p></article>'
+    page = f'<div class="content"><h1>Title of it</h1><p>{LONG}</p><p>{LONG}</p></div>{teaser}'
+    assert html_text.main_text(page)[0] == f"Title of it {LONG} {LONG} Read this next"
+    side = f'<div class="content"><p>{LONG}</p></div><aside>{teaser}</aside>'
+    assert html_text.main_text(side)[0] == LONG
+
+
+def test_html_hidden_inline():
+    for hidden in ("<span hidden>gone</span>", '<b style="display: none">go<b>ne</b> gone</b>', '<i aria-hidden="true">go<span>ne</span></i>', "<span hidden>go<br>ne</span>"):
+        page = f"<article><p>First {hidden} last words.</p><p>More text.</p></article>"
+        assert html_text.main_text(page)[0] == "First last words. More text.", hidden
+    open_end = "<article><p>First <span hidden>gone</p><p>More text.</p></article>"
+    assert html_text.main_text(open_end)[0] == "First More text."
+    assert html_text.main_text("<p>a<span>b</span>c <em class=x>d</em></p>")[0] == "abc d"
+
+
+def test_html_names():
+    for name, kept in (("promo-story", False), ("comment-body", False), ("post-comments", False), ("content-sidebar-wrap", True), ("has-sidebar", True), ("post-body", True), ("main", True)):
+        page = f'<article><p>{LONG}</p><div class="{name}"><p>Words inside it.</p></div></article>'
+        assert html_text.main_text(page)[0] == LONG + " Words inside it." * kept, name
+
+
+def test_html_neighbours_decide_where_elements_do_not(monkeypatch):
+    menu = "".join(f"<div><a href=/{k}>Page {k}</a></div>" for k in range(4))
+    page = f"{menu}<div>Topics</div>{menu}<div>Heading here</div><div>{LONG}</div><div><a href=x>A linked line</a></div><div>{LONG}</div>{menu}"
+    want = f"Heading here {LONG} A linked line {LONG}"
+    assert html_text.main_text(page)[0] == want
+    names = ["chrome", "side", "form", *html_text.TITLES[1:]]
+
+    def asked(node):
+        return set() if node.feature < 0 else {names[node.feature]} | asked(node.low) | asked(node.high)
+
+    used = asked(html_text.tree())
+    assert used & {"words_before", "words_after"} and used & {"links_before", "links_after"} and "links" in used
+    table = np.array(html_text.EXAMPLES, float)
+    blind = html_text._features(table[:, :-1])
+    blind[:, names.index("words_before") : names.index("links_after") + 1] = 0
+    monkeypatch.setattr(html_text, "tree", lambda: html_text.grow(blind, table[:, -1]))
+    assert html_text.main_text(page)[0] != want
+
+
+def test_html_of_the_given_pages(spark):
+    """Every page against a plain cut of its one article; words lost and kept too many are counted."""
+    pages = queries.shipped(spark).read.parquet("/root/testdata/sf0.1/pages.parquet")
+    lost = more = n = 0
+    for r in html_text.extract(pages).select("html", "text").collect():
+        article = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
+        want = html_text.references.unescape(re.sub(r"<(?:/?p|br|/?h1|/?li|/?ul|/?div)>", " ", article))
+        want = re.sub(r"</?[a-z]+[^>]*>", "", want).split()
+        got = r["text"].split()
+        lost, more, n = lost + max(len(want) - len(got), 0), more + max(len(got) - len(want), 0), n + len(want)
+    print(f"{n} words, {lost} lost, {more} too many")
+    assert n > 100_000 and lost + more <= 0.001 * n
+
+
 def test_html_tree_agrees_with_its_table():
     table = np.array(html_text.EXAMPLES, float)
     root, good = html_text.tree(), 0
@@ -296,6 +355,37 @@ def test_quality_on_held_out_documents(spark):
     assert len(held) > 500 and np.mean([a == b for a, b in held]) > 0.98
 
 
+def test_lines_of_a_mixed_text_are_told_apart(documents, spark):
+    """Only documents are labelled, each of one kind; a junk line among good ones is found all the same."""
+    rng = random.Random(6)
+    good = lambda: " ".join(rng.choice("the house stood near water and nobody went there again that year".split()) for _ in range(12)) + "."
+    junk = lambda: " ".join(rng.choice(["BUY!!", "### $$$", "CLICK!!", "%%% ***", "WIN!!"]) for _ in range(12))
+    texts = ["\n".join(good() for _ in range(rng.randint(3, 9))) for _ in range(60)]
+    texts += ["\n".join((good if rng.random() < 0.2 else junk)() for _ in range(rng.randint(3, 9))) for _ in range(60)]
+    labels = spark.createDataFrame([(k, int(k < 60)) for k in range(120)], "doc_id long, quality int")
+    model = line_quality.train(documents(texts), labels)
+    mixed = [good(), good(), junk(), good(), junk(), junk(), good(), good()]
+    row = line_quality.classify(documents(["\n".join(mixed)]), model).first()
+    assert [p >= 0.5 for p in row["lines"]] == [True, True, False, True, False, False, True, True]
+    # In bad documents the good lines are found, though their label says bad.
+    rows = line_quality.classify(documents(texts[60:]), model).collect()
+    said = [(line[0].islower(), p >= 0.5) for r in rows for line, p in zip(r["text"].split("\n"), r["lines"])]
+    assert np.mean([a == b for a, b in said]) > 0.95 and 20 < sum(a for a, _ in said)
+
+
+def test_training_is_bounded(documents, spark, monkeypatch):
+    """An id that repeats, in documents and labels, brings no more than the sample to the driver."""
+    seen = []
+    fit = line_quality.fit
+    monkeypatch.setattr(line_quality, "fit", lambda x, label: seen.append((len(label), len(x.weight))) or fit(x, label))
+    texts = ["A plain line.\nAnd more."] * 300 + ["### $$$\n!!!"] * 40
+    df = documents(texts, [1] * 300 + list(range(2, 42)))
+    labels = spark.createDataFrame([(1, 1)] * 3 + [(k, 0) for k in range(2, 42)], "doc_id long, quality int")
+    line_quality.train(df, labels, sample=25)
+    line_quality.train(df, labels, sample=25, most=20)
+    assert seen == [(50, 100), (20, 40)]
+
+
 def test_quality_of_odd_rows(documents, spark):
     good, bad = "A plain line of words.\nAnd one more.", "### %%% $$$\n!!! ### ***"
     df = documents([good, bad] * 6 + [None, "", good], SCORE=["x"] * 15)

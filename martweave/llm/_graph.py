@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martweave.session import work_folder
+from martweave.session import remove, work_folder
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,14 +16,16 @@ def components(edges: DataFrame) -> DataFrame:
     a partial minimum and a join back on the node, so that a hub meets the shuffle once
     from each task and the adaptive planner may split its rows. Edges become stars after
     about the logarithm of the longest path of steps. Every step is a written table in
-    the shared folder, so lineage stays short and a lost executor costs one step.
+    the shared folder, so lineage stays short and a lost executor costs one step; a step
+    goes when the next one is written.
     """
     spark = edges.sparkSession
+    folders: list[str] = []
 
     def kept(df: DataFrame) -> DataFrame:
-        folder = work_folder(spark, "components")
-        df.write.parquet(folder)
-        return spark.read.parquet(folder)
+        folders.append(work_folder(spark, "components"))
+        df.write.parquet(folders[-1])
+        return spark.read.parquet(folders[-1])
 
     now = kept(
         edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -40,6 +42,9 @@ def components(edges: DataFrame) -> DataFrame:
         joined = large.join(least, "a")
         small = joined.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = kept(small.union(least.select("a", F.col("m").alias("b"))).distinct())
+        for folder in folders[:-1]:
+            remove(spark, folder)
+        del folders[:-1]
         sums = now.agg(F.count("a"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.pmod(F.xxhash64("b", "a"), F.lit(1 << 30)))).first()
         if sums == state:
             break

@@ -19,7 +19,8 @@ All of it is DataFrame functions. The texts are cut inside their rows; originals
 reduced to one row for each hash (in each conversation) before any join, partly in each
 task, so joins meet one row and their other side may be split. Roots are found by
 doubling: each step joins answers to what they answer, so the longest chain of n answers
-takes log2(n) steps; every step is a written table in the shared folder.
+takes log2(n) steps; every step is a written table in the shared folder, which goes when the
+next one is written.
 
 Result: conv_id, turn, role, text (without quotes), n_passages (quoted), n_linked,
 parent_conv, parent_turn, thread_conv, thread_turn, depth, place (from 1). Defined cases: a null text is
@@ -34,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martweave.session import work_folder
+from martweave.session import remove, work_folder
 
 LINE_WORDS = 3
 MARKS = r"^((?:[ \t]*>)+)"
@@ -130,10 +131,14 @@ def roots(answers: DataFrame) -> DataFrame:
     """conv_id, turn, thread_conv, thread_turn, depth of messages with a parent (up_conv, up_turn)."""
     spark = answers.sparkSession
     now = answers.withColumn("depth", F.lit(1).cast("long"))
+    before = None
     while True:
         folder = work_folder(spark, "threads")
         now.write.parquet(folder)
         now = spark.read.parquet(folder)
+        if before is not None:
+            remove(spark, before)
+        before = folder
         above = now.select(
             F.col("conv_id").alias("up_conv"),
             F.col("turn").alias("up_turn"),

@@ -2,7 +2,8 @@
 
 Documents of low quality go, one document of each group of near copies stays, documents
 with benchmark passages go, and what is left is encoded. Each stage is written as Parquet
-in the shared folder and read again, so a lost executor costs part of one stage. The
+in the shared folder and read again, so a lost executor costs part of one stage, and goes
+when the next one is written. The
 filtering stages keep the columns of their input, also those named like an operator's.
 The second stage goes by rows, not by doc_id: of a row that repeats, of copies without
 doc_id and of copies that share a doc_id with another text one stays as well.
@@ -11,14 +12,13 @@ doc_id and of copies that share a doc_id with another text one stays as well.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martweave.llm import byte_bpe, decontamination, jaccard_join, line_quality
-from martweave.session import work_folder
+from martweave.session import remove, work_folder
 
 KEPT_FROM = 0.3
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -40,23 +40,20 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return kept.drop("score", "lines").withColumnsRenamed(back).select(docs.columns)
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str, nameless: bool = False) -> DataFrame:
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of copies and near copies the row with the least id, of equal ids one.
 
-    Rows without doc_id come last in a class (``nameless``), or are left as they are. Each
-    row gets a key, written once, by which it is joined and chosen.
+    Rows without doc_id come last in a class. Each row gets a key, written once, by which
+    it is joined and chosen.
     """
     own, back = _put_aside(docs, ("_row",))
     folder = work_folder(spark, "keyed")
     own.withColumn("_row", F.monotonically_increasing_id()).write.parquet(folder)
     keyed = spark.read.parquet(folder)
-    known = keyed if nameless else keyed.where("doc_id IS NOT NULL")
-    classes = jaccard_join.jaccard_join(known.select(F.col("_row").alias("doc_id"), "text"))
-    of = classes.select(F.col("doc_id").alias("_row"), "class_id").join(known.select("_row", "doc_id"), "_row")
+    classes = jaccard_join.jaccard_join(keyed.select(F.col("_row").alias("doc_id"), "text"))
+    of = classes.select(F.col("doc_id").alias("_row"), "class_id").join(keyed.select("_row", "doc_id"), "_row")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))
     chosen = of.groupBy("class_id").agg(first.alias("first")).select(F.col("first._row").alias("_row"))
-    if not nameless:
-        chosen = chosen.union(keyed.where("doc_id IS NULL").select("_row"))
     return keyed.join(chosen, "_row", "left_semi").drop("_row").withColumnsRenamed(back).select(docs.columns)
 
 
@@ -79,7 +76,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_classifier", good_documents),
-    ("ngram_jaccard_join", partial(one_of_each, nameless=True)),
+    ("ngram_jaccard_join", one_of_each),
     ("benchmark_decontamination", without_benchmark),
     ("byte_level_bpe", encoded),
 ]
@@ -91,8 +88,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
         folder = work_folder(spark, name)
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+        if before is not None:
+            remove(spark, before)
+        before = folder
     return docs

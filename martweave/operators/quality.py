@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
+from pyspark.sql.types import ByteType, DateType, IntegerType, LongType, ShortType
 
 # The declared data tests.
 NOT_NULL = {
@@ -117,6 +117,39 @@ def unique(df: DataFrame, model: str, column: str) -> DataFrame:
     return _result(found, "unique", model, column)
 
 
+_WHOLE = (ByteType, ShortType, IntegerType, LongType, DateType)
+
+
+def _plain_key(df: DataFrame, column: str) -> Column:
+    """Integers and dates as a number."""
+    kind = df.schema[column].dataType
+    return (F.unix_date(column) if isinstance(kind, DateType) else F.col(column)).cast("bigint")
+
+
+def uniques(models: dict[str, DataFrame], tests: Sequence[tuple[str, str]]) -> DataFrame:
+    """As :func:`unique` for several (model, column) at once: one shuffle for all of them.
+
+    Keys are numbers if all are integers or dates, else text.
+    """
+    whole = all(isinstance(models[m].schema[c].dataType, _WHOLE) for m, c in tests)
+
+    def keys(k: int, model: str, column: str) -> DataFrame:
+        df = models[model].filter(F.col(column).isNotNull())
+        key = _plain_key(df, column) if whole else F.col(column).cast("string")
+        return df.select(F.lit(k).alias("_test"), key.alias("_key"))
+
+    stacked = reduce(DataFrame.unionByName, (keys(k, m, c) for k, (m, c) in enumerate(tests)))
+    repeated = stacked.groupBy("_test", "_key").agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
+    sums = repeated.agg(*(F.count_if(F.col("_test") == k).alias(f"_{k}") for k in range(len(tests))))
+    rows = [
+        F.struct(
+            F.lit(model).alias("model"), F.lit(column).alias("column"), F.lit("unique").alias("test"), F.col(f"_{k}").alias("failures")
+        )
+        for k, (model, column) in enumerate(tests)
+    ]
+    return sums.select(F.inline(F.array(*rows)))
+
+
 def repeated_in_load(
     table: DataFrame, column: str, load_id: str, load_column: str = "_load_id"
 ) -> DataFrame:
@@ -164,7 +197,7 @@ def relationships(models: dict[str, DataFrame], tests: Sequence[Relationship]) -
     many tests there are. Keys are compared as integers if all are, else as text.
     """
     named = [(r.child, r.column) for r in tests] + [(r.parent, r.field) for r in tests]
-    whole = all(models[m].schema[c].dataType in (ByteType(), ShortType(), IntegerType(), LongType()) for m, c in named)
+    whole = all(isinstance(models[m].schema[c].dataType, _WHOLE[:-1]) for m, c in named)
 
     def key(column: str) -> Column:
         return F.col(column).cast("bigint" if whole else "string").alias("_key")

@@ -55,6 +55,15 @@ def test_relationships_together_are_those_alone(spark):
     assert text[text.index("== Physical Plan ==") :].count("REPARTITION_BY_NUM") == 1  # the child is read once
 
 
+def test_uniqueness_together_is_that_alone(spark):
+    a = spark.createDataFrame([(1, date(2024, 1, 1)), (1, date(2024, 1, 2)), (None, date(2024, 1, 1)), (None, None)], "k int, d date")
+    b = spark.createDataFrame([("x",), ("x",), ("1",), (None,)], "s string")
+    models = {"a": a, "b": b, "none": a.limit(0)}
+    for tests in ([("a", "k"), ("a", "d"), ("none", "k")], [("a", "k"), ("b", "s"), ("a", "d")]):
+        alone = sorted(tuple(quality.unique(models[m], m, c).first()) for m, c in tests)
+        assert values(quality.uniques(models, tests), "model", "column", "test", "failures") == alone
+
+
 def test_uniqueness_of_a_load(spark, conf):
     rows = [(1, "one"), (2, "one"), (None, "one"), (3, None), (2, "two"), (3, "two"), (4, "two"), (4, "two"), (None, "two"), (5, "two")]
     table = spark.createDataFrame(rows, "id int, _load_id string")

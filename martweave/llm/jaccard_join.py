@@ -20,7 +20,7 @@ of their sets of shingles is ``threshold`` or more.
    link anywhere makes the search go on.
 4. A node's texts are dealt into blocks of ``BLOCK`` texts or ``HEAVY`` shingles at most and
    pairs of blocks are compared each by itself, so one huge node is many small tasks.
-   New pairs are found from the signatures; only texts that have one are read again.
+   New pairs are found from the signatures; only the shingles of texts that have one move.
    Similarities are exact, from the shingles of the whole texts, counted for all pairs
    of a block pair at once by products of 0/1 matrices. What leaves is one row for each
    text: its number of links and its least linked partners as a forest, never the pairs.
@@ -57,6 +57,7 @@ TREES, DEPTH, RECALL = 16, 8, 0.9995
 BLOCK = 1024
 HEAVY = 2_000_000  # shingles in a block, sixteen megabytes
 BIN, SIGNED = 2000, 20_000  # rows with shingles, and with signatures, in a task's group
+MARKS = 26
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -303,6 +304,24 @@ def _compared(left: pd.DataFrame, right: pd.DataFrame | None, fresh: np.ndarray,
     return member[some], links[some], _forest(member, i, j)[some], least[some]
 
 
+def _among(df: DataFrame, column: str, ids: DataFrame, id: str) -> DataFrame:
+    """The rows of ``df`` whose ``column`` is among the ids, and a few more; whoever calls joins the ids exactly.
+
+    A bitmap of hashed ids is sent to the tasks, sixteen bits for each id and at most
+    2^``MARKS`` (eight megabytes), so rows nobody asks for are not shuffled. With very many
+    ids it lets more through, and the join does more.
+    """
+    bits = min(MARKS, max(18, (16 * ids.count()).bit_length()))
+    place = F.pmod(F.xxhash64(F.col(id).cast("long")), F.lit(1 << bits))
+    marks = ids.select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("_bucket"))
+    marks = marks.agg(F.bitmap_construct_agg(F.col("place") % 32768).alias("_marks"))
+    probed = df.withColumn("_place", F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(1 << bits)))
+    probed = probed.withColumn("_bit", F.col("_place") % 32768).withColumn("_bucket", F.shiftright("_place", 15))
+    byte = F.conv(F.hex(F.substring("_marks", F.shiftright("_bit", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.call_function("shiftright", byte, (F.col("_bit") % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return probed.join(F.broadcast(marks), "_bucket").where(marked).select(*(df[c] for c in df.columns))
+
+
 class _Forest:
     """The search of one forest, prefix by prefix; every step is a written table."""
 
@@ -359,13 +378,23 @@ class _Forest:
         bins = max(1, -(-load["rows"] // rows), -(-load["weight"] // heavy))
         return F.pmod(F.xxhash64("node", "low", "high"), F.lit(bins)).alias("bin")
 
-    def level(self, tries: DataFrame, length: int, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    def content(self, tries: DataFrame) -> DataFrame:
+        """member, signature and grams of every text that shares a node; the texts are read again for them, once."""
+        members = tries.select("member").distinct()
+        own = _among(self.texts.select("member", "copy_id", "digest", "signature"), "member", members, "member")
+        own = self.kept(own, "own")
+        wanted = _among(self.documents.select("doc_id", self.text), "doc_id", own, "copy_id")
+        # Rows that repeat are one text, put together in each task before they are sent on.
+        grams = _with_grams(wanted, self.words, self.text).groupBy("digest").agg(F.first("grams").alias("grams"))
+        return self.kept(own.join(grams, "digest").select("member", "signature", "grams"), "content")
+
+    def level(self, tries: DataFrame, content: DataFrame, length: int, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         """Links of pairs that share a prefix of ``length`` and met at no longer one; the nodes' members' hashes."""
         trees, depth, threshold = self.trees, self.depth, self.threshold
         shared = tries.where(F.col("reach") >= length).withColumn("prefix", F.substring("path", 1, 4 * length))
         nodes = self.kept(self._nodes(shared, length, known), "nodes")
         dealt = self.kept(self._dealt(shared, nodes), "blocks")
-        signed = dealt.join(self.texts.select("member", "signature"), "member")
+        signed = dealt.join(content.select("member", "signature"), "member")
 
         def groups(frame: pd.DataFrame) -> Iterator[tuple]:
             for (node, tree, low, high), rows in frame.groupby(["node", "tree", "low", "high"], sort=False):
@@ -385,12 +414,7 @@ class _Forest:
         kind = "node long, tree int, low long, high long, member long, own long, n_shingles long"
         fresh = self.kept(signed.groupBy(self._bins(dealt, SIGNED, 1 << 62)).applyInPandas(news, kind), "fresh")
 
-        needed = fresh.select("member").distinct().join(self.texts.select("member", "copy_id", "digest", "signature"), "member")
-        needed = self.kept(needed, "needed")
-        wanted = self.documents.join(needed, self.documents["doc_id"] == needed["copy_id"], "left_semi")
-        # Rows that repeat are one text, put together in each task before they are sent on.
-        grams = _with_grams(wanted, self.words, self.text).groupBy("digest").agg(F.first("grams").alias("grams"))
-        read = needed.join(grams, "digest").select("member", "signature", "grams")
+        read = _among(content, "member", fresh.select("member").distinct(), "member")
 
         def verified(frame: pd.DataFrame) -> pd.DataFrame:
             out = [_compared(left, right, new, threshold) for *_, left, right, new in groups(frame)]
@@ -404,15 +428,17 @@ class _Forest:
         """member, n_links, root (a linked member or itself) of each member and place with links."""
         least = prefix_length(self.threshold, self.trees, self.depth, recall)
         tries_ = self.kept(tries(self.texts, self.trees, self.depth, least), "tries")
+        content = self.content(tries_)
+        lasting = len(self.folders)
         found: list[DataFrame] = []
         known: DataFrame | None = None
         weakest = 1.0
         for length in range(self.depth, least - 1, -1):
-            links, nodes = self.level(tries_, length, known)
+            links, nodes = self.level(tries_, content, length, known)
             folder, seen = work_folder(self.spark, "links"), work_folder(self.spark, "seen")
             links.write.parquet(folder)
             nodes.write.parquet(seen)
-            self.drop(1)
+            self.drop(lasting)
             found.append(self.spark.read.parquet(folder))
             more = self.spark.read.parquet(seen)
             known = more if known is None else known.union(more)

@@ -280,3 +280,19 @@ def test_no_terms_and_no_documents(spark):
 def test_shares_beyond_64_bits():
     count, total = np.array([[9 * 10**15, 0]]), np.array([10**16])
     assert source_divergence._shares(count, total).tolist() == [[1 + (9 * 10**15 + 2) * 10**9 // 10**16, 1]]
+
+
+@pytest.mark.parametrize("name", ["op10_line_quality", "op11_lang_id"])
+def test_rows_without_an_id_are_scored_and_neither_held_out_nor_learnt_from(spark, tmp_path, name):
+    rows = [(k, f"{written('en' if k % 2 else 'de', random.Random(k), 9)}.", "en" if k % 2 else "de", "s", 1) for k in range(30)]
+    rows += [(None, "the house", "xx", "s", 1), (None, None, None, None, None)]
+    made = shipped(spark).createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    made.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(k, k % 2, 0) for k in range(30)] + [(None, 0, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    got = QUERIES[name](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    assert [r["held_out"] for r in got if r["doc_id"] is None] == [None, None]
+    assert all(0 <= r["score"] <= 1 for r in got)
+    if name == "op11_lang_id":
+        assert {r["lang_pred"] for r in got} == {"en", "de", "und"}

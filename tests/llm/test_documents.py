@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from martweave.llm import _graph, _text, byte_bpe, decontamination, html_text, jaccard_join, line_quality, queries
@@ -203,7 +204,7 @@ def test_jaccard_join_reaches_its_recall(documents, spark, monkeypatch):
     """Production parameters against all pairs, weak links among them; the forest ends early only where all are strong."""
     depths = []
     level = jaccard_join._Forest.level
-    monkeypatch.setattr(jaccard_join._Forest, "level", lambda self, tries, length, known: depths.append(length) or level(self, tries, length, known))
+    monkeypatch.setattr(jaccard_join._Forest, "level", lambda self, *given: depths.append(given[2]) or level(self, *given))
     texts, rng = [t for seed in range(2, 9) for t in near_texts(seed)], random.Random(8)
     base = [f"v{rng.randrange(9000)}" for _ in range(100)]
     texts += [" ".join(base[:k] + [f"y{k}{j}" for j in range(2)] + base[k + 2 :]) for k in range(5, 90, 6)]  # linked at about 0.8
@@ -221,6 +222,16 @@ def test_jaccard_join_reaches_its_recall(documents, spark, monkeypatch):
     assert {r["n_links"] for r in got} == {len(strong) - 1} and depths == [8]
 
 
+@pytest.mark.parametrize("bits", [26, 12])
+def test_marked_rows_hold_all_that_are_asked_for(spark, monkeypatch, bits):
+    monkeypatch.setattr(jaccard_join, "MARKS", bits)
+    rows = spark.range(20_000).select(F.col("id").alias("k"), F.lit("x").alias("v")).union(spark.createDataFrame([(None, "x")], "k long, v string"))
+    ids = spark.range(0, 20_000, 40).select(F.col("id").alias("i"))
+    found = {r["k"] for r in jaccard_join._among(rows, "k", ids, "i").collect()}
+    assert found >= set(range(0, 20_000, 40)) and len(found) < (3000 if bits == 26 else 6000)
+    assert jaccard_join._among(rows, "k", ids.limit(0), "i").count() == 0
+
+
 def test_neighbours_share_the_longest_prefixes(spark):
     rng = np.random.default_rng(4)
     paths = rng.integers(0, 2, (300, 6)).astype(">u4")

@@ -14,7 +14,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE = 2_000_000
+SLICE = 1_000_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -119,8 +119,13 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         closing[end] = 1
         data = data[np.cumsum(keep - closing, dtype=np.int8)[:-1].astype(bool)]
     first = np.cumsum(length) - length
-    within = np.arange(len(data)) - np.repeat(first, length)
-    value = _byte_keys()[((within & 63) << 8) | data]
+    # A byte's place in its span; narrow integers, as there is one for each byte.
+    within = np.arange(len(data), dtype=np.int32)
+    within -= np.repeat(first.astype(np.int32), length)
+    place = (within & 63).astype(np.uint16)
+    place <<= np.uint16(8)
+    place |= data
+    value = _byte_keys()[place]
     far = np.flatnonzero(within > 63)
     value[far] = mix(value[far] ^ ((within[far] >> 6).astype(np.uint64) * _GOLDEN))
     return mix(np.add.reduceat(value, first) + length.astype(np.uint64) * _GOLDEN)

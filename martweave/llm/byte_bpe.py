@@ -33,6 +33,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 from martweave.llm import _kept, _text
 
 LONG = 4096
+KEPT, ROOM = 400_000, 32 << 20  # pieces and bytes that a worker keeps
 _NONE = np.int64(1) << 40
 _PAD = (1 << 24) - 1
 
@@ -88,7 +89,7 @@ def ranks(path: str) -> Ranks:
     whole = _text.hashes(joined, at[:-1][lengths > 0], at[1:][lengths > 0])
     order = np.argsort(whole)
     table, value = _hash_table(np.array(keys, np.uint64), np.array(ids, np.int64))
-    return Ranks(single, table, value, whole[order], np.flatnonzero(lengths > 0)[order], joined, at, _kept.Kept())
+    return Ranks(single, table, value, whole[order], np.flatnonzero(lengths > 0)[order], joined, at, _kept.Kept(KEPT, ROOM))
 
 
 def _rank(r: Ranks, left: np.ndarray, right: np.ndarray) -> np.ndarray:

@@ -56,7 +56,7 @@ WORDS, THRESHOLD = 5, 0.8
 TREES, DEPTH, RECALL = 16, 8, 0.9995
 BLOCK = 1024
 HEAVY = 2_000_000  # shingles in a block, sixteen megabytes
-BIN, SIGNED = 2000, 20_000  # rows with shingles, and with signatures, in a task's group
+BIN, SIGNED = 2000, 10_000  # rows with shingles, and with signatures, in a task's group
 MARKS = 26
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 

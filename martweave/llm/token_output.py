@@ -61,7 +61,7 @@ END = 0
 LEAST = 8
 PREFIX = 40
 BINS = 18
-SLICE = 4_000_000
+SLICE = 1_000_000
 
 FORMAT = (
     "part int, block int, start long, doc_id array<long>, doc_ids array<int>, doc_symbols array<int>,"

@@ -85,8 +85,23 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ORACLE_SQL = None
 
 
+#: Rows and bytes that go to Python at once; whole texts are long, and all stages share an executor's memory.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
+    own = {key: spark.conf.get(key, None) for key in BATCHES}
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+    try:
+        return _run(spark, sf_dir)
+    finally:
+        for key, value in own.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     before = None
     for name, stage in STAGES:

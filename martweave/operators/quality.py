@@ -192,9 +192,11 @@ def relationship(models: dict[str, DataFrame], r: Relationship) -> DataFrame:
 def relationships(models: dict[str, DataFrame], tests: Sequence[Relationship]) -> DataFrame:
     """As :func:`relationship` for several tests at once.
 
-    The keys of all child columns are counted together, a child being read once for all
-    its columns, and meet the keys of all parents in one join: two shuffles, however
-    many tests there are. Keys are compared as integers if all are, else as text.
+    A child is read once for all its columns and its keys are counted on their own, so
+    that a task makes the rows of one child only: Spark shares a stage's tasks out among
+    what is stacked in it, and a child of few bytes but many rows would get very few.
+    What is left of all children, a row a key, meets the keys of all parents in one join.
+    Keys are compared as integers if all are, else as text; parents go by number.
     """
     named = [(r.child, r.column) for r in tests] + [(r.parent, r.field) for r in tests]
     whole = all(isinstance(models[m].schema[c].dataType, _WHOLE[:-1]) for m, c in named)
@@ -202,26 +204,21 @@ def relationships(models: dict[str, DataFrame], tests: Sequence[Relationship]) -
     def key(column: str) -> Column:
         return F.col(column).cast("bigint" if whole else "string").alias("_key")
 
-    def stacked(child: str) -> DataFrame:
-        rows = [
-            F.struct(F.lit(k).alias("_test"), F.lit(f"{r.parent}.{r.field}").alias("_parent"), key(r.column))
-            for k, r in enumerate(tests)
-            if r.child == child
-        ]
-        return models[child].select(F.inline(F.array(*rows))).filter(F.col("_key").isNotNull())
-
-    children = reduce(DataFrame.unionByName, map(stacked, dict.fromkeys(r.child for r in tests)))
-    counted = children.groupBy("_parent", "_key").agg(
-        *(F.count_if(F.col("_test") == k).alias(f"_{k}") for k in range(len(tests)))
-    )
+    fields = list(dict.fromkeys((r.parent, r.field) for r in tests))
+
+    def counted(child: str) -> DataFrame:
+        own = [(k, fields.index((r.parent, r.field)), r) for k, r in enumerate(tests) if r.child == child]
+        rows = [F.struct(F.lit(k).alias("_test"), F.lit(p).alias("_parent"), key(r.column)) for k, p, r in own]
+        found = models[child].select(F.inline(F.array(*rows))).filter(F.col("_key").isNotNull())
+        mine = found.groupBy("_parent", "_key").agg(*(F.count_if(F.col("_test") == k).alias(f"_{k}") for k, _, _ in own))
+        return mine.withColumns({f"_{k}": F.lit(0).cast("bigint") for k in range(len(tests)) if f"_{k}" not in mine.columns})
+
+    children = reduce(DataFrame.unionByName, map(counted, dict.fromkeys(r.child for r in tests)))
     keys = reduce(
         DataFrame.unionByName,
-        (
-            models[parent].select(F.lit(f"{parent}.{field}").alias("_parent"), key(field))
-            for parent, field in dict.fromkeys((r.parent, r.field) for r in tests)
-        ),
+        (models[parent].select(F.lit(p).alias("_parent"), key(field)) for p, (parent, field) in enumerate(fields)),
     )
-    missing = counted.join(keys, ["_parent", "_key"], "left_anti")
+    missing = children.join(keys, ["_parent", "_key"], "left_anti")
     sums = missing.agg(*(F.coalesce(F.sum(f"_{k}"), F.lit(0)).cast("bigint").alias(f"_{k}") for k in range(len(tests))))
     rows = [
         F.struct(

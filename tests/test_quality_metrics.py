@@ -55,6 +55,17 @@ def test_relationships_together_are_those_alone(spark):
     assert text[text.index("== Physical Plan ==") :].count("REPARTITION_BY_NUM") == 1  # the child is read once
 
 
+def test_each_child_is_counted_in_a_stage_of_its_own(spark):
+    """Not stacked with others below the shuffle, where a child of few bytes gets few tasks for its rows."""
+    models = {n: spark.range(9).select((F.col("id") % m).alias("k")) for n, m in (("a", 2), ("b", 3), ("p", 4))}
+    tests = [quality.Relationship("a", "k", "p", "k"), quality.Relationship("b", "k", "p", "k")]
+    found = quality.relationships(models, tests)
+    text = plan(found)
+    stacked = text[text.index("== Physical Plan ==") :].split(" Union", 1)[1]
+    assert stacked.count("Exchange hashpartitioning(_parent") == stacked.count("partial_count") == 2
+    assert [r.failures for r in found.collect()] == [0, 0]
+
+
 def test_uniqueness_together_is_that_alone(spark):
     a = spark.createDataFrame([(1, date(2024, 1, 1)), (1, date(2024, 1, 2)), (None, date(2024, 1, 1)), (None, None)], "k int, d date")
     b = spark.createDataFrame([("x",), ("x",), ("1",), (None,)], "s string")

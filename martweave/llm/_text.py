@@ -13,6 +13,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StringType
 
 SLICE = 1_000_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -35,6 +37,12 @@ class Spans(NamedTuple):
     row: np.ndarray
 
 
+def place(df: DataFrame, text: str) -> int | None:
+    """Which column of ``df`` is ``text``, if it is a string already and so need not go to Python a second time."""
+    found = [k for k, f in enumerate(df.schema.fields) if f.name.lower() == text.lower() and f.dataType == StringType()]
+    return found[0] if len(found) == 1 else None
+
+
 def texts(column: pa.Array, limit: int = SLICE) -> Iterator[Texts]:
     """The rows in slices; a null is an empty text."""
     if len(column) == 0:

@@ -275,6 +275,21 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     return kept.withColumn("ids", df[text].cast("string")).mapInArrow(run, StructType(fields))
 
 
+def _bytes_of(r: Ranks, column: pa.ListArray) -> pa.BinaryArray:
+    """The bytes of each list of ids; null for a null list."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    count = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    size = r.token_at[flat + 1] - r.token_at[flat]
+    at = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])]
+    data = decoded(r, flat)
+    nulls = pa.array(column.is_valid()) if column.null_count else None
+    return pa.BinaryArray.from_buffers(
+        pa.binary(),
+        len(column),
+        [nulls.buffers()[1] if nulls is not None else None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)],
+    )
+
+
 def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``df`` with ``decoded``: the bytes that its ``ids`` stand for."""
 
@@ -283,18 +298,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 some = batch.slice(first, 256)
-                column = some.column(some.num_columns - 1)
-                flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                count = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                size = r.token_at[flat + 1] - r.token_at[flat]
-                at = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])]
-                data = decoded(r, flat)
-                nulls = pa.array(column.is_valid()) if column.null_count else None
-                made = pa.BinaryArray.from_buffers(
-                    pa.binary(),
-                    len(column),
-                    [nulls.buffers()[1] if nulls is not None else None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)],
-                )
+                made = _bytes_of(r, some.column(some.num_columns - 1))
                 yield pa.RecordBatch.from_arrays([*some.columns[:-1], made], names=[*some.schema.names[:-1], "decoded"])
 
     kept = df.select(*(f"`{c}`" for c in _others(df, "decoded")))
@@ -302,6 +306,30 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     return kept.withColumn("decoded", F.col(ids)).mapInArrow(run, StructType(fields))
 
 
+def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``df`` without ``text``, with ``ids`` as of :func:`encode` and ``decoded`` as of :func:`decode` of them.
+
+    One worker does both for a slice, so that a task holds the rank file once, each text
+    goes to Python once and the ids do not go there again.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = ranks(path)
+        for batch in batches:
+            for t in _text.texts(batch.column(batch.num_columns - 1)):
+                ids, bound = encoded(r, t)
+                made = pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.array(ids, pa.int32()))
+                rest = [c.slice(t.first, t.last - t.first) for c in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays(
+                    [*rest, made, _bytes_of(r, made)], names=[*batch.schema.names[:-1], "ids", "decoded"]
+                )
+
+    kept = df.select(*(f"`{c}`" for c in _others(df, "ids", "decoded", text.lower())))
+    fields = [*kept.schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("decoded", BinaryType())]
+    sent = df.select(*(df[f"`{c}`"] for c in kept.columns), df[text].cast("string").alias("_encoded"))
+    return sent.mapInArrow(run, StructType(fields))
+
+
 def digests(df: DataFrame) -> DataFrame:
     """Of rows with ``ids`` and ``decoded``: number and digest of the ids, digest of the bytes."""
     return df.select(

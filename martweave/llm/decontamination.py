@@ -172,10 +172,10 @@ def _matches(documents: DataFrame, index: list[tuple], text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: list[tuple] = []
-            for t in _text.texts(batch.column(batch.num_columns - 1)):
+            for t in _text.texts(batch.column(width + 2 if place is None else place)):
                 data, span = _text.words(t)
                 hits = found(data, span, _text.hashes(data, span.start, span.end))
-                old_items, old_spans = (batch.column(k).slice(t.first, t.last - t.first) for k in (-3, -2))
+                old_items, old_spans = (batch.column(width + k).slice(t.first, t.last - t.first) for k in (0, 1))
                 for row, count in enumerate(np.diff(span.row).tolist()):
                     items, spans = old_items[row].as_py(), [tuple(s) for s in old_spans[row].as_py()]
                     if row in hits:
@@ -189,17 +189,18 @@ def _matches(documents: DataFrame, index: list[tuple], text: str) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64())))
             columns = [pa.array([m[k] for m in made], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-3], *columns], names=[*batch.schema.names[:-3], *MADE]
+                [*batch.columns[:width], *columns], names=[*batch.schema.names[:width], *MADE]
             )
 
     longs = ArrayType(LongType())
     kinds = (LongType(), LongType(), longs, ArrayType(longs))
     kept = documents.select(*(f"`{c}`" for c in documents.columns if c.lower() not in MADE))
+    width, place = len(kept.columns), _text.place(kept, text)
     fields = [*kept.schema.fields, *(StructField(n, k) for n, k in zip(MADE, kinds))]
     before = [documents[c] for c in ("items", "spans")]
-    return documents.select(
-        *(documents[c] for c in kept.columns), *before, documents[text].cast("string").alias("_searched")
-    ).mapInArrow(run, StructType(fields))
+    searched = [] if place is not None else [documents[text].cast("string").alias("_searched")]
+    sent = documents.select(*(documents[c] for c in kept.columns), *before, *searched)
+    return sent.mapInArrow(run, StructType(fields))
 
 
 def decontaminate(

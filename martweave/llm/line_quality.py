@@ -358,14 +358,16 @@ def classify(documents: DataFrame, model: Model, text: str = "text") -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in _text.texts(batch.column(batch.num_columns - 1)):
+            for t in _text.texts(batch.column(width if place is None else place)):
                 value, good, row = score(model, t)
-                rest = [c.slice(t.first, t.last - t.first) for c in batch.columns[:-1]]
+                rest = [c.slice(t.first, t.last - t.first) for c in batch.columns[:width]]
                 probability = pa.ListArray.from_arrays(pa.array(row, pa.int32()), pa.array(good))
                 yield pa.RecordBatch.from_arrays(
-                    [*rest, pa.array(value), probability], names=[*batch.schema.names[:-1], *made]
+                    [*rest, pa.array(value), probability], names=[*batch.schema.names[:width], *made]
                 )
 
     kept = documents.select(*(f"`{c}`" for c in documents.columns if c.lower() not in made))
+    width, place = len(kept.columns), _text.place(kept, text)
     fields = [*kept.schema.fields, StructField("score", DoubleType()), StructField("lines", ArrayType(DoubleType()))]
-    return kept.withColumn("_scored", kept[text].cast("string")).mapInArrow(run, StructType(fields))
+    sent = kept if place is not None else kept.withColumn("_scored", kept[text].cast("string"))
+    return sent.mapInArrow(run, StructType(fields))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from martweave.llm import _graph, _text, byte_bpe, decontamination, html_text, jaccard_join, line_quality, queries
+from support import plan
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -455,6 +456,15 @@ def test_stages_keep_clashing_columns_and_null_rows(documents, spark, folder):
     assert corpus_pipeline.encoded(spark, df, folder).columns == ["doc_id", "score", "Items", "n_hit", "ids", "text", "n_tokens"]
 
 
+def test_stages_send_each_text_to_python_once(documents, spark, folder):
+    df = documents(["A b c d e f.", None], more=["x", "y"])
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "ngram_jaccard_join":  # reads texts it has written
+            continue
+        text = plan(stage(spark, df, folder)).split("== Physical Plan ==")[1]
+        assert text.count("MapInArrow") == 1 and not re.search(r"AS _(scored|searched)#", text), text
+
+
 def test_one_of_each_goes_by_rows(documents, spark, folder):
     a, b, c = ("the first text of five words", "some other text of six words", "a third one that is not alike")
     rows = [(7, a), (7, a), (3, a), (None, a), (None, b), (None, b), (9, c), (9, a), (8, c), (11, None), (12, "")]

@@ -18,6 +18,7 @@ from tokenizers import Tokenizer, models
 from martweave.llm import _kept, _text, byte_bpe, token_counts, token_output
 from martweave.llm.queries import QUERIES, shipped
 from martweave.session import work_folder
+from support import plan
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -92,6 +93,17 @@ def test_long_pieces_merge_as_short_ones(monkeypatch, tik):
     assert byte_bpe.encoded(byte_bpe.ranks(RANKS), t)[0].tolist() == tik.encode_ordinary(text)
 
 
+def test_round_trip_is_encode_and_decode_in_one_worker(documents):
+    texts = SPECIAL + mixed(30) + [None, "", None]
+    df = documents(texts, IDS=["old"] * len(texts), Decoded=["old"] * len(texts), more=["kept"] * len(texts))
+    both = byte_bpe.round_trip(df, RANKS)
+    assert both.columns == ["doc_id", "more", "ids", "decoded"]
+    assert plan(both).split("== Physical Plan ==")[1].count("MapInArrow") == 1
+    apart = byte_bpe.decode(byte_bpe.encode(df, RANKS).drop("text"), RANKS)
+    assert sorted(both.collect()) == sorted(apart.select(*both.columns).collect())
+    assert byte_bpe.round_trip(documents([]), RANKS).count() == 0
+
+
 def test_null_ids_and_no_rows(documents, spark):
     df = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert [r["decoded"] for r in byte_bpe.decode(df, RANKS).orderBy("doc_id").collect()] == [None, b""]

@@ -4,13 +4,14 @@ Layout under ``root``::
 
     rows/partition_month=<yyyy-MM>/   the rows
     loads/load-<id>/                  one row for each load that is in
-    staging/load-<id>/                a load under way; goes after it is in
+    staging/load-<id>/                a load under way, by month too; goes after it is in
 
 A load is staged first: its rows as they came, and for a merge the months it
-touches with its rows put in. Only then are those months replaced, by Spark's
-dynamic partition overwrite. A load that dies before leaves the table as it was;
-one that dies while months are replaced is finished from its staged rows by the
-next load, whichever that is, so no row is lost; until then a reader may see some
+touches with its rows put in. A task writes a file of its own for each month it has
+rows of, so staging moves no row between tasks. Only then are those months replaced,
+by Spark's dynamic partition overwrite, whose tasks read whole months or shares of a
+large one. A load that dies before leaves the table as it was; one that dies while months
+are replaced is finished from its staged rows by the next load, whichever that is, so no row is lost; until then a reader may see some
 months as they were. One writer per table at a time. The cursor is the newest value
 in the rows themselves, so it cannot part from them.
 
@@ -31,11 +32,13 @@ from pyspark.sql import functions as F
 
 from martweave.functions.calendar import MONTH, moment
 from martweave.operators.ingest import LOAD_ID, one_per_key, stamp_load, upsert
-from martweave.session import children, exists, remove
+from martweave.operators.quality import repeated_keys
+from martweave.session import advisory_size, children, exists, remove, size
 
 _UNDATED = "undated"
 _LOADS = "load_id string, rows bigint, last_value timestamp"
 _STAGED = f"{_LOADS}, part string, touched array<string>"
+_PACKED = 4  # bytes a row takes in a task for each byte of its staged file, a low estimate
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -50,6 +53,12 @@ def _month_name(value: date | datetime) -> str:
     return f"{value:%Y-%m}"
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    """Joined up by halves: Spark analyses every union anew, so a long chain would cost its square."""
+    half = len(parts) // 2
+    return parts[0] if not half else _union(parts[:half]).union(_union(parts[half:]))
+
+
 def _folder(load_id: str) -> str:
     return "load-" + re.sub(r"[^A-Za-z0-9.-]", lambda m: f"~{ord(m[0]):x}~", load_id)
 
@@ -144,38 +153,68 @@ class LandedTable:
             return df.withColumn(MONTH, F.lit("all"))
         return df.withColumn(MONTH, F.coalesce(F.date_format(self.month_of, "yyyy-MM"), F.lit(_UNDATED)))
 
+    def _write(self, df: DataFrame, place: str, overwrite: str = "static") -> None:
+        """Rows into a folder for each month; in a file by time and key, which packs well and
+        keeps row groups narrow in time."""
+        order = [MONTH, *([self.month_of] if self.month_of else []), *self.keys]
+        writer = self._month(df).sortWithinPartitions(*order).write.mode("overwrite").partitionBy(MONTH)
+        writer = writer.option("compression", "zstd").option("partitionOverwriteMode", overwrite)
+        writer.parquet(f"{self.root}/{place}")
+
+    def _staged(self, place: str) -> DataFrame:
+        return self._parquet(f"{self.ddl}, {MONTH} string", place).drop(MONTH)
+
+    def _months_in(self, place: str) -> list[str]:
+        return [c.removeprefix(f"{MONTH}=") for c in children(self.spark, f"{self.root}/{place}")]
+
+    def _gathered(self, place: str) -> DataFrame:
+        """Staged rows; a task reads all of some small months or a share of a large one, so a
+        month's rows lie together in few files and nothing is shuffled."""
+        limit = max(1, advisory_size(self.spark) // _PACKED)
+        parts: list[tuple[list[str], int]] = []
+        for month in self._months_in(place):
+            folder = f"{self.root}/{place}/{MONTH}={month}"
+            folders, held = parts.pop() if parts else ([], 0)
+            found = size(self.spark, folder)
+            if folders and held + found > limit:
+                parts.append((folders, held))
+                folders, held = [], 0
+            parts.append(([*folders, folder], held + found))
+        read = self.spark.read.schema(self.ddl)
+        gathered = [read.parquet(*folders).coalesce(-(-held // limit)) for folders, held in parts]
+        return _union(gathered or [self.spark.createDataFrame([], self.ddl)])
+
     def _stage(self, df: DataFrame, load_id: str, cursor: str | None) -> tuple[DataFrame, dict]:
         """The rows of a load, written; and what was seen while they were written."""
         place = f"staging/{_folder(load_id)}/batch"
         newest = F.unix_micros(F.max(cursor).cast("timestamp")) if cursor else F.lit(None).cast("bigint")
         seen = Observation()
-        self._checked(df, load_id).observe(
+        observed = self._checked(df, load_id).observe(
             seen,
             F.count(F.lit(1)).alias("rows"),
             newest.alias("newest"),
             F.min(self.keys[0]).alias("low"),
             F.max(self.keys[0]).alias("high"),
             F.count_if(reduce(or_, (F.col(k).isNull() for k in self.keys))).alias("keyless"),
-        ).write.mode("overwrite").parquet(f"{self.root}/{place}")
-        return self._parquet(self.ddl, place), seen.get
+        )
+        self._write(observed, place)
+        return self._staged(place), seen.get
+
+    def _may_have_copies(self, staged: DataFrame) -> bool:
+        """Whether a key may come twice. Several key columns are moved as one hash, by which
+        different keys may look alike; the exact search for copies then finds none."""
+        key = F.col(self.keys[0]) if len(self.keys) == 1 else F.xxhash64(*self.keys)
+        return not repeated_keys(staged.select(key.alias("_key")), "_key").isEmpty()
 
     def _put_in_force(self, folder: str) -> None:
         """Replace the months a staged load touches, enter the load and drop what was staged."""
         staging = f"{self.root}/staging/{folder}"
         load = self.spark.read.schema(_STAGED).parquet(f"{staging}/load")
         head = load.select("part", "touched").first()
-        rows = self._month(self._parquet(self.ddl, f"staging/{folder}/{head.part}"))
-        # A rebalance gathers a month's rows into files of the advisory size and splits a
-        # large month; sorting inside a file keeps its row groups narrow in time.
-        spread = rows.hint("rebalance", MONTH) if self.month_of else rows.hint("rebalance")
-        order = [MONTH, *([self.month_of] if self.month_of else []), *self.keys]
-        writer = spread.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(MONTH)
-        whole = "static" if head.touched is None else "dynamic"
-        writer.option("partitionOverwriteMode", whole).parquet(f"{self.root}/rows")
-        if head.touched:
-            left = {r[0] for r in rows.select(MONTH).distinct().collect()}  # one row per month
-            for month in set(head.touched) - left:
-                remove(self.spark, f"{self.root}/rows/{MONTH}={month}")
+        place = f"staging/{folder}/{head.part}"
+        self._write(self._gathered(place), "rows", "static" if head.touched is None else "dynamic")
+        for month in set(head.touched or ()).difference(self._months_in(place)):
+            remove(self.spark, f"{self.root}/rows/{MONTH}={month}")
         entered = load.drop("part", "touched").coalesce(1)
         entered.write.mode("overwrite").parquet(f"{self.root}/loads/{folder}")
         remove(self.spark, staging)
@@ -235,19 +274,18 @@ class LandedTable:
         if check is not None:
             check(staged, seen["rows"])
         load = Load(load_id, seen["rows"], _instant(seen["newest"]))
-        months = [r[0] for r in self._month(staged).select(MONTH).distinct().collect()]  # one row per month
+        months = self._months_in(f"staging/{_folder(load_id)}/batch")
         present = self.by_month()
         if not month_is_fixed:
             key = F.col(self.keys[0])
             near = present.filter((key >= F.lit(seen["low"])) & (key <= F.lit(seen["high"])))
             found = near.join(staged.select(*self.keys), self.keys, "left_semi").select(MONTH).distinct()
             months = sorted({*months, *(r[0] for r in found.collect())})
-        stored = {c.partition("=")[2] for c in children(self.spark, f"{self.root}/rows")}
-        copied = staged.groupBy(*self.keys).count().filter("count > 1")
-        if stored.isdisjoint(months) and copied.isEmpty():
+        if set(self._months_in("rows")).isdisjoint(months) and not self._may_have_copies(staged):
             return self._enter(load, "batch", months)
+        copied = staged.groupBy(*self.keys).count().filter("count > 1")
         single = one_per_key(staged, copied, self.keys, [cursor])
         touched = present.filter(F.col(MONTH).isin(months)).drop(MONTH)
         merged = upsert(touched, single, self.keys, arriving=staged)
-        merged.write.mode("overwrite").parquet(f"{self.root}/staging/{_folder(load_id)}/merged")
+        self._write(merged, f"staging/{_folder(load_id)}/merged")
         return self._enter(load, "merged", months)

@@ -243,6 +243,35 @@ def test_a_large_month_is_split_into_files(spark, tmp_path, conf):
     assert t.read().count() == 200_000
 
 
+def test_rows_are_staged_and_put_in_force_without_a_shuffle(spark, tmp_path, monkeypatch, conf):
+    """Some months to a task and several tasks; still a month's rows lie together."""
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="256KB")
+    written = []
+    write = LandedTable._write
+
+    def seen(self, df, place, *how):
+        written.append((plan(df), df.select(F.spark_partition_id()).distinct().count()))
+        write(self, df, place, *how)
+
+    monkeypatch.setattr(LandedTable, "_write", seen)
+    t = table(spark, tmp_path)
+    days = spark.range(0, 4000, 1, 8).select(
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("v"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 7200).alias("at")
+    )
+    t.merge(days, "one", "at")
+    assert len(written) == 2 and not any("Exchange" in text for text, _ in written)
+    assert 1 < written[1][1] < len(months(t)) == len(t.read().inputFiles())
+    assert values(t.read(), "id", "v", "at") == values(days, "id", "v", "at")
+    assert t.read().inputFiles()[0].endswith(".zstd.parquet")
+
+
+def test_keys_that_look_alike_by_their_hash_stay_apart(spark, tmp_path, monkeypatch):
+    t = LandedTable(spark, str(tmp_path / "k"), DDL, ["id", "at"], month_of="at")
+    monkeypatch.setattr(F, "xxhash64", lambda *_: F.lit(7).cast("bigint"))
+    t.merge(rows(spark, (1, "a", at(1)), (1, "b", at(2)), (2, "c", at(2)), (2, "d", at(2))), "one", "at")
+    assert values(t.read(), "v") == [("a",), ("b",), ("d",)]
+
+
 def test_empty_batch_keeps_rows_and_cursor(spark, tmp_path):
     t = table(spark, tmp_path)
     t.merge(rows(spark, (1, "a", at(1))), "one", "at")

@@ -170,18 +170,19 @@ class LandedTable:
     def _gathered(self, place: str) -> DataFrame:
         """Staged rows; a task reads all of some small months or a share of a large one, so a
         month's rows lie together in few files and nothing is shuffled."""
+        folders = [f"{self.root}/{place}/{MONTH}={month}" for month in self._months_in(place)]
+        sizes = [size(self.spark, folder) for folder in folders]
         limit = max(1, advisory_size(self.spark) // _PACKED)
+        share = min(limit, sum(sizes) // self.spark.sparkContext.defaultParallelism)
         parts: list[tuple[list[str], int]] = []
-        for month in self._months_in(place):
-            folder = f"{self.root}/{place}/{MONTH}={month}"
-            folders, held = parts.pop() if parts else ([], 0)
-            found = size(self.spark, folder)
-            if folders and held + found > limit:
-                parts.append((folders, held))
-                folders, held = [], 0
-            parts.append(([*folders, folder], held + found))
+        for folder, found in zip(folders, sizes):
+            if parts and parts[-1][1] + found <= share:
+                together, held = parts.pop()
+                parts.append(([*together, folder], held + found))
+            else:
+                parts.append(([folder], found))
         read = self.spark.read.schema(self.ddl)
-        gathered = [read.parquet(*folders).coalesce(-(-held // limit)) for folders, held in parts]
+        gathered = [read.parquet(*together).coalesce(-(-held // limit)) for together, held in parts]
         return _union(gathered or [self.spark.createDataFrame([], self.ddl)])
 
     def _stage(self, df: DataFrame, load_id: str, cursor: str | None) -> tuple[DataFrame, dict]:
